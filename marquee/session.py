@@ -53,7 +53,7 @@ def build_session(master: str | None = None, app: str = "marquee",
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     return prepare(spark)
 
 
