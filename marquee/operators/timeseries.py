@@ -84,6 +84,69 @@ def interpolate_linear(df: DataFrame, key: str, order: list[str], col: str, out:
     return d.withColumn(out, val).drop("_pos", "_prev", "_next")
 
 
+def ewm_mean(df: DataFrame, key: str, ts: str, value: str, alpha: float, min_periods: int = 0,
+             bucket_s: float = DAY_S, out: str = "ewm") -> DataFrame:
+    """Exponentially weighted mean (pandas ``ewm(alpha=…, adjust=True)``)
+    per key in time order (ties broken by all columns).
+
+    y_t = S_t / W_t with S_t = x_t + (1-α) S_{t-1}, W_t = 1 + (1-α) W_{t-1}.
+    Phase 1 runs the recurrence from zero inside each (key, time bucket)
+    (Arrow batches, bounded by the bucket); phase 2 chains the bucket end
+    states per key over one row per bucket; phase 3 adds the carried
+    state decayed by (1-α)^k.  No task ever holds a whole key.
+    """
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    beta = 1.0 - alpha
+    cols = df.columns
+    d = (df.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
+         .withColumn("_b", F.floor(F.col("_t") / (bucket_s * 1_000_000)).cast("bigint"))
+         .withColumn("_tie", F.xxhash64(*cols)))
+    local_schema = T.StructType(d.schema.fields + [T.StructField("_k", T.LongType()),
+                                                   T.StructField("_s", T.DoubleType()),
+                                                   T.StructField("_w", T.DoubleType())])
+
+    def local(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_t", "_tie"], kind="mergesort")
+        s = w = 0.0
+        ss, ww = [], []
+        for x in pdf[value].to_numpy(dtype="float64"):
+            s = x + beta * s
+            w = 1.0 + beta * w
+            ss.append(s)
+            ww.append(w)
+        pdf = pdf.assign(_k=range(1, len(pdf) + 1), _s=ss, _w=ww)
+        return pdf
+
+    loc = d.groupBy(key, "_b").applyInPandas(local, local_schema)
+    ends = loc.groupBy(key, "_b").agg(F.max_by(F.struct("_s", "_w"), "_k").alias("e"), F.max("_k").alias("_n"))
+    ends = ends.select(key, "_b", F.col("e._s").alias("_se"), F.col("e._w").alias("_we"), "_n")
+    carry_schema = f"{key} {df.schema[key].dataType.simpleString()}, _b long, _sin double, _win double, _off long"
+
+    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_b")
+        s = w = 0.0
+        off = 0
+        sin, win, offs = [], [], []
+        for se, we, n in zip(pdf["_se"], pdf["_we"], pdf["_n"]):
+            sin.append(s)
+            win.append(w)
+            offs.append(off)
+            decay = beta ** int(n)
+            s = se + decay * s
+            w = we + decay * w
+            off += int(n)
+        return pd.DataFrame({key: pdf[key].to_numpy(), "_b": pdf["_b"].to_numpy(), "_sin": sin, "_win": win, "_off": offs})
+
+    carry = ends.groupBy(key).applyInPandas(chain, carry_schema)
+    j = loc.join(carry, [key, "_b"])
+    decay = F.pow(F.lit(beta), F.col("_k"))
+    y = (F.col("_s") + decay * F.col("_sin")) / (F.col("_w") + decay * F.col("_win"))
+    y = F.when(F.col("_off") + F.col("_k") >= F.lit(min_periods), y)
+    return j.withColumn(out, y).select(*cols, out)
+
+
 def resample(df: DataFrame, key: str, ts: str, rule_s: int, aggs: list[Column]) -> DataFrame:
     """pandas ``resample(rule).agg(...)`` per key, left-closed and
     left-labelled buckets; empty buckets between a key's first and last
