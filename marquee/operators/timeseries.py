@@ -18,7 +18,8 @@ def _epoch_s(c: str) -> Column:
     return F.unix_micros(F.col(c).cast("timestamp")) / 1_000_000.0
 
 
-def sessionize(df: DataFrame, key: str, ts: str, gap_s: float, bucket_s: float = DAY_S) -> DataFrame:
+def sessionize(df: DataFrame, key: str, ts: str, gap_s: float, bucket_s: float = DAY_S,
+               close: Column | None = None) -> DataFrame:
     """Gaps-and-islands sessions: a new session starts when the previous
     event of the key is more than ``gap_s`` seconds earlier.
 
@@ -27,27 +28,31 @@ def sessionize(df: DataFrame, key: str, ts: str, gap_s: float, bucket_s: float =
     starts; (2) per key over one row per bucket: the previous bucket's
     last time (to decide whether the first row of a bucket starts a
     session) and the number of sessions started in earlier buckets.
-    Rows are ordered by (ts, all columns) for a total order.
+    Rows are ordered by (ts, all columns) for a total order.  ``close``
+    (boolean column) marks events that end their session: the next event
+    of the key then starts a new one whatever the gap.
     """
     t = _epoch_s(ts)
     d = df.withColumn("_t", t).withColumn("_b", F.floor(F.col("_t") / bucket_s))
+    d = d.withColumn("_close", close if close is not None else F.lit(False))
     order = [F.col("_t")] + [F.col(c) for c in df.columns]
     wb = Window.partitionBy(key, "_b").orderBy(*order)
-    d = d.withColumn("_prev", F.lag("_t").over(wb))
+    d = d.withColumn("_prev", F.lag("_t").over(wb)).withColumn("_pclose", F.lag("_close").over(wb))
     # per-bucket bounds (one row per key and bucket)
-    bounds = d.groupBy(key, "_b").agg(F.min("_t").alias("_bmin"), F.max("_t").alias("_bmax"))
+    bounds = d.groupBy(key, "_b").agg(F.max_by(F.struct("_t", "_close"), F.struct(*order)).alias("_last"))
     wk = Window.partitionBy(key).orderBy("_b")
-    bounds = bounds.withColumn("_prev_bmax", F.lag("_bmax").over(wk))
-    d = d.join(bounds.select(key, "_b", "_prev_bmax"), [key, "_b"])
-    prev = F.coalesce(F.col("_prev"), F.col("_prev_bmax"))
-    d = d.withColumn("_start", F.when(prev.isNull() | (F.col("_t") - prev > gap_s), 1).otherwise(0))
+    bounds = bounds.withColumn("_prev_last", F.lag("_last").over(wk))
+    d = d.join(bounds.select(key, "_b", "_prev_last"), [key, "_b"])
+    prev = F.coalesce(F.col("_prev"), F.col("_prev_last._t"))
+    prev_close = F.coalesce(F.col("_pclose"), F.col("_prev_last._close"), F.lit(False))
+    d = d.withColumn("_start", F.when(prev.isNull() | (F.col("_t") - prev > gap_s) | prev_close, 1).otherwise(0))
     d = d.withColumn("_local", F.sum("_start").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
     starts = d.groupBy(key, "_b").agg(F.sum("_start").alias("_n"))
     starts = starts.withColumn("_offset", F.coalesce(
         F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     d = d.join(starts.select(key, "_b", "_offset"), [key, "_b"])
     return (d.withColumn("session_id", (F.col("_offset") + F.col("_local")).cast("bigint"))
-            .drop("_t", "_b", "_prev", "_prev_bmax", "_start", "_local", "_offset"))
+            .drop("_t", "_b", "_prev", "_pclose", "_prev_last", "_close", "_start", "_local", "_offset"))
 
 
 def sessions_summary(df: DataFrame, key: str, ts: str, gap_s: float, bucket_s: float = DAY_S) -> DataFrame:
