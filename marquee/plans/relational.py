@@ -384,4 +384,66 @@ def join_cross(t):
     return f.crossJoin(maybe_broadcast(s, 10_000))
 
 
+# ---------------------------------------------------------------- sampling and ids (rows-only)
+@query("sample")
+def sample(t):
+    """Bernoulli sample (fraction 0.1, seeded) — a sampling operator,
+    so dropping rows is the feature."""
+    return t.orders.select("o_orderkey", "o_orderstatus").sample(withReplacement=False, fraction=0.1, seed=7)
+
+
+@query("sample_by")
+def sample_by(t):
+    """Stratified sample: one fraction per status."""
+    return t.orders.select("o_orderkey", "o_orderstatus").sampleBy("o_orderstatus", {"F": 0.1, "O": 0.2, "P": 0.5}, seed=7)
+
+
+@query("random_split")
+def random_split(t):
+    """randomSplit 70/30; both parts returned with their split tag (the
+    parts are disjoint and cover every row)."""
+    a, b = t.orders.select("o_orderkey").randomSplit([0.7, 0.3], seed=7)
+    return a.withColumn("part", F.lit("train")).unionByName(b.withColumn("part", F.lit("test")))
+
+
+@query("hash_sample")
+def hash_sample(t):
+    """Deterministic 10 % sample by key hash: the same keys are chosen
+    whatever the partitioning or retry."""
+    return t.lineitem.select("l_orderkey", "l_linenumber").where(F.pmod(F.xxhash64("l_orderkey"), F.lit(100)) < 10)
+
+
+@query("observe")
+def observe(t):
+    """Metrics collected on the side of a query (``Observation``)."""
+    from pyspark.sql import Observation
+    obs = Observation("order_stats")
+    return t.orders.select("o_orderkey", "o_totalprice").observe(
+        obs, F.count(F.lit(1)).alias("rows"), F.max("o_totalprice").alias("max_price"))
+
+
+@query("range_sort")
+def range_sort(t):
+    """repartitionAndSortWithinPartitions / sortByKey: range partitions
+    (sampled bounds), sorted inside each partition — globally ordered by
+    (partition, position) without a single-task sort."""
+    li = t.lineitem.select("l_orderkey", "l_linenumber")
+    return li.repartitionByRange(8, "l_orderkey").sortWithinPartitions("l_orderkey", "l_linenumber") \
+        .withColumn("pid", F.spark_partition_id())
+
+
+@query("row_index")
+def row_index(t):
+    """zipWithIndex: consecutive 0-based row numbers without a global
+    window — per-partition counts (one row per partition) give offsets,
+    ``monotonically_increasing_id`` gives the position in the partition."""
+    base = t.orders.select("o_orderkey")
+    mid = F.monotonically_increasing_id()
+    d = base.withColumn("_pid", F.spark_partition_id()).withColumn("_pos", mid - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
+    counts = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
+                                                F.lit(0)))
+    return d.join(F.broadcast(offs.select("_pid", "_off")), "_pid").select("o_orderkey", (F.col("_off") + F.col("_pos")).alias("row_index"))
+
+
 __all__ = ["Window"]

@@ -17,7 +17,8 @@ def r(c, n=6):
 
 
 _EV_ORDER = ["ts", "event_id"]
-_W_USER = Window.partitionBy("user_id").orderBy(*_EV_ORDER)
+def _w_user():
+    return Window.partitionBy("user_id").orderBy(*_EV_ORDER)
 
 
 @query("resample", oracle="""
@@ -45,8 +46,8 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
 """)
 def diff(t):
     v = F.col("value")
-    return t.events.select("event_id", r(v - F.lag(v).over(_W_USER), 4).alias("d1"),
-                           r(v - F.lag(v, 2).over(_W_USER), 4).alias("d2"))
+    return t.events.select("event_id", r(v - F.lag(v).over(_w_user()), 4).alias("d1"),
+                           r(v - F.lag(v, 2).over(_w_user()), 4).alias("d2"))
 
 
 @query("pct_change", oracle="""
@@ -55,7 +56,7 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
 """)
 def pct_change(t):
     v = F.col("value")
-    return t.events.select("event_id", r(F.try_divide(v, F.nullif(F.lag(v).over(_W_USER), F.lit(0.0))) - 1).alias("pct"))
+    return t.events.select("event_id", r(F.try_divide(v, F.nullif(F.lag(v).over(_w_user()), F.lit(0.0))) - 1).alias("pct"))
 
 
 _LINE_W = "PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
@@ -421,7 +422,7 @@ SELECT b.h * 3600 AS gap_start_s, coalesce(c.n, 0) AS n FROM (SELECT unnest(rang
 def timedelta_range(t):
     """Gaps between a user's consecutive events, counted per hour on a
     ``timedelta_range(0, max_gap, '1h')`` calendar (empty hours = 0)."""
-    gap = (micros("ts") - F.lag(micros("ts")).over(_W_USER))
+    gap = (micros("ts") - F.lag(micros("ts")).over(_w_user()))
     g = t.events.select(F.floor(gap / 3_600_000_000).cast("bigint").alias("h")).where(F.col("h").isNotNull())
     c = g.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     cal = c.agg(F.max("h").alias("mx")).select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("mx"))).alias("h"))

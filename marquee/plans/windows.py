@@ -15,7 +15,8 @@ def r(c, n=2):
     return F.round(c, n)
 
 
-_W_CUST = Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey")
+def _w_cust():
+    return Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey")
 
 
 @query("win_rank", oracle="""
@@ -25,7 +26,7 @@ SELECT o_orderkey, o_custkey,
 FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey)
 """)
 def win_rank(t):
-    w = _W_CUST
+    w = _w_cust()
     return t.orders.select("o_orderkey", "o_custkey", F.row_number().over(w).alias("rn"), F.rank().over(w).alias("rnk"),
                            F.dense_rank().over(w).alias("drnk"), r(F.percent_rank().over(w), 6).alias("prank"),
                            r(F.cume_dist().over(w), 6).alias("cdist"), F.ntile(4).over(w).alias("quartile"))
