@@ -62,6 +62,98 @@ def sessions_summary(df: DataFrame, key: str, ts: str, gap_s: float, bucket_s: f
                                             F.count(F.lit(1)).alias("events"))
 
 
+def _with_bucket(df: DataFrame, ts: str, bucket_s: float) -> DataFrame:
+    return df.withColumn("_b", F.floor(_epoch_s(ts) / bucket_s).cast("bigint"))
+
+
+def bucketed_fill(df: DataFrame, key: str, order: list[str], col: str, out: str,
+                  backward: bool = False, bucket_s: float = DAY_S) -> DataFrame:
+    """Forward (or backward) fill of ``col`` per key in ``order``
+    (``order[0]`` is the time column), skew-safe: a window inside each
+    (key, bucket) plus the last (first) non-null value of earlier (later)
+    buckets, found over one row per (key, bucket)."""
+    d = _with_bucket(df, order[0], bucket_s)
+    o = F.struct(*[F.col(c) for c in order])
+    known = F.when(F.col(col).isNotNull(), o)
+    wb = Window.partitionBy(key, "_b").orderBy(*order)
+    wk = Window.partitionBy(key).orderBy("_b")
+    if backward:
+        local = F.first(col, ignorenulls=True).over(wb.rowsBetween(0, Window.unboundedFollowing))
+        summ = d.groupBy(key, "_b").agg(F.min_by(col, known).alias("_v"))
+        carry = F.first("_v", ignorenulls=True).over(wk.rowsBetween(1, Window.unboundedFollowing))
+    else:
+        local = F.last(col, ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, 0))
+        summ = d.groupBy(key, "_b").agg(F.max_by(col, known).alias("_v"))
+        carry = F.last("_v", ignorenulls=True).over(wk.rowsBetween(Window.unboundedPreceding, -1))
+    c = summ.select(key, "_b", carry.alias("_c"))
+    return d.withColumn("_l", local).join(c, [key, "_b"]).withColumn(out, F.coalesce("_l", "_c")).drop("_b", "_l", "_c")
+
+
+def bucketed_running(df: DataFrame, key: str, order: list[str], aggs: dict[str, tuple[str, str]],
+                     bucket_s: float = DAY_S) -> DataFrame:
+    """Running (expanding) aggregates per key: ``aggs`` maps an output
+    column to (``sum`` | ``count`` | ``min`` | ``max``, input column).
+    Local running values inside (key, bucket) plus the totals of the
+    earlier buckets (prefix over one row per bucket)."""
+    d = _with_bucket(df, order[0], bucket_s)
+    wb = Window.partitionBy(key, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    wk = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    fn = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
+    merge = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+    for out, (kind, col) in aggs.items():
+        d = d.withColumn(f"_l_{out}", fn[kind](col).over(wb))
+    tot = d.groupBy(key, "_b").agg(*[fn[k](c).alias(f"_t_{o}") for o, (k, c) in aggs.items()])
+    carry = tot.select(key, "_b", *[merge[k](f"_t_{o}").over(wk).alias(f"_c_{o}") for o, (k, c) in aggs.items()])
+    d = d.join(carry, [key, "_b"])
+    for out, (kind, _) in aggs.items():
+        loc, car = F.col(f"_l_{out}"), F.col(f"_c_{out}")
+        if kind in ("sum", "count"):
+            val = loc + F.coalesce(car, F.lit(0))
+        elif kind == "min":
+            val = F.least(loc, car)
+        else:
+            val = F.greatest(loc, car)
+        d = d.withColumn(out, val)
+    drop = ["_b"] + [f"_l_{o}" for o in aggs] + [f"_c_{o}" for o in aggs]
+    return d.drop(*drop)
+
+
+def positions(df: DataFrame, key: str, order: list[str], out: str = "pos", bucket_s: float = DAY_S) -> DataFrame:
+    """1-based row position per key in ``order`` (skew-safe running count)."""
+    return bucketed_running(df.withColumn("_one", F.lit(1)), key, order, {out: ("count", "_one")}, bucket_s).drop("_one")
+
+
+def rolling_rows(df: DataFrame, key: str, order: list[str], col: str, k: int, bucket_s: float = DAY_S) -> DataFrame:
+    """Values of the k-1 preceding rows per key as columns ``_lag1``… —
+    a join on (key, position - i), balanced whatever the key skew."""
+    p = positions(df, key, order, "_pos", bucket_s)
+    out = p
+    for i in range(1, k):
+        prev = p.select(F.col(key).alias(f"_k{i}"), (F.col("_pos") + i).alias(f"_p{i}"), F.col(col).alias(f"_lag{i}"))
+        out = out.join(prev, (out[key] == prev[f"_k{i}"]) & (out["_pos"] == prev[f"_p{i}"]), "left").drop(f"_k{i}", f"_p{i}")
+    return out
+
+
+def range_window(df: DataFrame, key: str, ts: str, range_s: int, col: str,
+                 bucket_s: int | None = None) -> DataFrame:
+    """Count and sum of ``col`` over each row's trailing time range
+    [t - range, t] per key (RANGE frame), skew-safe.
+
+    Buckets are at least as wide as the range, so a frame touches its own
+    bucket and the previous one: each row is also copied once into the
+    next bucket as context (a one-bucket halo), the window runs inside
+    (key, bucket), and only native rows are kept."""
+    bucket_s = max(bucket_s or range_s, range_s)
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    d = df.withColumn("_us", us).withColumn("_b", F.floor(F.col("_us") / (bucket_s * 1_000_000)).cast("bigint"))
+    native = d.withColumn("_native", F.lit(True))
+    halo = d.withColumn("_b", F.col("_b") + 1).withColumn("_native", F.lit(False))
+    u = native.unionByName(halo)
+    w = Window.partitionBy(key, "_b").orderBy("_us").rangeBetween(-range_s * 1_000_000, 0)
+    u = u.withColumn("_n", F.count(F.lit(1)).over(w)).withColumn("_s", F.sum(col).over(w))
+    return u.where("_native").drop("_us", "_b", "_native")
+
+
 def fill_forward(df: DataFrame, key: str | None, order: list[str], col: str, backward: bool = False) -> Column:
     """Column: last (or next, ``backward``) non-null value of ``col``."""
     w = Window.partitionBy(key) if key else Window.partitionBy()
@@ -76,11 +168,11 @@ def interpolate_linear(df: DataFrame, key: str, order: list[str], col: str, out:
     known values are filled on the straight line by row position;
     leading nulls stay null, trailing nulls take the last value."""
     out = out or col
-    w = Window.partitionBy(key).orderBy(*order)
-    d = df.withColumn("_pos", F.row_number().over(w))
-    known = F.when(F.col(col).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(col).alias("v")))
-    d = (d.withColumn("_prev", F.last(known, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-         .withColumn("_next", F.first(known, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))))
+    # positions, previous and next known values: all skew-safe (bucketed)
+    d = positions(df, key, order, "_pos")
+    d = d.withColumn("_kn", F.when(F.col(col).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(col).alias("v"))))
+    d = bucketed_fill(d, key, order, "_kn", "_prev")
+    d = bucketed_fill(d, key, order, "_kn", "_next", backward=True).drop("_kn")
     lin = F.col("_prev.v") + (F.col("_next.v") - F.col("_prev.v")) * \
         (F.col("_pos") - F.col("_prev.p")) / (F.col("_next.p") - F.col("_prev.p"))
     val = (F.when(F.col(col).isNotNull(), F.col(col))

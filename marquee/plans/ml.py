@@ -552,26 +552,62 @@ def ml_select(t):
                      vector_to_array("rf_features").alias("rf_features"))
 
 
-def _shingles(t):
-    """Distinct documents (exact copies removed first — an exact way for
-    the hottest buckets) with their word 3-shingles over the whole text."""
+def _distinct_docs(t):
+    """Distinct documents: exact copies removed first (keyed by SHA-256)
+    — the exact way for the hottest LSH buckets."""
     docs = t.documents.select("doc_id", "text")
-    distinct = docs.groupBy(F.sha2("text", 256).alias("h")).agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"))
-    w = distinct.select("doc_id", F.split(F.lower("text"), r"\s+").alias("w"))
-    sh = w.select("doc_id", F.expr("transform(sequence(0, greatest(size(w) - 3, 0)), i -> concat_ws(' ', slice(w, i + 1, 3)))").alias("sh"))
+    return docs.groupBy(F.sha2("text", 256).alias("h")).agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"))
+
+
+def _shingle_words(df):
+    """Word 3-shingles over the whole text (array<string>)."""
+    w = df.select("doc_id", F.split(F.lower("text"), r"\s+").alias("w"))
+    two = F.zip_with("w", F.slice("w", 2, 1 << 30), lambda a, b: F.concat(a, F.lit(" "), b))
+    three = F.zip_with(two, F.slice("w", 3, 1 << 30), lambda a, b: F.concat(a, F.lit(" "), b))
+    return w.select("doc_id", F.filter(three, lambda x: x.isNotNull()).alias("sh"))
+
+
+def _shingles(t):
+    """Shingle sets as binary hashed term vectors (for the ML LSH API)."""
+    sh = _shingle_words(_distinct_docs(t))
     tf = FT.HashingTF(inputCol="sh", outputCol="features", numFeatures=1 << 18, binary=True).transform(sh)
     return tf.where(F.size("sh") > 0)
 
 
+N_HASHES, N_BANDS = 32, 8
+
+
+def minhash_signatures(t):
+    """MinHash signatures computed JVM-side: shingle hashes are exploded
+    and reduced with one codegen'd aggregate of seeded minima per
+    document (partial aggregation — a very long document is spread over
+    tasks before its final merge)."""
+    sh = _shingle_words(_distinct_docs(t))
+    h = sh.select("doc_id", F.explode("sh").alias("s")).select("doc_id", F.xxhash64("s").alias("h"))
+    mins = [F.min(F.xxhash64(F.col("h"), F.lit(j))).alias(f"m{j}") for j in range(N_HASHES)]
+    return h.groupBy("doc_id").agg(*mins).select("doc_id", F.array(*[f"m{j}" for j in range(N_HASHES)]).alias("sig"))
+
+
 @query("near_duplicates")
 def near_duplicates(t):
-    """Near-copy document pairs: MinHash LSH similarity join (Jaccard
-    distance < 0.5) on shingle sets, after exact-copy dedup."""
-    d = _shingles(t)
-    m = FT.MinHashLSH(inputCol="features", outputCol="hashes", numHashTables=5, seed=1).fit(d)
-    pairs = m.approxSimilarityJoin(d, d, 0.5, distCol="jaccard_dist")
-    return pairs.where(F.col("datasetA.doc_id") < F.col("datasetB.doc_id")).select(
-        F.col("datasetA.doc_id").alias("a"), F.col("datasetB.doc_id").alias("b"), "jaccard_dist")
+    """Near-copy documents: MinHash signatures (32 seeded hashes) of
+    whole-text word 3-shingles, LSH banding (8 bands × 4), and per bucket
+    a link from each member to the bucket's smallest doc (a star, never
+    all pairs in a bucket).  Links are kept when the signature estimate
+    of Jaccard similarity is ≥ 0.5; each doc reports its smallest such
+    neighbour."""
+    sig = minhash_signatures(t)
+    rows = N_HASHES // N_BANDS
+    bands = sig.select("doc_id", "sig", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(N_BANDS - 1)),
+                                                                  lambda j: F.xxhash64(F.slice("sig", j * rows + 1, rows)))).alias("band", "key"))
+    reps = bands.groupBy("band", "key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    links = bands.join(reps, ["band", "key"]).where(F.col("doc_id") != F.col("rep")).select("doc_id", "sig", "rep").dropDuplicates(["doc_id", "rep"])
+    rs = sig.select(F.col("doc_id").alias("rep"), F.col("sig").alias("rsig"))
+    est = F.aggregate(F.zip_with("sig", "rsig", lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0),
+                      lambda acc, x: acc + x) / float(N_HASHES)
+    scored = links.join(rs, "rep").select("doc_id", "rep", est.alias("similarity")).where(F.col("similarity") >= 0.5)
+    return scored.groupBy("doc_id").agg(F.min_by(F.struct("rep", "similarity"), "rep").alias("m")).select(
+        F.col("m.rep").alias("a"), F.col("doc_id").alias("b"), (1 - F.col("m.similarity")).alias("jaccard_dist"))
 
 
 @query("ann_join")

@@ -45,9 +45,10 @@ SELECT event_id, round(value - lag(value) OVER w, 4) AS d1, round(value - lag(va
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
 """)
 def diff(t):
+    """diff(1), diff(2) per user: earlier rows joined by position."""
+    d = TS.rolling_rows(t.events.select("user_id", "ts", "event_id", "value"), "user_id", _EV_ORDER, "value", 3)
     v = F.col("value")
-    return t.events.select("event_id", r(v - F.lag(v).over(_w_user()), 4).alias("d1"),
-                           r(v - F.lag(v, 2).over(_w_user()), 4).alias("d2"))
+    return d.select("event_id", r(v - F.col("_lag1"), 4).alias("d1"), r(v - F.col("_lag2"), 4).alias("d2"))
 
 
 @query("pct_change", oracle="""
@@ -55,8 +56,9 @@ SELECT event_id, round(value / nullif(lag(value) OVER w, 0) - 1, 6) AS pct
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
 """)
 def pct_change(t):
+    d = TS.rolling_rows(t.events.select("user_id", "ts", "event_id", "value"), "user_id", _EV_ORDER, "value", 2)
     v = F.col("value")
-    return t.events.select("event_id", r(F.try_divide(v, F.nullif(F.lag(v).over(_w_user()), F.lit(0.0))) - 1).alias("pct"))
+    return d.select("event_id", r(F.try_divide(v, F.nullif(F.col("_lag1"), F.lit(0.0))) - 1).alias("pct"))
 
 
 _LINE_W = "PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
@@ -124,9 +126,12 @@ SELECT o_orderkey, o_custkey, rn = 2 AS is_nth1, rn <= 2 AS in_head2, rd = 1 AS
   row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rd FROM orders)
 """)
 def group_nth(t):
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    wd = Window.partitionBy("o_custkey").orderBy(F.desc("o_orderdate"), F.desc("o_orderkey"))
-    d = t.orders.select("o_orderkey", "o_custkey", F.row_number().over(w).alias("rn"), F.row_number().over(wd).alias("rd"))
+    """nth / head / tail per customer from skew-safe positions and the
+    group size (aggregate + join)."""
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    p = TS.positions(o, "o_custkey", ["o_orderdate", "o_orderkey"], "rn", bucket_s=90 * 86400)
+    size = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    d = p.join(size, "o_custkey").withColumn("rd", F.col("n") - F.col("rn") + 1)
     return d.select("o_orderkey", "o_custkey", (F.col("rn") == 2).alias("is_nth1"), (F.col("rn") <= 2).alias("in_head2"),
                     (F.col("rd") == 1).alias("is_tail1"))
 
@@ -147,10 +152,14 @@ SELECT event_id, round(sum(value) OVER g, 2) AS grp_sum, max(value) OVER g AS gr
   round(value - min(value) OVER g, 4) AS above_min FROM events WINDOW g AS (PARTITION BY user_id)
 """)
 def group_transform(t):
-    g = Window.partitionBy("user_id")
-    v = F.col("value")
-    return t.events.select("event_id", F.round(F.sum(v).over(g), 2).alias("grp_sum"), F.max(v).over(g).alias("grp_max"),
-                           F.count(F.lit(1)).over(g).alias("grp_n"), F.round(v - F.min(v).over(g), 4).alias("above_min"))
+    """groupby.transform: group aggregates (partial aggregation) joined
+    back to the rows — no whole-group window partition."""
+    ev = t.events.select("event_id", "user_id", "value")
+    g = ev.groupBy("user_id").agg(F.sum("value").alias("s"), F.max("value").alias("mx"),
+                                  F.count(F.lit(1)).alias("grp_n"), F.min("value").alias("mn"))
+    j = ev.join(g, "user_id")
+    return j.select("event_id", F.round("s", 2).alias("grp_sum"), F.col("mx").alias("grp_max"), "grp_n",
+                    F.round(F.col("value") - F.col("mn"), 4).alias("above_min"))
 
 
 @query("group_stats", oracle="""
@@ -422,8 +431,10 @@ SELECT b.h * 3600 AS gap_start_s, coalesce(c.n, 0) AS n FROM (SELECT unnest(rang
 def timedelta_range(t):
     """Gaps between a user's consecutive events, counted per hour on a
     ``timedelta_range(0, max_gap, '1h')`` calendar (empty hours = 0)."""
-    gap = (micros("ts") - F.lag(micros("ts")).over(_w_user()))
-    g = t.events.select(F.floor(gap / 3_600_000_000).cast("bigint").alias("h")).where(F.col("h").isNotNull())
+    ev = t.events.select("user_id", "ts", "event_id").withColumn("us", micros("ts"))
+    d = TS.rolling_rows(ev, "user_id", _EV_ORDER, "us", 2)
+    gap = F.col("us") - F.col("_lag1")
+    g = d.select(F.floor(gap / 3_600_000_000).cast("bigint").alias("h")).where(F.col("h").isNotNull())
     c = g.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     cal = c.agg(F.max("h").alias("mx")).select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("mx"))).alias("h"))
     return cal.join(c, "h", "left").select((F.col("h") * 3600).alias("gap_start_s"), F.coalesce("n", F.lit(0)).alias("n"))

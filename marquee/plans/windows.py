@@ -51,8 +51,12 @@ SELECT o_orderkey, round(sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS running_total FROM orders
 """)
 def win_rows(t):
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey").rowsBetween(Window.unboundedPreceding, 0)
-    return t.orders.select("o_orderkey", r(F.sum("o_totalprice").over(w)).alias("running_total"))
+    """Running total per customer (ROWS frame), skew-safe: running sums
+    inside (customer, 90-day bucket) plus earlier buckets' totals."""
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    run = TS.bucketed_running(o, "o_custkey", ["o_orderdate", "o_orderkey"], {"rt": ("sum", "o_totalprice")},
+                              bucket_s=90 * 86400)
+    return run.select("o_orderkey", r(F.col("rt")).alias("running_total"))
 
 
 _ROLL_SQL = """
@@ -67,13 +71,20 @@ FROM events WINDOW w AS ({part} ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING A
 
 
 def _rolling(df, part):
-    w = (Window.partitionBy(*part) if part else Window.partitionBy()).orderBy("ts", "event_id").rowsBetween(-2, 0)
-    ok = F.count("value").over(w) >= 3
-    return df.select("event_id", F.when(ok, r(F.avg("value").over(w), 6)).alias("mean3"),
-                     F.when(ok, r(F.sum("value").over(w), 4)).alias("sum3"),
-                     F.when(ok, F.min("value").over(w)).alias("min3"),
-                     F.when(ok, F.max("value").over(w)).alias("max3"),
-                     F.when(ok, r(F.stddev_samp("value").over(w), 6)).alias("std3"))
+    """3-row moving window with min_periods=3.  The two preceding rows are
+    joined on (key, position - i) — positions come from a skew-safe
+    running count — so even a key holding most rows is spread over all
+    tasks (no single-key window partition)."""
+    key = part[0]
+    d = TS.rolling_rows(df.select(key, "ts", "event_id", "value"), key, ["ts", "event_id"], "value", 3)
+    a, b, c = F.col("value"), F.col("_lag1"), F.col("_lag2")
+    ok = a.isNotNull() & b.isNotNull() & c.isNotNull()
+    s = a + b + c
+    m = s / 3
+    var = ((a - m) * (a - m) + (b - m) * (b - m) + (c - m) * (c - m)) / 2
+    return d.select("event_id", F.when(ok, r(m, 6)).alias("mean3"), F.when(ok, r(s, 4)).alias("sum3"),
+                    F.when(ok, F.least(a, b, c)).alias("min3"), F.when(ok, F.greatest(a, b, c)).alias("max3"),
+                    F.when(ok, r(F.sqrt(var), 6)).alias("std3"))
 
 
 @query("rolling", oracle=_ROLL_SQL.format(part="PARTITION BY event_type"))
@@ -94,11 +105,14 @@ SELECT event_id, count(value) OVER w AS cnt, round(sum(value) OVER w, 4) AS tota
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 """)
 def expanding(t):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    mean = fixed_mean(F.sum(cents("value")).over(w), F.count("value").over(w))
-    return t.events.select("event_id", F.count("value").over(w).alias("cnt"), r(F.sum("value").over(w), 4).alias("total"),
-                           mean.alias("mean"), F.min("value").over(w).alias("lo"),
-                           F.max("value").over(w).alias("hi"))
+    """Expanding count / sum / mean / min / max per user, skew-safe
+    (bucketed running aggregates)."""
+    ev = t.events.select("user_id", "ts", "event_id", "value").withColumn("c", cents("value"))
+    run = TS.bucketed_running(ev, "user_id", ["ts", "event_id"],
+                              {"cnt": ("count", "value"), "total": ("sum", "value"), "cents": ("sum", "c"),
+                               "lo": ("min", "value"), "hi": ("max", "value")})
+    return run.select("event_id", "cnt", r(F.col("total"), 4).alias("total"),
+                      fixed_mean(F.col("cents"), F.col("cnt")).alias("mean"), "lo", "hi")
 
 
 @query("win_range", oracle="""
@@ -106,6 +120,15 @@ SELECT event_id, count(*) OVER w AS n_last_hour, round(sum(value) OVER w, 4) AS
 WINDOW w AS (PARTITION BY user_id ORDER BY epoch_us(ts) RANGE BETWEEN 3600000000 PRECEDING AND CURRENT ROW)
 """)
 def win_range(t):
+    """RANGE frame of one hour per user, computed per (user, hour bucket)
+    with the previous bucket copied in as context (one-bucket halo)."""
+    ev = t.events.select("event_id", "user_id", "ts", "value")
+    d = TS.range_window(ev, "user_id", "ts", 3600, "value")
+    return d.select("event_id", F.col("_n").alias("n_last_hour"), r(F.col("_s"), 4).alias("value_last_hour"))
+
+
+def win_range_plain(t):
+    """The same frame as a single per-key window (reference form)."""
     ev = t.events.withColumn("us", micros("ts"))
     w = Window.partitionBy("user_id").orderBy("us").rangeBetween(-3_600_000_000, 0)
     return ev.select("event_id", F.count(F.lit(1)).over(w).alias("n_last_hour"), r(F.sum("value").over(w), 4).alias("value_last_hour"))
@@ -115,8 +138,11 @@ def win_range(t):
 SELECT o_orderkey, round(o_totalprice / sum(o_totalprice) OVER (PARTITION BY o_custkey), 6) AS share FROM orders
 """)
 def win_share(t):
-    w = Window.partitionBy("o_custkey")
-    return t.orders.select("o_orderkey", r(F.col("o_totalprice") / F.sum("o_totalprice").over(w), 6).alias("share"))
+    """Share of the whole-partition total: the total is an aggregate
+    (partial per task) joined back, not a whole-key window buffer."""
+    o = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    tot = o.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("tot"))
+    return o.join(tot, "o_custkey").select("o_orderkey", r(F.col("o_totalprice") / F.col("tot"), 6).alias("share"))
 
 
 _FILL_SRC = "(SELECT user_id, ts, event_id, CASE WHEN event_type IN ('error', 'signup') THEN NULL ELSE value END AS v FROM events)"
@@ -134,7 +160,7 @@ SELECT event_id, last_value(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY
 """)
 def ffill(t):
     d = _fill_src(t)
-    return d.select("event_id", TS.fill_forward(d, "user_id", ["ts", "event_id"], "v").alias("v_ffill"))
+    return TS.bucketed_fill(d, "user_id", ["ts", "event_id"], "v", "v_ffill").select("event_id", "v_ffill")
 
 
 @query("bfill", oracle=f"""
@@ -143,7 +169,7 @@ SELECT event_id, first_value(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY
 """)
 def bfill(t):
     d = _fill_src(t)
-    return d.select("event_id", TS.fill_forward(d, "user_id", ["ts", "event_id"], "v", backward=True).alias("v_bfill"))
+    return TS.bucketed_fill(d, "user_id", ["ts", "event_id"], "v", "v_bfill", backward=True).select("event_id", "v_bfill")
 
 
 @query("topk_group", oracle="""
