@@ -16,7 +16,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf, udf
@@ -181,9 +180,9 @@ def exclude_words(t):
     metric counting the dropped words (``Observation``)."""
     words = (t.benchmark.select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word")).where(F.col("word") != ""))
     excl = t.spark.createDataFrame([(w,) for w in EXCLUDED_WORDS], "word string")
-    obs = Observation("excluded")
     flagged = words.join(F.broadcast(excl.withColumn("hit", F.lit(True))), "word", "left")
-    flagged = flagged.observe(obs, F.count(F.when(F.col("hit"), 1)).alias("dropped"))
+    # named observation: metrics reach query listeners; no per-session Observation object is left behind
+    flagged = flagged.observe("excluded_words", F.count(F.when(F.col("hit"), 1)).alias("dropped"))
     kept = flagged.where(F.col("hit").isNull())
     return kept.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
