@@ -52,14 +52,18 @@ def pagerank(edges: DataFrame, iterations: int = 20, tol: float | None = None,
     in-links has rank ``reset``."""
     links = edges.select("src", "dst").distinct()
     outdeg = links.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
-    links = links.join(outdeg, "src").cache()
+    # out-degree attached once; cached for all iterations
+    links = links.join(outdeg, "src").select("src", "dst", F.col("deg").cast("double").alias("deg")).cache()
     verts = vertices_of(links).cache()
+    zero = verts.select("id", F.lit(0.0).alias("c"))
     ranks = verts.withColumn("rank", F.lit(1.0))
     for i in range(iterations):
+        # contributions plus a zero row per vertex: one aggregation keeps
+        # vertices without in-links (no extra outer join per iteration)
         contrib = (links.join(ranks, links.src == ranks.id)
-                   .groupBy("dst").agg(F.sum(F.col("rank") / F.col("deg")).alias("s")))
-        new = (verts.join(contrib, verts.id == contrib.dst, "left")
-               .select("id", (F.lit(reset) + F.lit(1 - reset) * F.coalesce("s", F.lit(0.0))).alias("rank")))
+                   .select(F.col("dst").alias("id"), (F.col("rank") / F.col("deg")).alias("c")))
+        new = (contrib.unionByName(zero).groupBy("id")
+               .agg((F.lit(reset) + F.lit(1 - reset) * F.sum("c")).alias("rank")))
         new = _cut(new, i)
         if tol is not None:
             delta = (new.alias("n").join(ranks.alias("o"), "id")

@@ -34,6 +34,20 @@ def dedup_keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return out.select(*keys, order, *([f"_r.{c}" for c in rest]))
 
 
+def key_buckets(spark, per_partition: int = 2) -> int:
+    """Number of hash buckets used to batch many small keyed groups into
+    one pandas call: a multiple of the shuffle partitions, so a bucket is
+    about as large as a reduce task's input at any scale."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) * per_partition)
+
+
+def bucket_of(cols, n: int) -> Column:
+    """Hash bucket in [0, n) of one or more key columns (whole keys stay
+    together)."""
+    cols = [cols] if isinstance(cols, str | Column) else list(cols)
+    return F.pmod(F.xxhash64(*cols), F.lit(n)).cast("int")
+
+
 def salt(col: Column | str, buckets: int) -> Column:
     """Deterministic salt in [0, buckets) from a row attribute."""
     c = F.col(col) if isinstance(col, str) else col

@@ -204,29 +204,48 @@ def ewm_mean(df: DataFrame, key: str, ts: str, value: str, alpha: float, min_per
                                                    T.StructField("_s", T.DoubleType()),
                                                    T.StructField("_w", T.DoubleType())])
 
+    # Python groups are hash buckets of (key, time bucket): one call runs
+    # many chunks, the recurrence restarting at each chunk boundary.
+    from marquee.operators.relational import bucket_of, key_buckets
+    n_groups = key_buckets(df.sparkSession)
+
     def local(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_t", "_tie"], kind="mergesort")
+        pdf = pdf.sort_values([key, "_b", "_t", "_tie"], kind="mergesort")
+        keys, bs = pdf[key].to_numpy(), pdf["_b"].to_numpy()
         s = w = 0.0
-        ss, ww = [], []
-        for x in pdf[value].to_numpy(dtype="float64"):
+        k = 0
+        ss, ww, kk = [], [], []
+        prev = None
+        for i, x in enumerate(pdf[value].to_numpy(dtype="float64")):
+            cur = (keys[i], bs[i])
+            if cur != prev:
+                s = w = 0.0
+                k = 0
+                prev = cur
             s = x + beta * s
             w = 1.0 + beta * w
+            k += 1
             ss.append(s)
             ww.append(w)
-        pdf = pdf.assign(_k=range(1, len(pdf) + 1), _s=ss, _w=ww)
-        return pdf
+            kk.append(k)
+        return pdf.assign(_k=kk, _s=ss, _w=ww).drop(columns=["_g"])
 
-    loc = d.groupBy(key, "_b").applyInPandas(local, local_schema)
+    loc = d.withColumn("_g", bucket_of([key, "_b"], n_groups)).groupBy("_g").applyInPandas(local, local_schema)
     ends = loc.groupBy(key, "_b").agg(F.max_by(F.struct("_s", "_w"), "_k").alias("e"), F.max("_k").alias("_n"))
     ends = ends.select(key, "_b", F.col("e._s").alias("_se"), F.col("e._w").alias("_we"), "_n")
     carry_schema = f"{key} {df.schema[key].dataType.simpleString()}, _b long, _sin double, _win double, _off long"
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_b")
+        pdf = pdf.sort_values([key, "_b"], kind="mergesort")
         s = w = 0.0
         off = 0
+        prev = None
         sin, win, offs = [], [], []
-        for se, we, n in zip(pdf["_se"], pdf["_we"], pdf["_n"]):
+        for kv, se, we, n in zip(pdf[key], pdf["_se"], pdf["_we"], pdf["_n"]):
+            if kv != prev:
+                s = w = 0.0
+                off = 0
+                prev = kv
             sin.append(s)
             win.append(w)
             offs.append(off)
@@ -236,7 +255,8 @@ def ewm_mean(df: DataFrame, key: str, ts: str, value: str, alpha: float, min_per
             off += int(n)
         return pd.DataFrame({key: pdf[key].to_numpy(), "_b": pdf["_b"].to_numpy(), "_sin": sin, "_win": win, "_off": offs})
 
-    carry = ends.groupBy(key).applyInPandas(chain, carry_schema)
+    # one row per (key, bucket); batched by hash bucket of the key
+    carry = ends.withColumn("_g", bucket_of(key, n_groups)).groupBy("_g").applyInPandas(chain, carry_schema)
     j = loc.join(carry, [key, "_b"])
     decay = F.pow(F.lit(beta), F.col("_k"))
     y = (F.col("_s") + decay * F.col("_sin")) / (F.col("_w") + decay * F.col("_win"))

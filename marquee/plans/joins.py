@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marquee.operators import joins as J
-from marquee.operators.relational import maybe_broadcast
+from marquee.operators.relational import bucket_of, key_buckets, maybe_broadcast
 from marquee.plans.registry import query
 
 
@@ -275,21 +275,26 @@ SELECT o_orderkey, count(l_orderkey) AS n_lines, round(coalesce(sum(l_extendedpr
   round(o_totalprice, 2) AS order_total FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_totalprice
 """)
 def cogroup(t):
-    """Cogrouped pandas function per order key.  Groups are bounded by
-    the data model (an order has a handful of lines)."""
+    """Cogrouped pandas function.  Orders and their lines are co-grouped
+    by a hash bucket of the order key (bucket count tied to the shuffle
+    partitions), so each Python call handles many small orders at once;
+    inside, pandas aligns lines to orders by key."""
     import pandas as pd
 
-    o = t.orders.select("o_orderkey", "o_totalprice")
-    li = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_extendedprice")
+    n = key_buckets(t.spark)
+    o = t.orders.select("o_orderkey", "o_totalprice").withColumn("_g", bucket_of("o_orderkey", n))
+    li = (t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_extendedprice")
+          .withColumn("_g", bucket_of("o_orderkey", n)))
 
     def merge(lpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
-        if len(lpdf) == 0:
-            return pd.DataFrame({"o_orderkey": [], "n_lines": [], "lines_total": [], "order_total": []})
-        return pd.DataFrame({"o_orderkey": [int(lpdf.o_orderkey.iloc[0])], "n_lines": [len(rpdf)],
-                             "lines_total": [round(float(rpdf.l_extendedprice.sum()), 2)],
-                             "order_total": [round(float(lpdf.o_totalprice.iloc[0]), 2)]})
-
-    return (o.groupBy("o_orderkey").cogroup(li.groupBy("o_orderkey"))
+        agg = rpdf.groupby("o_orderkey").l_extendedprice.agg(["count", "sum"])
+        m = lpdf.merge(agg, left_on="o_orderkey", right_index=True, how="left")
+        return pd.DataFrame({"o_orderkey": m.o_orderkey.astype("int64"),
+                             "n_lines": m["count"].fillna(0).astype("int64"),
+                             "lines_total": [round(float(v), 2) for v in m["sum"].fillna(0.0)],
+                             "order_total": [round(float(v), 2) for v in m.o_totalprice]})
+
+    return (o.groupBy("_g").cogroup(li.groupBy("_g"))
             .applyInPandas(merge, "o_orderkey long, n_lines long, lines_total double, order_total double"))
 
 

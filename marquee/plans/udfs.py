@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf, udf
 
 from marquee.functions.pyhelpers import minutes_py
-from marquee.operators.relational import maybe_broadcast, salt
+from marquee.operators.relational import bucket_of, key_buckets, maybe_broadcast, salt
 from marquee.plans.catalog import duration_sql
 from marquee.plans.registry import query
 
@@ -116,15 +116,20 @@ SELECT l_orderkey, l_linenumber, l_partkey, round(l_extendedprice / sum(l_extend
 FROM lineitem
 """)
 def grouped_map(t):
-    """applyInPandas per order: each line's share of the order value
-    (groups are the lines of one order — bounded)."""
-    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    """applyInPandas: each line's share of its order value.  Groups are
+    hash buckets of the order key (whole orders stay together; bucket
+    count tied to the shuffle partitions), so one Python call handles
+    many orders and pandas does the per-order work vectorised."""
+    n = key_buckets(t.spark)
+    li = (t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+          .withColumn("_g", bucket_of("l_orderkey", n)))
 
     def share(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = pdf["l_extendedprice"].sum()
-        return pdf.assign(share=(pdf["l_extendedprice"] / total).round(6)).drop(columns=["l_extendedprice"])
+        total = pdf.groupby("l_orderkey")["l_extendedprice"].transform("sum")
+        out = pdf.assign(share=(pdf["l_extendedprice"] / total).round(6))
+        return out[["l_orderkey", "l_linenumber", "l_partkey", "share"]]
 
-    return li.groupBy("l_orderkey").applyInPandas(
+    return li.groupBy("_g").applyInPandas(
         share, "l_orderkey long, l_linenumber int, l_partkey long, share double")
 
 

@@ -71,8 +71,9 @@ def test_ewm_matches_pandas(spark, sf_dir):
     p = ev.toPandas().sort_values(["user_id", "ts", "event_id"])
     p["want"] = p.groupby("user_id")["value"].transform(lambda s: s.ewm(alpha=0.3, adjust=True, min_periods=2).mean())
     m = got.merge(p[["event_id", "want"]], on="event_id")
-    both_nan = m.ewm.isna() & m.want.isna()
-    close = np.isclose(m.ewm.fillna(0), m.want.fillna(0), rtol=1e-9, atol=1e-9)
+    got_v, want_v = m["ewm"], m["want"]
+    both_nan = got_v.isna() & want_v.isna()
+    close = np.isclose(got_v.fillna(0), want_v.fillna(0), rtol=1e-9, atol=1e-9)
     assert (both_nan | close).all()
 
 
@@ -149,6 +150,6 @@ def test_ml_rows_only_sanity(spark, sf_dir):
     km = _q(spark, sf_dir, "ml_kmeans")
     assert km.select("prediction").distinct().count() <= 10
     nd = _q(spark, sf_dir, "near_duplicates")
-    assert nd.where("jaccard_dist < 0 OR jaccard_dist >= 0.5").count() == 0
+    assert nd.where("jaccard_dist < 0 OR jaccard_dist > 0.5 OR a >= b").count() == 0
     ks = _q(spark, sf_dir, "ks_test").first()
     assert 0 <= ks.pValue <= 1
