@@ -50,13 +50,17 @@ def pagerank(edges: DataFrame, iterations: int = 20, tol: float | None = None,
     """Static (``iterations``) or dynamic (stop when the largest change
     is below ``tol``) PageRank keeping every vertex; a vertex without
     in-links has rank ``reset``."""
+    n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     links = edges.select("src", "dst").distinct()
     outdeg = links.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
-    # out-degree attached once; cached for all iterations
-    links = links.join(outdeg, "src").select("src", "dst", F.col("deg").cast("double").alias("deg")).cache()
+    # out-degree attached once; the edge list is hash-partitioned by src
+    # and cached, and ranks are partitioned by id the same way, so each
+    # iteration's join moves only the rank messages, never the edges.
+    links = (links.join(outdeg, "src").select("src", "dst", F.col("deg").cast("double").alias("deg"))
+             .repartition(n, "src").cache())
     verts = vertices_of(links).cache()
     zero = verts.select("id", F.lit(0.0).alias("c"))
-    ranks = verts.withColumn("rank", F.lit(1.0))
+    ranks = verts.withColumn("rank", F.lit(1.0)).repartition(n, "id")
     for i in range(iterations):
         # contributions plus a zero row per vertex: one aggregation keeps
         # vertices without in-links (no extra outer join per iteration)
