@@ -34,5 +34,7 @@ def fixed_mean(total_cents: Column, n: Column, scale: int = 2, digits: int = 6)
 
 
 def fixed_mean_sql(total_cents: str, n: str, scale: int = 2, digits: int = 6) -> str:
-    return (f"CASE WHEN {n} > 0 THEN CAST(({total_cents}) * {10 ** (digits - scale)} // ({n}) AS BIGINT) "
-            f"/ {float(10 ** digits)} END")
+    num = f"(CAST({total_cents} AS BIGINT) * {10 ** (digits - scale)})"
+    # exact floor division whatever the sign: subtract the non-negative remainder first
+    floor_div = f"(({num} - ((({num}) % ({n})) + ({n})) % ({n})) // ({n}))"
+    return f"CASE WHEN {n} > 0 THEN CAST({floor_div} AS BIGINT) / {float(10 ** digits)} END"

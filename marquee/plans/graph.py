@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from marquee.functions.exact import cents, fixed_mean, fixed_mean_sql
 from marquee.operators import graph as G
 from marquee.plans.registry import query
 
@@ -132,7 +133,8 @@ def sssp(t):
 
 
 @query("older_followers", oracle=f"""
-SELECT e.dst AS id, count(*) AS n_richer, round(avg(a.s_acctbal), 4) AS mean_richer FROM ({SUCC_SQL}) e
+SELECT e.dst AS id, count(*) AS n_richer,
+  {fixed_mean_sql("sum(CAST(round(a.s_acctbal * 100) AS BIGINT))", "count(*)")} AS mean_richer FROM ({SUCC_SQL}) e
 JOIN supplier a ON e.src = a.s_suppkey JOIN supplier b ON e.dst = b.s_suppkey WHERE a.s_acctbal > b.s_acctbal GROUP BY e.dst
 """)
 def older_followers(t):
@@ -144,7 +146,7 @@ def older_followers(t):
     b = s.select(F.col("s_suppkey").alias("dst"), F.col("s_acctbal").alias("sb"))
     j = e.join(a, "src").join(b, "dst").where(F.col("sa") > F.col("sb"))
     return j.groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("n_richer"),
-                                                   F.round(F.avg("sa"), 4).alias("mean_richer"))
+                                                   fixed_mean(F.sum(cents("sa")), F.count(F.lit(1))).alias("mean_richer"))
 
 
 @query("subgraph_top", oracle=f"""

@@ -297,3 +297,26 @@ def test_streaming_models(spark, scratch):
     assert np.allclose(sorted(km.centers[:, 0]), [0, 5], atol=0.2)
     assert km.weights.sum() == 100
     assert abs(lr.w[0] - 2) < 0.3
+
+
+def test_stream_links_topic(spark, sf_dir, scratch):
+    """Link topic: a stream of pages publishes one message per link to a
+    JSON 'topic' folder; a second stream consumes it from the earliest
+    file and resolves the URLs (the producer/consumer pair of the
+    catalog)."""
+    from marquee.operators import catalog as C
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    src, topic = os.path.join(scratch, "pages"), os.path.join(scratch, "topic")
+    pages.coalesce(2).write.parquet(src)
+    links = C.page_links(source(spark, "files", src, pages.schema)).select("page_id", "url", "pos", "path")
+    q1 = (links.writeStream.format("json").option("path", topic)
+          .option("checkpointLocation", os.path.join(scratch, "ck1")).trigger(availableNow=True).start())
+    _run(q1)
+    consumed = source(spark, "files", topic, "page_id long, url string, pos int, path string", fmt="json")
+    resolved = C.url_resolve(consumed)
+    name = "links" + uuid.uuid4().hex[:8]
+    q2 = resolved.writeStream.format("memory").queryName(name).trigger(availableNow=True).start()
+    _run(q2)
+    want = C.url_resolve(C.page_links(pages)).select("page_id", "pos", "abs_url")
+    got = spark.table(name).select("page_id", "pos", "abs_url")
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
