@@ -34,6 +34,17 @@ def dedup_keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return out.select(*keys, order, *([f"_r.{c}" for c in rest]))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy per-row work at least one task per core.
+
+    Only when the input arrives in fewer partitions than the cluster's
+    default parallelism (a small file, few row groups) is it round-robin
+    repartitioned; a large input already has enough splits and is left
+    untouched (no extra shuffle at scale)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def key_buckets(spark, per_partition: int = 2) -> int:
     """Number of hash buckets used to batch many small keyed groups into
     one pandas call: a multiple of the shuffle partitions, so a bucket is

@@ -10,6 +10,7 @@ from marquee.functions.text import (
     list_flatten, parse_rating, parse_views,
 )
 from marquee.operators import catalog as C
+from marquee.operators.relational import spread
 from marquee.plans.registry import query
 
 
@@ -370,6 +371,6 @@ FROM rec GROUP BY img_url
 def catalog_pipeline(t):
     """Flagship: pages → validity → fields → JSON hand-off → transform
     → defaults → dedup on the canonical URL (idempotent sink) → sink rows."""
-    rec = catalog_records(t.pages)
+    rec = catalog_records(spread(t.pages))
     deduped = C.dedup_by_content(rec, "image_url", "page_id")
     return C.sink_project(deduped, keep=("page_id", "copies"))
