@@ -39,11 +39,23 @@ SELECT o_orderkey, lag(o_orderkey) OVER w AS prev_order, lead(o_orderkey, 2, -1)
 FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)
 """)
 def win_offset(t):
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    wa = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return t.orders.select("o_orderkey", F.lag("o_orderkey").over(w).alias("prev_order"),
-                           F.lead("o_orderkey", 2, -1).over(w).alias("next2"),
-                           F.nth_value("o_orderkey", 2).over(wa).alias("second_order"))
+    """lag(1), lead(2, default -1) and nth_value(2) per customer.  Rows
+    get skew-safe positions, then lag/lead are equi joins on (customer,
+    position ± i) — balanced whatever the key skew — and nth_value is a
+    per-customer aggregate joined back (AQE splits a hot customer)."""
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    p = TS.positions(o, "o_custkey", ["o_orderdate", "o_orderkey"], "pos", bucket_s=90 * 86400)
+
+    def shifted(k, name):
+        return p.select(F.col("o_custkey").alias(f"_c{name}"), (F.col("pos") - k).alias(f"_p{name}"),
+                        F.col("o_orderkey").alias(name))
+
+    prev, nxt = shifted(-1, "prev_order"), shifted(2, "next2")
+    second = p.groupBy("o_custkey").agg(F.max(F.when(F.col("pos") == 2, F.col("o_orderkey"))).alias("second_order"))
+    j = (p.join(prev, (p.o_custkey == prev["_cprev_order"]) & (p.pos == prev["_pprev_order"]), "left")
+         .join(nxt, (p.o_custkey == nxt["_cnext2"]) & (p.pos == nxt["_pnext2"]), "left")
+         .join(second, "o_custkey", "left"))
+    return j.select("o_orderkey", "prev_order", F.coalesce("next2", F.lit(-1).cast("bigint")).alias("next2"), "second_order")
 
 
 @query("win_rows", oracle="""
