@@ -89,13 +89,15 @@ def bucketed_fill(df: DataFrame, key: str, order: list[str], col: str, out: str,
     return d.withColumn("_l", local).join(c, [key, "_b"]).withColumn(out, F.coalesce("_l", "_c")).drop("_b", "_l", "_c")
 
 
-def bucketed_running(df: DataFrame, key: str, order: list[str], aggs: dict[str, tuple[str, str]],
-                     bucket_s: float = DAY_S) -> DataFrame:
+def bucketed_running(df: DataFrame, key: str, order: list, aggs: dict[str, tuple[str, str]],
+                     bucket_s: float = DAY_S, bucket: Column | None = None) -> DataFrame:
     """Running (expanding) aggregates per key: ``aggs`` maps an output
     column to (``sum`` | ``count`` | ``min`` | ``max``, input column).
     Local running values inside (key, bucket) plus the totals of the
-    earlier buckets (prefix over one row per bucket)."""
-    d = _with_bucket(df, order[0], bucket_s)
+    earlier buckets (prefix over one row per bucket).  Buckets are time
+    slices of ``order[0]``, or ``bucket`` — any integer expression that
+    never decreases along ``order``."""
+    d = df.withColumn("_b", bucket.cast("bigint")) if bucket is not None else _with_bucket(df, order[0], bucket_s)
     wb = Window.partitionBy(key, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     wk = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     fn = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
@@ -118,9 +120,38 @@ def bucketed_running(df: DataFrame, key: str, order: list[str], aggs: dict[str,
     return d.drop(*drop)
 
 
-def positions(df: DataFrame, key: str, order: list[str], out: str = "pos", bucket_s: float = DAY_S) -> DataFrame:
+def positions(df: DataFrame, key: str, order: list, out: str = "pos", bucket_s: float = DAY_S,
+              bucket: Column | None = None) -> DataFrame:
     """1-based row position per key in ``order`` (skew-safe running count)."""
-    return bucketed_running(df.withColumn("_one", F.lit(1)), key, order, {out: ("count", "_one")}, bucket_s).drop("_one")
+    return bucketed_running(df.withColumn("_one", F.lit(1)), key, order, {out: ("count", "_one")},
+                            bucket_s, bucket).drop("_one")
+
+
+def rank_columns(df: DataFrame, key: str, value: str, tie: str, descending: bool = True,
+                 bucket_width: float = 1.0, ntiles: int = 4) -> DataFrame:
+    """row_number, rank, dense_rank, percent_rank, cume_dist and ntile per
+    key ordered by ``value`` (then ``tie``), without a whole-key window:
+    positions come from bucketed running counts (buckets are value
+    slices of ``bucket_width``), ties from (key, value) aggregates and
+    the group size from a per-key count — all partial aggregations."""
+    v = F.col(value)
+    order = [v.desc() if descending else v.asc(), F.col(tie).asc()]
+    b = F.floor((-v if descending else v) / bucket_width)
+    p = positions(df, key, order, "rn", bucket=b)
+    peers = p.groupBy(key, value).agg(F.min("rn").alias("rnk"), F.max("rn").alias("_last"))
+    dv = df.select(key, value).distinct()
+    dense = positions(dv, key, [v.desc() if descending else v.asc()], "drnk", bucket=b)
+    size = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    j = p.join(peers, [key, value]).join(dense, [key, value]).join(size, key)
+    n, rn = F.col("_n"), F.col("rn")
+    q, r = (n / ntiles).cast("bigint"), n % ntiles
+    big = (q + 1) * r
+    tile = (F.when(q == 0, rn)
+            .when(rn <= big, F.floor((rn - 1) / (q + 1)) + 1)
+            .otherwise(r + F.floor((rn - big - 1) / q) + 1)).cast("int")
+    return j.select(*df.columns, "rn", "rnk", "drnk",
+                    F.when(n > 1, (F.col("rnk") - 1) / (n - 1)).otherwise(F.lit(0.0)).alias("prank"),
+                    (F.col("_last") / n).alias("cdist"), tile.alias("ntile"))
 
 
 def rolling_rows(df: DataFrame, key: str, order: list[str], col: str, k: int, bucket_s: float = DAY_S) -> DataFrame:

@@ -26,6 +26,17 @@ SELECT o_orderkey, o_custkey,
 FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey)
 """)
 def win_rank(t):
+    """Ranking functions per customer by price (desc) without a
+    whole-customer window: bucketed positions + peer aggregates."""
+    o = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    d = TS.rank_columns(o, "o_custkey", "o_totalprice", "o_orderkey", descending=True, bucket_width=50_000.0)
+    return d.select("o_orderkey", "o_custkey", F.col("rn").cast("int").alias("rn"), F.col("rnk").cast("int").alias("rnk"),
+                    F.col("drnk").cast("int").alias("drnk"), r(F.col("prank"), 6).alias("prank"),
+                    r(F.col("cdist"), 6).alias("cdist"), F.col("ntile").alias("quartile"))
+
+
+def win_rank_windows(t):
+    """The same ranks with Spark's window functions (reference form)."""
     w = _w_cust()
     return t.orders.select("o_orderkey", "o_custkey", F.row_number().over(w).alias("rn"), F.rank().over(w).alias("rnk"),
                            F.dense_rank().over(w).alias("drnk"), r(F.percent_rank().over(w), 6).alias("prank"),
