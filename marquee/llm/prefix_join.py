@@ -241,3 +241,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return (rows.join(final, ["k1", "k2", "n"], "left")
             .select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"),
                     F.coalesce("rows", F.lit(1)).alias("class_rows")))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each component, that of the smallest id.
+
+    Rows without words are in no component and stay, as do rows with a NULL
+    id.  Rows that repeat the kept id are repeated rows of one document;
+    they stay together."""
+    r = jaccard_components(docs, id_col, text_col, **options)
+    drop = r.where("n_shingles > 0 and id <> component_id").select(F.col("id").alias("_gone")).distinct()
+    return docs.join(drop, docs[id_col].cast("long") == F.col("_gone"), "left_anti")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import prefix_join, suffix_decontam
+from marquee.llm import kk_shards, prefix_join, source_mix, suffix_decontam, toxic_grammar
 from marquee.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,42 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "class_rows")
 
 
+def _held_out(mod: int, rest: int):
+    return (F.crc32(F.col("id").cast("string")) % mod == rest)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    r = toxic_grammar.score(docs, toxic_grammar.fit(docs, table(spark, sf_dir, "labels")))
+    return r.select(F.col("id").alias("doc_id"), F.coalesce(_held_out(5, 0), F.lit(False)).alias("held_out"), "score",
+                    (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+#: Target weights of the mix: domains, languages within them; sources within a
+#: language share alike.
+MIX_WEIGHTS = {("web",): 0.5, ("books",): 0.3, ("forums",): 0.2,
+               **{(d, lang): w for d in ("web", "books", "forums") for lang, w in (("en", 0.5), ("de", 0.2), ("fr", 0.2), ("es", 0.1))}}
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    """``docs`` with the domain of their source: the number in its name decides."""
+    rest = F.coalesce(F.expr("try_cast(regexp_extract(coalesce(source, ''), '([0-9]{1,9})$', 1) as int)"), F.lit(0)) % 3
+    return docs.withColumn("domain", F.when(rest == 0, "web").when(rest == 1, "books").otherwise("forums"))
+
+
+def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents mixed to MIX_WEIGHTS: eight tenths of all tokens, two epochs at most."""
+    r = source_mix.mix(with_domain(table(spark, sf_dir, "documents")), ["domain", "lang", "source"], MIX_WEIGHTS, share=0.8, epochs=2)
+    return r.select("doc_id", "domain", "lang", "source", "n_tokens", "epoch")
+
+
+def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of near-equal bytes, equal texts together."""
+    r = kk_shards.shard_by_bytes(table(spark, sf_dir, "documents"), 8)
+    return r.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a benchmark window."""
     r = suffix_decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -71,7 +107,7 @@ left join (select doc_id, count(*) over (partition by k) as rows from keyed) r u
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op4_jaccard_join, op10_decontaminate)}
+    return {f.__name__: f for f in (op4_jaccard_join, op5_toxicity, op8_mix, op9_shards, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
