@@ -247,8 +247,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """``docs`` with one document of each component, that of the smallest id.
 
     Rows without words are in no component and stay, as do rows with a NULL
-    id.  Rows that repeat the kept id are repeated rows of one document;
-    they stay together."""
-    r = jaccard_components(docs, id_col, text_col, **options)
-    drop = r.where("n_shingles > 0 and id <> component_id").select(F.col("id").alias("_gone")).distinct()
-    return docs.join(drop, docs[id_col].cast("long") == F.col("_gone"), "left_anti")
+    id.  Of rows that repeat a kept id one stays."""
+    r = jaccard_components(docs, id_col, text_col, **options).where("n_shingles > 0 and id is not null")
+    known = (r.groupBy(F.col("id").alias("_id")).agg(F.min("component_id").alias("_least"), F.count("*").alias("_rows"))
+             .where("_id <> _least or _rows > 1"))
+    marked = docs.join(known, docs[id_col].cast("long") == F.col("_id"), "left")
+    words = F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    alone = marked.where(F.col("_id").isNull() | ~words)
+    again = marked.where((F.col("_id") == F.col("_least")) & words).dropDuplicates([id_col])
+    return alone.unionByName(again).select(*docs.columns)

@@ -8,13 +8,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import kk_shards, prefix_join, source_mix, suffix_decontam, toxic_grammar
+from marquee.llm import kk_shards, lang_bitmask, prefix_join, source_mix, suffix_decontam, toxic_grammar
 from marquee.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 ORACLES: dict[str, str] = {}
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    r = lang_bitmask.predict(docs, lang_bitmask.fit(docs))
+    return r.select(F.col("id").alias("doc_id"), F.coalesce(_held_out(5, 0), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents (five words, 0.8)."""
     r = prefix_join.jaccard_components(table(spark, sf_dir, "documents"))
@@ -107,7 +114,7 @@ left join (select doc_id, count(*) over (partition by k) as rows from keyed) r u
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op4_jaccard_join, op5_toxicity, op8_mix, op9_shards, op10_decontaminate)}
+    return {f.__name__: f for f in (op3_language_id, op4_jaccard_join, op5_toxicity, op8_mix, op9_shards, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
