@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import kk_shards, lang_bitmask, prefix_join, source_mix, suffix_decontam, toxic_grammar
+from marquee.llm import kk_shards, lang_bitmask, license_join, prefix_join, source_mix, suffix_decontam, threshold_sketch, toxic_grammar
 from marquee.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,25 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every text, of its edited text and their likeness."""
+    r = threshold_sketch.half_edits(table(spark, sf_dir, "documents"))
+    same = threshold_sketch.likeness
+    return r.select(F.col("id").alias("doc_id"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                    threshold_sketch.as_text(F.col("sketch")).alias("fingerprint"),
+                    threshold_sketch.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+                    same(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+                    same(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates in every document."""
+    r = license_join.scan(table(spark, sf_dir, "documents"))
+    return r.select(F.col("id").alias("doc_id"), "n_words", F.size("places").cast("long").alias("n_base"),
+                    F.array_min("places").alias("first_word"), F.array_max("places").alias("last_word"),
+                    F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
+
+
 #: Target weights of the mix: domains, languages within them; sources within a
 #: language share alike.
 MIX_WEIGHTS = {("web",): 0.5, ("books",): 0.3, ("forums",): 0.2,
@@ -114,7 +133,7 @@ left join (select doc_id, count(*) over (partition by k) as rows from keyed) r u
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op3_language_id, op4_jaccard_join, op5_toxicity, op8_mix, op9_shards, op10_decontaminate)}
+    return {f.__name__: f for f in (op3_language_id, op4_jaccard_join, op5_toxicity, op6_sketch, op7_licenses, op8_mix, op9_shards, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
