@@ -3,18 +3,36 @@ parameters over whole tables, and their SQL twins where SQL can say it."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import kk_shards, lang_bitmask, license_join, prefix_join, source_mix, suffix_decontam, threshold_sketch, toxic_grammar
+from marquee.llm import html_wrappers, kk_shards, lang_bitmask, lattice_lm, license_join, prefix_join, source_mix, suffix_decontam, threshold_sketch, toxic_grammar
 from marquee.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 ORACLES: dict[str, str] = {}
 
 
+def op1_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    r = html_wrappers.extract(table(spark, sf_dir, "pages"))
+    return r.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+#: File of the public vocabulary whose pieces and scores span the lattice.
+VOCABULARY = os.environ.get("MARQUEE_VOCABULARY", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op2_lattice_lm(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    """Marginal log-probability of every document."""
+    r = lattice_lm.score(table(spark, sf_dir, "documents"), lattice_lm.read_vocabulary(vocabulary))
+    return r.select(F.col("id").alias("doc_id"), F.coalesce(_held_out(7, 2), F.lit(False)).alias("held_out"),
+                    "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -133,7 +151,7 @@ left join (select doc_id, count(*) over (partition by k) as rows from keyed) r u
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op3_language_id, op4_jaccard_join, op5_toxicity, op6_sketch, op7_licenses, op8_mix, op9_shards, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_extract, op2_lattice_lm, op3_language_id, op4_jaccard_join, op5_toxicity, op6_sketch, op7_licenses, op8_mix, op9_shards, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
