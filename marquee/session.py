@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows to Python in batches of bounded bytes, however long the texts are
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 _PREPARED: set[int] = set()
