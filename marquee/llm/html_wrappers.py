@@ -71,8 +71,8 @@ def label_of(name: str, attributes: str) -> tuple[str, bool]:
             key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if key in ("class", "id", "role"):
                 words += [w.lower() for w in SPLIT.split(value) if w]
-                if key == "class" or key == "role":
-                    shown = ".".join(w.lower() for w in SPLIT.split(value)[:3] if w)
+                if key != "id" or not shown and name in ("div", "section"):
+                    shown = ".".join(w.lower() for w in SPLIT.split(value)[:3] if w) or shown
             elif key == "hidden" or key == "aria-hidden" and value.lower() == "true":
                 hidden = True
             elif key == "style" and "display:none" in value.replace(" ", "").lower():

@@ -165,7 +165,7 @@ def _found(suffixes: Suffixes, column: pa.Array):
     """Of each slice of a text column: start, stop, words per text, and by
     text the hit spans, the items and the longest match."""
     overlap = min(suffixes.depth, SHARD_WORDS // 2)
-    for start, stop in W.pieces(column, 16 << 20):
+    for start, stop in W.pieces(column, 8 << 20):
         data, offsets = W.text_bytes(column.slice(start, stop - start))
         s, e, first = W.spans(data, offsets, W.ALNUM)
         h = W.word_hashes(data, s, e)

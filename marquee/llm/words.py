@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-_BLOCK = 1 << 21          # bytes hashed at a time; bounds the work arrays
+_BLOCK = 1 << 19          # bytes hashed at a time; bounds the work arrays
 _rng = np.random.RandomState(20240611)
 _BYTE = (_rng.randint(0, 1 << 62, 256).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
 _ODD = (_rng.randint(0, 1 << 62, 64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -126,7 +126,7 @@ def distinct(g: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return g[keep], owner[keep]
 
 
-def pieces(column: pa.Array, most: int = 8 << 20):
+def pieces(column: pa.Array, most: int = 4 << 20):
     """Slices (start, stop) of a column with about ``most`` bytes each; a
     longer text is a slice of its own."""
     size = np.asarray(column.fill_null("").cast(pa.large_string()).buffers() and
