@@ -23,10 +23,6 @@ LABEL_COUNTRY = "País:"
 LABEL_DIRECTOR = "Director:"
 LABEL_ACTORS = "Actores:"
 
-# Sink table column order.
-SINK_COLUMNS = ("title", "years", "quality", "duration", "rating", "descriptions",
-                "genre", "director", "actors", "img_url", "country", "views")
-
 # --- fixed values: stored-page markup ---------------------------------
 PAGE_LINK = r'<li><a href="([^"]*)"'
 PAGE_LINK_TEXT = r'<li><a href="[^"]*">([^<]*)</a>'
@@ -44,3 +40,26 @@ URL_TLD = r"^https?://[^/?#]*\.([a-z]+)(/|$)"
 URL_PAGE_NUMBER = r"[?&]page=(\d+)"
 URL_PATH_NUMBER = r"^https?://[^/]+/[^/]+/(\d+)"
 URL_LANG = r"^https?://[^/]+/([a-z][a-z])/"
+
+# --- fixed values: detail-page markup ---------------------------------
+DETAIL_ARTICLE = r'(?s)<article[^>]*class="(?:[^"]* )?TPost(?: [^"]*)?"[^>]*>(.*?)(?:</article>|$)'
+DETAIL_FIELDS = {
+    "image_url": r'(?s)<img[^>]*data-src="([^"]*)"',
+    "title": r'(?s)<h1[^>]*class="(?:[^"]* )?Title(?: [^"]*)?"[^>]*>(.*?)</h1>',
+    "rating": r'(?s)<span[^>]*class="(?:[^"]* )?post-ratings(?: [^"]*)?"[^>]*>(.*?)</span>',
+    "duration": r'(?s)<p[^>]*class="(?:[^"]* )?meta(?: [^"]*)?"[^>]*>.*?<span[^>]*>(.*?)</span>.*?</p>',
+    "year": r'(?s)<p[^>]*class="(?:[^"]* )?meta(?: [^"]*)?"[^>]*>.*?<a[^>]*>(.*?)</a>.*?</p>',
+    "quality": r'(?s)<span[^>]*class="(?:[^"]* )?Qlty(?: [^"]*)?"[^>]*>(.*?)</span>',
+    "description": r'(?s)<div[^>]*class="(?:[^"]* )?Description(?: [^"]*)?"[^>]*>(.*?)</div>',
+}
+DETAIL_ATTRIBUTES = ("image_url",)
+DETAIL_MANDATORY = ("title", "rating", "duration", "year", "description")
+DETAIL_LIST = r'(?s)<ul[^>]*class="(?:[^"]* )?InfoList(?: [^"]*)?"[^>]*>(.*?)(?:</ul>|$)'
+DETAIL_CAPTION = r"(?s)<strong[^>]*>(.*?)</strong>"
+# Record field, caption of its list item, texts it takes; in dispatch order.
+DETAIL_LABELS = {
+    "genre": (LABEL_GENRE, r"(?s)<a[^>]*>(.*?)</a>"),
+    "country": (LABEL_COUNTRY, r"(?s)<a[^>]*>(.*?)</a>"),
+    "director": (LABEL_DIRECTOR, r'(?s)<span[^>]*class="(?:[^"]* )?color-w(?: [^"]*)?"[^>]*>(.*?)</span>'),
+    "actors": (LABEL_ACTORS, r"(?s)<a[^>]*>(.*?)</a>"),
+}

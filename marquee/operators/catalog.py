@@ -11,8 +11,6 @@ funnels its raw rows into one task.
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,13 +47,14 @@ def page_links(pages: DataFrame, pattern: str = P.PAGE_LINK) -> DataFrame:
             .where(F.col("path") != ""))
 
 
-def page_next(pages: DataFrame, max_pages: int = 1) -> DataFrame:
+def page_next(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Crawl control: the page number, whether a next link exists and
-    whether the crawl goes on (``has_next`` and page below ``max_pages``)."""
+    whether the crawl goes on (``has_next`` and, if a limit is given, the
+    page is below ``max_pages``)."""
     num = F.coalesce(extract("url", P.URL_PAGE_NUMBER).try_cast("int"), F.lit(1))
     has_next = F.col("html").rlike(P.PAGE_NEXT)
     return (pages.select("page_id", num.alias("page_number"), has_next.alias("has_next"))
-            .withColumn("continue_crawl", F.col("has_next") & (F.col("page_number") < max_pages)))
+            .withColumn("continue_crawl", F.col("has_next") if max_pages is None else F.col("has_next") & (F.col("page_number") < max_pages)))
 
 
 def url_resolve(links: DataFrame, base: Column | str | None = None) -> DataFrame:
@@ -138,7 +137,7 @@ def label_pivot(items: DataFrame, key: str, label: str, value: str, pos: str,
 
 # --- P11 / P14: emit cap, latest / first message ------------------------
 
-def emit_cap(messages: DataFrame, order: str, cap: int = P.EMIT_CAP) -> DataFrame:
+def emit_cap(messages: DataFrame, order: str, cap: int) -> DataFrame:
     """At most ``cap`` records, in message order (top-k; no full sort)."""
     return messages.orderBy(order).limit(cap)
 
@@ -238,142 +237,68 @@ def dedup_by_content(df: DataFrame, content: str, keep_min: str) -> DataFrame:
             .select(keep_min, "r.*", "copies"))
 
 
-# --- P6 (nested fields): detail-page extraction --------------------------
-
-_VOID = {"img", "br", "meta", "link", "input", "hr", "source", "area", "base", "col", "wbr"}
-
-
-class _Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
-
-    def __init__(self, tag, attrs, parent):
-        self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
-
-    def classes(self):
-        return (self.attrs.get("class") or "").split()
-
-    def iter(self):
-        for ch in self.children:
-            if isinstance(ch, _Node):
-                yield ch
-                yield from ch.iter()
-
-    def find_all(self, tag, klass=None):
-        return [n for n in self.iter() if n.tag == tag and (klass is None or klass in n.classes())]
-
-    def find(self, tag, klass=None):
-        for n in self.iter():
-            if n.tag == tag and (klass is None or klass in n.classes()):
-                return n
-        return None
-
-    def text(self):
-        out = []
-        for ch in self.children:
-            out.append(ch if isinstance(ch, str) else ch.text())
-        return "".join(out)
-
-    def stripped(self):
-        return self.text().strip()
-
-
-class _TreeBuilder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = _Node("#root", {}, None)
-        self.cur = self.root
-
-    def handle_starttag(self, tag, attrs):
-        n = _Node(tag, dict(attrs), self.cur)
-        self.cur.children.append(n)
-        if tag not in _VOID:
-            self.cur = n
-
-    def handle_startendtag(self, tag, attrs):
-        self.cur.children.append(_Node(tag, dict(attrs), self.cur))
-
-    def handle_endtag(self, tag):
-        n = self.cur
-        while n is not None and n.tag != tag:
-            n = n.parent
-        if n is not None and n.parent is not None:
-            self.cur = n.parent
-
-    def handle_data(self, data):
-        self.cur.children.append(data)
-
-
-def parse_detail_page(html_text: str | None) -> dict | None:
-    """Fields of one detail page; None when the page has no
-    ``article.TPost`` or misses a mandatory element (row rejected)."""
-    import re
-    if not html_text:
-        return None
-    b = _TreeBuilder()
-    b.feed(html_text)
-    b.close()
-    art = b.root.find("article", "TPost")
-    if art is None:
-        return None
-    img, h1 = art.find("img"), art.find("h1", "Title")
-    ratings, meta = art.find("span", "post-ratings"), art.find("p", "meta")
-    desc = art.find("div", "Description")
-    if h1 is None or ratings is None or meta is None or desc is None:
-        return None
-    span, year = meta.find("span"), meta.find("a")
-    if span is None or year is None:
-        return None
-    rating_text = ratings.stripped()
-    m = re.search(P.RATING, rating_text)
-    v = re.search(P.VIEWS, rating_text)
-    q = art.find("span", "Qlty")
-    genre, country, director, actors = [], P.DEFAULT_TEXT, P.DEFAULT_TEXT, []
-    info = art.find("ul", "InfoList")
-    for li in (info.find_all("li") if info is not None else []):
-        strong = li.find("strong")
-        if strong is None:
-            continue
-        label = strong.stripped()
-        if P.LABEL_GENRE in label:
-            genre = [a.stripped() for a in li.find_all("a")]
-        elif P.LABEL_COUNTRY in label:
-            a = li.find("a")
-            country = a.stripped() if a is not None else country
-        elif P.LABEL_DIRECTOR in label:
-            d = li.find("span", "color-w")
-            director = d.stripped() if d is not None else director
-        elif P.LABEL_ACTORS in label:
-            actors = [a.stripped() for a in li.find_all("a")]
-    return {
-        "image_url": img.attrs.get("data-src") if img is not None else None,
-        "title": h1.stripped(),
-        "rating": float(m.group(1)) if m else 0.0,
-        "duration": span.stripped(),
-        "year": year.stripped(),
-        "quality": q.stripped() if q is not None else P.DEFAULT_TEXT,
-        "description": desc.stripped(),
-        "genre": genre,
-        "country": country,
-        "director": director,
-        "actors": actors,
-        "views": int(v.group(1)) if v else 0,
-    }
+# --- P6 / P10 (nested fields): detail pages -------------------------------
+
+def node_text(markup: Column) -> Column:
+    """Visible text of a piece of markup: the texts between its tags, each
+    stripped, put together; the five predefined character references and
+    the hard space are decoded."""
+    text = F.regexp_replace(markup, r"\s*<[^>]*>\s*", "")
+    text = F.regexp_replace(F.regexp_replace(text, P.STRIP_WS, ""), "&nbsp;", "\u00a0")
+    for ref, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(ref), F.lit(char))
+    return text
+
+
+def _found(markup: Column, pattern: str) -> Column:
+    return F.nullif(F.regexp_extract(markup, pattern, 1), F.lit(""))
+
+
+def detail_fields(pages: DataFrame, html_col: str = "html", key: str = "page_id") -> DataFrame:
+    """(key, article, list markup, one column for each flat field, reason).
+
+    ``reason`` names the first mandatory element a page lacks; accepted
+    pages have none."""
+    art = pages.select(key, _found(F.col(html_col), P.DETAIL_ARTICLE).alias("article"))
+    for name, pattern in P.DETAIL_FIELDS.items():
+        raw = _found(F.col("article"), pattern)
+        art = art.withColumn(name, raw if name in P.DETAIL_ATTRIBUTES else node_text(raw))
+    reason = F.when(F.col("article").isNull(), F.lit("no article"))
+    for name in P.DETAIL_MANDATORY:
+        reason = F.coalesce(reason, F.when(F.col(name).isNull(), F.lit(f"no {name}")))
+    return art.withColumn("items", _found(F.col("article"), P.DETAIL_LIST)).withColumn("reason", reason)
+
+
+def detail_items(fields: DataFrame, key: str = "page_id") -> DataFrame:
+    """(key, pos, label, values): the info-list items whose label a rule of
+    ``P.DETAIL_LABELS`` names, with the texts that the rule picks."""
+    item = (fields.select(key, F.posexplode(F.split("items", "<li[^>]*>")).alias("pos", "item"))
+            .withColumn("caption", node_text(_found(F.col("item"), P.DETAIL_CAPTION))))
+    label, values = F.lit(None).cast("string"), F.lit(None).cast("array<string>")
+    for name, (caption, pattern) in reversed(P.DETAIL_LABELS.items()):
+        hit = F.contains("caption", F.lit(caption))
+        texts = F.transform(F.regexp_extract_all("item", F.lit(pattern), F.lit(1)), node_text)
+        label, values = F.when(hit, F.lit(name)).otherwise(label), F.when(hit, texts).otherwise(values)
+    return item.select(key, "pos", label.alias("label"), values.alias("values")).where("label is not null and size(values) > 0")
 
 
 def extract_movies(pages: DataFrame, html_col: str = "html", key: str = "page_id") -> DataFrame:
-    """Detail pages → movie records (Arrow batches, one pass per
-    partition; pages without a record are dropped)."""
-    out_schema = T.StructType([pages.schema[key]] + list(MOVIE_SCHEMA.fields))
-
-    def run(batches):
-        import pandas as pd
-        for b in batches:
-            rows = []
-            for k, h in zip(b[key], b[html_col]):
-                rec = parse_detail_page(h)
-                if rec is not None:
-                    rec[key] = k
-                    rows.append(rec)
-            yield pd.DataFrame(rows, columns=[f.name for f in out_schema.fields])
-
-    return pages.select(key, html_col).mapInPandas(run, out_schema)
+    """Detail pages → movie records, column expressions only: flat fields by
+    pattern, list items as rows pivoted by label (a later item of a label
+    overwrites).  Pages with a ``reason`` go to :func:`movie_quarantine`."""
+    fields = detail_fields(pages, html_col, key)
+    items = label_pivot(detail_items(fields, key), key, "label", "values", "pos", {name: (name, "last") for name in P.DETAIL_LABELS})
+    items = items.withColumnRenamed(key, "_key")
+    rec = fields.where("reason is null").join(items, F.col(key).eqNullSafe(F.col("_key")), "left")
+    many = lambda c: F.coalesce(c, F.array().cast("array<string>"))
+    one = lambda c: F.coalesce(F.get(F.col(c), 0), F.lit(P.DEFAULT_TEXT))
+    return rec.select(
+        key, "image_url", "title", F.coalesce(F.regexp_extract("rating", P.RATING, 1).try_cast("double"), F.lit(0.0)).alias("rating"),
+        "duration", "year", F.coalesce("quality", F.lit(P.DEFAULT_TEXT)).alias("quality"), "description", many("genre").alias("genre"),
+        one("country").alias("country"), one("director").alias("director"), many("actors").alias("actors"),
+        F.coalesce(F.regexp_extract("rating", P.VIEWS, 1).try_cast("bigint"), F.lit(0)).alias("views"))
+
+
+def movie_quarantine(pages: DataFrame, html_col: str = "html", key: str = "page_id") -> DataFrame:
+    """(key, reason) of the pages that yield no record."""
+    return detail_fields(pages, html_col, key).where("reason is not null").select(key, "reason")

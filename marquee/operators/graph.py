@@ -10,10 +10,11 @@ pull a single aggregate value to the driver, never the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import itertools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.operators.relational import BROADCAST_MAX_ROWS, fits
 from marquee.session import checkpoint_dir
 
 # measured: cutting lineage every 2 rounds beats 4 or 10 (plan growth
@@ -63,16 +64,12 @@ def pagerank(edges: DataFrame, iterations: int = 20, tol: float | None = None,
     links = (links.join(outdeg, "src").select("src", "dst", F.col("deg").cast("double").alias("deg"))
              .repartition(n, "src").cache())
     verts = vertices_of(links).cache()
-    # the vertex set is fixed: its size, checked once, decides whether the
-    # rank table (one row per vertex) is broadcast to the edge partitions
-    small = fits(verts, BROADCAST_MAX_ROWS)
     zero = verts.select("id", F.lit(0.0).alias("c"))
     ranks = verts.withColumn("rank", F.lit(1.0)).repartition(n, "id")
     for i in range(iterations):
         # contributions plus a zero row per vertex: one aggregation keeps
         # vertices without in-links (no extra outer join per iteration)
-        r_side = F.broadcast(ranks) if small else ranks
-        contrib = (links.join(r_side, links.src == r_side.id)
+        contrib = (links.join(ranks, links.src == ranks.id)
                    .select(F.col("dst").alias("id"), (F.col("rank") / F.col("deg")).alias("c")))
         new = (contrib.unionByName(zero).groupBy("id")
                .agg((F.lit(reset) + F.lit(1 - reset) * F.sum("c")).alias("rank")))
@@ -88,13 +85,13 @@ def pagerank(edges: DataFrame, iterations: int = 20, tol: float | None = None,
     return ranks
 
 
-def connected_components(edges: DataFrame, max_iter: int = 100) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Undirected components; label = smallest vertex id.  Min-label
     propagation until no label changes."""
     und = edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
     und = und.cache()
     labels = vertices_of(und).withColumn("label", F.col("id"))
-    for i in range(max_iter):
+    for i in itertools.count():
         msgs = und.join(labels, und.src == labels.id).select(F.col("dst").alias("id"), F.col("label").alias("m"))
         best = msgs.groupBy("id").agg(F.min("m").alias("m"))
         new = (labels.join(best, "id", "left")
@@ -104,6 +101,7 @@ def connected_components(edges: DataFrame, max_iter: int = 100) -> DataFrame:
         labels = new
         if changed == 0:
             break
+    und.unpersist()
     return labels
 
 
@@ -124,8 +122,11 @@ def triangle_counts(edges: DataFrame) -> DataFrame:
           .join(deg.withColumnRenamed("v", "dst").withColumnRenamed("d", "dd"), "dst"))
     low_first = (F.col("ds") < F.col("dd")) | ((F.col("ds") == F.col("dd")) & (F.col("src") < F.col("dst")))
     o = ed.select(F.when(low_first, F.col("src")).otherwise(F.col("dst")).alias("a"),
-                  F.when(low_first, F.col("dst")).otherwise(F.col("src")).alias("b")).cache()
-    wedges = o.alias("x").join(o.alias("y"), F.col("x.a") == F.col("y.a")).where(F.col("x.b") != F.col("y.b"))
+                  F.when(low_first, F.col("dst")).otherwise(F.col("src")).alias("b"),
+                  F.greatest("ds", "dd").alias("deg"))
+    wedges = o.alias("x").join(o.alias("y"), F.col("x.a") == F.col("y.a")).where(
+        (F.col("x.deg") < F.col("y.deg")) | ((F.col("x.deg") == F.col("y.deg")) & (F.col("x.b") < F.col("y.b"))))
+    # in this order the closing edge points from x.b to y.b, so each triangle is met once
     closed = wedges.join(o.alias("z"), (F.col("z.a") == F.col("x.b")) & (F.col("z.b") == F.col("y.b")))
     tri = closed.select(F.col("x.a").alias("p"), F.col("x.b").alias("q"), F.col("y.b").alias("r"))
     per = (tri.select(F.explode(F.array("p", "q", "r")).alias("id"))
@@ -134,13 +135,18 @@ def triangle_counts(edges: DataFrame) -> DataFrame:
     return verts.join(per, "id", "left").select("id", F.coalesce("triangles", F.lit(0)).cast("bigint").alias("triangles"))
 
 
-def shortest_paths(edges: DataFrame, source, weight: str = "w", max_iter: int = 1000) -> DataFrame:
+def shortest_paths(edges: DataFrame, source, weight: str = "w") -> DataFrame:
     """Single-source shortest paths (Bellman-Ford relaxation, directed);
-    unreachable vertices get +inf."""
+    unreachable vertices get +inf.  Rounds go on until no distance falls;
+    a cycle of negative weight raises once there were more rounds than
+    vertices."""
     e = edges.select("src", "dst", F.col(weight).cast("double").alias("w")).cache()
     verts = vertices_of(e)
     dist = verts.withColumn("dist", F.when(F.col("id") == F.lit(source), F.lit(0.0)).otherwise(F.lit(float("inf"))))
-    for i in range(max_iter):
+    bound = verts.count()
+    for i in itertools.count():
+        if i > bound:
+            raise ValueError("the graph has a cycle of negative weight")
         relax = (e.join(dist.where(F.col("dist") < float("inf")), e.src == dist.id)
                  .groupBy("dst").agg(F.min(F.col("dist") + F.col("w")).alias("nd")))
         new = (dist.join(relax, dist.id == relax.dst, "left")
@@ -150,24 +156,24 @@ def shortest_paths(edges: DataFrame, source, weight: str = "w", max_iter: int =
         dist = new
         if changed == 0:
             break
+    e.unpersist()
     return dist
 
 
-def transitive_closure(edges: DataFrame, max_iter: int = 100) -> DataFrame:
-    """All (src, dst) pairs joined by a directed path; extends paths by
-    one edge per round until the pair count stops growing."""
+def transitive_closure(edges: DataFrame) -> DataFrame:
+    """All (src, dst) pairs joined by a directed path.  Each round extends
+    only the pairs found in the round before by one edge, until none is new."""
     e = edges.select("src", "dst").distinct().cache()
-    tc = e
-    n = tc.count()
-    for i in range(max_iter):
-        step = tc.alias("p").join(e.alias("q"), F.col("p.dst") == F.col("q.src")).select(
-            F.col("p.src").alias("src"), F.col("q.dst").alias("dst"))
-        tc = _cut(tc.union(step).distinct(), i, every=2)
-        m = tc.count()
-        if m == n:
+    closure = new = _cut(e, 0, every=1)
+    for i in itertools.count(1):
+        step = new.alias("p").join(e.alias("q"), F.col("p.dst") == F.col("q.src")).select(
+            F.col("p.src").alias("src"), F.col("q.dst").alias("dst")).distinct()
+        new = _cut(step.join(closure, ["src", "dst"], "left_anti"), i, every=1)
+        if new.isEmpty():
             break
-        n = m
-    return tc
+        closure = _cut(closure.unionByName(new), i, every=1)
+    e.unpersist()
+    return closure
 
 
 def degrees(edges: DataFrame) -> DataFrame:
@@ -177,5 +183,3 @@ def degrees(edges: DataFrame) -> DataFrame:
     return out.join(inn, "id", "full").select("id", F.coalesce("in_deg", F.lit(0)).alias("in_deg"),
                                               F.coalesce("out_deg", F.lit(0)).alias("out_deg"))
 
-
-__all__ = ["Window"]

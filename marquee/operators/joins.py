@@ -47,12 +47,13 @@ def _asof_backward(left: DataFrame, right: DataFrame, by: list[str], width: floa
     r_ord, l_ord = (0, 1) if allow_exact else (1, 0)
     U = (L.withColumn("_o", F.lit(l_ord))
          .unionByName(R.withColumn("_o", F.lit(r_ord)).withColumn("_side", F.lit(0)), allowMissingColumns=True))
-    w = (Window.partitionBy(*by, "_b").orderBy("_k", "_o")
+    # of right rows at one time the largest counts, in every direction
+    w = (Window.partitionBy(*by, "_b").orderBy("_k", "_o", "_r")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = U.withColumn("_m", F.last("_r", ignorenulls=True).over(w)).where(F.col("_side") == 1)
 
     # carry: last right row of any earlier bucket, per (by, bucket)
-    r_last = R.groupBy(*by, "_b").agg(F.max_by("_r", "_k").alias("_r"))
+    r_last = R.groupBy(*by, "_b").agg(F.max_by("_r", F.struct("_k", "_r")).alias("_r"))
     l_buckets = L.select(*by, "_b").distinct()
     cu = (l_buckets.withColumn("_o", F.lit(0))
           .unionByName(r_last.withColumn("_o", F.lit(1)), allowMissingColumns=True))
@@ -61,6 +62,12 @@ def _asof_backward(left: DataFrame, right: DataFrame, by: list[str], width: floa
     carry = (cu.withColumn("_c", F.last("_r", ignorenulls=True).over(w2))
              .where(F.col("_o") == 0).select(*by, "_b", "_c"))
     out = local.join(carry, on=[*by, "_b"], how="left")
+    if by:
+        # a NULL key equals nothing, within a bucket as across buckets
+        known = F.lit(True)
+        for c in by:
+            known = known & F.col(c).isNotNull()
+        out = out.withColumn("_m", F.when(known, F.col("_m")))
     return out.withColumn("_m", F.coalesce("_m", "_c")).drop("_c", "_b", "_k", "_o", "_side", "_r")
 
 

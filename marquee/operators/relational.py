@@ -5,23 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows a side may have to be broadcast.  Checked at run time with a
-# bounded probe (``limit(n + 1).count()`` stops after n + 1 rows), so the
-# decision never scans a large side in full.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows; else
-    return it unchanged and let the planner (and AQE, which re-plans on
-    real sizes) choose a shuffle join."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
 def dedup_keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """One row per key: the one with the smallest ``order``.  Uses
     ``min_by`` (partial aggregation), so a key holding a third of all
@@ -34,31 +17,6 @@ def dedup_keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return out.select(*keys, order, *([f"_r.{c}" for c in rest]))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy per-row work at least one task per core.
-
-    Only when the input arrives in fewer partitions than the cluster's
-    default parallelism (a small file, few row groups) is it round-robin
-    repartitioned; a large input already has enough splits and is left
-    untouched (no extra shuffle at scale)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def key_buckets(spark, per_partition: int = 2) -> int:
-    """Number of hash buckets used to batch many small keyed groups into
-    one pandas call: a multiple of the shuffle partitions, so a bucket is
-    about as large as a reduce task's input at any scale."""
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) * per_partition)
-
-
-def bucket_of(cols, n: int) -> Column:
-    """Hash bucket in [0, n) of one or more key columns (whole keys stay
-    together)."""
-    cols = [cols] if isinstance(cols, str | Column) else list(cols)
-    return F.pmod(F.xxhash64(*cols), F.lit(n)).cast("int")
-
-
 def salt(col: Column | str, buckets: int) -> Column:
     """Deterministic salt in [0, buckets) from a row attribute."""
     c = F.col(col) if isinstance(col, str) else col

@@ -1,168 +1,217 @@
 """Time-series operators over keyed event tables.
 
-Where a per-key window would send every row of a hot key to one task,
-the work is split into (key, time-bucket) partitions and the few values
-that cross a bucket boundary are carried by a second, tiny window over
-one row per (key, bucket) — bounded by the time span, not by the rows.
+All windowed helpers share one layout: the rows are range-partitioned once
+by (key, order) and cut there (``checkpoint``), so a hot key is split by its
+rows, whatever the data look like.  Windows run inside (key, partition).
+What crosses a partition border is carried by a table with one row for each
+(key, partition); only a key that began in an earlier partition needs it,
+and that is at most one key a partition, so the carry is broadcast with a
+proven bound: the number of partitions.
+
+NULL keys form a group of their own and NULL times sort first, as in a
+plain window; no row is ever lost.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DAY_S = 86_400
+from marquee.session import checkpoint_dir
+
+ALL = Window.unboundedPreceding, Window.unboundedFollowing
 
 
 def _epoch_s(c: str) -> Column:
     return F.unix_micros(F.col(c).cast("timestamp")) / 1_000_000.0
 
 
-def sessionize(df: DataFrame, key: str, ts: str, gap_s: float, bucket_s: float = DAY_S,
-               close: Column | None = None) -> DataFrame:
+def _cols(order: list) -> list[Column]:
+    return [o if isinstance(o, Column) else F.col(o) for o in order]
+
+
+def ranged(df: DataFrame, key: str, order: list) -> DataFrame:
+    """``df`` range-partitioned by (key, order) and materialised, with the
+    partition number in ``_b``: it never decreases along a key's order."""
+    checkpoint_dir(df.sparkSession)
+    by = [F.col(key).asc()] + _cols(order)
+    return df.repartitionByRange(*by).withColumn("_b", F.spark_partition_id()).checkpoint()
+
+
+def _inside(key: str, order: list):
+    return Window.partitionBy(key, "_b").orderBy(*_cols(order))
+
+
+def _attach(d: DataFrame, carry: DataFrame, key: str) -> DataFrame:
+    """Join the carry (at most two rows a partition) to the rows, null-safe."""
+    c = carry.withColumnsRenamed({key: "_ck", "_b": "_cb"})
+    return d.join(F.broadcast(c), F.col(key).eqNullSafe(F.col("_ck")) & (F.col("_b") == F.col("_cb")), "left").drop("_ck", "_cb")
+
+
+def running(d: DataFrame, key: str, order: list, aggs: dict[str, tuple[str, str]]) -> DataFrame:
+    """Running aggregates on a ranged frame: ``aggs`` maps an output column
+    to (``sum`` | ``count`` | ``min`` | ``max``, input column)."""
+    fn = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
+    merge = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+    w = _inside(key, order).rowsBetween(Window.unboundedPreceding, 0)
+    out = d.withColumns({f"_l_{o}": fn[k](c).over(w) for o, (k, c) in aggs.items()})
+    per = Window.partitionBy(key).orderBy("_b")
+    total = d.groupBy(key, "_b").agg(*[fn[k](c).alias(f"_t_{o}") for o, (k, c) in aggs.items()])
+    carry = total.select(key, "_b", F.row_number().over(per).alias("_i"), *[
+        merge[k](f"_t_{o}").over(per.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_c_{o}") for o, (k, _) in aggs.items()])
+    out = _attach(out, carry.where("_i > 1").drop("_i"), key)
+    for o, (k, _) in aggs.items():
+        local, before = F.col(f"_l_{o}"), F.col(f"_c_{o}")
+        joint = F.coalesce(local + before, local, before) if k in ("sum", "count") else (F.least if k == "min" else F.greatest)(local, before)
+        out = out.withColumn(o, joint)
+    return out.drop(*[f"_{x}_{o}" for o in aggs for x in "lc"])
+
+
+def fill(d: DataFrame, key: str, order: list, col: str, out: str, backward: bool = False) -> DataFrame:
+    """Last (``backward``: next) known value of ``col`` on a ranged frame."""
+    w, per = _inside(key, order), Window.partitionBy(key).orderBy("_b")
+    d = d.withColumn("_rn", F.row_number().over(w))
+    known = F.when(F.col(col).isNotNull(), F.col("_rn"))
+    pick, frame, beyond = (F.min_by, w.rowsBetween(0, Window.unboundedFollowing), per.rowsBetween(1, Window.unboundedFollowing)) if backward else \
+        (F.max_by, w.rowsBetween(Window.unboundedPreceding, 0), per.rowsBetween(Window.unboundedPreceding, -1))
+    near = F.first if backward else F.last
+    ends = d.groupBy(key, "_b").agg(pick(col, known).alias("_v"))
+    carry = ends.select(key, "_b", near("_v", ignorenulls=True).over(beyond).alias("_c"), F.count(F.lit(1)).over(beyond).alias("_i"))
+    local = d.withColumn("_l", near(col, ignorenulls=True).over(frame))
+    return _attach(local, carry.where("_i > 0").drop("_i"), key).withColumn(out, F.coalesce("_l", "_c")).drop("_l", "_c", "_rn")
+
+
+def shifted(d: DataFrame, key: str, order: list, shifts: dict[str, tuple[str, int]]) -> DataFrame:
+    """Values ``i`` rows back (i > 0) or ahead (i < 0) on a ranged frame:
+    ``shifts`` maps an output column to (input column, i).  The last and
+    first max(|i|) rows of every (key, partition) are the carry."""
+    w, per = _inside(key, order), Window.partitionBy(key).orderBy("_b")
+    back = max([i for _, i in shifts.values() if i > 0], default=0)
+    ahead = max([-i for _, i in shifts.values() if i < 0], default=0)
+    cols = sorted({c for c, _ in shifts.values()})
+    d = d.withColumns({"_rn": F.row_number().over(w), "_n": F.count(F.lit(1)).over(Window.partitionBy(key, "_b"))})
+    row = F.struct("_rn", *[F.col(c).alias(f"_x_{c}") for c in cols])
+    ends = d.where((F.col("_rn") <= ahead) | (F.col("_rn") > F.col("_n") - back)).groupBy(key, "_b").agg(
+        F.array_sort(F.collect_list(F.when(F.col("_rn") > F.col("_n") - back, row))).alias("_tail"),
+        F.array_sort(F.collect_list(F.when(F.col("_rn") <= ahead, row))).alias("_head"))
+    # every (key, partition) holds a row at least, so |i| neighbours are enough
+    carry = ends.select(key, "_b",
+                        F.flatten(F.collect_list("_tail").over(per.rowsBetween(-max(back, 1), -1))).alias("_before"),
+                        F.flatten(F.collect_list("_head").over(per.rowsBetween(1, max(ahead, 1)))).alias("_after"),
+                        F.count(F.lit(1)).over(Window.partitionBy(key)).alias("_i"))
+    out = d.withColumns({f"_s_{o}": (F.lag(c, i) if i > 0 else F.lead(c, -i)).over(w) for o, (c, i) in shifts.items()})
+    out = _attach(out, carry.where("_i > 1").drop("_i"), key)
+    for o, (c, i) in shifts.items():
+        if i > 0:
+            at = F.size("_before") - (F.lit(i) - F.col("_rn"))          # 1-based place from the end
+            far = F.when((F.col("_rn") <= i) & (at >= 1), F.try_element_at("_before", at.cast("int"))[f"_x_{c}"])
+            here = F.when(F.col("_rn") > i, F.col(f"_s_{o}"))
+        else:
+            at = F.lit(-i) - (F.col("_n") - F.col("_rn"))
+            far = F.when(at >= 1, F.try_element_at("_after", at.cast("int"))[f"_x_{c}"])
+            here = F.when(F.col("_rn") - i <= F.col("_n"), F.col(f"_s_{o}"))
+        out = out.withColumn(o, F.coalesce(here, far))
+    return out.drop("_rn", "_n", "_before", "_after", *[f"_s_{o}" for o in shifts])
+
+
+def sessionize(df: DataFrame, key: str, ts: str, gap_s: float, close: Column | None = None) -> DataFrame:
     """Gaps-and-islands sessions: a new session starts when the previous
     event of the key is more than ``gap_s`` seconds earlier.
 
-    Adds ``session_id`` (1-based, per key, in time order).  Two phases:
-    (1) inside each (key, bucket): ``lag`` and a running count of
-    starts; (2) per key over one row per bucket: the previous bucket's
-    last time (to decide whether the first row of a bucket starts a
-    session) and the number of sessions started in earlier buckets.
-    Rows are ordered by (ts, all columns) for a total order.  ``close``
-    (boolean column) marks events that end their session: the next event
-    of the key then starts a new one whatever the gap.
-    """
-    t = _epoch_s(ts)
-    d = df.withColumn("_t", t).withColumn("_b", F.floor(F.col("_t") / bucket_s))
-    d = d.withColumn("_close", close if close is not None else F.lit(False))
+    Adds ``session_id`` (1-based, per key, in order of time and then all
+    columns).  ``close`` (boolean column) marks events that end their
+    session.  An event with or after an unknown time starts a session."""
     order = [F.col("_t")] + [F.col(c) for c in df.columns]
-    wb = Window.partitionBy(key, "_b").orderBy(*order)
-    d = d.withColumn("_prev", F.lag("_t").over(wb)).withColumn("_pclose", F.lag("_close").over(wb))
-    # per-bucket bounds (one row per key and bucket)
-    bounds = d.groupBy(key, "_b").agg(F.max_by(F.struct("_t", "_close"), F.struct(*order)).alias("_last"))
-    wk = Window.partitionBy(key).orderBy("_b")
-    bounds = bounds.withColumn("_prev_last", F.lag("_last").over(wk))
-    d = d.join(bounds.select(key, "_b", "_prev_last"), [key, "_b"])
-    prev = F.coalesce(F.col("_prev"), F.col("_prev_last._t"))
-    prev_close = F.coalesce(F.col("_pclose"), F.col("_prev_last._close"), F.lit(False))
-    d = d.withColumn("_start", F.when(prev.isNull() | (F.col("_t") - prev > gap_s) | prev_close, 1).otherwise(0))
-    d = d.withColumn("_local", F.sum("_start").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
-    starts = d.groupBy(key, "_b").agg(F.sum("_start").alias("_n"))
-    starts = starts.withColumn("_offset", F.coalesce(
-        F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    d = d.join(starts.select(key, "_b", "_offset"), [key, "_b"])
-    return (d.withColumn("session_id", (F.col("_offset") + F.col("_local")).cast("bigint"))
-            .drop("_t", "_b", "_prev", "_pclose", "_prev_last", "_close", "_start", "_local", "_offset"))
-
-
-def sessions_summary(df: DataFrame, key: str, ts: str, gap_s: float, bucket_s: float = DAY_S) -> DataFrame:
+    d = df.withColumn("_t", _epoch_s(ts)).withColumn("_close", F.coalesce(close, F.lit(False)) if close is not None else F.lit(False))
+    d = ranged(d, key, order)
+    w, per = _inside(key, order), Window.partitionBy(key).orderBy("_b")
+    opens = lambda t, last, shut: F.coalesce(last.isNull() | (t - last > gap_s) | shut, F.lit(True))
+    d = d.withColumns({"_rn": F.row_number().over(w), "_prev": F.lag("_t").over(w), "_shut": F.lag("_close").over(w)})
+    d = d.withColumn("_new", F.when(F.col("_rn") > 1, opens(F.col("_t"), F.col("_prev"), F.col("_shut")).cast("int")).otherwise(0))
+    ends = d.groupBy(key, "_b").agg(F.min_by("_t", "_rn").alias("_first"), F.max_by(F.struct("_t", "_close"), "_rn").alias("_last"), F.sum("_new").alias("_n"))
+    ends = ends.withColumn("_before", F.lag("_last").over(per))
+    ends = ends.withColumn("_open", F.when(F.col("_before").isNull(), 1).otherwise(opens(F.col("_first"), F.col("_before._t"), F.col("_before._close")).cast("int")))
+    carry = ends.withColumn("_offset", F.sum(F.col("_n") + F.col("_open")).over(per.rowsBetween(Window.unboundedPreceding, -1)))
+    carry = carry.where("_before is not null").select(key, "_b", (F.col("_offset") + F.col("_open")).alias("_start"))
+    d = d.withColumn("_local", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return (_attach(d, carry, key).withColumn("session_id", (F.coalesce("_start", F.lit(1)) + F.col("_local")).cast("bigint"))
+            .select(*df.columns, "session_id"))
+
+
+def sessions_summary(df: DataFrame, key: str, ts: str, gap_s: float) -> DataFrame:
     """One row per session: start, end (last event), events."""
-    s = sessionize(df, key, ts, gap_s, bucket_s)
+    s = sessionize(df, key, ts, gap_s)
     return s.groupBy(key, "session_id").agg(F.min(ts).alias("start"), F.max(ts).alias("end"),
                                             F.count(F.lit(1)).alias("events"))
 
 
-def _with_bucket(df: DataFrame, ts: str, bucket_s: float) -> DataFrame:
-    return df.withColumn("_b", F.floor(_epoch_s(ts) / bucket_s).cast("bigint"))
-
-
-def bucketed_fill(df: DataFrame, key: str, order: list[str], col: str, out: str,
-                  backward: bool = False, bucket_s: float = DAY_S) -> DataFrame:
-    """Forward (or backward) fill of ``col`` per key in ``order``
-    (``order[0]`` is the time column), skew-safe: a window inside each
-    (key, bucket) plus the last (first) non-null value of earlier (later)
-    buckets, found over one row per (key, bucket)."""
-    d = _with_bucket(df, order[0], bucket_s)
-    o = F.struct(*[F.col(c) for c in order])
-    known = F.when(F.col(col).isNotNull(), o)
-    wb = Window.partitionBy(key, "_b").orderBy(*order)
-    wk = Window.partitionBy(key).orderBy("_b")
-    if backward:
-        local = F.first(col, ignorenulls=True).over(wb.rowsBetween(0, Window.unboundedFollowing))
-        summ = d.groupBy(key, "_b").agg(F.min_by(col, known).alias("_v"))
-        carry = F.first("_v", ignorenulls=True).over(wk.rowsBetween(1, Window.unboundedFollowing))
-    else:
-        local = F.last(col, ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, 0))
-        summ = d.groupBy(key, "_b").agg(F.max_by(col, known).alias("_v"))
-        carry = F.last("_v", ignorenulls=True).over(wk.rowsBetween(Window.unboundedPreceding, -1))
-    c = summ.select(key, "_b", carry.alias("_c"))
-    return d.withColumn("_l", local).join(c, [key, "_b"]).withColumn(out, F.coalesce("_l", "_c")).drop("_b", "_l", "_c")
-
-
-def bucketed_running(df: DataFrame, key: str, order: list, aggs: dict[str, tuple[str, str]],
-                     bucket_s: float = DAY_S, bucket: Column | None = None) -> DataFrame:
-    """Running (expanding) aggregates per key: ``aggs`` maps an output
-    column to (``sum`` | ``count`` | ``min`` | ``max``, input column).
-    Local running values inside (key, bucket) plus the totals of the
-    earlier buckets (prefix over one row per bucket).  Buckets are time
-    slices of ``order[0]``, or ``bucket`` — any integer expression that
-    never decreases along ``order``."""
-    d = df.withColumn("_b", bucket.cast("bigint")) if bucket is not None else _with_bucket(df, order[0], bucket_s)
-    wb = Window.partitionBy(key, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    wk = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    fn = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
-    merge = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
-    for out, (kind, col) in aggs.items():
-        d = d.withColumn(f"_l_{out}", fn[kind](col).over(wb))
-    tot = d.groupBy(key, "_b").agg(*[fn[k](c).alias(f"_t_{o}") for o, (k, c) in aggs.items()])
-    carry = tot.select(key, "_b", *[merge[k](f"_t_{o}").over(wk).alias(f"_c_{o}") for o, (k, c) in aggs.items()])
-    d = d.join(carry, [key, "_b"])
-    for out, (kind, _) in aggs.items():
-        loc, car = F.col(f"_l_{out}"), F.col(f"_c_{out}")
-        if kind in ("sum", "count"):
-            val = loc + F.coalesce(car, F.lit(0))
-        elif kind == "min":
-            val = F.least(loc, car)
-        else:
-            val = F.greatest(loc, car)
-        d = d.withColumn(out, val)
-    drop = ["_b"] + [f"_l_{o}" for o in aggs] + [f"_c_{o}" for o in aggs]
-    return d.drop(*drop)
+def bucketed_fill(df: DataFrame, key: str, order: list, col: str, out: str, backward: bool = False) -> DataFrame:
+    """Forward (or backward) fill of ``col`` per key in ``order``."""
+    return fill(ranged(df, key, order), key, order, col, out, backward).drop("_b")
+
 
+def bucketed_running(df: DataFrame, key: str, order: list, aggs: dict[str, tuple[str, str]]) -> DataFrame:
+    """Running (expanding) aggregates per key; see :func:`running`."""
+    return running(ranged(df, key, order), key, order, aggs).drop("_b")
 
-def positions(df: DataFrame, key: str, order: list, out: str = "pos", bucket_s: float = DAY_S,
-              bucket: Column | None = None) -> DataFrame:
-    """1-based row position per key in ``order`` (skew-safe running count)."""
-    return bucketed_running(df.withColumn("_one", F.lit(1)), key, order, {out: ("count", "_one")},
-                            bucket_s, bucket).drop("_one")
 
+def positions(df: DataFrame, key: str, order: list, out: str = "pos") -> DataFrame:
+    """1-based row position per key in ``order``."""
+    return bucketed_running(df.withColumn("_one", F.lit(1)), key, order, {out: ("count", "_one")}).drop("_one")
 
-def rank_columns(df: DataFrame, key: str, value: str, tie: str, descending: bool = True,
-                 bucket_width: float = 1.0, ntiles: int = 4) -> DataFrame:
+
+def rank_columns(df: DataFrame, key: str, value: str, tie: str, descending: bool = True, ntiles: int = 4) -> DataFrame:
     """row_number, rank, dense_rank, percent_rank, cume_dist and ntile per
-    key ordered by ``value`` (then ``tie``), without a whole-key window:
-    positions come from bucketed running counts (buckets are value
-    slices of ``bucket_width``), ties from (key, value) aggregates and
-    the group size from a per-key count — all partial aggregations."""
-    v = F.col(value)
-    order = [v.desc() if descending else v.asc(), F.col(tie).asc()]
-    b = F.floor((-v if descending else v) / bucket_width)
-    p = positions(df, key, order, "rn", bucket=b)
-    peers = p.groupBy(key, value).agg(F.min("rn").alias("rnk"), F.max("rn").alias("_last"))
-    dv = df.select(key, value).distinct()
-    dense = positions(dv, key, [v.desc() if descending else v.asc()], "drnk", bucket=b)
-    size = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    j = p.join(peers, [key, value]).join(dense, [key, value]).join(size, key)
-    n, rn = F.col("_n"), F.col("rn")
-    q, r = (n / ntiles).cast("bigint"), n % ntiles
+    key ordered by ``value`` (then ``tie``).
+
+    One pass: ranks inside (key, partition); the carry has the rows and
+    distinct values before, the first rank of a value that began earlier
+    and the last position of one that goes on."""
+    v = F.col(value).desc() if descending else F.col(value).asc()
+    order = [v, F.col(tie).asc()]
+    d = ranged(df, key, order)
+    w, peers, per = _inside(key, order), Window.partitionBy(key, "_b").orderBy(v), Window.partitionBy(key).orderBy("_b")
+    d = d.withColumns({"_rn": F.row_number().over(w), "_rank": F.rank().over(peers), "_dense": F.dense_rank().over(peers),
+                       "_end": F.count(F.lit(1)).over(peers.rangeBetween(Window.unboundedPreceding, Window.currentRow)),
+                       "_n": F.count(F.lit(1)).over(Window.partitionBy(key, "_b"))})
+    s = d.groupBy(key, "_b").agg(
+        F.first("_n").alias("n"), F.max("_dense").alias("dense"),
+        F.min_by(F.struct(F.col(value).alias("v"), F.col("_end").alias("end")), "_rn").alias("head"),
+        F.max_by(F.struct(F.col(value).alias("v"), F.col("_rank").alias("rank")), "_rn").alias("tail"))
+    earlier, later = per.rowsBetween(Window.unboundedPreceding, -1), per.rowsBetween(1, Window.unboundedFollowing)
+    s = s.withColumns({
+        "i": F.row_number().over(per), "total": F.sum("n").over(Window.partitionBy(key)),
+        "parts": F.count(F.lit(1)).over(Window.partitionBy(key)),
+        "rows": F.coalesce(F.sum("n").over(earlier), F.lit(0)),
+        "goes_back": F.lag("tail").over(per), "goes_on": F.lead("head").over(per)})
+    s = s.withColumns({"back": F.col("goes_back").isNotNull() & F.col("goes_back.v").eqNullSafe(F.col("head.v")),
+                       "on": F.col("goes_on").isNotNull() & F.col("goes_on.v").eqNullSafe(F.col("tail.v")),
+                       "one": F.col("dense") == 1})
+    s = s.withColumns({
+        "values": F.coalesce(F.sum("dense").over(earlier), F.lit(0)) - F.sum(F.col("back").cast("int")).over(per.rowsBetween(Window.unboundedPreceding, 0)),
+        "began": F.when(~(F.col("back") & F.col("one")), F.col("rows") + F.col("tail.rank")),
+        "ends": F.when(~(F.col("on") & F.col("one")), F.col("rows") + F.col("head.end"))})
+    s = s.withColumns({"first_rank": F.when(F.col("back"), F.last("began", ignorenulls=True).over(earlier)),
+                       "last_end": F.when(F.col("on"), F.first("ends", ignorenulls=True).over(later))})
+    carry = s.where("parts > 1").select(key, "_b", *[F.col(c).alias(f"_c_{c}") for c in ("total", "rows", "values", "first_rank", "last_end", "dense")])
+    j = _attach(d, carry, key)
+    zero = lambda c: F.coalesce(F.col(f"_c_{c}"), F.lit(0))
+    rn, n = F.col("_rn") + zero("rows"), F.coalesce("_c_total", "_n")
+    rank = F.coalesce(F.when(F.col("_dense") == 1, F.col("_c_first_rank")), F.col("_rank") + zero("rows"))
+    end = F.coalesce(F.when(F.col("_dense") == F.col("_c_dense"), F.col("_c_last_end")), F.col("_end") + zero("rows"))
+    q, r = F.floor(n / ntiles), n % ntiles
     big = (q + 1) * r
-    tile = (F.when(q == 0, rn)
-            .when(rn <= big, F.floor((rn - 1) / (q + 1)) + 1)
-            .otherwise(r + F.floor((rn - big - 1) / q) + 1)).cast("int")
-    return j.select(*df.columns, "rn", "rnk", "drnk",
-                    F.when(n > 1, (F.col("rnk") - 1) / (n - 1)).otherwise(F.lit(0.0)).alias("prank"),
-                    (F.col("_last") / n).alias("cdist"), tile.alias("ntile"))
+    tile = (F.when(q == 0, rn).when(rn <= big, F.floor((rn - 1) / (q + 1)) + 1)
+            .otherwise(r + F.floor((rn - big - 1) / F.when(q > 0, q)) + 1)).cast("int")
+    return j.select(*df.columns, rn.alias("rn"), rank.alias("rnk"), (F.col("_dense") + zero("values")).alias("drnk"),
+                    F.when(n > 1, (rank - 1) / (n - 1)).otherwise(F.lit(0.0)).alias("prank"), (end / n).alias("cdist"), tile.alias("ntile"))
 
 
-def rolling_rows(df: DataFrame, key: str, order: list[str], col: str, k: int, bucket_s: float = DAY_S) -> DataFrame:
-    """Values of the k-1 preceding rows per key as columns ``_lag1``… —
-    a join on (key, position - i), balanced whatever the key skew."""
-    p = positions(df, key, order, "_pos", bucket_s)
-    out = p
-    for i in range(1, k):
-        prev = p.select(F.col(key).alias(f"_k{i}"), (F.col("_pos") + i).alias(f"_p{i}"), F.col(col).alias(f"_lag{i}"))
-        out = out.join(prev, (out[key] == prev[f"_k{i}"]) & (out["_pos"] == prev[f"_p{i}"]), "left").drop(f"_k{i}", f"_p{i}")
-    return out
+def rolling_rows(df: DataFrame, key: str, order: list, col: str, k: int) -> DataFrame:
+    """Values of the k-1 preceding rows per key as columns ``_lag1``…"""
+    return shifted(ranged(df, key, order), key, order, {f"_lag{i}": (col, i) for i in range(1, k)}).drop("_b")
 
 
 def range_window(df: DataFrame, key: str, ts: str, range_s: int, col: str,
@@ -173,136 +222,131 @@ def range_window(df: DataFrame, key: str, ts: str, range_s: int, col: str,
     Buckets are at least as wide as the range, so a frame touches its own
     bucket and the previous one: each row is also copied once into the
     next bucket as context (a one-bucket halo), the window runs inside
-    (key, bucket), and only native rows are kept."""
+    (key, bucket), and only native rows are kept.  Rows without a time are
+    each other's frame, as in a plain window."""
     bucket_s = max(bucket_s or range_s, range_s)
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     d = df.withColumn("_us", us).withColumn("_b", F.floor(F.col("_us") / (bucket_s * 1_000_000)).cast("bigint"))
     native = d.withColumn("_native", F.lit(True))
-    halo = d.withColumn("_b", F.col("_b") + 1).withColumn("_native", F.lit(False))
+    halo = d.where("_b is not null").withColumn("_b", F.col("_b") + 1).withColumn("_native", F.lit(False))
     u = native.unionByName(halo)
     w = Window.partitionBy(key, "_b").orderBy("_us").rangeBetween(-range_s * 1_000_000, 0)
     u = u.withColumn("_n", F.count(F.lit(1)).over(w)).withColumn("_s", F.sum(col).over(w))
     return u.where("_native").drop("_us", "_b", "_native")
 
 
-def fill_forward(df: DataFrame, key: str | None, order: list[str], col: str, backward: bool = False) -> Column:
-    """Column: last (or next, ``backward``) non-null value of ``col``."""
-    w = Window.partitionBy(key) if key else Window.partitionBy()
-    w = w.orderBy(*order)
-    if backward:
-        return F.first(col, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    return F.last(col, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-
-
-def interpolate_linear(df: DataFrame, key: str, order: list[str], col: str, out: str | None = None) -> DataFrame:
+def interpolate_linear(df: DataFrame, key: str, order: list, col: str, out: str | None = None, limit: int | None = None,
+                       limit_direction: str = "forward") -> DataFrame:
     """pandas ``interpolate(method='linear')`` per key: nulls between two
     known values are filled on the straight line by row position;
-    leading nulls stay null, trailing nulls take the last value."""
+    leading nulls stay null, trailing nulls take the last value.
+
+    ``limit``: at most so many nulls in a row are filled, counted from the
+    known value before (``forward``), after (``backward``, which fills
+    leading nulls and not trailing ones) or both."""
     out = out or col
-    # positions, previous and next known values: all skew-safe (bucketed)
-    d = positions(df, key, order, "_pos")
+    d = running(ranged(df.withColumn("_one", F.lit(1)), key, order), key, order, {"_pos": ("count", "_one")}).drop("_one")
     d = d.withColumn("_kn", F.when(F.col(col).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(col).alias("v"))))
-    d = bucketed_fill(d, key, order, "_kn", "_prev")
-    d = bucketed_fill(d, key, order, "_kn", "_next", backward=True).drop("_kn")
-    lin = F.col("_prev.v") + (F.col("_next.v") - F.col("_prev.v")) * \
-        (F.col("_pos") - F.col("_prev.p")) / (F.col("_next.p") - F.col("_prev.p"))
-    val = (F.when(F.col(col).isNotNull(), F.col(col))
-           .when(F.col("_prev").isNotNull() & F.col("_next").isNotNull(), lin)
-           .when(F.col("_prev").isNotNull(), F.col("_prev.v")))
-    return d.withColumn(out, val).drop("_pos", "_prev", "_next")
-
-
-def ewm_mean(df: DataFrame, key: str, ts: str, value: str, alpha: float, min_periods: int = 0,
-             bucket_s: float = DAY_S, out: str = "ewm") -> DataFrame:
-    """Exponentially weighted mean (pandas ``ewm(alpha=…, adjust=True)``)
+    d = fill(fill(d, key, order, "_kn", "_prev"), key, order, "_kn", "_next", backward=True)
+    back, ahead = F.col("_pos") - F.col("_prev.p"), F.col("_next.p") - F.col("_pos")
+    line = F.col("_prev.v") + (F.col("_next.v") - F.col("_prev.v")) * back / (F.col("_next.p") - F.col("_prev.p"))
+    end = F.col("_prev.v") if limit_direction == "forward" else F.col("_next.v") if limit_direction == "backward" else F.coalesce("_prev.v", "_next.v")
+    near = F.lit(True)
+    if limit is not None:
+        from_before, from_after = F.coalesce(back <= limit, F.lit(False)), F.coalesce(ahead <= limit, F.lit(False))
+        near = {"forward": from_before, "backward": from_after, "both": from_before | from_after}[limit_direction]
+    val = F.when(F.col(col).isNotNull(), F.col(col)).when(near, F.coalesce(line, end))
+    return d.withColumn(out, val).select(*df.columns, *([out] if out not in df.columns else []))
+
+
+def ewm_alpha(alpha: float | None = None, com: float | None = None, span: float | None = None, halflife: float | None = None) -> float:
+    """The smoothing factor of exactly one of the four parameters."""
+    given = [x for x in (alpha, com, span, halflife) if x is not None]
+    if len(given) != 1:
+        raise ValueError("give one of alpha, com, span and halflife")
+    if com is not None:
+        return 1 / (1 + com)
+    if span is not None:
+        return 2 / (span + 1)
+    return 1 - 0.5 ** (1 / halflife) if halflife is not None else alpha
+
+
+def ewm_mean(df: DataFrame, key: str, ts: str, value: str, alpha: float | None = None, min_periods: int = 0, out: str = "ewm",
+             com: float | None = None, span: float | None = None, halflife: float | None = None, ignore_na: bool = False) -> DataFrame:
+    """Exponentially weighted mean (pandas ``ewm(…, adjust=True).mean()``)
     per key in time order (ties broken by all columns).
 
-    y_t = S_t / W_t with S_t = x_t + (1-α) S_{t-1}, W_t = 1 + (1-α) W_{t-1}.
-    Phase 1 runs the recurrence from zero inside each (key, time bucket)
-    (Arrow batches, bounded by the bucket); phase 2 chains the bucket end
-    states per key over one row per bucket; phase 3 adds the carried
-    state decayed by (1-α)^k.  No task ever holds a whole key.
-    """
+    y_t = S_t / W_t, where S and W decay by 1-α a row (``ignore_na``: a known
+    value) and a known x adds x to S and 1 to W.  The recurrence runs over
+    sorted partitions as a stream, so no task holds a key; the states at
+    partition ends are chained over one row for each (key, partition) and
+    added, decayed, to the rows of a key that began earlier."""
+    import math
+
+    import numpy as np
     import pandas as pd
-    from pyspark.sql import types as T
-
-    beta = 1.0 - alpha
-    cols = df.columns
-    d = (df.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
-         .withColumn("_b", F.floor(F.col("_t") / (bucket_s * 1_000_000)).cast("bigint"))
-         .withColumn("_tie", F.xxhash64(*cols)))
-    local_schema = T.StructType(d.schema.fields + [T.StructField("_k", T.LongType()),
-                                                   T.StructField("_s", T.DoubleType()),
-                                                   T.StructField("_w", T.DoubleType())])
-
-    # Python groups are hash buckets of (key, time bucket): one call runs
-    # many chunks, the recurrence restarting at each chunk boundary.
-    from marquee.operators.relational import bucket_of, key_buckets
-    n_groups = key_buckets(df.sparkSession)
-
-    def local(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([key, "_b", "_t", "_tie"], kind="mergesort")
-        keys, bs = pdf[key].to_numpy(), pdf["_b"].to_numpy()
-        s = w = 0.0
-        k = 0
-        ss, ww, kk = [], [], []
-        prev = None
-        for i, x in enumerate(pdf[value].to_numpy(dtype="float64")):
-            cur = (keys[i], bs[i])
-            if cur != prev:
-                s = w = 0.0
-                k = 0
-                prev = cur
-            s = x + beta * s
-            w = 1.0 + beta * w
-            k += 1
-            ss.append(s)
-            ww.append(w)
-            kk.append(k)
-        return pdf.assign(_k=kk, _s=ss, _w=ww).drop(columns=["_g"])
-
-    loc = d.withColumn("_g", bucket_of([key, "_b"], n_groups)).groupBy("_g").applyInPandas(local, local_schema)
-    ends = loc.groupBy(key, "_b").agg(F.max_by(F.struct("_s", "_w"), "_k").alias("e"), F.max("_k").alias("_n"))
-    ends = ends.select(key, "_b", F.col("e._s").alias("_se"), F.col("e._w").alias("_we"), "_n")
-    carry_schema = f"{key} {df.schema[key].dataType.simpleString()}, _b long, _sin double, _win double, _off long"
+
+    beta = 1.0 - ewm_alpha(alpha, com, span, halflife)
+    order = [F.col("_t"), F.col("_tie")]
+    d = df.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp"))).withColumn("_tie", F.xxhash64(*df.columns))
+    d = d.repartitionByRange(F.col(key).asc(), *order).sortWithinPartitions(F.col(key).asc(), *order)
+    d = d.withColumn("_b", F.spark_partition_id()).withColumn("_x", F.col(value).cast("double"))
+    d = d.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.lit("\x00null")))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields)
+
+    def local(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, s, w, k, n, i = None, 0.0, 0.0, 0, 0, 0
+        for pdf in frames:
+            rows = []
+            for cur, x in zip(pdf["_key"], pdf["_x"].to_numpy(dtype="float64")):
+                if cur != last:
+                    last, s, w, k, n, i = cur, 0.0, 0.0, 0, 0, 0
+                known = not math.isnan(x)
+                if known or not ignore_na:
+                    s, w, k = beta * s, beta * w, k + 1
+                if known:
+                    s, w, n = s + x, w + 1.0, n + 1
+                i += 1
+                rows.append((s, w, k, n, i))
+            a = np.array(rows, float).reshape(-1, 5)
+            yield pdf.assign(_s=a[:, 0], _w=a[:, 1], _k=a[:, 2].astype("int64"), _n=a[:, 3].astype("int64"), _i=a[:, 4].astype("int64"))
+
+    checkpoint_dir(df.sparkSession)
+    loc = d.mapInPandas(local, f"{fields}, _s double, _w double, _k long, _n long, _i long").checkpoint()
+    ends = loc.groupBy("_key", "_b").agg(F.max_by(F.struct("_s", "_w", "_k", "_n"), "_i").alias("e"))
+    ends = ends.withColumn("_parts", F.count(F.lit(1)).over(Window.partitionBy("_key"))).where("_parts > 1").select("_key", "_b", "e.*")
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([key, "_b"], kind="mergesort")
+        pdf = pdf.sort_values("_b")
         s = w = 0.0
-        off = 0
-        prev = None
-        sin, win, offs = [], [], []
-        for kv, se, we, n in zip(pdf[key], pdf["_se"], pdf["_we"], pdf["_n"]):
-            if kv != prev:
-                s = w = 0.0
-                off = 0
-                prev = kv
-            sin.append(s)
-            win.append(w)
-            offs.append(off)
-            decay = beta ** int(n)
-            s = se + decay * s
-            w = we + decay * w
-            off += int(n)
-        return pd.DataFrame({key: pdf[key].to_numpy(), "_b": pdf["_b"].to_numpy(), "_sin": sin, "_win": win, "_off": offs})
-
-    # one row per (key, bucket); batched by hash bucket of the key
-    carry = ends.withColumn("_g", bucket_of(key, n_groups)).groupBy("_g").applyInPandas(chain, carry_schema)
-    j = loc.join(carry, [key, "_b"])
+        n, rows = 0, []
+        for b, se, we, k, m in zip(pdf["_b"], pdf["_s"], pdf["_w"], pdf["_k"], pdf["_n"]):
+            rows.append((pdf["_key"].iloc[0], int(b), s, w, n))
+            s, w, n = se + beta ** int(k) * s, we + beta ** int(k) * w, n + int(m)
+        return pd.DataFrame(rows, columns=["_ck", "_cb", "_cs", "_cw", "_cn"])
+
+    # one row for each partition of a key that spans several
+    carry = ends.groupBy("_key").applyInPandas(chain, "_ck string, _cb int, _cs double, _cw double, _cn long")
+    j = loc.join(F.broadcast(carry), (F.col("_key") == F.col("_ck")) & (F.col("_b") == F.col("_cb")), "left")
     decay = F.pow(F.lit(beta), F.col("_k"))
-    y = (F.col("_s") + decay * F.col("_sin")) / (F.col("_w") + decay * F.col("_win"))
-    y = F.when(F.col("_off") + F.col("_k") >= F.lit(min_periods), y)
-    return j.withColumn(out, y).select(*cols, out)
-
-
-def resample(df: DataFrame, key: str, ts: str, rule_s: int, aggs: list[Column]) -> DataFrame:
-    """pandas ``resample(rule).agg(...)`` per key, left-closed and
-    left-labelled buckets; empty buckets between a key's first and last
-    bucket appear with null aggregates (count-like aggregates → 0 is up
-    to the caller)."""
-    b = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / rule_s).cast("bigint")
-    per = df.groupBy(key, b.alias("_b")).agg(*aggs)
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    s, w = F.col("_s") + decay * zero("_cs"), F.col("_w") + decay * zero("_cw")
+    n = F.col("_n") + F.coalesce("_cn", F.lit(0))
+    return j.withColumn(out, F.when((w > 0) & (n >= min_periods), s / w)).select(*df.columns, out)
+
+
+def resample(df: DataFrame, key: str, ts: str, rule_s: int, aggs: list[Column], closed: str = "left", label: str = "left") -> DataFrame:
+    """pandas ``resample(rule, closed=, label=).agg(...)`` per key; empty
+    buckets between a key's first and last bucket appear with null
+    aggregates (count-like aggregates → 0 is up to the caller).  Rows
+    without a time are in no bucket."""
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    step = rule_s * 1_000_000
+    b = F.floor(us / step) if closed == "left" else F.ceil(us / step) - 1
+    per = df.where(F.col(ts).isNotNull()).groupBy(key, b.cast("bigint").alias("_b")).agg(*aggs)
     span = per.groupBy(key).agg(F.min("_b").alias("_lo"), F.max("_b").alias("_hi"))
-    cal = span.select(key, F.explode(F.sequence("_lo", "_hi")).alias("_b"))
-    out = cal.join(per, [key, "_b"], "left")
-    return out.withColumn("bucket_start", F.timestamp_seconds(F.col("_b") * rule_s)).drop("_b")
+    cal = span.select(F.col(key).alias("_ck"), F.explode(F.sequence("_lo", "_hi")).alias("_cb"))
+    out = cal.join(per, F.col("_ck").eqNullSafe(F.col(key)) & (F.col("_cb") == F.col("_b")), "left")
+    edge = F.col("_cb") if label == "left" else F.col("_cb") + 1
+    return out.select(F.col("_ck").alias(key), *[c for c in per.columns if c not in (key, "_b")],
+                      F.timestamp_seconds(edge * rule_s).alias("bucket_start"))

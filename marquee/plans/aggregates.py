@@ -241,6 +241,22 @@ def agg_basic(t):
         F.max("l_quantity").alias("max_qty"), F.product("l_linenumber").alias("prod_lines"))
 
 
+@query("agg_first_last", oracle="""
+SELECT o_custkey, min(o_orderkey) AS first_all, min(nullif(o_orderstatus, 'O')) AS first_known, min(o_orderkey) AS last_all,
+  count(*) FILTER (WHERE o_orderstatus <> 'O') > 0 AS any_known
+FROM orders GROUP BY o_custkey
+""")
+def agg_first_last(t):
+    """first / last as aggregates, with and without NULLs, over values that
+    are one per group (their result is then the same in any row order)."""
+    o = t.orders.withColumn("known", F.nullif(F.col("o_orderstatus"), F.lit("O")))
+    low = o.groupBy("o_custkey").agg(F.min("o_orderkey").alias("k"), F.min("known").alias("s")).withColumnRenamed("o_custkey", "c")
+    j = o.join(low, o.o_custkey.eqNullSafe(low.c))
+    return j.groupBy("o_custkey").agg(
+        F.first("k").alias("first_all"), F.first(F.when(F.col("known").isNotNull(), F.col("s")), ignorenulls=True).alias("first_known"),
+        F.last("k").alias("last_all"), F.last(F.col("known").isNotNull() | F.lit(None).cast("boolean"), ignorenulls=True).isNotNull().alias("any_known"))
+
+
 @query("agg_argext", oracle="""
 SELECT o_custkey, arg_max(o_orderkey, o_totalprice) AS top_order, arg_min(o_orderkey, o_totalprice) AS low_order
 FROM orders GROUP BY o_custkey

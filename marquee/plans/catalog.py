@@ -10,7 +10,6 @@ from marquee.functions.text import (
     list_flatten, parse_rating, parse_views,
 )
 from marquee.operators import catalog as C
-from marquee.operators.relational import spread
 from marquee.plans.registry import query
 
 
@@ -52,13 +51,12 @@ def page_links(t):
 
 # ---------------------------------------------------------------- P2
 @query("page_next", oracle=f"""
-SELECT page_id, page_number, has_next, has_next AND page_number < 2 AS continue_crawl FROM (
+SELECT page_id, page_number, has_next, has_next AS continue_crawl FROM (
   SELECT page_id, coalesce(TRY_CAST({sx('url', P.URL_PAGE_NUMBER)} AS INTEGER), 1) AS page_number,
          regexp_matches(html, {q(P.PAGE_NEXT)}) AS has_next FROM pages)
-WHERE page_number <= 2
 """)
 def page_next(t):
-    return C.page_next(t.pages, max_pages=2).where(F.col("page_number") <= 2)
+    return C.page_next(t.pages)
 
 
 # ---------------------------------------------------------------- P4
@@ -99,11 +97,74 @@ def page_fields(t):
     return C.page_fields(t.pages)
 
 
-@query("movie_extract")
+def detail_markup(pages):
+    """Detail pages written out from columns of the stored pages; every
+    seventh lacks its description, every eleventh its article."""
+    i = F.col("page_id").cast("string")
+    safe = lambda c: F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    host, lang = extract("url", P.URL_HOST), F.coalesce(extract("html", P.PAGE_LANG), F.lit("xx"))
+    title = safe(F.coalesce(extract("html", P.PAGE_H1), F.lit("untitled")))
+    body = F.concat(
+        F.lit('<img class="lazy" data-src="'), safe(canonical_url("url")), F.lit('">\n<h1 class="Title">\n  <b>'), title, F.lit('</b>\n</h1>'),
+        F.lit('<span class="post-ratings"><b>('), (F.col("page_id") % 100 / 10).cast("string"), F.lit(" / 10)</b> desde "), (F.col("page_id") * 3).cast("string"),
+        F.lit(' usuarios</span><p class="meta"><span>'), (F.col("page_id") % 3).cast("string"), F.lit("h "), (F.col("page_id") % 60).cast("string"),
+        F.lit('m</span> <a href="/y">'), (F.col("page_id") % 50 + 1970).cast("string"), F.lit('</a></p><span class="Qlty">'), F.upper(lang), F.lit("</span>"),
+        F.when(F.col("page_id") % 7 != 0, F.concat(F.lit('<div class="Description"><p>Ver online Cuevana3. '), title, F.lit("</p></div>"))).otherwise(F.lit("")),
+        F.lit(f'<ul class="InfoList"><li><strong>{P.LABEL_GENRE}</strong> <a>'), lang, F.lit("</a>, <a>g"), i, F.lit("</a></li>"),
+        F.lit(f"<li class=x><strong>{P.LABEL_COUNTRY}</strong><a>old</a><li><strong>{P.LABEL_COUNTRY}</strong> <a> "), extract("url", P.URL_TLD), F.lit(" </a></li>"),
+        F.lit(f'<li><strong>{P.LABEL_DIRECTOR}</strong><span class="color-w">'), host, F.lit("</span></li>"),
+        F.lit(f"<li><strong>Otro:</strong><a>no</a><li><strong>{P.LABEL_ACTORS}</strong><a>a"), i, F.lit(",</a> <a>b"), i, F.lit(",</a></li></ul>"))
+    page = F.when(F.col("page_id") % 11 == 0, F.concat(F.lit("<div>"), body, F.lit("</div>"))).otherwise(
+        F.concat(F.lit('<body><article class="post TPost single">'), body, F.lit("</article></body>")))
+    return pages.select("page_id", page.alias("html"))
+
+
+_TITLE_SQL = f"regexp_replace(coalesce({sx('html', P.PAGE_H1)}, 'untitled'), '{P.STRIP_WS}', '', 'g')"
+
+
+@query("movie_extract", oracle=f"""
+SELECT page_id, regexp_replace(url, '[?#].*$', '') AS image_url, {_TITLE_SQL} AS title, page_id % 100 / 10 AS rating,
+  (page_id % 3) || 'h ' || (page_id % 60) || 'm' AS duration, CAST(page_id % 50 + 1970 AS VARCHAR) AS year,
+  upper(coalesce({sx('html', P.PAGE_LANG)}, 'xx')) AS quality, 'Ver online Cuevana3. ' || {_TITLE_SQL} AS description,
+  coalesce({sx('html', P.PAGE_LANG)}, 'xx') || '|g' || page_id AS genre, {sx('url', P.URL_TLD)} AS country, {sx('url', P.URL_HOST)} AS director,
+  'a' || page_id || ',|b' || page_id || ',' AS actors, page_id * 3 AS views
+FROM pages WHERE page_id % 7 <> 0 AND page_id % 11 <> 0
+""")
 def movie_extract(t):
-    """Detail-page extraction with the stdlib HTML parser (Arrow batches);
-    stored pages without a movie article yield no record."""
-    return C.extract_movies(t.pages)
+    """All twelve fields of the detail pages: flat ones by pattern, list
+    items as rows pivoted by label; no Python on the executors."""
+    r = C.extract_movies(detail_markup(t.pages))
+    return r.withColumns({"genre": F.array_join("genre", "|"), "actors": F.array_join("actors", "|")})
+
+
+@query("movie_quarantine", oracle="""
+SELECT page_id, CASE WHEN page_id % 11 = 0 THEN 'no article' ELSE 'no description' END AS reason
+FROM pages WHERE page_id % 7 = 0 OR page_id % 11 = 0
+""")
+def movie_quarantine(t):
+    """Detail pages without a record, with the element they lack."""
+    return C.movie_quarantine(detail_markup(t.pages))
+
+
+# Listing markup around the stored links: the class an item must have, and others.
+_LISTING_SQL = f"""(SELECT page_id, CAST(pos - 1 AS INTEGER) AS item, path FROM (
+  SELECT page_id, unnest(regexp_extract_all(html, {q(P.PAGE_LINK)}, 1)) AS path,
+         generate_subscripts(regexp_extract_all(html, {q(P.PAGE_LINK)}, 1), 1) AS pos FROM pages) WHERE path <> '')"""
+
+
+@query("listing_links", oracle=f"""
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY item) - 1 AS INTEGER) AS pos, path
+FROM {_LISTING_SQL} WHERE item % 2 = 0
+""")
+def listing_links(t):
+    """Listing pages: only items of the exact listing class give links;
+    pages without any end the crawl (no rows)."""
+    link = C.page_links(t.pages).select("page_id", "pos", "path")
+    item = F.when(F.col("pos") % 2 == 0, F.concat(F.lit('<li class="xxx TPostMv"> <a title="x" href="'), "path", F.lit('">t</a></li>'))).otherwise(
+        F.concat(F.lit('<li class="TPostMv"><a href="'), "path", F.lit('">t</a></li>')))
+    pages = (link.select("page_id", F.struct("pos", item.alias("li")).alias("s")).groupBy("page_id")
+             .agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["li"]), "").alias("html")))
+    return C.page_links(pages.withColumn("url", F.lit("")), P.LISTING_ITEM_LINK).select("page_id", "pos", "path")
 
 
 # ---------------------------------------------------------------- P7 / P8
@@ -181,7 +242,7 @@ def fill_defaults(t):
 # ---------------------------------------------------------------- P11 / P14
 @query("emit_cap", oracle="SELECT event_id, user_id, event_type FROM events ORDER BY event_id LIMIT 40")
 def emit_cap(t):
-    return C.emit_cap(t.events.select("event_id", "user_id", "event_type"), "event_id")
+    return C.emit_cap(t.events.select("event_id", "user_id", "event_type"), "event_id", P.EMIT_CAP)
 
 
 _MSG_COLS = "event_id, event_type, round(value, 2) AS value"
@@ -371,6 +432,6 @@ FROM rec GROUP BY img_url
 def catalog_pipeline(t):
     """Flagship: pages → validity → fields → JSON hand-off → transform
     → defaults → dedup on the canonical URL (idempotent sink) → sink rows."""
-    rec = catalog_records(spread(t.pages))
+    rec = catalog_records(t.pages)
     deduped = C.dedup_by_content(rec, "image_url", "page_id")
     return C.sink_project(deduped, keep=("page_id", "copies"))

@@ -37,7 +37,7 @@ def nation_edges(t):
     s = t.supplier.select("s_suppkey", "s_nationkey")
     a = s.select(F.col("s_suppkey").alias("src"), F.col("s_nationkey").alias("ns"))
     b = s.select(F.col("s_suppkey").alias("dst"), F.col("s_nationkey").alias("nd"))
-    return (e.join(F.broadcast(a) if False else a, "src").join(b, "dst")
+    return (e.join(a, "src").join(b, "dst")
             .select(F.col("ns").cast("bigint").alias("src"), F.col("nd").cast("bigint").alias("dst")).distinct())
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marquee.operators import joins as J
-from marquee.operators.relational import bucket_of, key_buckets, maybe_broadcast
+from marquee.operators import timeseries as TS
 from marquee.plans.registry import query
 
 
@@ -113,15 +113,13 @@ SELECT a.o_orderkey AS first_order, b.o_orderkey AS next_order FROM orders a JOI
 ON a.o_custkey = b.o_custkey AND b.o_orderkey = (SELECT min(o_orderkey) FROM orders c WHERE c.o_custkey = a.o_custkey AND c.o_orderkey > a.o_orderkey)
 """)
 def join_self(t):
-    """Each order with the customer's next order: a self join on the
-    key, reduced with ``min`` (no all-pairs output kept)."""
-    a = t.orders.select(F.col("o_custkey").alias("ck"), F.col("o_orderkey").alias("first_order"))
-    b = t.orders.select(F.col("o_custkey").alias("ck2"), F.col("o_orderkey").alias("next_order"))
-    # next = min over later orders of the same customer; expressed as a window (one shuffle)
-    from pyspark.sql import Window
-    w = Window.partitionBy("ck").orderBy("first_order")
-    nxt = a.withColumn("next_order", F.lead("first_order").over(w)).where(F.col("next_order").isNotNull())
-    return nxt.join(b, (nxt.ck == b.ck2) & (nxt.next_order == b.next_order), "left_semi").select("first_order", "next_order")
+    """Each order with the customer's next order: the first row of the self
+    join on the key, found as the next row in one range-partitioned pass
+    (no all-pairs output, no whole customer in a task)."""
+    o = t.orders.select("o_custkey", F.col("o_orderkey").alias("first_order")).where("o_custkey is not null")
+    d = TS.ranged(o, "o_custkey", ["first_order"])
+    nxt = TS.shifted(d, "o_custkey", ["first_order"], {"next_order": ("first_order", -1)})
+    return nxt.where(F.col("next_order").isNotNull()).select("first_order", "next_order")
 
 
 @query("join_star", oracle="""
@@ -140,14 +138,14 @@ def join_star(t):
 def star_join(t):
     """TPC-H Q5-style star join.  The fact (lineitem) joins orders on
     the order key (shuffle join); dimension tables nation/region are
-    fixed-size and broadcast; customer/supplier are broadcast only after
-    a bounded size probe (else a shuffle join)."""
+    fixed-size and broadcast; for customer and supplier the planner and
+    AQE choose by real bytes."""
     li = t.lineitem.select("l_orderkey", "l_suppkey", "l_extendedprice", "l_discount")
     o = (t.orders.where((F.col("o_orderdate") >= F.lit("1994-01-01").cast("timestamp"))
                         & (F.col("o_orderdate") < F.lit("1995-01-01").cast("timestamp")))
          .select("o_orderkey", "o_custkey"))
-    c = maybe_broadcast(t.customer.select("c_custkey", "c_nationkey", "c_mktsegment"))
-    s = maybe_broadcast(t.supplier.select("s_suppkey", "s_nationkey"))
+    c = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
+    s = t.supplier.select("s_suppkey", "s_nationkey")
     geo = F.broadcast(t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
                       .select("n_nationkey", "n_name", "r_name"))
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
@@ -241,8 +239,8 @@ def join_broadcast(t):
 
 @query("hint", oracle=_BCAST_SQL)
 def hint(t):
-    """``functions.broadcast`` after a bounded size probe."""
-    return t.customer.join(maybe_broadcast(t.nation, 10_000), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
+    """``DataFrame.hint`` on a dimension of a fixed row count (25 nations)."""
+    return t.customer.join(t.nation.hint("broadcast"), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
 
 
 _LO_SQL = "SELECT l_orderkey, l_linenumber, o_orderstatus FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
@@ -275,93 +273,18 @@ SELECT o_orderkey, count(l_orderkey) AS n_lines, round(coalesce(sum(l_extendedpr
   round(o_totalprice, 2) AS order_total FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_totalprice
 """)
 def cogroup(t):
-    """Cogrouped pandas function.  Orders and their lines are co-grouped
-    by a hash bucket of the order key (bucket count tied to the shuffle
-    partitions), so each Python call handles many small orders at once;
-    inside, pandas aligns lines to orders by key."""
+    """Cogrouped pandas function: the lines of an order and the order.  An
+    order's lines are bounded by the data model, so each group is small at
+    any scale."""
     import pandas as pd
 
-    n = key_buckets(t.spark)
-    o = t.orders.select("o_orderkey", "o_totalprice").withColumn("_g", bucket_of("o_orderkey", n))
-    li = (t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_extendedprice")
-          .withColumn("_g", bucket_of("o_orderkey", n)))
+    o = t.orders.select("o_orderkey", "o_totalprice")
+    li = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_extendedprice")
 
-    def merge(lpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
-        agg = rpdf.groupby("o_orderkey").l_extendedprice.agg(["count", "sum"])
-        m = lpdf.merge(agg, left_on="o_orderkey", right_index=True, how="left")
-        return pd.DataFrame({"o_orderkey": m.o_orderkey.astype("int64"),
-                             "n_lines": m["count"].fillna(0).astype("int64"),
-                             "lines_total": [round(float(v), 2) for v in m["sum"].fillna(0.0)],
-                             "order_total": [round(float(v), 2) for v in m.o_totalprice]})
+    def merge(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        total = round(float(right["l_extendedprice"].sum()), 2)
+        return pd.DataFrame({"o_orderkey": left["o_orderkey"], "n_lines": len(right), "lines_total": total,
+                             "order_total": left["o_totalprice"].round(2)})
 
-    return (o.groupBy("_g").cogroup(li.groupBy("_g"))
+    return (o.groupBy("o_orderkey").cogroup(li.groupBy("o_orderkey"))
             .applyInPandas(merge, "o_orderkey long, n_lines long, lines_total double, order_total double"))
-
-
-_UPD_SQL = """(SELECT o_custkey AS c_custkey, round(max(o_totalprice), 2) AS c_acctbal FROM orders
-  WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey)"""
-
-
-@query("merge_update", oracle=f"""
-SELECT c.c_custkey, coalesce(u.c_acctbal, round(c.c_acctbal, 2)) AS c_acctbal, c.c_mktsegment
-FROM customer c LEFT JOIN {_UPD_SQL} u USING (c_custkey)
-""")
-def merge_update(t):
-    c = t.customer.select("c_custkey", r(F.col("c_acctbal")).alias("c_acctbal"), "c_mktsegment")
-    u = (t.orders.where("o_orderpriority = '1-URGENT'").groupBy(F.col("o_custkey").alias("c_custkey"))
-         .agg(r(F.max("o_totalprice")).alias("c_acctbal")))
-    return J.merge_update(c, u, "c_custkey", overwrite=True)
-
-
-@query("combine_first", oracle=f"""
-SELECT c.c_custkey, coalesce(CASE WHEN c.c_custkey % 3 = 0 THEN NULL ELSE round(c.c_acctbal, 2) END, u.c_acctbal) AS c_acctbal
-FROM customer c LEFT JOIN {_UPD_SQL} u USING (c_custkey)
-""")
-def combine_first(t):
-    c = t.customer.select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, F.lit(None))
-                          .otherwise(r(F.col("c_acctbal"))).alias("c_acctbal"))
-    u = (t.orders.where("o_orderpriority = '1-URGENT'").groupBy(F.col("o_custkey").alias("c_custkey"))
-         .agg(r(F.max("o_totalprice")).alias("c_acctbal")))
-    return J.merge_update(c, u, "c_custkey", overwrite=False)
-
-
-# ---------------------------------------------------------------- SQL subqueries
-def _views(t, *names):
-    for n in names:
-        getattr(t, n).createOrReplaceTempView(n)
-    return t.spark
-
-
-@query("subquery_exists", oracle="""
-SELECT c_custkey FROM customer c WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 300000)
-""")
-def subquery_exists(t):
-    return _views(t, "customer", "orders").sql("""SELECT c_custkey FROM customer c WHERE EXISTS
-        (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 300000)""")
-
-
-@query("subquery_in", oracle="""
-SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
-  AND o_orderstatus = 'F'
-""")
-def subquery_in(t):
-    return _views(t, "customer", "orders").sql("""SELECT o_orderkey FROM orders WHERE o_custkey IN
-        (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') AND o_orderstatus = 'F'""")
-
-
-@query("subquery_scalar", oracle="""
-SELECT c_custkey, round(c_acctbal, 2) AS bal FROM customer WHERE c_acctbal > (SELECT avg(c_acctbal) FROM customer)
-""")
-def subquery_scalar(t):
-    return _views(t, "customer").sql("""SELECT c_custkey, round(c_acctbal, 2) AS bal FROM customer
-        WHERE c_acctbal > (SELECT avg(c_acctbal) FROM customer)""")
-
-
-@query("lateral_join", oracle="""
-SELECT c.c_custkey, x.n_orders, x.max_price FROM customer c,
-LATERAL (SELECT count(*) AS n_orders, round(max(o_totalprice), 2) AS max_price FROM orders o WHERE o.o_custkey = c.c_custkey) x
-""")
-def lateral_join(t):
-    return _views(t, "customer", "orders").sql("""SELECT c.c_custkey, x.n_orders, x.max_price FROM customer c,
-        LATERAL (SELECT count(*) AS n_orders, round(max(o_totalprice), 2) AS max_price
-                 FROM orders o WHERE o.o_custkey = c.c_custkey) x""")

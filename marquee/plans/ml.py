@@ -1,8 +1,7 @@
 """Machine-learning jobs (§2.14) with Spark ML over the driver tables.
 
 Closed-form results (scalers, TF-IDF, OLS, χ², AUC, itemsets, kernel
-density, metrics) carry an SQL twin; iterative estimators are rows-only
-and property-tested in ``tests/test_ml.py``.
+density, metrics) carry an SQL twin; iterative estimators are rows-only.
 """
 
 from __future__ import annotations
@@ -20,6 +19,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from marquee.operators import timeseries as TS
 from marquee.plans.registry import query
 
 # fixed values: stop words of the token query
@@ -198,25 +198,42 @@ def ml_linreg(t):
                                    F.round(F.lit(float(m.intercept)), 4).alias("intercept"))
 
 
-_BASKET_SQL = """(SELECT l_orderkey, list(DISTINCT substring(p_brand, 1, 7)) AS items FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey)"""
+_BASKET_SQL = """(SELECT DISTINCT l_orderkey, p_brand AS a FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 
 @query("freq_itemsets", oracle=f"""
-WITH b AS {_BASKET_SQL}, n AS (SELECT count(*) AS n FROM b),
-one AS (SELECT unnest(items) AS a, l_orderkey FROM b),
-single AS (SELECT a AS items, count(*) AS freq FROM one GROUP BY a),
-pair AS (SELECT x.a || ',' || y.a AS items, count(*) AS freq FROM one x JOIN one y ON x.l_orderkey = y.l_orderkey AND x.a < y.a GROUP BY 1)
-SELECT items, freq FROM (SELECT * FROM single UNION ALL SELECT * FROM pair), n WHERE freq >= ceil(0.05 * n)
+WITH RECURSIVE one AS {_BASKET_SQL}, n AS (SELECT ceil(0.01 * count(DISTINCT l_orderkey)) AS least FROM one),
+sets(l_orderkey, items, last) AS (SELECT l_orderkey, a, a FROM one
+  UNION ALL SELECT s.l_orderkey, s.items || ',' || one.a, one.a FROM sets s JOIN one ON s.l_orderkey = one.l_orderkey AND one.a > s.last)
+SELECT items, count(*) AS freq FROM sets GROUP BY items HAVING count(*) >= (SELECT least FROM n)
 """)
 def freq_itemsets(t):
-    """FP-growth over order baskets of manufacturer codes (item sets of
-    size ≤ 2 reported)."""
+    """FP-growth over the brands of an order's lines; item sets of every
+    size (an order holds a handful of lines)."""
     li = t.lineitem.select("l_orderkey", "l_partkey")
-    p = t.part.select(F.col("p_partkey").alias("l_partkey"), F.substring("p_brand", 1, 7).alias("item"))
+    p = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("item"))
     baskets = li.join(p, "l_partkey").groupBy("l_orderkey").agg(F.collect_set("item").alias("items"))
-    m = fpm.FPGrowth(itemsCol="items", minSupport=0.05, minConfidence=0.5).fit(baskets)
-    fi = m.freqItemsets.where(F.size("items") <= 2)
-    return fi.select(F.array_join(F.array_sort("items"), ",").alias("items"), "freq")
+    m = fpm.FPGrowth(itemsCol="items", minSupport=0.01, minConfidence=0.1).fit(baskets)
+    return m.freqItemsets.select(F.array_join(F.array_sort("items"), ",").alias("items"), "freq")
+
+
+@query("assoc_rules", oracle=f"""
+WITH one AS {_BASKET_SQL}, n AS (SELECT count(DISTINCT l_orderkey) AS n FROM one),
+single AS (SELECT a, count(*) AS na FROM one GROUP BY a),
+pair AS (SELECT x.a AS a, y.a AS b, count(*) AS nab FROM one x JOIN one y ON x.l_orderkey = y.l_orderkey AND x.a <> y.a GROUP BY ALL)
+SELECT pair.a AS antecedent, pair.b AS consequent, round(nab / s.na, 6) AS confidence, round(nab * n / (s.na * c.na), 6) AS lift
+FROM pair JOIN single s ON pair.a = s.a JOIN single c ON pair.b = c.a, n
+WHERE nab >= ceil(0.01 * n) AND s.na >= ceil(0.01 * n) AND nab / s.na >= 0.1
+""")
+def assoc_rules(t):
+    """Association rules between single brands (FP-growth)."""
+    li = t.lineitem.select("l_orderkey", "l_partkey")
+    p = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("item"))
+    baskets = li.join(p, "l_partkey").groupBy("l_orderkey").agg(F.collect_set("item").alias("items"))
+    rules = fpm.FPGrowth(itemsCol="items", minSupport=0.01, minConfidence=0.1).fit(baskets).associationRules
+    return rules.where(F.size("antecedent") == 1).select(
+        F.col("antecedent")[0].alias("antecedent"), F.col("consequent")[0].alias("consequent"),
+        F.round("confidence", 6).alias("confidence"), F.round("lift", 6).alias("lift"))
 
 
 @query("chi_square", oracle="""
@@ -344,12 +361,14 @@ def eval_auc(t):
 
 # ---------------------------------------------------------------- estimators (rows-only)
 def _doc_features(t):
-    d = t.documents.join(t.labels, "doc_id")
-    d = d.select("doc_id", "text", "lang", F.col("quality").cast("double").alias("label"), F.col("toxic").cast("double").alias("toxic"),
-                 F.log1p(F.col("n_chars").cast("double")).alias("log_chars"),
-                 F.size(F.split("text", r"\s+")).cast("double").alias("n_words"),
-                 (F.length(F.regexp_replace("text", "[^0-9]", "")) / F.greatest(F.length("text"), F.lit(1))).alias("digit_share"))
-    return FT.VectorAssembler(inputCols=["log_chars", "n_words", "digit_share"], outputCol="features").transform(d)
+    """(all documents with features, the labelled ones to fit on)."""
+    d = t.documents
+    d = d.select("doc_id", "text", "lang", F.log1p(F.coalesce(F.col("n_chars"), F.lit(0)).cast("double")).alias("log_chars"),
+                 F.size(F.split(F.coalesce("text", F.lit("")), r"\s+")).cast("double").alias("n_words"),
+                 F.coalesce(F.length(F.regexp_replace("text", "[^0-9]", "")) / F.greatest(F.length("text"), F.lit(1)), F.lit(0.0)).alias("digit_share"))
+    d = FT.VectorAssembler(inputCols=["log_chars", "n_words", "digit_share"], outputCol="features", handleInvalid="keep").transform(d)
+    labels = t.labels.where("quality is not null").select("doc_id", F.col("quality").cast("double").alias("label"))
+    return d, d.join(labels, "doc_id")
 
 
 def _emb(t):
@@ -383,7 +402,7 @@ def ml_pca(t):
 @query("ml_lda")
 def ml_lda(t):
     d = _tokens(t.conversations)
-    cv = FT.CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=2000, minDF=2).fit(d)
+    cv = FT.CountVectorizer(inputCol="tokens", outputCol="features").fit(d)
     d = cv.transform(d)
     m = K.LDA(k=4, maxIter=10, seed=1).fit(d)
     return m.transform(d).select("conv_id", "turn", vector_to_array("topicDistribution").alias("topics"))
@@ -398,31 +417,36 @@ def ml_pic(t):
 
 @query("ml_logreg")
 def ml_logreg(t):
-    d = _doc_features(t)
-    m = C.LogisticRegression(maxIter=50, regParam=0.01, elasticNetParam=0.5).fit(d)
+    d, known = _doc_features(t)
+    m = C.LogisticRegression(maxIter=50, regParam=0.01, elasticNetParam=0.5).fit(known)
     return m.transform(d).select("doc_id", "prediction", vector_to_array("probability")[1].alias("p1"))
 
 
 @query("ml_svm")
 def ml_svm(t):
-    d = _doc_features(t)
-    return C.LinearSVC(maxIter=20, regParam=0.1).fit(d).transform(d).select("doc_id", "prediction")
+    d, known = _doc_features(t)
+    return C.LinearSVC(maxIter=20, regParam=0.1).fit(known).transform(d).select("doc_id", "prediction")
 
 
 @query("ml_trees")
 def ml_trees(t):
-    d = _doc_features(t)
-    dt = C.DecisionTreeClassifier(maxDepth=4, seed=1).fit(d).transform(d).select("doc_id", F.col("prediction").alias("dt"))
-    rf = C.RandomForestClassifier(numTrees=10, maxDepth=4, seed=1).fit(d).transform(d).select("doc_id", F.col("prediction").alias("rf"))
-    gb = C.GBTClassifier(maxIter=10, maxDepth=3, seed=1).fit(d).transform(d).select("doc_id", F.col("prediction").alias("gbt"))
-    return dt.join(rf, "doc_id").join(gb, "doc_id")
+    """Three tree models fitted on labelled documents; one chained
+    transform scores every document (no join)."""
+    d, known = _doc_features(t)
+    models = {"dt": C.DecisionTreeClassifier(maxDepth=4, seed=1), "rf": C.RandomForestClassifier(numTrees=10, maxDepth=4, seed=1),
+              "gbt": C.GBTClassifier(maxIter=10, maxDepth=3, seed=1)}
+    for name, est in models.items():
+        est.setPredictionCol(name).setProbabilityCol(f"{name}_p").setRawPredictionCol(f"{name}_raw")
+        d = est.fit(known).transform(d)
+    return d.select("doc_id", *models)
 
 
 @query("ml_bayes")
 def ml_bayes(t):
-    d = _doc_features(t)
-    d = FT.MinMaxScaler(inputCol="features", outputCol="nb_features").fit(d).transform(d)
-    return C.NaiveBayes(featuresCol="nb_features", modelType="multinomial").fit(d).transform(d).select("doc_id", "prediction")
+    d, known = _doc_features(t)
+    scale = FT.MinMaxScaler(inputCol="features", outputCol="nb_features").fit(d)
+    m = C.NaiveBayes(featuresCol="nb_features", modelType="multinomial").fit(scale.transform(known))
+    return m.transform(scale.transform(d)).select("doc_id", "prediction")
 
 
 @query("ml_mlp")
@@ -440,8 +464,8 @@ def ml_ovr(t):
 
 @query("ml_fm")
 def ml_fm(t):
-    d = _doc_features(t)
-    return C.FMClassifier(factorSize=2, maxIter=20, seed=1).fit(d).transform(d).select("doc_id", "prediction")
+    d, known = _doc_features(t)
+    return C.FMClassifier(factorSize=2, maxIter=20, seed=1).fit(known).transform(d).select("doc_id", "prediction")
 
 
 def _reg_features(t):
@@ -466,15 +490,15 @@ def ml_isotonic(t):
 
 @query("ml_tree_reg")
 def ml_tree_reg(t):
+    """Four regressors, one chained transform: one row for each line."""
     d = _reg_features(t)
-    kw = dict(labelCol="l_extendedprice", maxDepth=4, seed=1)
-    dt = R.DecisionTreeRegressor(**kw).fit(d).transform(d).select("l_orderkey", "l_linenumber", "l_partkey", F.col("prediction").alias("dt"))
-    rf = R.RandomForestRegressor(numTrees=5, **kw).fit(d).transform(d).select("l_orderkey", "l_linenumber", "l_partkey", F.col("prediction").alias("rf"))
-    gb = R.GBTRegressor(maxIter=5, **kw).fit(d).transform(d).select("l_orderkey", "l_linenumber", "l_partkey", F.col("prediction").alias("gbt"))
-    fm = R.FMRegressor(labelCol="l_extendedprice", factorSize=2, maxIter=10, seed=1).fit(d).transform(d) \
-        .select("l_orderkey", "l_linenumber", "l_partkey", F.col("prediction").alias("fm"))
-    keys = ["l_orderkey", "l_linenumber", "l_partkey"]
-    return dt.join(rf, keys).join(gb, keys).join(fm, keys)
+    kw = dict(labelCol="l_extendedprice", seed=1)
+    models = {"dt": R.DecisionTreeRegressor(maxDepth=4, **kw), "rf": R.RandomForestRegressor(numTrees=5, maxDepth=4, **kw),
+              "gbt": R.GBTRegressor(maxIter=5, maxDepth=4, **kw), "fm": R.FMRegressor(factorSize=2, maxIter=10, **kw)}
+    out = d
+    for name, est in models.items():
+        out = est.setPredictionCol(name).fit(d).transform(out)
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", *models)
 
 
 @query("ml_aft")
@@ -496,12 +520,10 @@ def ml_als(t):
     ``props.k`` item); top 3 items per user."""
     ev = t.events.select("user_id", F.get_json_object("props", "$.k").cast("int").alias("item"), "value")
     r_ = ev.groupBy("user_id", "item").agg(F.count(F.lit(1)).cast("float").alias("rating"))
-    m = R.LinearRegression if False else None
     from pyspark.ml.recommendation import ALS
     model = ALS(userCol="user_id", itemCol="item", ratingCol="rating", rank=5, maxIter=5, implicitPrefs=True,
                 coldStartStrategy="drop", seed=1).fit(r_.withColumn("user_id", F.col("user_id").cast("int")))
     recs = model.recommendForAllUsers(3)
-    _ = m
     return recs.select("user_id", F.explode("recommendations").alias("r")).select("user_id", "r.item", "r.rating")
 
 
@@ -509,16 +531,17 @@ def ml_als(t):
 def ml_pipeline(t):
     """Pipeline: tokenizer → hashing TF → IDF → logistic regression on
     document text for the quality label."""
-    d = t.documents.join(t.labels, "doc_id").select("doc_id", "text", F.col("quality").cast("double").alias("label"))
+    d = t.documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    known = d.join(t.labels.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
     p = Pipeline(stages=[FT.Tokenizer(inputCol="text", outputCol="w"), FT.HashingTF(inputCol="w", outputCol="tf", numFeatures=4096),
                          FT.IDF(inputCol="tf", outputCol="features"), C.LogisticRegression(maxIter=10)])
-    return p.fit(d).transform(d).select("doc_id", "prediction")
+    return p.fit(known).transform(d).select("doc_id", "prediction")
 
 
 @query("ml_word2vec")
 def ml_word2vec(t):
     d = _tokens(t.conversations)
-    m = FT.Word2Vec(vectorSize=16, minCount=2, seed=1, inputCol="tokens", outputCol="vec", maxIter=1).fit(d)
+    m = FT.Word2Vec(vectorSize=16, minCount=0, seed=1, inputCol="tokens", outputCol="vec", maxIter=3).fit(d)
     return m.getVectors().select("word", vector_to_array("vector").alias("vector"))
 
 
@@ -542,20 +565,23 @@ def ml_assemble(t):
 
 @query("ml_select")
 def ml_select(t):
-    d = _doc_features(t)
-    d = FT.ChiSqSelector(numTopFeatures=2, outputCol="chi").fit(d).transform(d)
+    """Feature selectors fitted on labelled documents, applied to all."""
+    d, known = _doc_features(t)
     uni = FT.UnivariateFeatureSelector(selectionMode="numTopFeatures", outputCol="uni")
-    d = uni.setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(2).fit(d).transform(d)
-    d = FT.VarianceThresholdSelector(varianceThreshold=0.0, outputCol="var").fit(d).transform(d)
-    rf = FT.RFormula(formula="label ~ log_chars + lang", featuresCol="rf_features", labelCol="rf_label").fit(d).transform(d)
-    return rf.select("doc_id", vector_to_array("chi").alias("chi"), vector_to_array("uni").alias("uni"),
-                     vector_to_array("rf_features").alias("rf_features"))
+    stages = [FT.ChiSqSelector(numTopFeatures=2, outputCol="chi"),
+              uni.setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(2),
+              FT.VarianceThresholdSelector(varianceThreshold=0.0, outputCol="var"),
+              FT.RFormula(formula="label ~ log_chars + lang", featuresCol="rf_features", labelCol="rf_label", handleInvalid="keep")]
+    for s in stages:
+        d = s.fit(known).transform(d)
+    return d.select("doc_id", vector_to_array("chi").alias("chi"), vector_to_array("uni").alias("uni"),
+                    vector_to_array("rf_features").alias("rf_features"))
 
 
 def _distinct_docs(t):
     """Distinct documents: exact copies removed first (keyed by SHA-256)
     — the exact way for the hottest LSH buckets."""
-    docs = t.documents.select("doc_id", "text")
+    docs = t.documents.where("text is not null").select("doc_id", "text")
     return docs.groupBy(F.sha2("text", 256).alias("h")).agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"))
 
 
@@ -564,7 +590,8 @@ def _shingle_words(df):
     w = df.select("doc_id", F.split(F.lower("text"), r"\s+").alias("w"))
     two = F.zip_with("w", F.slice("w", 2, 1 << 30), lambda a, b: F.concat(a, F.lit(" "), b))
     three = F.zip_with(two, F.slice("w", 3, 1 << 30), lambda a, b: F.concat(a, F.lit(" "), b))
-    return w.select("doc_id", F.filter(three, lambda x: x.isNotNull()).alias("sh"))
+    # fewer than three words: the whole text is one shingle
+    return w.select("doc_id", F.when(F.size("w") < 3, F.array(F.array_join("w", " "))).otherwise(F.filter(three, lambda x: x.isNotNull())).alias("sh"))
 
 
 def _shingles(t):
@@ -590,24 +617,30 @@ def minhash_signatures(t):
 
 @query("near_duplicates")
 def near_duplicates(t):
-    """Near-copy documents: MinHash signatures (32 seeded hashes) of
-    whole-text word 3-shingles, LSH banding (8 bands × 4), and per bucket
-    a link from each member to the bucket's smallest doc (a star, never
-    all pairs in a bucket).  Links are kept when the signature estimate
-    of Jaccard similarity is ≥ 0.5; each doc reports its smallest such
-    neighbour."""
+    """Near-copy documents, one row a pair.  Exact copies are paired with
+    the smallest document of their text (distance 0); distinct texts by
+    MinHash signatures (32 seeded hashes) of whole-text word 3-shingles and
+    LSH banding (8 bands × 4): in each bucket a member is held against the
+    bucket's smallest document and its predecessor, so a hot bucket costs
+    two pairs a member.  Pairs stay when the signature estimate of Jaccard
+    similarity is ≥ 0.5."""
+    docs = t.documents.where("text is not null").select("doc_id", F.sha2("text", 256).alias("h"))
+    least = docs.groupBy("h").agg(F.min("doc_id").alias("a"))
+    copies = docs.join(least, "h").where("doc_id <> a").select("a", F.col("doc_id").alias("b"), F.lit(0.0).alias("jaccard_dist"))
     sig = minhash_signatures(t)
     rows = N_HASHES // N_BANDS
-    bands = sig.select("doc_id", "sig", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(N_BANDS - 1)),
-                                                                  lambda j: F.xxhash64(F.slice("sig", j * rows + 1, rows)))).alias("band", "key"))
-    reps = bands.groupBy("band", "key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    links = bands.join(reps, ["band", "key"]).where(F.col("doc_id") != F.col("rep")).select("doc_id", "sig", "rep").dropDuplicates(["doc_id", "rep"])
-    rs = sig.select(F.col("doc_id").alias("rep"), F.col("sig").alias("rsig"))
-    est = F.aggregate(F.zip_with("sig", "rsig", lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0),
-                      lambda acc, x: acc + x) / float(N_HASHES)
-    scored = links.join(rs, "rep").select("doc_id", "rep", est.alias("similarity")).where(F.col("similarity") >= 0.5)
-    return scored.groupBy("doc_id").agg(F.min_by(F.struct("rep", "similarity"), "rep").alias("m")).select(
-        F.col("m.rep").alias("a"), F.col("doc_id").alias("b"), (1 - F.col("m.similarity")).alias("jaccard_dist"))
+    bands = sig.select("doc_id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(N_BANDS - 1)),
+                                                          lambda j: F.xxhash64(F.slice("sig", j * rows + 1, rows)))).alias("band", "key"))
+    bands = bands.select("doc_id", F.xxhash64("band", "key").alias("key"))
+    reps = bands.groupBy("key").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
+    member = bands.join(reps, "key")
+    chain = TS.shifted(TS.ranged(member, "key", ["doc_id"]), "key", ["doc_id"], {"before": ("doc_id", 1)})
+    links = (member.select("a", F.col("doc_id").alias("b")).unionByName(chain.select(F.col("before").alias("a"), F.col("doc_id").alias("b")))
+             .where("a < b").distinct())
+    left, right = sig.select(F.col("doc_id").alias("a"), F.col("sig").alias("p")), sig.select(F.col("doc_id").alias("b"), F.col("sig").alias("q"))
+    same = F.aggregate(F.zip_with("p", "q", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda acc, x: acc + x) / float(N_HASHES)
+    near = links.join(left, "a").join(right, "b").select("a", "b", (1 - same).alias("jaccard_dist")).where("jaccard_dist <= 0.5")
+    return near.unionByName(copies)
 
 
 @query("ann_join")
@@ -622,12 +655,11 @@ def ann_join(t):
 @query("prefix_span")
 def prefix_span(t):
     """Frequent sequential patterns of event types in user sessions."""
-    from marquee.operators import timeseries as TS
     ev = t.events.select("user_id", "ts", "event_id", "event_type")
     s = TS.sessionize(ev, "user_id", "ts", gap_s=1800)
     seqs = (s.groupBy("user_id", "session_id")
             .agg(F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id", "event_type"))), lambda x: F.array(x["event_type"])).alias("sequence")))
-    return fpm.PrefixSpan(minSupport=0.05, maxPatternLength=3).findFrequentSequentialPatterns(seqs)
+    return fpm.PrefixSpan(minSupport=0.05).findFrequentSequentialPatterns(seqs)
 
 
 @query("ks_test")
@@ -638,11 +670,12 @@ def ks_test(t):
 
 @query("eval_ranking")
 def eval_ranking(t):
-    """Ranking metrics of a popularity ranking against each user's items."""
-    ev = t.events.select("user_id", F.get_json_object("props", "$.k").cast("double").alias("item"))
-    pop = [float(r_["item"]) for r_ in ev.groupBy("item").count().orderBy(F.desc("count"), "item").limit(10).collect()]
-    truth = ev.groupBy("user_id").agg(F.collect_set("item").alias("label"))
-    d = truth.select(F.array(*[F.lit(x) for x in pop]).alias("prediction"), "label")
+    """Ranking metrics of the popularity ranking of all items against each
+    user's items; the ranking is one row joined to the users."""
+    ev = t.events.select("user_id", F.get_json_object("props", "$.k").cast("double").alias("item")).where("item is not null")
+    by = ev.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    order = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "item"))), lambda x: x["item"])
+    d = ev.groupBy("user_id").agg(F.collect_set("item").alias("label")).crossJoin(F.broadcast(by.agg(order.alias("prediction"))))
     evr = E.RankingEvaluator(predictionCol="prediction", labelCol="label")
     vals = {m: evr.setMetricName(m).evaluate(d) for m in ("meanAveragePrecision", "precisionAtK", "ndcgAtK")}
     return t.spark.range(1).select(*[F.lit(v).alias(k) for k, v in vals.items()])
@@ -651,7 +684,7 @@ def eval_ranking(t):
 @query("ml_cv")
 def ml_cv(t):
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
-    d = _doc_features(t)
+    _, d = _doc_features(t)
     lr = C.LogisticRegression(maxIter=20)
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.01, 0.1]).build()
     ev = E.BinaryClassificationEvaluator()

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from marquee.operators.relational import dedup_keep_first, maybe_broadcast
+from marquee.operators import timeseries as TS
+from marquee.operators.relational import dedup_keep_first
 from marquee.plans.registry import query
 
 
@@ -213,6 +214,36 @@ def explode(t):
                     F.size(F.split("p_name", " ")).alias("n_words"))
 
 
+@query("explode_outer", oracle="""
+SELECT p_partkey, pos, word FROM (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN [] WHEN p_partkey % 3 = 1 THEN string_split(p_name, ' ') END AS w FROM part),
+  LATERAL (SELECT * FROM (SELECT unnest(w) AS word, CAST(generate_subscripts(w, 1) - 1 AS INTEGER) AS pos) UNION ALL SELECT NULL, NULL WHERE coalesce(len(w), 0) = 0)
+""")
+def explode_outer(t):
+    """explode_outer / posexplode_outer: empty and NULL arrays keep their row."""
+    k = F.col("p_partkey") % 3
+    w = F.when(k == 0, F.array().cast("array<string>")).when(k == 1, F.split("p_name", " "))
+    p = t.part.select("p_partkey", w.alias("w"))
+    pos = p.select("p_partkey", F.posexplode_outer("w").alias("pos", "word"))
+    plain = p.select("p_partkey", F.explode_outer("w").alias("word"))
+    # both keep the same rows: an outer explode without positions adds none
+    return pos.join(plain.select("p_partkey").distinct(), "p_partkey", "left_semi")
+
+
+@query("inline", oracle="""
+SELECT o_orderkey, u.a AS a, u.b AS b, 'inner' AS kind FROM (SELECT o_orderkey, unnest([{'a': o_orderkey % 7, 'b': o_orderstatus}, {'a': o_custkey, 'b': 'x'}]) AS u
+  FROM orders WHERE o_orderkey % 2 = 0)
+UNION ALL SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey END, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END, 'outer' FROM orders
+""")
+def inline(t):
+    """inline / inline_outer: arrays of structs to rows and columns."""
+    even = F.col("o_orderkey") % 2 == 0
+    pair = F.array(F.struct((F.col("o_orderkey") % 7).alias("a"), F.col("o_orderstatus").alias("b")),
+                   F.struct(F.col("o_custkey").alias("a"), F.lit("x").alias("b")))
+    one = F.when(even, F.array(F.struct(F.col("o_custkey").alias("a"), F.col("o_orderstatus").alias("b"))))
+    inner = t.orders.select("o_orderkey", F.inline(F.when(even, pair))).withColumn("kind", F.lit("inner"))
+    return inner.unionByName(t.orders.select("o_orderkey", F.inline_outer(one)).withColumn("kind", F.lit("outer")))
+
+
 @query("repartition", oracle="""
 SELECT l_suppkey, count(*) AS n, round(sum(l_quantity), 2) AS qty FROM lineitem GROUP BY l_suppkey
 """)
@@ -272,6 +303,21 @@ def sort(t):
     return o.orderBy(F.asc_nulls_first("prio"), F.desc("price"), F.asc("o_orderkey"))
 
 
+_NULL_ORDERS = (("asc_nulls_first", "ASC NULLS FIRST"), ("asc_nulls_last", "ASC NULLS LAST"),
+                ("desc_nulls_first", "DESC NULLS FIRST"), ("desc_nulls_last", "DESC NULLS LAST"))
+
+
+@query("sort_nulls", oracle="SELECT o_orderkey, " + ", ".join(
+    f"CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY nullif(o_orderpriority, '1-URGENT') {sql}, o_orderkey) AS INTEGER) AS {name}"
+    for name, sql in _NULL_ORDERS) + " FROM orders")
+def sort_nulls(t):
+    """The four null orders, as row numbers within a customer's orders."""
+    prio = F.nullif(F.col("o_orderpriority"), F.lit("1-URGENT"))
+    o = t.orders.select("o_orderkey", "o_custkey", prio.alias("prio"))
+    by = Window.partitionBy("o_custkey")
+    return o.select("o_orderkey", *[F.row_number().over(by.orderBy(getattr(F, name)("prio"), "o_orderkey")).alias(name) for name, _ in _NULL_ORDERS])
+
+
 @query("limit", oracle="SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 50")
 def limit(t):
     return t.orders.select("o_orderkey", "o_custkey").orderBy("o_orderkey").limit(50)
@@ -381,7 +427,7 @@ def join_cross(t):
     values, so the product is bounded whatever the row count)."""
     f = t.lineitem.select("l_returnflag").distinct()
     s = t.lineitem.select("l_linestatus").distinct()
-    return f.crossJoin(maybe_broadcast(s, 10_000))
+    return f.crossJoin(s)
 
 
 # ---------------------------------------------------------------- sampling and ids (rows-only)
@@ -435,15 +481,7 @@ def range_sort(t):
 @query("row_index")
 def row_index(t):
     """zipWithIndex: consecutive 0-based row numbers without a global
-    window — per-partition counts (one row per partition) give offsets,
-    ``monotonically_increasing_id`` gives the position in the partition."""
-    base = t.orders.select("o_orderkey")
-    mid = F.monotonically_increasing_id()
-    d = base.withColumn("_pid", F.spark_partition_id()).withColumn("_pos", mid - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
-    counts = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                                                F.lit(0)))
-    return d.join(F.broadcast(offs.select("_pid", "_off")), "_pid").select("o_orderkey", (F.col("_off") + F.col("_pos")).alias("row_index"))
-
-
-__all__ = ["Window"]
+    window: one range-partitioned pass, offsets from the rows of earlier
+    partitions."""
+    base = t.orders.select("o_orderkey").withColumn("all", F.lit(0))
+    return TS.positions(base, "all", ["o_orderkey"], "pos").select("o_orderkey", (F.col("pos") - 1).alias("row_index"))

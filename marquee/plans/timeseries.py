@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from marquee.functions.exact import micros
 from marquee.operators import timeseries as TS
-from marquee.operators.relational import maybe_broadcast
 from marquee.plans.registry import query
 
 
@@ -17,8 +16,6 @@ def r(c, n=6):
 
 
 _EV_ORDER = ["ts", "event_id"]
-def _w_user():
-    return Window.partitionBy("user_id").orderBy(*_EV_ORDER)
 
 
 @query("resample", oracle="""
@@ -129,9 +126,9 @@ def group_nth(t):
     """nth / head / tail per customer from skew-safe positions and the
     group size (aggregate + join)."""
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    p = TS.positions(o, "o_custkey", ["o_orderdate", "o_orderkey"], "rn", bucket_s=90 * 86400)
-    size = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
-    d = p.join(size, "o_custkey").withColumn("rd", F.col("n") - F.col("rn") + 1)
+    p = TS.positions(o, "o_custkey", ["o_orderdate", "o_orderkey"], "rn")
+    size = o.groupBy(F.col("o_custkey").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    d = p.join(size, p.o_custkey.eqNullSafe(size.k)).withColumn("rd", F.col("n") - F.col("rn") + 1)
     return d.select("o_orderkey", "o_custkey", (F.col("rn") == 2).alias("is_nth1"), (F.col("rn") <= 2).alias("in_head2"),
                     (F.col("rd") == 1).alias("is_tail1"))
 
@@ -155,9 +152,9 @@ def group_transform(t):
     """groupby.transform: group aggregates (partial aggregation) joined
     back to the rows — no whole-group window partition."""
     ev = t.events.select("event_id", "user_id", "value")
-    g = ev.groupBy("user_id").agg(F.sum("value").alias("s"), F.max("value").alias("mx"),
+    g = ev.groupBy(F.col("user_id").alias("k")).agg(F.sum("value").alias("s"), F.max("value").alias("mx"),
                                   F.count(F.lit(1)).alias("grp_n"), F.min("value").alias("mn"))
-    j = ev.join(g, "user_id")
+    j = ev.join(g, ev.user_id.eqNullSafe(g.k))
     return j.select("event_id", F.round("s", 2).alias("grp_sum"), F.col("mx").alias("grp_max"), "grp_n",
                     F.round(F.col("value") - F.col("mn"), 4).alias("above_min"))
 
@@ -170,12 +167,24 @@ SELECT o_orderpriority, count(*) AS size, count(DISTINCT o_custkey) AS nunique,
 FROM orders GROUP BY o_orderpriority
 """)
 def group_stats(t):
+    """Group statistics; median and quantile come from exact positions in
+    one range-partitioned pass, so no task holds a whole group's values."""
     v = F.col("o_totalprice")
-    return t.orders.groupBy("o_orderpriority").agg(
-        F.count(F.lit(1)).alias("size"), F.count_distinct("o_custkey").alias("nunique"), F.round(F.median(v), 4).alias("med"),
-        F.round(F.percentile(v, 0.25), 4).alias("q25"), F.round(F.stddev_samp(v), 4).alias("std"),
+    o = t.orders
+    stats = o.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("size"), F.count_distinct("o_custkey").alias("nunique"), F.round(F.stddev_samp(v), 4).alias("std"),
         F.round(F.var_samp(v), 2).alias("var"), F.round(F.stddev_samp(v) / F.sqrt(F.count(v)), 4).alias("sem"),
-        F.bool_and(v > 1000).alias("all_big"), F.bool_or(v > 400000).alias("any_huge"))
+        F.bool_and(v > 1000).alias("all_big"), F.bool_or(v > 400000).alias("any_huge"), F.count(v).alias("n"))
+    p = TS.positions(o.where(v.isNotNull()).select("o_orderpriority", "o_totalprice"), "o_orderpriority", ["o_totalprice"], "pos")
+    p = p.join(stats.select(F.col("o_orderpriority").alias("k"), "n"), F.col("o_orderpriority").eqNullSafe(F.col("k")))
+    picks = []
+    for name, q in (("med", 0.5), ("q25", 0.25)):
+        at = (F.col("n") - 1) * q + 1
+        low, high = F.max(F.when(F.col("pos") == F.floor(at), v)), F.max(F.when(F.col("pos") == F.ceil(at), v))
+        picks.append(F.round(low + (high - low) * F.max(at - F.floor(at)), 4).alias(name))
+    quant = p.groupBy("k").agg(*picks)
+    return (stats.join(quant, F.col("o_orderpriority").eqNullSafe(F.col("k")), "left")
+            .select("o_orderpriority", "size", "nunique", "med", "q25", "std", "var", "sem", "all_big", "any_huge"))
 
 
 @query("pivot_table", oracle="""
@@ -200,14 +209,18 @@ def stack(t):
             .where(F.col("value").isNotNull()))
 
 
+# fixed values: the statuses of an order
+ORDER_STATUSES = ("F", "O", "P")
+
+
 @query("get_dummies", oracle="""
 SELECT o_orderkey, CAST(o_orderstatus = 'F' AS INTEGER) AS "o_orderstatus_F", CAST(o_orderstatus = 'O' AS INTEGER) AS "o_orderstatus_O",
   CAST(o_orderstatus = 'P' AS INTEGER) AS "o_orderstatus_P" FROM orders
 """)
 def get_dummies(t):
-    """One-hot columns; the category list is the (bounded) distinct set."""
-    o = t.orders
-    cats = sorted(r_[0] for r_ in o.select("o_orderstatus").distinct().collect())
+    """One-hot columns of a declared category list (no pass over the data
+    to find it)."""
+    o, cats = t.orders, ORDER_STATUSES
     return o.select("o_orderkey", *[(F.col("o_orderstatus") == c).cast("int").alias(f"o_orderstatus_{c}") for c in cats])
 
 
@@ -215,13 +228,13 @@ def get_dummies(t):
 SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS BIGINT) AS code FROM orders
 """)
 def factorize(t):
-    """Codes from the sorted distinct values: the distinct table is small
-    (one row per category), numbered there and joined back — no global
-    window over all rows."""
+    """Codes from the sorted distinct values (NULL: -1), numbered in one
+    range-partitioned pass over the distinct table and joined back."""
     o = t.orders.select("o_orderkey", "o_orderpriority")
-    cats = o.select("o_orderpriority").distinct()
-    codes = cats.withColumn("code", (F.row_number().over(Window.orderBy("o_orderpriority")) - 1).cast("bigint"))
-    return o.join(maybe_broadcast(codes, 100_000), "o_orderpriority").select("o_orderkey", "code")
+    cats = o.where("o_orderpriority is not null").select(F.col("o_orderpriority").alias("cat"), F.lit(0).alias("all")).distinct()
+    codes = TS.positions(cats, "all", ["cat"], "pos")
+    return (o.join(codes, F.col("o_orderpriority") == F.col("cat"), "left")
+            .select("o_orderkey", F.coalesce(F.col("pos") - 1, F.lit(-1)).cast("bigint").alias("code")))
 
 
 @query("duplicated", oracle="""
@@ -229,8 +242,8 @@ SELECT o_orderkey, o_orderkey <> min(o_orderkey) OVER (PARTITION BY o_custkey, o
 """)
 def duplicated(t):
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
-    first = o.groupBy("o_custkey", "o_orderstatus").agg(F.min("o_orderkey").alias("first_key"))
-    return o.join(first, ["o_custkey", "o_orderstatus"]).select("o_orderkey", (F.col("o_orderkey") != F.col("first_key")).alias("dup"))
+    first = o.groupBy(F.col("o_custkey").alias("k"), F.col("o_orderstatus").alias("s")).agg(F.min("o_orderkey").alias("first_key"))
+    return o.join(first, o.o_custkey.eqNullSafe(first.k) & o.o_orderstatus.eqNullSafe(first.s)).select("o_orderkey", (F.col("o_orderkey") != F.col("first_key")).alias("dup"))
 
 
 @query("clip", oracle="""
@@ -330,7 +343,7 @@ def str_accessor(t):
     p = t.part.withColumn("p_mfgr", F.substring("p_brand", 1, 5))
     name, typ, brand = F.col("p_name"), F.col("p_type"), F.col("p_brand")
     return p.select(
-        "p_partkey", F.concat(F.upper(typ.substr(1, 1)), F.lower(typ.substr(2, 10_000))).alias("capitalized"),
+        "p_partkey", F.concat(F.upper(typ.substr(1, 1)), F.lower(F.substring(typ, F.lit(2), F.length(typ)))).alias("capitalized"),
         F.lower(typ).alias("low"), typ.startswith("STANDARD").alias("sw"), typ.endswith("TIN").alias("ew"),
         F.trim(F.concat(F.lit("  "), brand, F.lit(" "))).alias("stripped"), typ.substr(1, 1).alias("first_char"),
         brand.rlike("^[A-Za-z0-9]+$").alias("isalnum"), F.col("p_mfgr").rlike("^[A-Za-z]+$").alias("isalpha"),
@@ -341,7 +354,7 @@ def str_accessor(t):
         F.length(name).cast("bigint").alias("len"), F.rpad(brand, 12, ".").alias("ljust"), F.lpad(brand, 12, ".").alias("rjust"),
         typ.rlike("^STANDARD").alias("match_std"), F.lpad(F.col("p_size").cast("string"), 4, "0").alias("zfill"),
         F.replace(typ, F.lit(" "), F.lit("_")).alias("replaced"), name.substr(3, 4).alias("sliced"),
-        F.split_part(typ, F.lit(" "), F.lit(2)).alias("split2"), F.repeat(brand.substr(7, 100), 2).alias("repeated"))
+        F.split_part(typ, F.lit(" "), F.lit(2)).alias("split2"), F.repeat(F.substring(brand, F.lit(7), F.length(brand)), 2).alias("repeated"))
 
 
 @query("frame_arith", oracle="""
@@ -488,6 +501,6 @@ def dt_accessor(t):
 @query("ewm")
 def ewm(t):
     """EWM mean (alpha 0.3, min_periods 2) of event values per user,
-    chunked by day (see ``operators.timeseries.ewm_mean``)."""
+    see ``operators.timeseries.ewm_mean``."""
     ev = t.events.select("user_id", "ts", "event_id", "value")
     return TS.ewm_mean(ev, "user_id", "ts", "value", alpha=0.3, min_periods=2)

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf, udf
 
 from marquee.functions.pyhelpers import minutes_py
-from marquee.operators.relational import bucket_of, key_buckets, maybe_broadcast, salt
+from marquee.operators.relational import salt
 from marquee.plans.catalog import duration_sql
 from marquee.plans.registry import query
 
@@ -116,20 +116,16 @@ SELECT l_orderkey, l_linenumber, l_partkey, round(l_extendedprice / sum(l_extend
 FROM lineitem
 """)
 def grouped_map(t):
-    """applyInPandas: each line's share of its order value.  Groups are
-    hash buckets of the order key (whole orders stay together; bucket
-    count tied to the shuffle partitions), so one Python call handles
-    many orders and pandas does the per-order work vectorised."""
-    n = key_buckets(t.spark)
-    li = (t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-          .withColumn("_g", bucket_of("l_orderkey", n)))
+    """applyInPandas: each line's share of its order value.  An order's
+    lines are bounded by the data model, so each group is small at any
+    scale."""
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
 
     def share(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = pdf.groupby("l_orderkey")["l_extendedprice"].transform("sum")
-        out = pdf.assign(share=(pdf["l_extendedprice"] / total).round(6))
+        out = pdf.assign(share=(pdf["l_extendedprice"] / pdf["l_extendedprice"].sum()).round(6))
         return out[["l_orderkey", "l_linenumber", "l_partkey", "share"]]
 
-    return li.groupBy("_g").applyInPandas(
+    return li.groupBy("l_orderkey").applyInPandas(
         share, "l_orderkey long, l_linenumber int, l_partkey long, share double")
 
 
@@ -194,21 +190,21 @@ def exclude_words(t):
 
 @query("predict_batch")
 def predict_batch(t):
-    """``predict_batch_udf``: a model loaded once per Python worker,
-    applied to fixed-size batches of embedding vectors."""
-    from pyspark.ml.functions import predict_batch_udf
+    """``predict_batch_udf``: a linear model of the label, fitted on the
+    table, loaded once per Python worker and applied to fixed-size batches
+    of embedding vectors."""
+    from pyspark.ml.functions import array_to_vector, predict_batch_udf
+    from pyspark.ml.regression import LinearRegression
 
-    def make_predict_fn():
-        rng = np.random.default_rng(0)
-        w = rng.normal(size=(64,)).astype("float32")
+    d = t.embeddings.select("vec_id", F.col("label").cast("double").alias("label"), array_to_vector("embedding").alias("features"))
+    m = LinearRegression(regParam=0.1, solver="normal").fit(d.where("label is not null"))
+    weights, bias = np.array(m.coefficients.toArray()), float(m.intercept)
 
+    def make_predict_fn():
         def predict(x: np.ndarray) -> np.ndarray:
-            return x @ w
+            return x @ weights + bias
 
         return predict
 
-    score = predict_batch_udf(make_predict_fn, return_type=T.FloatType(), batch_size=256, input_tensor_shapes=[[64]])
+    score = predict_batch_udf(make_predict_fn, return_type=T.DoubleType(), batch_size=256, input_tensor_shapes=[[len(weights)]])
     return t.embeddings.select("vec_id", score("embedding").alias("score"))
-
-
-__all__ = ["maybe_broadcast"]

@@ -5,7 +5,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from marquee.functions.exact import cents, fixed_mean, fixed_mean_sql, micros
+from marquee.functions.exact import cents, fixed_mean, fixed_mean_sql
 from marquee.operators import timeseries as TS
 from marquee.operators.relational import topk_per_group
 from marquee.plans.registry import query
@@ -15,10 +15,6 @@ def r(c, n=2):
     return F.round(c, n)
 
 
-def _w_cust():
-    return Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey")
-
-
 @query("win_rank", oracle="""
 SELECT o_orderkey, o_custkey,
   row_number() OVER w AS rn, rank() OVER w AS rnk, dense_rank() OVER w AS drnk,
@@ -26,23 +22,15 @@ SELECT o_orderkey, o_custkey,
 FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey)
 """)
 def win_rank(t):
-    """Ranking functions per customer by price (desc) without a
-    whole-customer window: bucketed positions + peer aggregates."""
+    """Ranking functions per customer by price (desc) in one
+    range-partitioned pass."""
     o = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
-    d = TS.rank_columns(o, "o_custkey", "o_totalprice", "o_orderkey", descending=True, bucket_width=50_000.0)
+    d = TS.rank_columns(o, "o_custkey", "o_totalprice", "o_orderkey", descending=True)
     return d.select("o_orderkey", "o_custkey", F.col("rn").cast("int").alias("rn"), F.col("rnk").cast("int").alias("rnk"),
                     F.col("drnk").cast("int").alias("drnk"), r(F.col("prank"), 6).alias("prank"),
                     r(F.col("cdist"), 6).alias("cdist"), F.col("ntile").alias("quartile"))
 
 
-def win_rank_windows(t):
-    """The same ranks with Spark's window functions (reference form)."""
-    w = _w_cust()
-    return t.orders.select("o_orderkey", "o_custkey", F.row_number().over(w).alias("rn"), F.rank().over(w).alias("rnk"),
-                           F.dense_rank().over(w).alias("drnk"), r(F.percent_rank().over(w), 6).alias("prank"),
-                           r(F.cume_dist().over(w), 6).alias("cdist"), F.ntile(4).over(w).alias("quartile"))
-
-
 @query("win_offset", oracle="""
 SELECT o_orderkey, lag(o_orderkey) OVER w AS prev_order, lead(o_orderkey, 2, -1) OVER w AS next2,
   nth_value(o_orderkey, 2) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
@@ -50,23 +38,35 @@ SELECT o_orderkey, lag(o_orderkey) OVER w AS prev_order, lead(o_orderkey, 2, -1)
 FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)
 """)
 def win_offset(t):
-    """lag(1), lead(2, default -1) and nth_value(2) per customer.  Rows
-    get skew-safe positions, then lag/lead are equi joins on (customer,
-    position ± i) — balanced whatever the key skew — and nth_value is a
-    per-customer aggregate joined back (AQE splits a hot customer)."""
+    """lag(1), lead(2, default -1) and nth_value(2) per customer: one
+    range-partitioned pass; nth_value is a per-customer aggregate joined
+    back, null-safe."""
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    p = TS.positions(o, "o_custkey", ["o_orderdate", "o_orderkey"], "pos", bucket_s=90 * 86400)
-
-    def shifted(k, name):
-        return p.select(F.col("o_custkey").alias(f"_c{name}"), (F.col("pos") - k).alias(f"_p{name}"),
-                        F.col("o_orderkey").alias(name))
-
-    prev, nxt = shifted(-1, "prev_order"), shifted(2, "next2")
-    second = p.groupBy("o_custkey").agg(F.max(F.when(F.col("pos") == 2, F.col("o_orderkey"))).alias("second_order"))
-    j = (p.join(prev, (p.o_custkey == prev["_cprev_order"]) & (p.pos == prev["_pprev_order"]), "left")
-         .join(nxt, (p.o_custkey == nxt["_cnext2"]) & (p.pos == nxt["_pnext2"]), "left")
-         .join(second, "o_custkey", "left"))
-    return j.select("o_orderkey", "prev_order", F.coalesce("next2", F.lit(-1).cast("bigint")).alias("next2"), "second_order")
+    order = ["o_orderdate", "o_orderkey"]
+    d = TS.ranged(o.withColumn("one", F.lit(1)), "o_custkey", order)
+    d = TS.running(d, "o_custkey", order, {"pos": ("count", "one")})
+    d = TS.shifted(d, "o_custkey", order, {"prev_order": ("o_orderkey", 1), "next2": ("o_orderkey", -2)})
+    second = d.where("pos = 2").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("second_order"))
+    return d.join(second, d.o_custkey.eqNullSafe(second.k), "left").select(
+        "o_orderkey", "prev_order", F.coalesce("next2", F.lit(-1).cast("bigint")).alias("next2"), "second_order")
+
+
+@query("nth_value", oracle="""
+SELECT o_orderkey, first_value(k IGNORE NULLS) OVER w AS first_known, nth_value(k, 2 IGNORE NULLS) OVER w AS second_known, nth_value(k, 2) OVER w AS second_any
+FROM (SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderstatus <> 'O' THEN o_orderkey END AS k, l.n FROM orders
+  JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) l ON o_orderkey = l_orderkey)
+WINDOW w AS (PARTITION BY n, o_orderkey // 50 ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+""")
+def nth_value(t):
+    """nth_value with and without NULLs over windows of a few rows (orders of
+    one line count within fifty keys)."""
+    n = t.lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    o = t.orders.join(n, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        "o_orderkey", "n", F.when(F.col("o_orderstatus") != "O", F.col("o_orderkey")).alias("k"))
+    w = (Window.partitionBy("n", F.floor(F.col("o_orderkey") / 50)).orderBy("o_orderkey")
+         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return o.select("o_orderkey", F.first("k", ignorenulls=True).over(w).alias("first_known"),
+                    F.nth_value("k", 2, ignoreNulls=True).over(w).alias("second_known"), F.nth_value("k", 2).over(w).alias("second_any"))
 
 
 @query("win_rows", oracle="""
@@ -74,11 +74,10 @@ SELECT o_orderkey, round(sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS running_total FROM orders
 """)
 def win_rows(t):
-    """Running total per customer (ROWS frame), skew-safe: running sums
-    inside (customer, 90-day bucket) plus earlier buckets' totals."""
+    """Running total per customer (ROWS frame): running sums inside
+    (customer, partition) plus the totals of earlier partitions."""
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    run = TS.bucketed_running(o, "o_custkey", ["o_orderdate", "o_orderkey"], {"rt": ("sum", "o_totalprice")},
-                              bucket_s=90 * 86400)
+    run = TS.bucketed_running(o, "o_custkey", ["o_orderdate", "o_orderkey"], {"rt": ("sum", "o_totalprice")})
     return run.select("o_orderkey", r(F.col("rt")).alias("running_total"))
 
 
@@ -94,10 +93,8 @@ FROM events WINDOW w AS ({part} ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING A
 
 
 def _rolling(df, part):
-    """3-row moving window with min_periods=3.  The two preceding rows are
-    joined on (key, position - i) — positions come from a skew-safe
-    running count — so even a key holding most rows is spread over all
-    tasks (no single-key window partition)."""
+    """3-row moving window with min_periods=3 over the two preceding rows of
+    the range-partitioned key (no single-key window partition)."""
     key = part[0]
     d = TS.rolling_rows(df.select(key, "ts", "event_id", "value"), key, ["ts", "event_id"], "value", 3)
     a, b, c = F.col("value"), F.col("_lag1"), F.col("_lag2")
@@ -128,8 +125,8 @@ SELECT event_id, count(value) OVER w AS cnt, round(sum(value) OVER w, 4) AS tota
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 """)
 def expanding(t):
-    """Expanding count / sum / mean / min / max per user, skew-safe
-    (bucketed running aggregates)."""
+    """Expanding count / sum / mean / min / max per user, in one
+    range-partitioned pass."""
     ev = t.events.select("user_id", "ts", "event_id", "value").withColumn("c", cents("value"))
     run = TS.bucketed_running(ev, "user_id", ["ts", "event_id"],
                               {"cnt": ("count", "value"), "total": ("sum", "value"), "cents": ("sum", "c"),
@@ -150,13 +147,6 @@ def win_range(t):
     return d.select("event_id", F.col("_n").alias("n_last_hour"), r(F.col("_s"), 4).alias("value_last_hour"))
 
 
-def win_range_plain(t):
-    """The same frame as a single per-key window (reference form)."""
-    ev = t.events.withColumn("us", micros("ts"))
-    w = Window.partitionBy("user_id").orderBy("us").rangeBetween(-3_600_000_000, 0)
-    return ev.select("event_id", F.count(F.lit(1)).over(w).alias("n_last_hour"), r(F.sum("value").over(w), 4).alias("value_last_hour"))
-
-
 @query("win_share", oracle="""
 SELECT o_orderkey, round(o_totalprice / sum(o_totalprice) OVER (PARTITION BY o_custkey), 6) AS share FROM orders
 """)
@@ -165,7 +155,9 @@ def win_share(t):
     (partial per task) joined back, not a whole-key window buffer."""
     o = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
     tot = o.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("tot"))
-    return o.join(tot, "o_custkey").select("o_orderkey", r(F.col("o_totalprice") / F.col("tot"), 6).alias("share"))
+    tot = tot.withColumnRenamed("o_custkey", "k")
+    return (o.join(tot, o.o_custkey.eqNullSafe(tot.k))
+            .select("o_orderkey", r(F.col("o_totalprice") / F.col("tot"), 6).alias("share")))
 
 
 _FILL_SRC = "(SELECT user_id, ts, event_id, CASE WHEN event_type IN ('error', 'signup') THEN NULL ELSE value END AS v FROM events)"
@@ -220,8 +212,8 @@ GROUP BY user_id, session_id
 
 @query("sessions_batch", oracle=_SESSIONS_SQL)
 def sessions_batch(t):
-    """Sessions with a 30-minute gap: skew-safe two-phase sessionization
-    (per (user, day) windows + a per-user carry over day rows)."""
+    """Sessions with a 30-minute gap: one range-partitioned pass with a
+    carry over partition borders."""
     ev = t.events.select("user_id", "ts", "event_id")
     return TS.sessions_summary(ev, "user_id", "ts", gap_s=1800)
 
@@ -230,14 +222,23 @@ def sessions_batch(t):
 SELECT event_id, round(avg(value) OVER (PARTITION BY event_type), 6) AS type_mean FROM events
 """)
 def win_pandas(t):
-    """Grouped-aggregate pandas UDF evaluated over an unbounded window
-    (the whole-partition frame); one Arrow batch per partition key."""
+    """Whole-group mean by a grouped-aggregate pandas UDF.  A mean is made
+    of sums and counts, so the UDF runs over (type, salt) groups of bounded
+    size, the partial sums meet in a built-in aggregate, and the result is
+    joined back, null-safe: no Python worker sees a whole event type."""
     import pandas as pd
     from pyspark.sql.functions import pandas_udf
 
     @pandas_udf("double")
-    def mean_udf(v: pd.Series) -> float:
-        return float(v.mean())
-
-    w = Window.partitionBy("event_type").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return t.events.select("event_id", r(mean_udf("value").over(w), 6).alias("type_mean"))
+    def sum_udf(v: pd.Series) -> float:
+        return float(v.sum())
+
+    ev = t.events.select("event_id", "event_type", "value")
+    # about as many salts as it takes for 100,000 rows a group
+    salts = max(1, -(-ev.count() // 100_000))
+    known = ev.where("value is not null")
+    part = (known.groupBy("event_type", F.pmod(F.xxhash64("event_id"), F.lit(salts)).alias("salt")).agg(sum_udf("value").alias("s")))
+    n = known.groupBy(F.col("event_type").alias("t")).agg(F.count(F.lit(1)).alias("n"))
+    total = part.groupBy(F.col("event_type").alias("k")).agg(F.sum("s").alias("s"))
+    mean = total.join(n, total.k.eqNullSafe(n.t)).select("k", (F.col("s") / F.col("n")).alias("m"))
+    return ev.join(mean, ev.event_type.eqNullSafe(mean.k), "left").select("event_id", r(F.col("m"), 6).alias("type_mean"))

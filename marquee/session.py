@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import weakref
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -20,22 +23,35 @@ RUNTIME_CONF = {
     "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
-_PREPARED: set[int] = set()
+_PREPARED: weakref.WeakSet = weakref.WeakSet()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply runtime settings once per session (cheap, idempotent)."""
-    key = id(spark)
-    if key not in _PREPARED:
+    """Apply runtime settings and ship the package, once per session."""
+    if spark not in _PREPARED:
         for k, v in RUNTIME_CONF.items():
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # pragma: no cover - static conf on some builds
-                pass
-        _PREPARED.add(key)
+            spark.conf.set(k, v)
+        ship(spark)
+        _PREPARED.add(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which may run from another
+    folder than the driver."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    if not os.path.isdir(root) or any(f.endswith("/marquee-package.zip") for f in spark.sparkContext.listFiles):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="marquee-ship-"), "marquee-package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("marquee", os.path.relpath(full, root)))
+    spark.sparkContext.addPyFile(path)
+
+
 def build_session(master: str | None = None, app: str = "marquee",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -62,9 +78,9 @@ def build_session(master: str | None = None, app: str = "marquee",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Read from ``spark.checkpoint.dir`` (or an already-set context dir);
-    only when nothing is configured (local tests) a scratch folder is
-    created and registered.
+    Read from ``spark.checkpoint.dir`` (or an already-set context dir).
+    Where nothing is configured, a scratch folder is made on a local master
+    only; on a cluster executors would not see it, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -72,6 +88,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not re.match(r"local($|\[)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="marquee-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -19,10 +19,13 @@ from marquee.operators.relational import dedup_keep_first
 
 
 def _existing(spark, path: str, fmt: str, batch_id: int) -> DataFrame | None:
-    try:
-        old = spark.read.format(fmt).load(path)
-    except Exception:
+    """Rows of other batches; None only where nothing was written yet: any
+    other fault of reading must fail the batch, or copies would slip in."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(jpath) or not [s for s in fs.listStatus(jpath) if s.getPath().getName().startswith("_batch=")]:
         return None
+    old = spark.read.format(fmt).load(path)
     if "_batch" in old.columns:
         old = old.where(F.col("_batch") != batch_id)
     return old

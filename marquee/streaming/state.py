@@ -1,8 +1,8 @@
 """Custom stateful stream operators (``applyInPandasWithState``).
 
-State per key is a handful of numbers (the open session), never the
-key's events; sessions are emitted when the event-time watermark passes
-their end (timeout), so state is bounded by the watermark delay.
+State per key holds the open sessions and the events newer than the
+watermark; sessions are emitted when the watermark passes their end, so
+state is bounded by the watermark delay.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 SESSION_OUT = "key string, start timestamp, end timestamp, num_events long, duration_s long, closed boolean"
-SESSION_STATE = "start long, last long, n long, closed boolean"
+SESSION_STATE = "start array<long>, last array<long>, n array<long>, closed array<boolean>"
 
 
 def _micros(s: pd.Series) -> pd.Series:
@@ -28,40 +28,59 @@ def _emit(key, start_us, end_us, n, closed):
             "num_events": n, "duration_s": (end_us // 1_000_000) - (start_us // 1_000_000), "closed": closed}
 
 
+def merge_runs(runs: list[tuple], gap_us: int) -> list[list[tuple]]:
+    """Sessions of sorted runs (start, last, n, closed): a run joins the
+    session before it unless that one is closed or ended a gap ago."""
+    out: list[list[tuple]] = []
+    for r in sorted(runs):
+        if out and not out[-1][-1][3] and r[0] - max(x[1] for x in out[-1]) <= gap_us:
+            out[-1].append(r)
+        else:
+            out.append([r])
+    return out
+
+
 def sessions_with_close(events: DataFrame, key: str, ts: str, close_col: str, gap_s: int,
                         watermark: str = "10 seconds") -> DataFrame:
     """Event-time sessions ended by a gap or by a closing event.
 
     ``events`` must be a stream with columns (key, ts, close_col boolean).
-    End of a session = closing event time, else last event + gap.  A
-    session is emitted once the watermark passes its end.
+    End of a session = closing event time, else last event + gap.  A session
+    is emitted once the watermark passes its end.
+
+    State of a key: its open sessions as runs (start, last, events, closed).
+    Events newer than the watermark are runs of their own, since one that
+    comes late may still join, divide or close them; older neighbours of a
+    session are put together, as nothing can come between them any more.
     """
     gap_us = gap_s * 1_000_000
 
     def update(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        key_v = str(k[0])
-        out = []
-        if state.hasTimedOut:
-            start, last, n, closed = state.get
+        runs = list(zip(*state.get)) if state.exists else []
+        if not state.hasTimedOut:
+            for pdf in pdfs:
+                runs += [(t, t, 1, bool(c)) for t, c in zip(_micros(pdf[ts]).tolist(), pdf[close_col].fillna(False).tolist())]
+        mark = state.getCurrentWatermarkMs() * 1000
+        out, kept, ends = [], [], []
+        for session in merge_runs(runs, gap_us):
+            last, closed = max(r[1] for r in session), session[-1][3]
             end = last if closed else last + gap_us
-            out.append(_emit(key_v, start, end, n, closed))
-            state.remove()
-        else:
-            cur = state.get if state.exists else None
-            rows = pd.concat(list(pdfs)).sort_values(ts)
-            for t_us, is_close in zip(_micros(rows[ts]).tolist(), rows[close_col].tolist()):
-                if cur is not None and (cur[3] or t_us - cur[1] > gap_us):
-                    start, last, n, closed = cur
-                    out.append(_emit(key_v, start, last if closed else last + gap_us, n, closed))
-                    cur = None
-                if cur is None:
-                    cur = (t_us, t_us, 1, bool(is_close))
+            if end <= mark:
+                out.append(_emit(str(k[0]), session[0][0], end, sum(r[2] for r in session), closed))
+                continue
+            ends.append(end)
+            done: list[tuple] = []
+            for r in session:
+                if done and not done[-1][3] and not r[3] and r[1] < mark:
+                    done[-1] = (done[-1][0], max(done[-1][1], r[1]), done[-1][2] + r[2], False)
                 else:
-                    cur = (cur[0], max(cur[1], t_us), cur[2] + 1, bool(is_close))
-            if cur is not None:
-                state.update(cur)
-                end = cur[1] if cur[3] else cur[1] + gap_us
-                state.setTimeoutTimestamp(end // 1000)
+                    done.append(r)
+            kept += done
+        if kept:
+            state.update(tuple(list(c) for c in zip(*kept)))
+            state.setTimeoutTimestamp(max(min(ends) // 1000, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
         if out:
             yield pd.DataFrame(out)
 
@@ -85,13 +104,14 @@ def count_until_idle(events: DataFrame, key: str, ts: str, idle_ms: int) -> Data
             yield pd.DataFrame([{"key": str(k[0]), "n": n, "first_seen": pd.Timestamp(first, unit="us"),
                                  "last_seen": pd.Timestamp(last, unit="us")}])
             return
-        rows = pd.concat(list(pdfs))
-        us = _micros(rows[ts])
-        n, first, last = state.get if state.exists else (0, int(us.min()), int(us.max()))
-        state.update((n + len(rows), min(first, int(us.min())), max(last, int(us.max()))))
+        cur = state.get if state.exists else None
+        for pdf in pdfs:
+            us = _micros(pdf[ts])
+            n, first, last = cur or (0, int(us.min()), int(us.max()))
+            cur = (n + len(pdf), min(first, int(us.min())), max(last, int(us.max())))
+        state.update(cur)
         state.setTimeoutDuration(idle_ms)
-        if False:
-            yield pd.DataFrame()
+        yield from ()
 
     return events.groupBy(key).applyInPandasWithState(update, COUNT_OUT, COUNT_STATE, "update",
                                                       GroupStateTimeout.ProcessingTimeTimeout)

@@ -5,11 +5,12 @@ partitioning, determinism under fixed seeds."""
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marquee.operators import joins as J
 from marquee.operators import timeseries as TS
-from marquee.operators.relational import dedup_keep_first, fits, maybe_broadcast, topk_per_group
+from marquee.operators.relational import dedup_keep_first, topk_per_group
 from marquee.plans import registry
 
 
@@ -57,17 +58,98 @@ def test_range_join_matches_nested_loop(spark, sf_dir):
     assert got == want
 
 
-def test_sessionize_invariant_to_bucket_width(spark, sf_dir):
-    ev = _events_pd(spark, sf_dir).select("user_id", "ts", "event_id", "event_type")
-    close = F.col("event_type") == "purchase"
-    a = TS.sessionize(ev, "user_id", "ts", 1800, bucket_s=3600, close=close).select("event_id", "session_id")
-    b = TS.sessionize(ev, "user_id", "ts", 1800, bucket_s=86400 * 365, close=close).select("event_id", "session_id")
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+NULLS = [(1, 1, 1.0), (1, 2, None), (1, 3, 3.0), (None, 1, 5.0), (None, 2, None), (None, 4, 2.0), (2, None, 7.0), (2, 3, None), (2, 3, 9.0)]
+
+
+def _nulls(spark, hot=0):
+    """Rows with NULL keys, times and values; ``hot`` more rows of one key."""
+    rows = [(k, t, v, i) for i, (k, t, v) in enumerate(NULLS)] + [(3, i // 2, float(i % 7) if i % 3 else None, 100 + i) for i in range(hot)]
+    return spark.createDataFrame(rows, "k int, t int, v double, i int").repartition(5)
+
+
+def _same(a, b):
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 0
+
+
+@pytest.fixture(params=[0, 400])
+def nulls(spark, request):
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")     # many partitions: every border is crossed
+    yield _nulls(spark, request.param)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_running_and_positions_keep_null_rows(nulls):
+    w = Window.partitionBy("k").orderBy("t", "i").rowsBetween(Window.unboundedPreceding, 0)
+    got = TS.bucketed_running(nulls, "k", ["t", "i"], {"n": ("count", "v"), "s": ("sum", "v"), "lo": ("min", "v"), "hi": ("max", "v")})
+    want = nulls.withColumns({"n": F.count("v").over(w), "s": F.sum("v").over(w), "lo": F.min("v").over(w), "hi": F.max("v").over(w)})
+    _same(got, want)
+    _same(TS.positions(nulls, "k", [F.col("t").desc(), "i"]), nulls.withColumn("pos", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("t"), "i")).cast("long")))
+
+
+def test_fills_keep_null_rows(nulls):
+    w = Window.partitionBy("k").orderBy("t", "i")
+    _same(TS.bucketed_fill(nulls, "k", ["t", "i"], "v", "f"), nulls.withColumn("f", F.last("v", True).over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    _same(TS.bucketed_fill(nulls, "k", ["t", "i"], "v", "f", backward=True), nulls.withColumn("f", F.first("v", True).over(w.rowsBetween(0, Window.unboundedFollowing))))
+
+
+def test_shifts_keep_null_rows(nulls):
+    w = Window.partitionBy("k").orderBy("t", "i")
+    _same(TS.rolling_rows(nulls, "k", ["t", "i"], "v", 4), nulls.withColumns({f"_lag{j}": F.lag("v", j).over(w) for j in (1, 2, 3)}))
+    d = TS.shifted(TS.ranged(nulls, "k", ["t", "i"]), "k", ["t", "i"], {"a": ("i", -2), "b": ("v", 1)}).drop("_b")
+    _same(d, nulls.withColumns({"a": F.lead("i", 2).over(w), "b": F.lag("v", 1).over(w)}))
+
+
+def test_ranks_keep_null_rows(nulls):
+    for down in (True, False):
+        w = Window.partitionBy("k").orderBy(F.desc("v") if down else F.asc("v"))
+        full = Window.partitionBy("k").orderBy(F.desc("v") if down else F.asc("v"), "i")
+        want = nulls.withColumns({"rn": F.row_number().over(full).cast("long"), "rnk": F.rank().over(w).cast("long"), "drnk": F.dense_rank().over(w).cast("long"),
+                                  "prank": F.percent_rank().over(w), "cdist": F.cume_dist().over(w), "ntile": F.ntile(4).over(full)})
+        got = TS.rank_columns(nulls, "k", "v", "i", descending=down)
+        _same(got.select(*want.columns), want)
+
+
+def test_sessions_keep_null_rows(nulls):
+    d = nulls.withColumn("ts", F.timestamp_seconds(F.col("t") * 10))
+    got = TS.sessionize(d, "k", "ts", 25, close=F.col("v") == 6)
+    w = Window.partitionBy("k").orderBy("t", "k", "t", "v", "i")
+    new = F.coalesce(F.lag("t").over(w).isNull() | (F.col("t") - F.lag("t").over(w) > 2.5) | F.coalesce(F.lag("v").over(w) == 6, F.lit(False)), F.lit(True))
+    want = d.withColumn("new", new.cast("long")).withColumn("session_id", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("new")
+    _same(got, want)
+
+
+def test_range_window_keeps_null_rows(nulls):
+    d = nulls.withColumn("ts", F.timestamp_seconds("t"))
+    w = Window.partitionBy("k").orderBy(F.unix_micros("ts")).rangeBetween(-3_000_000, 0)
+    _same(TS.range_window(d, "k", "ts", 3, "v"), d.withColumns({"_n": F.count(F.lit(1)).over(w), "_s": F.sum("v").over(w)}))
+
+
+@pytest.mark.parametrize("how", [{"alpha": 0.3}, {"com": 2.0}, {"span": 5.0}, {"halflife": 3.0}, {"alpha": 0.5, "ignore_na": True}])
+def test_ewm_with_nulls_matches_pandas(nulls, how):
+    d = nulls.where("t is not null").withColumn("ts", F.timestamp_seconds(F.col("t") * 1000 + F.col("i")))
+    got = {r.i: r.ewm for r in TS.ewm_mean(d, "k", "ts", "v", min_periods=2, **how).collect()}
+    p = d.toPandas().sort_values("ts")
+    p["k"] = p["k"].fillna(-1)
+    want = p.groupby("k")["v"].transform(lambda s: s.ewm(adjust=True, min_periods=2, **how).mean())
+    for i, x in zip(p["i"], want):
+        assert (got[i] is None) if np.isnan(x) else abs(got[i] - x) < 1e-9
+
+
+def test_interpolate_limits_match_pandas(nulls):
+    for direction in ("forward", "backward", "both"):
+        for limit in (None, 1):
+            got = {r.i: r.o for r in TS.interpolate_linear(nulls, "k", ["t", "i"], "v", "o", limit, direction).collect()}
+            p = nulls.toPandas().sort_values(["t", "i"], na_position="first")
+            p["k"] = p["k"].fillna(-1)
+            want = p.groupby("k")["v"].transform(lambda s: s.interpolate(method="linear", limit=limit, limit_direction=direction))
+            for i, x in zip(p["i"], want):
+                assert (got[i] is None) if np.isnan(x) else abs(got[i] - x) < 1e-9, (direction, limit, i)
 
 
 def test_ewm_matches_pandas(spark, sf_dir):
     ev = _events_pd(spark, sf_dir).select("user_id", "ts", "event_id", "value")
-    got = TS.ewm_mean(ev, "user_id", "ts", "value", alpha=0.3, min_periods=2, bucket_s=3600).select("event_id", "ewm").toPandas()
+    got = TS.ewm_mean(ev, "user_id", "ts", "value", alpha=0.3, min_periods=2).select("event_id", "ewm").toPandas()
     p = ev.toPandas().sort_values(["user_id", "ts", "event_id"])
     p["want"] = p.groupby("user_id")["value"].transform(lambda s: s.ewm(alpha=0.3, adjust=True, min_periods=2).mean())
     m = got.merge(p[["event_id", "want"]], on="event_id")
@@ -94,12 +176,6 @@ def test_topk_and_dedup(spark, sf_dir):
     assert sorted(d.o_orderkey) == sorted(p.groupby("o_custkey").o_orderkey.min())
 
 
-def test_bounded_broadcast(spark):
-    small, big = spark.range(10), spark.range(100)
-    assert fits(small, 10) and not fits(big, 10)
-    assert maybe_broadcast(big, 10) is big
-
-
 def _q(spark, sf_dir, name):
     return registry.queries()[name](spark, sf_dir)
 
