@@ -287,8 +287,8 @@ def ewm_mean(df: DataFrame, key: str, ts: str, value: str, alpha: float | None =
     import pandas as pd
 
     beta = 1.0 - ewm_alpha(alpha, com, span, halflife)
-    order = [F.col("_t"), F.col("_tie")]
-    d = df.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp"))).withColumn("_tie", F.xxhash64(*df.columns))
+    order = [F.col("_t"), *[F.col(c) for c in df.columns]]
+    d = df.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
     d = d.repartitionByRange(F.col(key).asc(), *order).sortWithinPartitions(F.col(key).asc(), *order)
     d = d.withColumn("_b", F.spark_partition_id()).withColumn("_x", F.col(value).cast("double"))
     d = d.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.lit("\x00null")))

@@ -284,17 +284,24 @@ def _broken_props(t):
     return ev.select("event_id", broken.alias("props"))
 
 
-@query("json_quarantine")
+@query("json_quarantine", oracle="""
+SELECT event_id, CASE WHEN event_type NOT IN ('error', 'signup') THEN CAST(json_extract(props, '$.k') AS INTEGER) END AS k,
+  CASE WHEN event_type = 'error' THEN substring(props, 1, length(props) - 1) WHEN event_type = 'signup' THEN '' END AS _corrupt
+FROM events
+""")
 def json_quarantine(t):
     """Valid payloads decode; truncated or missing ones go to quarantine
     (``_corrupt`` holds the raw text)."""
     return C.decode_records(_broken_props(t), "k INT", value="props", keep=("event_id",))
 
 
-@query("record_encode")
+@query("record_encode", oracle="""
+SELECT event_type AS key, '{"title":"' || event_type || '","event_id":' || event_id || ',"user_id":' || user_id || ',"value":' || cents || '}' AS value
+FROM (SELECT *, CAST(round(value * 100) AS BIGINT) AS cents FROM events)
+""")
 def record_encode(t):
     """Records → (key, JSON value) messages, keyed by title."""
-    rec = t.events.select(F.col("event_type").alias("title"), "event_id", "user_id", "value")
+    rec = t.events.select(F.col("event_type").alias("title"), "event_id", "user_id", F.round(F.col("value") * 100).cast("bigint").alias("value"))
     return C.encode_records(rec, "title")
 
 

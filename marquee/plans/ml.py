@@ -668,6 +668,49 @@ def ks_test(t):
     return S.KolmogorovSmirnovTest.test(vals, "z", "norm", 0.0, 1.0)
 
 
+@query("eval_clusters")
+def eval_clusters(t):
+    """Silhouette of a k-means clustering of the vectors (ClusteringEvaluator)."""
+    d = _emb(t)
+    m = K.KMeans(k=10, seed=1, maxIter=20).fit(d)
+    ev = E.ClusteringEvaluator(featuresCol="features", predictionCol="prediction", metricName="silhouette")
+    return d.agg(F.count(F.lit(1)).alias("n")).withColumn("silhouette", F.lit(float(ev.evaluate(m.transform(d)))))
+
+
+@query("eval_multilabel", oracle="""
+SELECT round(avg(CASE WHEN f = o THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM (
+  SELECT l_orderkey, list_sort(list(DISTINCT l_returnflag)) AS f, ['A'] AS o FROM lineitem GROUP BY l_orderkey)
+""")
+def eval_multilabel(t):
+    """Subset accuracy of a constant label set against the return flags of
+    every order (MultilabelClassificationEvaluator)."""
+    code = F.when(F.col("l_returnflag") == "A", 0.0).when(F.col("l_returnflag") == "N", 1.0).otherwise(2.0)
+    d = t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_set(code)).alias("label")).select(F.array(F.lit(0.0)).alias("prediction"), "label")
+    ev = E.MultilabelClassificationEvaluator(predictionCol="prediction", labelCol="label", metricName="subsetAccuracy")
+    return t.spark.range(1).select(F.round(F.lit(float(ev.evaluate(d))), 6).alias("accuracy"))
+
+
+@query("ml_robust_scale", oracle="""
+SELECT l_orderkey, l_linenumber, l_partkey, round((l_quantity - med) / (q75 - q25), 6) AS scaled FROM lineitem,
+  (SELECT quantile_disc(l_quantity, 0.5) AS med, quantile_disc(l_quantity, 0.25) AS q25, quantile_disc(l_quantity, 0.75) AS q75 FROM lineitem)
+""")
+def ml_robust_scale(t):
+    """RobustScaler on a column of fifty values: median and quartile range."""
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    d = FT.VectorAssembler(inputCols=["l_quantity"], outputCol="v").transform(li)
+    m = FT.RobustScaler(inputCol="v", outputCol="s", withCentering=True, withScaling=True, relativeError=1e-6).fit(d)
+    return m.transform(d).select("l_orderkey", "l_linenumber", "l_partkey", F.round(vector_to_array("s")[0], 6).alias("scaled"))
+
+
+@query("ml_feature_hash")
+def ml_feature_hash(t):
+    """FeatureHasher over mixed columns and VectorIndexer over its result."""
+    o = t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority", F.col("o_totalprice"))
+    d = FT.FeatureHasher(inputCols=["o_orderstatus", "o_orderpriority", "o_totalprice"], outputCol="features", numFeatures=64).transform(o)
+    m = FT.VectorIndexer(inputCol="features", outputCol="indexed", maxCategories=8).fit(d)
+    return m.transform(d).select("o_orderkey", vector_to_array("indexed").alias("indexed"))
+
+
 @query("eval_ranking")
 def eval_ranking(t):
     """Ranking metrics of the popularity ranking of all items against each

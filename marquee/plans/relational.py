@@ -459,7 +459,7 @@ def hash_sample(t):
     return t.lineitem.select("l_orderkey", "l_linenumber").where(F.pmod(F.xxhash64("l_orderkey"), F.lit(100)) < 10)
 
 
-@query("observe")
+@query("observe", oracle="SELECT o_orderkey, o_totalprice FROM orders")
 def observe(t):
     """Metrics collected on the side of a query (named observation: the
     metrics reach query listeners; an ``Observation`` object can be used
@@ -478,7 +478,7 @@ def range_sort(t):
         .withColumn("pid", F.spark_partition_id())
 
 
-@query("row_index")
+@query("row_index", oracle="SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_index FROM orders")
 def row_index(t):
     """zipWithIndex: consecutive 0-based row numbers without a global
     window: one range-partitioned pass, offsets from the rows of earlier

@@ -498,9 +498,51 @@ def dt_accessor(t):
         F.date_format(ts, "MMMM").alias("month_name"), F.date_format(ts, "EEEE").alias("day_name"))
 
 
-@query("ewm")
+@query("ewm", oracle="""
+WITH x AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos,
+  count(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n FROM events)
+SELECT a.event_id, CASE WHEN any_value(a.n) >= 2 THEN round(sum(b.value * power(0.7, a.pos - b.pos)) / sum(power(0.7, a.pos - b.pos)), 5) END AS ewm
+FROM x a JOIN x b ON a.user_id = b.user_id AND b.pos <= a.pos AND b.value IS NOT NULL GROUP BY a.event_id
+""")
 def ewm(t):
-    """EWM mean (alpha 0.3, min_periods 2) of event values per user,
-    see ``operators.timeseries.ewm_mean``."""
+    """EWM mean (alpha 0.3, min_periods 2) of event values per user; see
+    ``operators.timeseries.ewm_mean``."""
     ev = t.events.select("user_id", "ts", "event_id", "value")
-    return TS.ewm_mean(ev, "user_id", "ts", "value", alpha=0.3, min_periods=2)
+    return TS.ewm_mean(ev, "user_id", "ts", "value", alpha=0.3, min_periods=2).select("event_id", r(F.col("ewm"), 5).alias("ewm"))
+
+
+@query("resample_right", oracle="""
+WITH per AS (SELECT user_id, CAST(ceil(epoch_us(ts) / 86400000000) AS BIGINT) - 1 AS b, round(avg(value), 6) AS mean,
+  round(stddev_samp(value), 6) AS std, round(var_samp(value), 7) AS var FROM events GROUP BY 1, 2),
+span AS (SELECT user_id, min(b) AS lo_b, max(b) AS hi_b FROM per GROUP BY user_id),
+cal AS (SELECT user_id, unnest(range(lo_b, hi_b + 1)) AS b FROM span)
+SELECT cal.user_id, (cal.b + 1) * 86400 AS bucket_epoch, mean, std, var FROM cal LEFT JOIN per USING (user_id, b)
+""")
+def resample_right(t):
+    """Daily mean, std and var per user, right-closed and right-labelled."""
+    out = TS.resample(t.events, "user_id", "ts", 86400, [r(F.avg("value")).alias("mean"), r(F.stddev_samp("value")).alias("std"),
+                                                          r(F.var_samp("value"), 7).alias("var")], closed="right", label="right")
+    return out.select("user_id", F.unix_seconds("bucket_start").alias("bucket_epoch"), "mean", "std", "var")
+
+
+@query("autocorr", oracle="""
+SELECT user_id, round(corr(value, before), 6) AS lag1 FROM (
+  SELECT user_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events) GROUP BY user_id
+""")
+def autocorr(t):
+    """Lag-1 autocorrelation of the values of each user."""
+    d = TS.rolling_rows(t.events.select("user_id", "ts", "event_id", "value"), "user_id", _EV_ORDER, "value", 2)
+    c = F.corr(F.when(F.col("_lag1").isNotNull(), F.col("value")), "_lag1")
+    return d.groupBy("user_id").agg(r(c).alias("lag1"))
+
+
+@query("mad", oracle="""
+SELECT o_orderpriority, round(avg(abs(o_totalprice - m)), 4) AS mad FROM (
+  SELECT o_orderpriority, o_totalprice, avg(o_totalprice) OVER (PARTITION BY o_orderpriority) AS m FROM orders) GROUP BY o_orderpriority
+""")
+def mad(t):
+    """Mean absolute deviation per group: group means joined back, null-safe."""
+    o = t.orders.select("o_orderpriority", "o_totalprice")
+    m = o.groupBy(F.col("o_orderpriority").alias("k")).agg(F.avg("o_totalprice").alias("m"))
+    return o.join(m, o.o_orderpriority.eqNullSafe(m.k)).groupBy("o_orderpriority").agg(
+        r(F.avg(F.abs(F.col("o_totalprice") - F.col("m"))), 4).alias("mad"))
