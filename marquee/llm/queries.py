@@ -150,6 +150,69 @@ left join (select doc_id, count(*) over (partition by k) as rows from keyed) r u
 """
 
 
+def _budget_level(name: str, source: str, path: str, above: str, weight: str) -> str:
+    """One level of the budget tree: children of ``above`` share ``b``."""
+    part = f"partition by {above}" if above else ""
+    return f"""
+{name}_n as (select {path}, sum(avail) * 2 as cap, any_value(b) as b from {source} group by {path}),
+{name}_w as (select *, {weight} as w from {name}_n),
+{name}_l as (select *, (b - coalesce(sum(cap) over ({part} order by cap / w, {path} rows between unbounded preceding and 1 preceding), 0))
+   / sum(w) over ({part} order by cap / w, {path} rows between current row and unbounded following) as lev from {name}_w),
+{name}_m as (select *, max(lev) over ({part}) as level from {name}_l),
+{name} as (select leaf.*, greatest(0, least(m.cap, m.level * m.w)) as b from leaf join {name}_m m on {' and '.join(f'leaf.{c} is not distinct from m.{c}' for c in path.split(', '))})"""
+
+
+def _case(weights: dict) -> str:
+    return "case " + " ".join("when " + " and ".join(f"{c} = '{v}'" for c, v in zip(("domain", "lang"), k)) + f" then {w}::double" for k, w in weights.items()) + " else 1.0::double end"
+
+
+ORACLES["op8_mix"] = rf"""
+with d as (select doc_id, lang, source, case coalesce(try_cast(regexp_extract(coalesce(source, ''), '([0-9]{{1,9}})$', 1) as integer), 0) % 3
+    when 0 then 'web' when 1 then 'books' else 'forums' end as domain,
+    len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+'))::bigint as n from documents),
+leaf as (select domain, lang, source, sum(n)::double as avail from d group by all),
+root as (select leaf.*, 0.8::double * (select sum(n)::double from d) as b from leaf),{
+    _budget_level("l1", "root", "domain", "", _case({k: w for k, w in MIX_WEIGHTS.items() if len(k) == 1}))},{
+    _budget_level("l2", "l1", "domain, lang", "domain", _case({k: w for k, w in MIX_WEIGHTS.items() if len(k) == 2}))},{
+    _budget_level("l3", "l2", "domain, lang, source", "domain, lang", "1.0::double")},
+plan as (select *, floor(round(b, 6)) as target, case when avail > 0 then least(floor(floor(round(b, 6)) / avail), 2) else 1 end::bigint as whole from l3),
+rows as (select d.*, p.whole, p.target - p.whole * p.avail as rest,
+    sum(d.n) over (partition by d.domain, d.lang, d.source order by md5('17:' || p.whole || ':' || coalesce(d.doc_id::varchar, 'null')) range between unbounded preceding and current row) as through
+    from d join plan p on d.domain = p.domain and d.lang is not distinct from p.lang and d.source is not distinct from p.source)
+select doc_id, domain, lang, source, n as n_tokens, unnest(range(whole + case when rest > 0 and through <= rest then 1 else 0 end)) as epoch from rows
+"""
+
+
+def _sql_list(words: list[str]) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+def _places(phrase: str) -> str:
+    q = phrase.split()
+    return "list_filter(range(len(w)), lambda i: " + " and ".join(f"coalesce(w[i + {j + 1}] = '{x}', false)" for j, x in enumerate(q)) + ")"
+
+
+ORACLES["op7_licenses"] = rf"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text, {_BENCH_WORDS} as w from documents),
+templates(t, must, label) as (values {', '.join(f"({_sql_list(sorted(set(t.split())))}, {_sql_list(m.split())}, '{label}')" for t, (label, m) in license_join.TEMPLATES.items())}),
+lines as (select r, unnest(string_split_regex(text, '
+|[.!?;]\s')) as text from d),
+blocks as (select r, {_BENCH_WORDS} as w from lines),
+hit as (select r, label, len(list_intersect(list_distinct(w), t)) / len(t) as part from blocks, templates
+        where len(list_intersect(list_distinct(w), t)) * 100 >= 80 * len(t) and len(list_intersect(list_distinct(w), must)) = len(must)),
+found as (select r, list(distinct label) as labels, max(part) as part from hit group by r),
+base as (select *, {', '.join(f"{_places(p)} as p{i}" for i, p in enumerate(license_join.PHRASES))} from d),
+named as (select *, {' || '.join(f"p{i}" for i in range(len(license_join.PHRASES)))} as places,
+   list_filter([{', '.join(f"case when len(p{i}) > 0 then '{label}' end" for i, label in enumerate(license_join.PHRASES.values()))}], lambda x: x is not null) as base_labels from base)
+select doc_id, len(w)::bigint as n_words, len(places)::bigint as n_base, list_min(places) as first_word, list_max(places) as last_word,
+  array_to_string(list_sort(list_distinct(base_labels)), ',') as base_labels,
+  array_to_string(list_sort(list_distinct(base_labels || coalesce(labels, []))), ',') as labels,
+  case when len(base_labels) > 0 then 1.0 else coalesce(part, 0.0) end::double as score
+from named left join found using (r)
+"""
+
+
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (op1_extract, op2_lattice_lm, op3_language_id, op4_jaccard_join, op5_toxicity, op6_sketch, op7_licenses, op8_mix, op9_shards, op10_decontaminate)}
 
