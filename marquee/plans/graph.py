@@ -94,17 +94,18 @@ def pagerank(t):
 
 
 # ---------------------------------------------------------------- components, triangles, paths
+_MOD5_SQL = f"SELECT src, dst FROM ({SUCC_SQL}) WHERE src % 5 = dst % 5"
+
+
 @query("components", oracle=f"""
-WITH RECURSIVE e AS ({NATION_SQL} WHERE a.s_nationkey % 3 = 0 AND b.s_nationkey % 3 = 0 OR (a.s_nationkey < 5 AND b.s_nationkey < 5)),
-u AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e),
+WITH RECURSIVE e AS ({_MOD5_SQL}), u AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e),
 cc(id, label) AS (SELECT src, src FROM u UNION SELECT u.dst, cc.label FROM cc JOIN u ON cc.id = u.src)
 SELECT id, min(label) AS label FROM cc GROUP BY id
 """)
 def components(t):
-    """Connected components of a sparser nation subgraph (edges among
-    nations ≡ 0 mod 3, plus among nations 0–4), so several components
-    exist."""
-    e = nation_edges(t).where(((F.col("src") % 3 == 0) & (F.col("dst") % 3 == 0)) | ((F.col("src") < 5) & (F.col("dst") < 5)))
+    """Connected components of the supplier graph, edges within the classes
+    mod 5 only, so several components exist."""
+    e = supplier_edges(t).where(F.col("src") % 5 == F.col("dst") % 5)
     return G.connected_components(e)
 
 
@@ -179,8 +180,12 @@ def degree_hist(t):
 
 
 @query("transitive_closure", oracle=f"""
-WITH RECURSIVE e AS ({NATION_SQL}), tc(src, dst) AS (SELECT src, dst FROM e UNION SELECT tc.src, e.dst FROM tc JOIN e ON tc.dst = e.src)
+WITH RECURSIVE e AS (SELECT src, dst FROM ({_MOD5_SQL}) WHERE src < dst),
+tc(src, dst) AS (SELECT src, dst FROM e UNION SELECT tc.src, e.dst FROM tc JOIN e ON tc.dst = e.src)
 SELECT src, dst FROM tc
 """)
 def transitive_closure(t):
-    return G.transitive_closure(nation_edges(t))
+    """Closure of the supplier graph's edges to larger numbers of a class
+    mod 5."""
+    e = supplier_edges(t).where((F.col("src") % 5 == F.col("dst") % 5) & (F.col("src") < F.col("dst")))
+    return G.transitive_closure(e)
