@@ -92,10 +92,17 @@ def half_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     d = d.select(F.struct(F.col("id"), F.xxhash64("text").alias("h")).alias("o"), "text", F.length("text").alias("n"))
     order = scratch.save(neighbours(d.select("o", "n").distinct(), scratch), "order")
     own = d.withColumn("s", sketch(F.col("text"), fraction, k))
+    # Both readings of this join need the same columns of the documents, so
+    # that Spark shuffles their texts once and reuses the exchange.
+    known = F.coalesce(F.col("n") + F.col("prev_n") + F.size("s"), F.lit(0)) >= 0
+    by_prev = order.withColumnRenamed("o", "of")
+    placed = own.join(by_prev, (F.col("o") == F.col("of")) & known).drop("of")
     # each document hands its head and sketch to the one before it
-    heads = (own.join(order, "o").select(F.col("prev").alias("o"), F.expr("substring(text, 1, cast(floor(prev_n / 2) as int))").alias("head"),
-                                         F.col("s").alias("next_sketch")).dropDuplicates(["o"]))
+    heads = placed.select(F.col("prev").alias("before"), F.expr("substring(text, 1, cast(floor(prev_n / 2) as int))").alias("head"),
+                          F.col("s").alias("next_sketch"), "n")
+    heads = heads.groupBy("before").agg(F.first(F.struct("head", "next_sketch")).alias("next"))
+    own = placed.join(heads, F.col("o") == F.col("before")).select("o", "text", "n", "s", F.col("next.head").alias("head"), F.col("next.next_sketch").alias("next_sketch"))
     edited = F.concat(F.expr("substring(text, 1, n - cast(floor(n / 2) as int))"), "head")
-    return (own.join(heads, "o").withColumn("edited", edited)
+    return (own.withColumn("edited", edited)
             .select(F.col("o.id").alias("id"), F.col("n").cast("long").alias("n_chars"), "edited", F.col("s").alias("sketch"),
                     sketch(F.col("edited"), fraction, k).alias("edited_sketch"), "next_sketch"))
