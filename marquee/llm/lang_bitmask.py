@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.store import Scratch
-from marquee.llm.words import mix
+from marquee.llm.words import mix, pieces, trim
 
 SLOT_BITS = 20        # slots of a filter: a fixed 2**20
 HASHES = 2
@@ -52,7 +52,7 @@ def _letters() -> np.ndarray:
     return _LETTERS[0]
 
 
-def ngrams(texts: list[str | None], most: int = 1 << 21):
+def ngrams(texts: list[str | None], most: int = 1 << 19):
     """Slices of the texts as (start, stop, 64-bit n-gram hashes, their text,
     letters per text)."""
     start = size = 0
@@ -99,7 +99,7 @@ def _counts(batches):
         texts, langs = b.column(0).to_pylist(), b.column(1).to_pylist()
         names = sorted(set(langs))
         code = np.array([names.index(x) for x in langs], np.int64)
-        for start, _, g, owner, _ in ngrams(texts, 1 << 22):
+        for start, _, g, owner, _ in ngrams(texts, 1 << 20):
             lang = code[start + owner]
             for i, name in enumerate(names):
                 mine = np.sort(g[lang == i])
@@ -109,6 +109,7 @@ def _counts(batches):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name] * (len(edge) - 1)), pa.array(mine[edge[:-1]].view(np.int64)), pa.array(np.diff(edge))],
                     names=["lang", "gram", "n"])
+            trim()
 
 
 @dataclass
@@ -191,7 +192,9 @@ def predict(docs: DataFrame, model: Filter, id_col: str = "doc_id", text_col: st
 
     def run(batches):
         for b in batches:
-            names, scores = shared.value.predict(b.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names, pa.string()), pa.array(scores)], names=["id", "lang_pred", "score"])
+            for start, stop in pieces(b.column(1)):
+                names, scores = shared.value.predict(b.column(1).slice(start, stop - start).to_pylist())
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(start, stop - start), pa.array(names, pa.string()), pa.array(scores)],
+                                                 names=["id", "lang_pred", "score"])
     return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
             .mapInArrow(run, "id long, lang_pred string, score double"))

@@ -187,13 +187,17 @@ def _blocks(mod: int, rest: int):
                     keep = np.unique(hashes[-1], return_index=True)[1]
                     raw = data.tobytes()
                     texts.append((hashes[-1][keep], [raw[x:y] for x, y in zip(lo[keep].tolist(), hi[keep].tolist())]))
+                    del lo, hi, offsets
                 h, first = np.concatenate(hashes), np.concatenate(firsts)
+                del hashes, data, raw
                 known = np.unique(np.concatenate([t[0] for t in texts]))
                 word: list = [None] * len(known)
                 for t, w in texts:
                     for i, x in zip(np.searchsorted(known, t).tolist(), w):
                         word[i] = x
+                del texts
                 code = np.searchsorted(known, h).astype(np.int32)
+                del h
                 mine = np.repeat(train[start:stop], np.diff(first))
                 n = np.bincount(code[mine], minlength=len(known))
                 block = f"{TaskContext.get().partitionId()}-{number}"

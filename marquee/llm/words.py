@@ -9,8 +9,12 @@ its lower-cased (A-Z only) bytes.
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _BLOCK = 1 << 19          # bytes hashed at a time; bounds the work arrays
 _rng = np.random.RandomState(20240611)
@@ -32,6 +36,17 @@ ALNUM = np.zeros(256, bool)
 ALNUM[48:58] = ALNUM[97:123] = ALNUM[128:] = True
 
 
+_LIBC = ctypes.CDLL(ctypes.util.find_library("c") or None)
+
+
+def trim() -> None:
+    """Give freed memory back to the system; workers wait between tasks with
+    what they hold, and share their executor's memory with its JVM."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finish a 64-bit hash so that all its bits depend on all inputs."""
     h = h ^ (h >> np.uint64(32))
@@ -129,13 +144,12 @@ def distinct(g: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def pieces(column: pa.Array, most: int = 4 << 20):
     """Slices (start, stop) of a column with about ``most`` bytes each; a
     longer text is a slice of its own."""
-    size = np.asarray(column.fill_null("").cast(pa.large_string()).buffers() and
-                      pa.compute.fill_null(pa.compute.binary_length(column), 0), dtype=np.int64)
-    start = total = 0
-    for i, n in enumerate(size):
-        if total and total + n > most:
-            yield start, i
-            start, total = i, 0
-        total += int(n)
-    if start < len(size):
-        yield start, len(size)
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    through = np.cumsum(size)
+    start = 0
+    while start < len(size):
+        before = through[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(through, before + most, side="right")))
+        yield start, stop
+        start = stop
+        trim()
