@@ -122,7 +122,8 @@ def shard_by_bytes(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", tex
     placed = scratch.save(assign_groups(groups.select("part", "size"), shards, scratch), "placed")
     total = groups.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     buckets = max(1, -(-int(total) // slot_rows))
-    placed_rows = rows.join(placed, rows._part == placed.part).withColumn(
+    placed = placed.select(F.col("part").alias("_placed"), "shard")
+    placed_rows = rows.join(placed, F.col("_part") == F.col("_placed")).withColumn(
         "_bucket", F.pmod(F.xxhash64(id_col), F.lit(buckets)))
     # slots: rows before a bucket of the shard, then the place within it
     before = (placed_rows.groupBy("shard", "_bucket").agg(F.count("*").alias("n"))

@@ -104,8 +104,9 @@ def mix(docs: DataFrame, levels: list[str], weights: dict[tuple, float], share:
     cut = ranges.where("through <= rest").select(*path, "last").unionByName(ends).groupBy(*path).agg(F.max("last").alias("cut"))
     plan = scratch.save(plan.join(cut, same(plan, cut, path), "left").select(*[plan[p] for p in path], "whole", "cut"), "cuts")
 
+    plan = plan.withColumnsRenamed({"whole": "_whole", "cut": "_cut"})
     read = counted.join(plan, [counted[c].eqNullSafe(plan[p]) for c, p in zip(levels, path)])
-    read = read.withColumn("_partial", F.coalesce(key(F.col("whole"), F.col(id_col).cast("string")) <= F.col("cut"), F.lit(False)))
-    read = read.withColumn("_n", F.col("whole") + F.col("_partial").cast("long")).where("_n > 0")
+    read = read.withColumn("_partial", F.coalesce(key(F.col("_whole"), F.col(id_col).cast("string")) <= F.col("_cut"), F.lit(False)))
+    read = read.withColumn("_n", F.col("_whole") + F.col("_partial").cast("long")).where("_n > 0")
     return (read.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
             .select(*[F.col(c) for c in plain.columns], "n_tokens", "epoch"))

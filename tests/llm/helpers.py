@@ -60,7 +60,7 @@ def odd_docs(spark, extra=False):
     df = spark.createDataFrame(ODD_ROWS, DOC_SCHEMA)
     if extra:
         from pyspark.sql import functions as F
-        clash = ("id", "row", "size", "shard", "slot", "n_tokens", "epoch", "component_id", "score", "token", "word", "block", "key", "range", "labels")
+        clash = ("id", "row", "size", "shard", "slot", "n_tokens", "epoch", "component_id", "score", "token", "word", "block", "key", "range", "labels", "part", "whole", "cut", "avail", "a", "b", "x", "n", "last", "rows")
         df = df.withColumns({c: F.lit("clash") for c in clash})
     return df
 
