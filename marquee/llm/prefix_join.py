@@ -14,12 +14,17 @@ Steps (all documents, whole texts):
    estimate of how common shingles are (a table of fixed size);
 2. documents with equal sets form a class; only classes are joined;
 3. a second pass writes the prefixes; shingles seen in one class only are
-   dropped by one aggregation;
-4. classes are linked to the first and last class of the shingle groups
-   they share most with; verified links give provisional components, so
-   a large group of copies costs one row per copy and not one per pair;
-5. every remaining pair of classes that share shingles and lie in
-   different components is counted against its l, filtered by size and
+   dropped by one aggregation.  They also bound the overlap: a class whose
+   prefix holds many of them cannot be near to a class of a like size;
+4. each class is held against the class of least such shingles in the
+   lists that they share most, and verified; the links give provisional
+   components, so a large group of copies costs a row a copy, not a pair;
+5. all pairs of classes in different components are met at the first
+   shingle that both hold, where its places (what stands before is not
+   shared), the sizes and the unshared shingles leave room for the
+   threshold, and their prefixes are compared.  At most (shared prefix shingles) +
+   (the rest behind the prefix that ends first) shingles can be shared, which demands
+   l of them at least, more of unequal sizes; pairs that meet this are
    verified, which makes the components exact.
 
 Cases: NULL and empty texts and texts without words have empty sets and
@@ -32,8 +37,6 @@ doc_id is its own component unless linked.
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -74,29 +77,37 @@ def need(n, percent: int):
     return -(-(n * percent) // 100)
 
 
-def _summaries(k: int):
+def _summaries(k: int, flush: int = 2_000_000):
+    """Set sizes and keys; and, of shingles that come back within about
+    ``flush`` of them, counts by slot."""
+    def common(seen):
+        g = np.concatenate(seen)
+        g.sort()
+        edge = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1], [True]]))
+        often = np.diff(edge)
+        more = often > 1
+        count = np.bincount(_slot(g[edge[:-1][more]]), often[more], SKETCH)
+        at = np.flatnonzero(count)
+        none = pa.nulls(len(at), pa.int64())
+        return pa.RecordBatch.from_arrays([none, pa.array(count[at].astype(np.int64)), none, none, pa.array(at.astype(np.int32))],
+                                          names=["id", "n", "k1", "k2", "slot"])
+
     def run(batches):
+        seen, size = [], 0
         for b in batches:
-            ids = b.column(0)
-            seen = []
             for start, stop, g, _, sizes in _sets(b.column(1), k):
                 k1, k2 = _set_keys(g, sizes)
                 n = stop - start
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(start, n), pa.array(sizes, pa.int64()), pa.array(k1), pa.array(k2),
-                     pa.nulls(n, pa.int32())], names=["id", "n", "k1", "k2", "slot"])
+                    [b.column(0).slice(start, n), pa.array(sizes, pa.int64()), pa.array(k1), pa.array(k2), pa.nulls(n, pa.int32())],
+                    names=["id", "n", "k1", "k2", "slot"])
                 seen.append(g)
-            if seen:
-                g = np.sort(np.concatenate(seen))
-                edge = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1], [True]])) if len(g) else np.zeros(1, int)
-                often = np.diff(edge)
-                common = often > 1
-                count = np.bincount(_slot(g[edge[:-1]][common]) if len(g) else [], often[common], SKETCH)
-                at = np.flatnonzero(count)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(at), pa.int64()), pa.array(count[at].astype(np.int64)),
-                     pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.int64()),
-                     pa.array(at.astype(np.int32))], names=["id", "n", "k1", "k2", "slot"])
+                size += len(g)
+                if size >= flush:
+                    yield common(seen)
+                    seen, size = [], 0
+        if size:
+            yield common(seen)
     return run
 
 
@@ -121,7 +132,7 @@ def _prefixes(k: int, percent: int, most: int, weight: float, often: np.ndarray)
                 if not len(g):
                     continue
                 k1, k2 = _set_keys(g, sizes)
-                count = often[_slot(g)]
+                count = np.minimum(often[_slot(g)], (1 << 23) - 1)
                 order = np.lexsort((g, count, owner))
                 g, count = g[order], count[order]
                 edge = np.concatenate([[0], np.cumsum(sizes)])
@@ -133,11 +144,15 @@ def _prefixes(k: int, percent: int, most: int, weight: float, often: np.ndarray)
                 rank = np.arange(len(g)) - np.repeat(edge[:-1], sizes)
                 low = np.repeat(base, sizes)
                 keep = rank < low + np.repeat(level, sizes) - 1
-                at = np.maximum(rank - low + 2, 1)[keep]        # the l from which a shingle belongs to the prefix
                 mine = np.repeat(np.arange(len(sizes)), sizes)[keep]
+                # where each prefix ends in the global order, as a row of its own (m < 0)
+                some = np.flatnonzero(sizes)
+                end = edge[some] + base[some] + level[some] - 2
+                place = (count[end] << 40) | (g[end] >> np.uint64(24)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(g[keep].view(np.int64)), pa.array(k1[mine]),
-                     pa.array(sizes[mine] * 256 + level[mine] * 16 + at)], names=["token", "x", "m"])
+                    [pa.array(np.concatenate([g[keep].view(np.int64), place])), pa.array(np.concatenate([k1[mine], k1[some]])),
+                     pa.array(np.concatenate([sizes[mine] * 16 + level[mine], np.full(len(some), -1)])),
+                     pa.array(np.concatenate([rank[keep], np.zeros(len(some), np.int64)]))], names=["token", "x", "m", "pos"])
     return run
 
 
@@ -148,9 +163,9 @@ def _members(k: int):
                 edge = np.concatenate([[0], np.cumsum(sizes)])
                 raw = g.view(np.uint8).tobytes() if len(g) else b""
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(start, stop - start),
+                    [b.column(0).slice(start, stop - start), pa.array(_set_keys(g, sizes)[0]),
                      pa.array([raw[8 * s:8 * e] for s, e in zip(edge[:-1], edge[1:])], pa.binary())],
-                    names=["id", "shingles"])
+                    names=["id", "k1", "shingles"])
     return run
 
 
@@ -185,56 +200,75 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = scratch.save(rows.where("n > 0").groupBy("k1", "k2", "n")
                            .agg(F.min("id").alias("rep"), F.count("*").alias("rows")), "classes")
 
-    prefix = d.select("text").mapInArrow(_prefixes(k, percent, levels, verify_weight, often),
-                                         "token long, x long, m long").repartition("token")
-    shared = prefix.groupBy("token").agg(F.min(F.struct("x", "m")).alias("lo"), F.max(F.struct("x", "m")).alias("hi"))
-    shared = shared.where("lo.x <> hi.x")
-    lists = scratch.save(
-        prefix.join(shared, "token").select(
-            "token", "x", F.shiftright("m", 8).alias("n"), F.expr("(m >> 4) & 15").alias("l"), F.expr("m & 15").alias("at"),
-            F.col("lo.x").alias("lo"), F.shiftright("lo.m", 8).alias("lo_n"),
-            F.col("hi.x").alias("hi"), F.shiftright("hi.m", 8).alias("hi_n")).distinct(), "lists")
-
-    fits = lambda n, m: (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
-    members = classes.join(lists.select(F.col("x").alias("k1")).distinct(), "k1", "left_semi")
-    wanted = members.select("k1", F.col("rep").alias("id"))
-    sets = scratch.save(
-        d.where("text is not null").join(wanted.select("id").distinct(), "id", "left_semi")
-        .mapInArrow(_members(k), "id long, shingles binary").join(wanted, "id")
-        .where(F.length("shingles") > 0).select("k1", "id", "shingles").dropDuplicates(["id", "k1", "shingles"]), "sets")
-
-    def verified(pairs: DataFrame) -> DataFrame:
+    prefix = scratch.save(d.select("text").mapInArrow(_prefixes(k, percent, levels, verify_weight, often), "token long, x long, m long, pos long"), "prefix")
+    ends = prefix.where("m < 0").groupBy("x").agg(F.max("token").alias("last"))
+    # the aggregation and the join read the same columns, so that Spark shuffles the prefixes once
+    prefix = prefix.where("m >= 0").repartition("token")
+    shared = (prefix.groupBy("token").agg(F.min(F.struct("x", "m", "pos")).alias("lo"), F.max(F.struct("x", "m", "pos")).alias("hi"))
+              .where("lo.x <> hi.x").select("token"))
+    lists = scratch.save(prefix.join(shared, "token").select("token", "x", F.shiftright("m", 4).alias("n"), F.expr("m & 15").alias("l"), "pos").distinct(), "shared")
+    # shingles of a prefix that nobody else has: the others bound the overlap
+    live = lists.groupBy("x").agg(F.count("*").alias("rows"), F.first("n").alias("n"), F.first("l").alias("l"))
+    live = live.withColumn("rest", F.expr(f"(n * {percent} + 99) div 100 - l"))
+    live = live.withColumn("dead", F.col("n") - F.col("rest") - F.col("rows")).select("x", "rest", "dead")
+    lists = scratch.save(lists.join(live.join(ends, "x"), "x").select("token", "x", "pos", "n", "rest", "dead", "last"), "lists")
+    scratch.drop("prefix")
+    scratch.drop("shared")
+
+    def bound(u: str, v: str, of: str) -> str:
+        """``of`` the set whose prefix ends first in the global order: what the
+        two share of that prefix, the other prefix holds too."""
+        return (f"case when {u}.last < {v}.last then {of.format(u)} when {u}.last > {v}.last then {of.format(v)}"
+                f" else greatest({of.format(u)}, {of.format(v)}) end")
+
+    def may(u: str, v: str) -> str:
+        """Sizes and live shingles of two sets allow for the threshold."""
+        return (f"least({u}.n, {v}.n) * 100 >= greatest({u}.n, {v}.n) * {percent}"
+                f" and {bound(u, v, '({0}.n - {0}.dead)')} * {100 + percent} >= ({u}.n + {v}.n) * {percent}")
+
+    # with ``met`` shingles in both prefixes, and ``rest`` behind the one that ends first
+    enough = f"(met + rest) * {100 + percent} >= size * {percent}"
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
         """Links (a, b) between class representatives among pairs (x, y) of keys."""
+        keys = pairs.select(F.col("x").alias("k1")).unionByName(pairs.select(F.col("y").alias("k1"))).distinct()
+        ids = classes.join(keys, "k1", "left_semi").select(F.col("rep").alias("id")).distinct()
+        sets = scratch.save(d.where("text is not null").join(ids, "id", "left_semi")
+                            .mapInArrow(_members(k), "id long, k1 long, shingles binary").where(F.length("shingles") > 0), f"sets-{name}")
         left = sets.select(F.col("k1").alias("x"), F.col("id").alias("a"), F.col("shingles").alias("s"))
         right = sets.select(F.col("k1").alias("y"), F.col("id").alias("b"), F.col("shingles").alias("r"))
-        return (pairs.join(left, "x").join(right, "y").where(F.col("a") < F.col("b")).select("a", "b", "s", "r")
-                .mapInArrow(_verify(percent), "a long, b long"))
-
-    def star(of: str) -> DataFrame:
-        c = (lists.where(F.col("x") != F.col(of)).where(fits(F.col("n"), F.col(f"{of}_n")))
-             .groupBy("x", F.col(of).alias("y")).count())
-        return c.groupBy("x").agg(F.max_by("y", F.struct("count", "y")).alias("y"))
-
-    pairs = star("lo").unionByName(star("hi"))
-    pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    either = lambda p: p.unionByName(p.select(F.col("y").alias("x"), F.col("x").alias("y")))
-    links = scratch.save(verified(either(pairs)).distinct(), "star")
-    first = components(links, scratch, "near")
-
-    # exact rest: pairs in different components
-    of = members.select("k1", F.col("rep").alias("node")).join(first, "node", "left")
-    of = of.groupBy("k1").agg(F.min(F.coalesce("component", "node")).alias("c"), F.max(F.coalesce("component", "node")).alias("c2"))
-    rest = lists.select("token", "x", "n", "l", "at").join(of.withColumnRenamed("k1", "x"), "x")
-    apart = rest.groupBy("token").agg(F.min("c").alias("p"), F.max("c2").alias("q")).where("p <> q").select("token")
-    rest = scratch.save(rest.join(apart, "token"), "rest")
-    u, v = rest.alias("u"), rest.alias("v")
-    met = (u.join(v, F.expr("u.token = v.token and u.x < v.x and (u.c <> v.c or u.c <> u.c2 or v.c <> v.c2)"
-                            f" and least(u.n, v.n) * 100 >= greatest(u.n, v.n) * {percent}"
-                            " and u.at <= least(u.l, v.l) and v.at <= least(u.l, v.l)"))
-           .groupBy(F.col("u.x").alias("x"), F.col("v.x").alias("y")).agg(F.count("*").alias("met"), F.min(F.least("u.l", "v.l")).alias("l"))
-           .where("met >= l").select("x", "y"))
-    more = scratch.save(verified(either(met)).distinct(), "more")
-    linked = components(reduce(DataFrame.unionByName, [links, more]), scratch, "all")
+        return (pairs.join(left, "x").join(right, "y").select("a", "b", "s", "r").mapInArrow(_verify(percent), "a long, b long")
+                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+    # each key with the key of least dead shingles in the lists that it shares most with
+    center = lists.groupBy("token").agg(F.min(F.struct((F.col("dead") / F.col("n")).alias("d"), "x", "n", "rest", "dead", "last")).alias("v"))
+    star = lists.alias("u").join(center, "token").where("u.x <> v.x").where(F.expr(may("u", "v")))
+    star = star.groupBy(F.col("u.x").alias("x"), F.col("v.x").alias("y")).agg(
+        F.count("*").alias("met"), F.first(F.expr(bound("u", "v", "{}.rest"))).alias("rest"), F.first(F.col("u.n") + F.col("v.n")).alias("size"))
+    star = star.where(enough).groupBy("x").agg(F.max_by("y", F.struct("met", "y")).alias("y"))
+    star = scratch.save(star.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "star")
+    links = scratch.save(verified(star, "star"), "links-star")
+
+    # exact rest: all pairs in different components, counted before they are verified
+    near = components(links, scratch, "cc-star")
+    node = F.coalesce("component", "rep")
+    of = (classes.join(near, classes.rep == near.node, "left").groupBy(F.col("k1").alias("x"))
+          .agg(F.min(node).alias("c"), F.max(node).alias("c2")))
+    rest = lists.join(of, "x")
+    several = rest.groupBy("token").agg(F.min("c").alias("p"), F.max("c2").alias("q")).where("p <> q").select("token")
+    rest = scratch.save(rest.join(several, "token"), "apart")
+    # a pair is met at the first shingle, in the global order, that both hold: what stands before it is not shared
+    first = " and ".join(f"({s}.n - {s}.pos) * {100 + percent} >= (u.n + v.n) * {percent}" for s in "uv")
+    met = (rest.alias("u").join(rest.alias("v"), F.expr(
+        f"u.token = v.token and u.x < v.x and (u.c <> v.c or u.c <> u.c2 or v.c <> v.c2) and {first} and " + may("u", "v")))
+        .select(F.col("u.x").alias("x"), F.col("v.x").alias("y"), F.expr(bound("u", "v", "{}.rest")).alias("rest"), F.expr("u.n + v.n").alias("size")).distinct())
+    held = lists.groupBy("x").agg(F.collect_list("token").alias("tokens"))       # of one prefix
+    met = (met.join(held, "x").join(held.select(F.col("x").alias("y"), F.col("tokens").alias("others")), "y")
+           .withColumn("met", F.size(F.array_intersect("tokens", "others"))).where(enough).select("x", "y"))
+    met = scratch.save(met, "met")
+    if not met.isEmpty():
+        links = scratch.save(links.unionByName(verified(met, "met")).distinct(), "links")
+    linked = components(links, scratch, "cc")
 
     final = (classes.join(linked, classes.rep == linked.node, "left")
              .select("k1", "k2", "n", "rows", F.coalesce("component", "rep").alias("component")))

@@ -39,11 +39,11 @@ class Scratch:
 
 def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFrame:
     """Smallest node reachable from each node of ``edges`` (a, b): rows
-    (node, component).  Large-star and small-star rounds until nothing
-    changes; every round is two aggregations over one row per link."""
+    (node, component).  Large-star and small-star rounds until all components
+    are stars; every round is a few aggregations over one row per link."""
     both = lambda e: e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    links = scratch.save(edges.select("a", "b").where("a <> b").distinct(), f"{name}-0")
-    last, i = None, 0
+    links = edges.select("a", "b").where("a <> b").distinct()
+    i = 0
     while True:
         # large star: every larger neighbour is hung on the smallest one
         near = both(links)
@@ -54,13 +54,13 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFram
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
+        links = scratch.save(small, f"{name}-{i}")
+        if i:
+            scratch.drop(f"{name}-{i - 1}")
         i += 1
-        links_next = scratch.save(small, f"{name}-{i}")
-        state = links_next.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        links = links_next
-        if i > 1:
-            scratch.drop(f"{name}-{i - 2}")
-        if state == last:
-            break
-        last = state
-    return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        # done when all are stars: each node hangs on one root, and no root hangs
+        ends = links.select(F.col("a").alias("v"), F.lit(1).alias("hangs"), F.lit(0).alias("root")).unionByName(
+            links.select(F.col("b").alias("v"), F.lit(0).alias("hangs"), F.lit(1).alias("root")))
+        loose = ends.groupBy("v").agg(F.sum("hangs").alias("hangs"), F.max("root").alias("root"))
+        if loose.where("hangs > 1 or hangs = 1 and root = 1").isEmpty():
+            return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
