@@ -9,6 +9,12 @@ from the first shared word on both sides must still have enough words left
 (positional filter).  What passes is counted exactly and must hold the words
 that tell the notice from its relatives.
 
+A notice that is wrapped over several lines is looked for in the sentences
+of a paragraph: around each word that tells a notice, a window that reaches
+a template's length to both sides across line ends.  It is a hit if it meets
+the same counts and ``percent`` percent of the template stands in it in the
+template's order, so that words strewn over neighbouring lines are none.
+
 A base scan finds fixed phrases as consecutive words.
 
 Everything is DataFrame expressions: no Python runs on the executors.
@@ -66,6 +72,28 @@ def phrase_places(w: Column, phrase: str) -> Column:
     return F.filter(F.sequence(F.lit(0), F.size(w) - 1), here)
 
 
+def windows(text: Column, tells: list[str], universe: Column, reach: int, least: int) -> Column:
+    """Windows (word, at, words) around the telling words of sentences that
+    cross line ends; those with fewer than ``least`` template words are left out."""
+    tell = F.array(*[F.lit(w) for w in tells])
+    runs = F.filter(F.transform(F.filter(F.split(text, r"\n\s*\n|[.!?;]\s"), lambda b: F.contains(b, F.lit("\n"))), words),
+                    lambda w: F.arrays_overlap(w, tell))
+
+    def around(w):
+        at = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.array_contains(tell, F.get(w, i)))
+        return F.transform(at, lambda i: F.struct(F.get(w, i).alias("word"), F.least(i, F.lit(reach)).alias("at"),
+                                                  F.slice(w, F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach)) + 1 + reach).alias("words")))
+    return F.filter(F.flatten(F.transform(runs, around)), lambda x: F.size(F.array_intersect(x["words"], universe)) >= least)
+
+
+def in_order(found: Column, seq: Column) -> Column:
+    """Words of ``seq`` that stand in ``found`` in the order of ``seq``: the longest common subsequence."""
+    def step(row, w):
+        return F.aggregate(F.sequence(F.lit(1), F.size(seq)), F.array(F.lit(0)), lambda done, j: F.concat(done, F.array(F.greatest(
+            F.element_at(done, -1), F.element_at(row, j + 1), F.element_at(row, j) + (F.element_at(seq, j) == w).cast("int")))))
+    return F.element_at(F.aggregate(found, F.array_repeat(F.lit(0), F.size(seq) + 1), step), -1)
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases: dict[str, str] = PHRASES,
          templates: dict[str, tuple[str, str]] = TEMPLATES, percent: int = 80) -> DataFrame:
     """Rows (id, n_words, places array<long>, base_labels, labels, score):
@@ -81,8 +109,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
     one = F.col("w")
     found = [F.when(F.array_contains(one, F.lit(p.split()[-1])), phrase_places(one, p)).otherwise(F.array().cast("array<int>")) for p in phrases]
     blocks = F.filter(F.transform(F.split(text, r"\n|[.!?;]\s"), lambda b: F.array_intersect(words(b), universe)), lambda b: F.size(b) > 1)
-    rows = (docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), words(text).alias("w"), blocks.alias("blocks"))
-            .select("row", "id", F.size(one).cast("long").alias("n_words"), F.array(*found).alias("found"), "blocks"))
+    tells = sorted({must.split()[0] for _, must in templates.values()})
+    wrapped = windows(F.col("text"), tells, universe, max(len(t.split()) for t in templates), min(-(-(len(s) * percent) // 100) for s in sets.values()))
+    rows = (docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), words(text).alias("w"), blocks.alias("blocks"), text.alias("text"))
+            .select("row", "id", F.size(one).cast("long").alias("n_words"), F.array(*found).alias("found"), "blocks",
+                    F.when(F.arrays_overlap(one, F.array(*[F.lit(w) for w in tells])), wrapped).alias("wrapped")))
     rows = scratch.save(rows, "rows")
 
     # global order of the templates' words, rare first: a bounded number of rows
@@ -95,10 +126,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
         m = len(s)
         need = -(-(m * percent) // 100)
         prefix += [(s[p], i, p, m, need) for p in range(m - need + 1)]
-        whole.append((i, s, templates[t][1].split(), templates[t][0]))
+        must = templates[t][1].split()
+        whole.append((i, s, must, templates[t][0], must[0], t.split(), m, need))
     # fixed templates: a few dozen rows
     prefix = F.broadcast(spark.createDataFrame(prefix, "word string, t int, p int, m int, need int"))
-    whole = F.broadcast(spark.createDataFrame(whole, "t int, words_t array<string>, must array<string>, label string"))
+    whole = F.broadcast(spark.createDataFrame(whole, "t int, words_t array<string>, must array<string>, label string, tell string, seq array<string>, m_t int, need_t int"))
 
     order = F.create_map(*[x for w, i in rank.items() for x in (F.lit(w), F.lit(i))])
     sorted_words = F.transform(F.array_sort(F.transform("words", lambda w: F.struct(F.element_at(order, w).alias("r"), w.alias("w")))), lambda x: x["w"])
@@ -111,7 +143,16 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
                   .select("row", "block", "words", "t", "m", "need").distinct())
     hits = (candidates.join(whole, "t").withColumn("shared", F.size(F.array_intersect("words", "words_t")))
             .where((F.col("shared") >= F.col("need")) & (F.size(F.array_except("must", "words")) == 0))
-            .groupBy("row").agg(F.collect_set("label").alias("method"), F.max(F.col("shared") / F.col("m")).alias("best")))
+            .select("row", "label", "shared", "m"))
+    # wrapped notices: each window against the templates that its word tells
+    low = F.greatest(F.col("at") - F.size("seq"), F.lit(0))
+    near = (rows.select("row", F.explode("wrapped").alias("x")).select("row", "x.word", "x.at", "x.words").join(whole, F.col("word") == F.col("tell"))
+            .withColumn("words", F.slice("words", low + 1, F.col("at") - low + 1 + F.size("seq")))
+            .withColumn("shared", F.size(F.array_intersect("words", "words_t")))
+            .where((F.col("shared") >= F.col("need_t")) & (F.size(F.array_except("must", "words")) == 0))
+            .where(100 * in_order(F.col("words"), F.col("seq")) >= percent * F.size("seq"))
+            .select("row", "label", "shared", F.col("m_t").alias("m")))
+    hits = (hits.unionByName(near).groupBy("row").agg(F.collect_set("label").alias("method"), F.max(F.col("shared") / F.col("m")).alias("best")))
 
     names = list(phrases.values())
     base = F.filter(F.array(*[F.when(F.size(F.col("found")[i]) > 0, F.lit(n)) for i, n in enumerate(names)]), lambda x: x.isNotNull())

@@ -114,3 +114,28 @@ def test_license_join_is_exact(spark):
                 if 100 * len(s & b) >= 80 * len(s) and set(must.split()) <= b:
                     want.add(label)
         assert got[i] == sorted(want), text
+
+
+WRAPPED = [
+    (1, ["mit"], "MIT License\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files "
+     "(the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights"),
+    (2, ["bsd"], "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"),
+    (3, ["gpl"], "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation"),
+    (4, ["isc"], "Permission to use, copy, modify, and/or distribute this software for any\r\npurpose with or without fee is hereby granted, provided that the above"),
+    (5, ["agpl", "gpl"], "x" * 9 + " y" * 3000 + "\nyou can redistribute it\nand/or modify it under the terms of the\nGNU Affero General Public\nLicense"),
+    (6, [], "modification permitted forms or are with without\nand binary source in use and redistribution"),          # out of order
+    (7, [], "Redistribution and use in source and binary forms, with or without\n\nmodification, are permitted"),    # two paragraphs
+    (8, [], "Redistribution and use in source and binary forms.\nWith or without modification, are permitted"),         # two sentences
+    (9, [], "redistribution\n" + "and " * 40 + "use in source and binary\n" + "lorem " * 40 + "forms with or without modification are permitted"),
+    (10, ["lgpl", "gpl"], " * modify it under\n * you can redistribute it and/or modify it\n * under the terms of the GNU Lesser General\n * Public License"),
+]
+
+
+def test_wrapped_notices(spark):
+    """Notices over several lines are found, words strewn over lines are not."""
+    rows = [(i, t) for i, _, t in WRAPPED] + [(100 + i, "Lead in.\n\n" + "lorem ipsum\n" * 50 + t + "\nlorem ipsum") for i, _, t in WRAPPED]
+    got = {r.id: r for r in license_join.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == len(rows)
+    for i, labels, _ in WRAPPED:
+        assert got[i].labels == sorted(labels) and got[100 + i].labels == sorted(labels), i
+        assert (got[i].score >= 0.8) == bool(labels)
