@@ -17,7 +17,8 @@ f ** HASHES; the count h of n probes is corrected to
 
 Texts are read in lower case; every code point that is not a letter is a
 blank.  Learning uses all rows with text and language whose crc32(id) mod 5
-is not 0; the table that reaches the driver has a fixed size.
+is not 0.  The filter has as many slots as keep the fill of every language
+under about a half, by the counted n-grams; the driver and the tasks hold it.
 
 Cases: NULL or empty texts and texts without letters give ``und`` with
 score 0, as does every text when nothing was learned; texts none of whose
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from marquee.llm.store import Scratch
 from marquee.llm.words import mix, pieces, trim
 
-SLOT_BITS = 20        # slots of a filter: a fixed 2**20
+SLOT_BITS = 20        # slots of a filter: 2**20 at least
 HASHES = 2
 _LETTERS: list[np.ndarray] = []
 
@@ -89,8 +90,18 @@ def ngrams(texts: list[str | None], most: int = 1 << 19):
         start = stop
 
 
-def _slots(g: np.ndarray) -> list[np.ndarray]:
-    return [((g >> np.uint64(64 - SLOT_BITS - 20 * i)) & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64) for i in range(HASHES)]
+def _slots(g: np.ndarray, bits: int = SLOT_BITS) -> list[np.ndarray]:
+    return [((g >> np.uint64(64 - bits * (i + 1))) & np.uint64((1 << bits) - 1)).astype(np.int64) for i in range(HASHES)]
+
+
+def slot_bits(n_grams: int) -> int:
+    """Bits of a slot number, so that ``n_grams`` n-grams fill at most half of a filter."""
+    bits = SLOT_BITS
+    while HASHES * n_grams > 0.69 * (1 << bits):
+        bits += 1
+    if bits * HASHES > 64:
+        raise ValueError(f"{n_grams} n-grams of a language need more slots than a 64-bit hash can name")
+    return bits
 
 
 def _counts(batches):
@@ -114,21 +125,22 @@ def _counts(batches):
 
 @dataclass
 class Filter:
-    """Languages (sorted) and one mask array of SLOTS words for each 64 of them."""
+    """Languages (sorted) and one mask array, a word for each slot, for each 64 of them."""
 
     langs: list[str]
     masks: list[np.ndarray]
 
     def __post_init__(self):
-        size = 1 << SLOT_BITS
-        fill = [np.count_nonzero(self.masks[i // 64] & np.uint64(1 << (i % 64))) / size for i in range(len(self.langs))]
+        size = len(self.masks[0]) if self.masks else 1 << SLOT_BITS
+        self.bits = size.bit_length() - 1
+        fill = [np.count_nonzero(m & m.dtype.type(1 << (i % 64))) / size for i in range(len(self.langs)) for m in (self.masks[i // 64],)]
         self.false = np.minimum(np.array(fill) ** HASHES, 0.999)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         names, scores = [], np.zeros(len(texts))
         for start, stop, g, owner, letters in ngrams(texts):
             n = stop - start
-            at = _slots(g)
+            at = _slots(g, self.bits)
             words = []
             for m in self.masks:
                 w = m[at[0]]
@@ -138,7 +150,8 @@ class Filter:
             probes = np.bincount(owner, minlength=n).astype(float)
             share = np.zeros((len(self.langs), n))
             for i, false in enumerate(self.false):
-                bit = ((words[i // 64] >> np.uint64(i % 64)) & np.uint64(1)).astype(float)
+                w = words[i // 64]
+                bit = ((w >> w.dtype.type(i % 64)) & w.dtype.type(1)).astype(float)
                 hits = np.bincount(owner, bit, n)
                 share[i] = np.clip((hits - probes * false) / (1 - false), 0, None) / np.maximum(probes, 1)
             best = share.argmax(axis=0) if self.langs else np.zeros(n, int)
@@ -154,8 +167,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     n-grams are summed per language, kept where the language's relative
     frequency is at least ``share`` of the highest, and reduced to slots
-    with OR-ed masks: at most HASHES * 2**SLOT_BITS slots reach the driver,
-    whatever the input."""
+    with OR-ed masks.  The number of slots follows the kept n-grams of the
+    richest language; the masks reach the driver 2**20 slots at a time."""
     known = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang"))
     known = known.where("text is not null and lang is not null").where(F.coalesce(F.crc32("id") % 5 != 0, F.lit(True)))
     counts = (known.select("text", F.col("lang").cast("string").alias("lang")).mapInArrow(_counts, "lang string, gram long, n long")
@@ -172,23 +185,28 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     rated = by_gram.select("gram", F.transform("in", lambda e: F.struct(e["l"].alias("l"), (e["n"] * F.element_at(rate, e["l"])).alias("r"))).alias("in"))
     top = F.array_max(F.transform("in", lambda e: e["r"]))
     kept = rated.withColumn("top", top).select("gram", F.explode("in").alias("e"), "top").where(F.col("e.r") >= share * F.col("top"))
-    high = (1 << SLOT_BITS) - 1
-    slots = [F.shiftrightunsigned("gram", 64 - SLOT_BITS - 20 * i).bitwiseAND(F.lit(high)) for i in range(HASHES)]
+    size = slot_bits(max((r.n for r in kept.groupBy("e.l").agg(F.count("*").alias("n")).collect()), default=0))
+    slots = [F.shiftrightunsigned("gram", 64 - size * (i + 1)).bitwiseAND(F.lit((1 << size) - 1)) for i in range(HASHES)]
     bits = (kept.select(F.explode(F.array(*slots)).alias("slot"), (F.col("e.l") / 64).cast("int").alias("word"), (F.col("e.l") % 64).alias("bit"))
             .groupBy("slot", "word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask")))
-    masks = [np.zeros(1 << SLOT_BITS, np.uint64) for _ in range(-(-len(langs) // 64))]
-    for part in bits.toArrow().to_batches():
+    wide = lambda n: next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if n <= 8 * t().nbytes)
+    masks = [np.zeros(1 << size, wide(min(64, len(langs) - i))) for i in range(0, len(langs), 64)]
+    parts = [bits]
+    if size > SLOT_BITS:
+        bits = scratch.save(bits.withColumn("part", F.shiftright("slot", SLOT_BITS).cast("int")), "bits", partition_by="part")
+        parts = [bits.where(F.col("part") == i) for i in range(1 << (size - SLOT_BITS))]
+    for part in (b for p in parts for b in p.toArrow().to_batches()):
         slot, word = part.column(0).to_numpy(), part.column(1).to_numpy()
         mask = part.column(2).to_numpy().view(np.uint64)
         for w in range(len(masks)):
-            masks[w][slot[word == w]] = mask[word == w]
+            masks[w][slot[word == w]] = mask[word == w].astype(masks[w].dtype)
     scratch.drop()
     return Filter(langs, masks)
 
 
 def predict(docs: DataFrame, model: Filter, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, lang_pred, score) of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)      # fixed size: 8 MB for each 64 languages
+    shared = docs.sparkSession.sparkContext.broadcast(model)      # a byte a slot for up to 8 languages, 8 bytes for each 64
 
     def run(batches):
         for b in batches:

@@ -101,6 +101,21 @@ def test_language_filter_holds_every_gram():
     assert abs(hit[10_000:].mean() - f.false[0]) < 0.002
 
 
+def test_language_filter_grows_with_the_ngrams(spark):
+    """A language of several million n-grams does not draw texts of another one."""
+    rng = np.random.RandomState(5)
+    common = "the and of to in is that for it was on with".split()
+    many = [(i, "".join(map(chr, rng.randint(0x4E00, 0x9FA0, 4_000))), "zh", "s", 0) for i in range(750)]
+    few = [(1_000 + i, " ".join(rng.choice(common, 30)) + f" {chr(97 + i % 26)}q{chr(97 + i // 26)}x", "en", "s", 0) for i in range(200)]
+    model = lang_bitmask.fit(spark.createDataFrame(many + few, odd_docs(spark).schema).repartition(8))
+    assert model.langs == ["en", "zh"] and model.bits > lang_bitmask.SLOT_BITS and model.false.max() < 0.3
+    held = [r for r in few if held_out(r[0], 5, 0)]
+    assert model.predict([r[1] for r in held])[0] == ["en"] * len(held)
+    learned = [r[1] for r in many if not held_out(r[0], 5, 0)][:20]
+    names, scores = model.predict(learned)
+    assert names == ["zh"] * len(learned) and min(scores) > 0.99
+
+
 def labelled(spark):
     rng = np.random.RandomState(4)
     words = [f"{a}{b}" for a in ("ka", "lo", "mi", "ru", "te") for b in ("ban", "dol", "fim", "gur", "hep")]
