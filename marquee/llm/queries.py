@@ -9,7 +9,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import html_wrappers, kk_shards, lang_bitmask, lattice_lm, license_join, prefix_join, source_mix, suffix_decontam, threshold_sketch, toxic_grammar
+from marquee.llm import (
+    html_wrappers, kk_shards, lang_bitmask, lattice_lm, license_join, line_crf, norm_buckets, paren_trie, prefix_join, source_mix,
+    suffix_decontam, threshold_sketch, toxic_grammar,
+)
 from marquee.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +113,25 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document from the labels of its lines."""
+    docs = table(spark, sf_dir, "documents")
+    r = line_crf.score(docs, line_crf.fit(docs, table(spark, sf_dir, "labels")))
+    return r.select(F.col("id").alias("doc_id"), F.coalesce(_held_out(3, 1), F.lit(False)).alias("held_out"), "score",
+                    (F.col("score") >= 0.5).cast("int").alias("predicted"), "good_share", "n_lines")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return paren_trie.trie(paren_trie.rebuild(table(spark, sf_dir, "conversations"), shared=8, group=5))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of each benchmark item."""
+    r = norm_buckets.top_k(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+    return r.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
 _BENCH_WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
 ORACLES["op10_decontaminate"] = rf"""
@@ -213,8 +235,48 @@ from named left join found using (r)
 """
 
 
+ORACLES["op13_search"] = rf"""
+with d as (select row_number() over () as r, doc_id, {_BENCH_WORDS} as w from documents),
+total as (select count(*) filter (len(w) > 0) as n_docs, sum(len(w))::bigint as n_words from d),
+tf as (select r, t, count(*) as f from (select r, unnest(w) as t from d) group by r, t),
+terms as (select distinct item_id, unnest({_BENCH_WORDS}) as t from benchmark),
+weight as (select t, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::bigint as wt
+           from (select t, count(*) as df from tf where t in (select t from terms) group by t), total),
+size as (select r, 100 - 50 + ((50 * len(w) * n_docs) // n_words) as m from d, total where len(w) > 0),
+score as (select item_id, r, sum(wt * ((1000000000 * f) // (1000 * f + 20 * m)))::bigint as score
+          from terms join weight using (t) join tf using (t) join size using (r) group by item_id, r),
+ranked as (select item_id, row_number() over (partition by item_id order by score desc, doc_id nulls first) as rank, doc_id, score
+           from score join d using (r) where score > 0)
+select item_id, rank::integer as rank, doc_id, score from ranked where rank <= 50
+"""
+
+#: CRC-32 of a decimal number, bit by bit (the reflected polynomial 0xEDB88320).
+_CRC = ("xor(list_reduce([4294967295::bigint] || list_transform(string_split(c::varchar, ''), lambda x: ascii(x)::bigint), lambda a, x: "
+        "list_reduce([xor(a, x)] || [1::bigint, 2, 3, 4, 5, 6, 7, 8], lambda p, i: case when p & 1 = 1 then xor(p >> 1, 3988292384::bigint) else p >> 1 end)), 4294967295::bigint)")
+
+ORACLES["op12_prefix_trie"] = rf"""
+with t as (select conv_id as c, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as i,
+             struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) as turn from conversations where conv_id is not null),
+own as (select c, list(turn order by i) as turns from t group by c),
+part as (select c, turns, {_CRC} % 9 as h from own),
+full_ as (select a.c, coalesce(b.turns, [])[1:a.h] || a.turns[a.h + 1:] as path from part a left join own b on b.c = a.c - a.c % 5),
+pre as (select c, unnest(range(len(path) + 1)) as d, path from full_),
+node as (select d, path[1:d] as k, min(c) as conv_id, count(*) as n, list(c order by c) filter (len(path) = d) as ends,
+           coalesce(strlen((path[1:d])[d].x), 0) as bytes from pre group by d, path[1:d]),
+kids as (select d - 1 as d, k[1:d - 1] as k, count(*) as n_children from node where d > 0 group by all),
+flat as (select node.*, coalesce(n_children, 0) as n_children from node left join kids using (d, k)),
+up as (select a.d, a.k, sum((b.n - 1) * b.bytes) as saved, count(*) filter (b.n_children = 0) as leaves
+       from (select *, unnest(range(d + 1)) as e from flat) b join flat a on a.d = b.e and a.k = b.k[1:b.e] group by a.d, a.k)
+select flat.conv_id, flat.d as depth, p.conv_id as parent_conv_id, flat.n as n_convs, flat.n_children::bigint as n_children,
+       up.leaves::bigint as n_leaves, up.saved::bigint as saved_tokens,
+       sha256(coalesce(array_to_string(list_transform(flat.ends, lambda x: x::varchar), ','), '')) as ends_sha256
+from flat join up using (d, k) left join flat p on p.d = flat.d - 1 and p.k = flat.k[1:flat.d - 1]
+"""
+
+
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_extract, op2_lattice_lm, op3_language_id, op4_jaccard_join, op5_toxicity, op6_sketch, op7_licenses, op8_mix, op9_shards, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_extract, op2_lattice_lm, op3_language_id, op4_jaccard_join, op5_toxicity, op6_sketch, op7_licenses, op8_mix, op9_shards, op10_decontaminate, op11_quality,
+                                   op12_prefix_trie, op13_search)}
 
 
 def oracle_sql() -> dict[str, str]:
