@@ -23,12 +23,12 @@ def join_inner(t):
 
 
 _CUST_ACTIVE = "SELECT c_custkey, c_name FROM customer WHERE c_custkey % 4 <> 0"
-_ORD_EARLY = "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1995-01-01'"
+_ORD_EARLY = "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'"
 
 
 def _co(t):
     c = t.customer.where("c_custkey % 4 <> 0").select("c_custkey", "c_name")
-    o = t.orders.where(F.col("o_orderdate") < F.lit("1995-01-01").cast("timestamp")).select("o_orderkey", "o_custkey")
+    o = t.orders.where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp")).select("o_orderkey", "o_custkey")
     return c, o
 
 
@@ -128,7 +128,7 @@ SELECT n_name, r_name, c_mktsegment, count(*) AS n_lines,
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 JOIN supplier ON l_suppkey = s_suppkey AND s_nationkey = c_nationkey
-WHERE o_orderdate >= TIMESTAMP '1994-01-01' AND o_orderdate < TIMESTAMP '1995-01-01'
+WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1997-01-01'
 GROUP BY n_name, r_name, c_mktsegment
 """)
 def join_star(t):
@@ -141,8 +141,8 @@ def star_join(t):
     fixed-size and broadcast; for customer and supplier the planner and
     AQE choose by real bytes."""
     li = t.lineitem.select("l_orderkey", "l_suppkey", "l_extendedprice", "l_discount")
-    o = (t.orders.where((F.col("o_orderdate") >= F.lit("1994-01-01").cast("timestamp"))
-                        & (F.col("o_orderdate") < F.lit("1995-01-01").cast("timestamp")))
+    o = (t.orders.where((F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp"))
+                        & (F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp")))
          .select("o_orderkey", "o_custkey"))
     c = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
     s = t.supplier.select("s_suppkey", "s_nationkey")

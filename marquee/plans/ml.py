@@ -19,6 +19,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from marquee.operators import linalg
 from marquee.operators import timeseries as TS
 from marquee.plans.registry import query
 
@@ -174,16 +175,11 @@ SELECT a.i AS i, b.i AS j, round(sum(a.x * b.x) / (any_value(na.n) * any_value(n
 FROM c a JOIN c b ON a.vec_id = b.vec_id AND a.i < b.i JOIN nrm na ON na.i = a.i JOIN nrm nb ON nb.i = b.i GROUP BY a.i, b.i
 """)
 def cosine_pairs(t):
-    """Column (dimension) cosine similarities of the embedding matrix:
-    per-row products of dimension pairs (bounded by the dimension, 64²),
-    summed per pair and normalised by the column norms."""
-    c = _components(t).select("vec_id", "i", "x")
-    nrm = c.groupBy("i").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("n"))
-    a, b = c.alias("a"), c.alias("b")
-    prod = a.join(b, (F.col("a.vec_id") == F.col("b.vec_id")) & (F.col("a.i") < F.col("b.i"))).groupBy(
-        F.col("a.i").alias("i"), F.col("b.i").alias("j")).agg(F.sum(F.col("a.x") * F.col("b.x")).alias("dot"))
-    na, nb = F.broadcast(nrm.withColumnRenamed("n", "ni")), F.broadcast(nrm.withColumnRenamed("i", "j").withColumnRenamed("n", "nj"))
-    return prod.join(na, "i").join(nb, "j").select("i", "j", F.round(F.col("dot") / (F.col("ni") * F.col("nj")), 6).alias("sim"))
+    """Column (dimension) cosine similarities of the embedding matrix from
+    its Gram matrix: outer products are summed per block of rows, no vector
+    is exploded."""
+    d = linalg.column_similarities(t.embeddings.select("embedding"), "embedding")
+    return d.select("i", "j", F.round("sim", 6).alias("sim"))
 
 
 # ---------------------------------------------------------------- models with closed forms

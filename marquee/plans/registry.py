@@ -43,6 +43,7 @@ PLAN_MODULES = (
     "marquee.plans.streams",
     "marquee.plans.io",
     "marquee.plans.ml",
+    "marquee.plans.frames",
 )
 
 

@@ -45,13 +45,13 @@ def project(t):
 
 @query("filter", oracle="""
 SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
-WHERE l_shipdate >= TIMESTAMP '1994-01-01' AND l_shipdate < TIMESTAMP '1995-01-01'
+WHERE l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '1997-01-01'
   AND l_discount BETWEEN 0.05 AND 0.07 AND l_quantity < 24
 """)
 def filter_(t):
     li = t.lineitem
-    return (li.filter((F.col("l_shipdate") >= F.lit("1994-01-01").cast("timestamp"))
-                      & (F.col("l_shipdate") < F.lit("1995-01-01").cast("timestamp")))
+    return (li.filter((F.col("l_shipdate") >= F.lit("1996-01-01").cast("timestamp"))
+                      & (F.col("l_shipdate") < F.lit("1997-01-01").cast("timestamp")))
             .where(F.col("l_discount").between(0.05, 0.07))
             .where("l_quantity < 24")
             .select("l_orderkey", "l_linenumber", "l_quantity"))

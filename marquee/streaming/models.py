@@ -65,3 +65,36 @@ class StreamingLinearRegression:
 
     def foreach_batch(self, features: list[str], label: str):
         return lambda batch, _id: self.update(batch, features, label)
+
+
+class StreamingLogisticRegression:
+    """Logistic SGD: full-batch gradient steps per micro-batch (step size
+    falling with the square root of the step), the gradient summed on the
+    executors.  Rows with a NULL feature or label do not count."""
+
+    def __init__(self, n_features: int, step: float = 0.5, rounds: int = 10, ridge: float = 0.0):
+        self.w = np.zeros(n_features)
+        self.b = 0.0
+        self.step, self.rounds, self.ridge = step, rounds, ridge
+
+    def probability(self, features: list[str]):
+        z = F.lit(float(self.b))
+        for f, w in zip(features, self.w):
+            z = z + F.col(f) * float(w)
+        return 1 / (1 + F.exp(-z))
+
+    def update(self, batch: DataFrame, features: list[str], label: str) -> None:
+        known = batch.select(*features, label).na.drop()
+        for i in range(self.rounds):
+            err = self.probability(features) - F.col(label)
+            row = known.agg(F.count(F.lit(1)).alias("n"), F.sum(err).alias("gb"),
+                            *[F.sum(err * F.col(f)).alias(f"g{j}") for j, f in enumerate(features)]).first()
+            if not row["n"]:
+                return
+            g = np.array([row[f"g{j}"] for j in range(len(features))]) / row["n"]
+            rate = self.step / np.sqrt(i + 1)
+            self.w -= rate * (g + self.ridge * self.w)
+            self.b -= rate * row["gb"] / row["n"]
+
+    def foreach_batch(self, features: list[str], label: str):
+        return lambda batch, _id: self.update(batch, features, label)
