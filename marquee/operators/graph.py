@@ -46,7 +46,8 @@ def pagerank_simple(edges: DataFrame, iterations: int = 10) -> DataFrame:
         contrib = links.join(ranks, links.src == ranks.id).select(
             F.col("dst").alias("id"), (F.col("rank") / F.col("deg")).alias("c"))
         ranks = contrib.groupBy("id").agg((F.lit(0.15) + F.lit(0.85) * F.sum("c")).alias("rank"))
-        ranks = _cut(ranks, i)
+        ranks = _cut(ranks, i, 1 if i == iterations - 1 else CHECKPOINT_EVERY)
+    links.unpersist()
     return ranks
 
 
@@ -73,7 +74,7 @@ def pagerank(edges: DataFrame, iterations: int = 20, tol: float | None = None,
                    .select(F.col("dst").alias("id"), (F.col("rank") / F.col("deg")).alias("c")))
         new = (contrib.unionByName(zero).groupBy("id")
                .agg((F.lit(reset) + F.lit(1 - reset) * F.sum("c")).alias("rank")))
-        new = _cut(new, i)
+        new = _cut(new, i, 1 if i == iterations - 1 or tol is not None else CHECKPOINT_EVERY)
         if tol is not None:
             delta = (new.alias("n").join(ranks.alias("o"), "id")
                      .agg(F.max(F.abs(F.col("n.rank") - F.col("o.rank")))).first()[0])
@@ -82,27 +83,38 @@ def pagerank(edges: DataFrame, iterations: int = 20, tol: float | None = None,
                 break
         else:
             ranks = new
+    links.unpersist()
+    verts.unpersist()
     return ranks
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """Undirected components; label = smallest vertex id.  Min-label
-    propagation until no label changes."""
-    und = edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    und = und.cache()
-    labels = vertices_of(und).withColumn("label", F.col("id"))
-    for i in itertools.count():
-        msgs = und.join(labels, und.src == labels.id).select(F.col("dst").alias("id"), F.col("label").alias("m"))
-        best = msgs.groupBy("id").agg(F.min("m").alias("m"))
-        new = (labels.join(best, "id", "left")
-               .select("id", F.least("label", F.coalesce("m", F.col("label"))).alias("label")))
-        new = _cut(new, i, every=2)
-        changed = new.join(labels.withColumnRenamed("label", "old"), "id").where(F.col("label") != F.col("old")).limit(1).count()
-        labels = new
-        if changed == 0:
+    """Undirected components; label = smallest vertex id.
+
+    Large-star and small-star rounds: each vertex's larger neighbours are
+    hung on the smallest vertex it sees, then its smaller ones, until all
+    components are stars.  A path of n vertices takes about log n rounds; a
+    round is a few aggregations over one row a link, and links only fall.
+    Vertices whose edges are all self loops keep their own label."""
+    checkpoint_dir(edges.sparkSession)
+    verts = vertices_of(edges)
+    links = canonical_edges(edges.select("src", "dst")).select(F.col("dst").alias("a"), F.col("src").alias("b")).checkpoint()
+    while True:
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = (large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                 .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
+        links = small.checkpoint()
+        # stars: a vertex hangs on one other, which hangs on none
+        ends = (links.select(F.col("a").alias("v"), F.lit(1).alias("hangs"), F.lit(0).alias("holds"))
+                .unionByName(links.select(F.col("b").alias("v"), F.lit(0).alias("hangs"), F.lit(1).alias("holds"))))
+        loose = ends.groupBy("v").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds")).where("hangs > 1 or (hangs = 1 and holds = 1)")
+        if loose.isEmpty():
             break
-    und.unpersist()
-    return labels
+    labels = links.select(F.col("a").alias("id"), F.col("b").alias("label"))
+    return verts.join(labels, "id", "left").select("id", F.coalesce("label", "id").alias("label"))
 
 
 def canonical_edges(edges: DataFrame) -> DataFrame:
@@ -124,6 +136,8 @@ def triangle_counts(edges: DataFrame) -> DataFrame:
     o = ed.select(F.when(low_first, F.col("src")).otherwise(F.col("dst")).alias("a"),
                   F.when(low_first, F.col("dst")).otherwise(F.col("src")).alias("b"),
                   F.greatest("ds", "dd").alias("deg"))
+    checkpoint_dir(edges.sparkSession)
+    o = o.checkpoint()                 # read three times below
     wedges = o.alias("x").join(o.alias("y"), F.col("x.a") == F.col("y.a")).where(
         (F.col("x.deg") < F.col("y.deg")) | ((F.col("x.deg") == F.col("y.deg")) & (F.col("x.b") < F.col("y.b"))))
     # in this order the closing edge points from x.b to y.b, so each triangle is met once
@@ -131,7 +145,7 @@ def triangle_counts(edges: DataFrame) -> DataFrame:
     tri = closed.select(F.col("x.a").alias("p"), F.col("x.b").alias("q"), F.col("y.b").alias("r"))
     per = (tri.select(F.explode(F.array("p", "q", "r")).alias("id"))
            .groupBy("id").agg(F.count(F.lit(1)).alias("triangles")))
-    verts = vertices_of(e)
+    verts = vertices_of(o.select(F.col("a").alias("src"), F.col("b").alias("dst")))
     return verts.join(per, "id", "left").select("id", F.coalesce("triangles", F.lit(0)).cast("bigint").alias("triangles"))
 
 

@@ -1,13 +1,10 @@
 """Join operators Spark has no single built-in for.
 
 * ``asof_join`` — backward / forward / nearest, optional ``by`` keys,
-  tolerance and exact-match flag.  No cartesian product, no per-key
-  collect: both sides are unioned and a window runs inside
-  (by, time-bucket) partitions, so a key that holds a third of all rows
-  is still split over many tasks.  Rows whose bucket holds no earlier
-  right row take the last right row of an earlier bucket, found on a
-  table with one row per (by, bucket) — bounded by the time span, not by
-  the row count.
+  tolerance and exact-match flag.  Both sides are sorted into one
+  range-partitioned pass over (by, time), so a key that holds a third of
+  all rows is split by its rows; the last right row before (or the first
+  after) a part's rows crosses its border in a carry of one row a part.
 * ``range_join`` — point-in-interval without an equality key: intervals
   are exploded onto fixed-width bins, then an equi join on the bin plus
   the exact range filter.
@@ -16,10 +13,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marquee.operators import timeseries as TS
 from marquee.operators.relational import salt
 
 
@@ -32,87 +32,58 @@ def _time_num(df: DataFrame, col: str) -> Column:
     return F.col(col)
 
 
-def _asof_backward(left: DataFrame, right: DataFrame, by: list[str], width: float,
-                   allow_exact: bool, sign: int) -> DataFrame:
-    """Adds ``_m`` (struct of the matched right row, incl. ``_rt``) to left.
-
-    ``left`` has ``_t``; ``right`` has ``_t`` and payload struct ``_r``.
-    ``sign`` = -1 runs the forward direction on negated time.
-    """
-    lt = F.col("_t") * sign
-    L = left.withColumn("_k", lt).withColumn("_b", F.floor(F.col("_k") / width)).withColumn("_side", F.lit(1))
-    R = (right.withColumn("_k", F.col("_t") * sign).withColumn("_b", F.floor(F.col("_k") / width))
-         .select(*by, "_k", "_b", "_r"))
-    # equal times: right first when exact matches count, else left first
-    r_ord, l_ord = (0, 1) if allow_exact else (1, 0)
-    U = (L.withColumn("_o", F.lit(l_ord))
-         .unionByName(R.withColumn("_o", F.lit(r_ord)).withColumn("_side", F.lit(0)), allowMissingColumns=True))
-    # of right rows at one time the largest counts, in every direction
-    w = (Window.partitionBy(*by, "_b").orderBy("_k", "_o", "_r")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = U.withColumn("_m", F.last("_r", ignorenulls=True).over(w)).where(F.col("_side") == 1)
-
-    # carry: last right row of any earlier bucket, per (by, bucket)
-    r_last = R.groupBy(*by, "_b").agg(F.max_by("_r", F.struct("_k", "_r")).alias("_r"))
-    l_buckets = L.select(*by, "_b").distinct()
-    cu = (l_buckets.withColumn("_o", F.lit(0))
-          .unionByName(r_last.withColumn("_o", F.lit(1)), allowMissingColumns=True))
-    w2 = (Window.partitionBy(*by).orderBy("_b", "_o")
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carry = (cu.withColumn("_c", F.last("_r", ignorenulls=True).over(w2))
-             .where(F.col("_o") == 0).select(*by, "_b", "_c"))
-    out = local.join(carry, on=[*by, "_b"], how="left")
-    if by:
-        # a NULL key equals nothing, within a bucket as across buckets
-        known = F.lit(True)
-        for c in by:
-            known = known & F.col(c).isNotNull()
-        out = out.withColumn("_m", F.when(known, F.col("_m")))
-    return out.withColumn("_m", F.coalesce("_m", "_c")).drop("_c", "_b", "_k", "_o", "_side", "_r")
-
-
 def asof_join(left: DataFrame, right: DataFrame, on: str, by: list[str] | str | None = None,
               right_on: str | None = None, direction: str = "backward",
               tolerance: float | None = None, allow_exact_matches: bool = True,
-              bucket_width: float = 86_400_000_000.0) -> DataFrame:
+              suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
     """pandas-style ``merge_asof`` on DataFrames.
 
-    Every left row is kept; right columns (all but ``by``; names must not
-    clash with left) are null when there is no match.  ``on`` timestamps
-    are compared in microseconds (``tolerance`` too); numeric ``on``
-    columns as they are.  ``bucket_width`` (same unit) sets the time
-    split of each key.
-    """
+    Every left row is kept; right columns (all but ``by``, and but ``on``
+    where both sides call it so) are NULL when there is no match.  Columns
+    that both sides have get the suffixes.  ``on`` timestamps are compared
+    in microseconds (``tolerance`` too), other ``on`` columns as they are.
+    Of right rows at one time the largest counts, in every direction; a NULL
+    key or time matches nothing."""
     by = [by] if isinstance(by, str) else list(by or [])
     right_on = right_on or on
-    payload = [c for c in right.columns if c not in by]
-    lt = _time_num(left, on)
-    rt = _time_num(right, right_on)
-    L = left.withColumn("_t", lt)
-    R = right.withColumn("_t", rt).select(*by, "_t", F.struct(*payload, F.col("_t").alias("_rt")).alias("_r"))
-
-    def run(Lx, sign):
-        return _asof_backward(Lx, R, by, bucket_width, allow_exact_matches, sign)
-
-    if direction == "backward":
-        out = run(L, 1)
-        dist = F.col("_t") - F.col("_m._rt")
-    elif direction == "forward":
-        out = run(L, -1)
-        dist = F.col("_m._rt") - F.col("_t")
-    elif direction == "nearest":
-        b = run(L, 1).withColumnRenamed("_m", "_mb")
-        f = run(b, -1).withColumnRenamed("_m", "_mf")
-        db = F.col("_t") - F.col("_mb._rt")
-        df_ = F.col("_mf._rt") - F.col("_t")
-        pick_b = F.col("_mf").isNull() | (F.col("_mb").isNotNull() & (db <= df_))
-        out = f.withColumn("_m", F.when(pick_b, F.col("_mb")).otherwise(F.col("_mf"))).drop("_mb", "_mf")
-        dist = F.abs(F.col("_t") - F.col("_m._rt"))
-    else:
+    if direction not in ("backward", "forward", "nearest"):
         raise ValueError(direction)
+    payload = [c for c in right.columns if c not in by and not (c == on == right_on)]
+    known = reduce(Column.__and__, [F.col(c).isNotNull() for c in by], F.lit(True))
+    # all columns of a side travel in one struct: no name can clash
+    keys = lambda df: F.struct(*[F.col(c).cast(left.schema[c].dataType) for c in by]) if by else F.lit(0)
+    lefts = left.select(keys(left).alias("key"), _time_num(left, on).alias("t"), known.alias("known"), F.struct(*left.columns).alias("l"))
+    rights = right.where(known).select(keys(right).alias("key"), _time_num(right, right_on).alias("t"),
+                                       *[F.col(c).alias(f"c{i}") for i, c in enumerate(payload)]).where("t is not null")
+    value = F.struct(F.col("t").alias("t"), F.struct(*[F.col(f"c{i}") for i in range(len(payload))]).alias("row")) if payload else F.struct(F.col("t").alias("t"))
+    rights = rights.select("key", "t", value.alias("r")).groupBy("key", "t").agg(F.max("r").alias("r"))
+
+    def matched(right_first: bool) -> DataFrame:
+        """Rows of both sides in one order; right rows at a left row's time
+        come before it or after it."""
+        u = lefts.withColumn("o", F.lit(1)).unionByName(rights.withColumn("o", F.lit(0 if right_first else 2)), allowMissingColumns=True)
+        return TS.ranged(u, "key", ["t", "o"])
+
+    fill = lambda d, out, backward: TS.fill(d, "key", ["t", "o"], "r", out, backward)
+    if direction == "nearest":
+        if allow_exact_matches:
+            # a match at the same time is found by looking back: no other is nearer
+            d = fill(fill(matched(True), "p", False), "n", True)
+        else:
+            d = fill(matched(False), "p", False).drop("_b")
+            d = fill(TS.ranged(d.withColumn("o", F.when(F.col("l").isNull(), 0).otherwise(1)), "key", ["t", "o"]), "n", True)
+        earlier = F.col("n").isNull() | (F.col("p").isNotNull() & (F.col("t") - F.col("p.t") <= F.col("n.t") - F.col("t")))
+        d = d.withColumn("m", F.when(earlier, F.col("p")).otherwise(F.col("n")))
+    else:
+        back = direction == "backward"
+        d = fill(matched(back == allow_exact_matches), "m", not back)
+    fits = F.col("known") & F.col("t").isNotNull()
     if tolerance is not None:
-        out = out.withColumn("_m", F.when(dist <= F.lit(tolerance), F.col("_m")))
-    return out.select(*left.columns, *[F.col(f"_m.{c}").alias(c) for c in payload])
+        fits = fits & (F.abs(F.col("t") - F.col("m.t")) <= F.lit(tolerance))
+    d = d.where("l is not null").withColumn("m", F.when(fits, F.col("m")))
+    shared = set(left.columns) & set(payload)
+    return d.select(*[F.col(f"l.`{c}`").alias(c + suffixes[0] if c in shared else c) for c in left.columns],
+                    *[F.col(f"m.row.c{i}").alias(c + suffixes[1] if c in shared else c) for i, c in enumerate(payload)])
 
 
 def range_join(points: DataFrame, intervals: DataFrame, point: str, start: str, end: str,
@@ -146,15 +117,18 @@ def merge_update(target: DataFrame, updates: DataFrame, on: list[str] | str,
                  overwrite: bool = True) -> DataFrame:
     """pandas ``update`` / ``combine_first`` on key-aligned frames: the
     updates' non-null values replace (``overwrite``) or fill
-    (``combine_first``) the target's."""
+    (``combine_first``) the target's.  Keys match null-safely; of updates
+    that repeat a key the largest value of each column counts, so no target
+    row is multiplied."""
     keys = [on] if isinstance(on, str) else list(on)
     cols = [c for c in target.columns if c not in keys and c in updates.columns]
-    u = updates.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in cols])
-    j = target.join(u, keys, "left")
-    sel = []
-    for c in target.columns:
-        if c in cols:
-            sel.append((F.coalesce(f"_u_{c}", c) if overwrite else F.coalesce(c, f"_u_{c}")).alias(c))
-        else:
-            sel.append(F.col(c))
-    return j.select(*sel)
+    u = updates.groupBy(*keys).agg(F.struct(*[F.max(c).alias(c) for c in cols]).alias("new")) if cols else updates.select(*keys).distinct().withColumn("new", F.lit(None))
+    match = reduce(Column.__and__, [F.col(f"old.{k}").eqNullSafe(F.col(f"upd.{k}")) for k in keys])
+    j = target.alias("old").join(u.alias("upd"), match, "left")
+
+    def value(c: str) -> Column:
+        if c not in cols:
+            return F.col(f"old.{c}")
+        new, old = F.col(f"upd.new.{c}"), F.col(f"old.{c}")
+        return (F.coalesce(new, old) if overwrite else F.coalesce(old, new)).alias(c)
+    return j.select(*[value(c) for c in target.columns])

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.exact import cents, fixed_mean, fixed_mean_sql
 from marquee.operators import graph as G
+from marquee.operators import timeseries as TS
 from marquee.plans.registry import query
 
 # (l_orderkey, l_linenumber) is not unique in the data: order lines by a total order
@@ -94,18 +95,30 @@ def pagerank(t):
 
 
 # ---------------------------------------------------------------- components, triangles, paths
-_MOD5_SQL = f"SELECT src, dst FROM ({SUCC_SQL}) WHERE src % 5 = dst % 5"
-
-
 @query("components", oracle=f"""
-WITH RECURSIVE e AS ({_MOD5_SQL}), u AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e),
+WITH RECURSIVE e AS ({SUCC_SQL}), u AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e),
 cc(id, label) AS (SELECT src, src FROM u UNION SELECT u.dst, cc.label FROM cc JOIN u ON cc.id = u.src)
 SELECT id, min(label) AS label FROM cc GROUP BY id
 """)
 def components(t):
-    """Connected components of the supplier graph, edges within the classes
-    mod 5 only, so several components exist."""
-    e = supplier_edges(t).where(F.col("src") % 5 == F.col("dst") % 5)
+    """Connected components of the whole supplier graph."""
+    return G.connected_components(supplier_edges(t))
+
+
+# customers (as negative numbers) and the parts of their largest, most discounted lines
+_BULK_SQL = "SELECT DISTINCT -o_custkey AS src, l_partkey AS dst FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity >= 49 AND l_discount >= 0.09"
+
+
+@query("components_bulk", oracle=f"""
+WITH RECURSIVE e AS ({_BULK_SQL}), u AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e),
+cc(id, label) AS (SELECT src, src FROM u UNION SELECT u.dst, cc.label FROM cc JOIN u ON cc.id = u.src)
+SELECT id, min(label) AS label FROM cc GROUP BY id
+""")
+def components_bulk(t):
+    """Components of the graph of customers and the parts that they buy in
+    bulk at a high discount: many, of all sizes."""
+    li = t.lineitem.where("l_quantity >= 49 and l_discount >= 0.09").select("l_orderkey", F.col("l_partkey").alias("dst"))
+    e = li.join(t.orders.select("o_orderkey", (-F.col("o_custkey")).alias("src")), F.col("l_orderkey") == F.col("o_orderkey")).select("src", "dst").distinct()
     return G.connected_components(e)
 
 
@@ -179,13 +192,19 @@ def degree_hist(t):
     return d.groupBy("degree").agg(F.count(F.lit(1)).alias("vertices"))
 
 
+_FOLLOW_SQL = """SELECT src, dst FROM (SELECT o_orderkey AS src, lead(o_orderkey) OVER w AS dst, o_orderdate AS day, lead(o_orderdate) OVER w AS next_day
+  FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)) WHERE next_day <= day + INTERVAL 180 DAY"""
+
+
 @query("transitive_closure", oracle=f"""
-WITH RECURSIVE e AS (SELECT src, dst FROM ({_MOD5_SQL}) WHERE src < dst),
+WITH RECURSIVE e AS ({_FOLLOW_SQL}),
 tc(src, dst) AS (SELECT src, dst FROM e UNION SELECT tc.src, e.dst FROM tc JOIN e ON tc.dst = e.src)
 SELECT src, dst FROM tc
 """)
 def transitive_closure(t):
-    """Closure of the supplier graph's edges to larger numbers of a class
-    mod 5."""
-    e = supplier_edges(t).where((F.col("src") % 5 == F.col("dst") % 5) & (F.col("src") < F.col("dst")))
+    """Closure of the follow-up graph of all orders: an edge leads to the
+    customer's next order if that comes within 180 days."""
+    d = TS.ranged(t.orders.select("o_custkey", "o_orderdate", "o_orderkey"), "o_custkey", ["o_orderdate", "o_orderkey"])
+    nxt = TS.shifted(d, "o_custkey", ["o_orderdate", "o_orderkey"], {"dst": ("o_orderkey", -1), "next_day": ("o_orderdate", -1)})
+    e = nxt.where(F.col("next_day") <= F.col("o_orderdate") + F.expr("INTERVAL 180 DAYS")).select(F.col("o_orderkey").alias("src"), "dst")
     return G.transitive_closure(e)

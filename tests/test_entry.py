@@ -2,6 +2,8 @@
 
 import importlib.util
 
+import pytest
+
 import __spark_entry__ as entry
 
 
@@ -14,3 +16,17 @@ def test_entry_without_the_subpackage(monkeypatch):
 
 def test_every_twin_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_entry_survives_a_broken_subpackage(monkeypatch):
+    import builtins
+
+    real = builtins.__import__
+
+    def broken(name, *a, **b):
+        if name == "corpus_pipeline":
+            raise ImportError("broken")
+        return real(name, *a, **b)
+    monkeypatch.setattr(builtins, "__import__", broken)
+    with pytest.warns(UserWarning, match="broken"):
+        assert len(entry.queries()) > 250

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from marquee.operators import graph as G
 from marquee.operators import joins as J
 from marquee.operators import timeseries as TS
 from marquee.operators.relational import dedup_keep_first, topk_per_group
@@ -26,7 +27,7 @@ def test_asof_matches_pandas(spark, sf_dir, direction, exact):
     right = ev.where("event_type = 'purchase'").select("user_id", F.col("ts").alias("p_ts"), F.col("event_id").alias("p_id"))
     # small bucket width: matches must cross many buckets
     got = J.asof_join(left, right, on="ts", right_on="p_ts", by="user_id", direction=direction,
-                      allow_exact_matches=exact, bucket_width=3_600_000_000).select("event_id", "p_id").toPandas()
+                      allow_exact_matches=exact).select("event_id", "p_id").toPandas()
     lp = left.toPandas().sort_values("ts")
     rp = right.toPandas().sort_values("p_ts")
     want = pd.merge_asof(lp, rp, left_on="ts", right_on="p_ts", by="user_id", direction=direction,
@@ -229,3 +230,31 @@ def test_ml_rows_only_sanity(spark, sf_dir):
     assert nd.where("jaccard_dist < 0 OR jaccard_dist > 0.5 OR a >= b").count() == 0
     ks = _q(spark, sf_dir, "ks_test").first()
     assert 0 <= ks.pValue <= 1
+
+
+def test_asof_names_and_unknown_keys(spark):
+    left = spark.createDataFrame([(1, "a", 5, 10), (2, "a", 3, 11), (3, None, 5, 12), (4, "a", None, 13), (5, "b", 9, 14)], "id int, k string, t int, v int")
+    right = spark.createDataFrame([("a", 5, 1), ("a", 5, 2), ("a", 4, 3), (None, 5, 4), ("a", None, 5), ("b", 1, None)], "k string, t int, v int")
+    back = J.asof_join(left, right, on="t", by="k")
+    assert back.columns == ["id", "k", "t", "v_x", "v_y"]
+    assert {r.id: r.v_y for r in back.collect()} == {1: 2, 2: None, 3: None, 4: None, 5: None}
+    ahead = J.asof_join(left, right, on="t", by="k", direction="forward", suffixes=("", "_r"))
+    assert {r.id: r.v_r for r in ahead.collect()} == {1: 2, 2: 3, 3: None, 4: None, 5: None}
+    near = J.asof_join(left, right, on="t", by="k", direction="nearest", allow_exact_matches=False)
+    assert {r.id: r.v_y for r in near.collect()} == {1: 3, 2: 3, 3: None, 4: None, 5: None}
+    assert J.asof_join(left, right.select("k", "t"), on="t", by="k").columns == ["id", "k", "t", "v"]
+
+
+def test_merge_update_keeps_rows_and_matches_null_keys(spark):
+    target = spark.createDataFrame([(1, "x", None), (2, "y", 5), (None, "z", 6)], "k int, s string, n int")
+    updates = spark.createDataFrame([(1, "u", 1), (1, "v", None), (None, None, 9), (7, "w", 7)], "k int, s string, n int")
+    assert sorted(map(repr, map(tuple, J.merge_update(target, updates, "k").collect()))) == sorted(map(repr, [(1, "v", 1), (2, "y", 5), (None, "z", 9)]))
+    assert sorted(map(repr, map(tuple, J.merge_update(target, updates, "k", overwrite=False).collect()))) == sorted(map(repr, [(1, "x", 1), (2, "y", 5), (None, "z", 6)]))
+
+
+def test_components_of_a_path_and_self_loops(spark):
+    n = 200
+    edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(1000, 1001), (1001, 1002), (1002, 1000), (5000, 5000)], "src long, dst long")
+    got = {r.id: r.label for r in G.connected_components(edges).collect()}
+    assert got == {**{i: 0 for i in range(n + 1)}, 1000: 1000, 1001: 1000, 1002: 1000, 5000: 5000}
+    assert G.connected_components(edges.where("src < 0")).count() == 0
