@@ -3,16 +3,25 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and reread as the next stage's ``docs``.  All but the
 last return the columns of ``documents``.
+
+Cases, alike in all stages: an empty table gives an empty result; NULL and
+empty texts are not toxic, near no other text and without benchmark words,
+so they stay until mixing, where they are read with the epoch at their
+place; rows with a NULL id are in no group of near copies; repeated rows
+are judged alike, and of near copies (repeated ids too) one row stays;
+further columns are kept as they are, whatever they are called, but for the
+four that sharding adds.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import functions as F
 
 from marquee.llm import kk_shards, prefix_join, source_mix, suffix_decontam, toxic_grammar
 from marquee.llm.queries import MIX_WEIGHTS, with_domain
-from marquee.llm.store import Scratch
+from marquee.llm.store import Scratch, packed, unpacked
 from marquee.sources.tables import table
 
 
@@ -35,9 +44,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Domains, languages and sources are brought to MIX_WEIGHTS within eight
-    tenths of all tokens; every document is read once at most."""
-    mixed = source_mix.mix(with_domain(docs), ["domain", "lang", "source"], MIX_WEIGHTS, share=0.8, epochs=1)
-    return mixed.select(*docs.columns)
+    tenths of all tokens; every document is read once at most.  Columns that
+    are called like those of the mix (domain, n_tokens, epoch) keep their values."""
+    rows = packed(docs, doc_id=F.col("doc_id"), text=F.col("text"), lang=F.col("lang"), source=F.col("source"))
+    mixed = source_mix.mix(with_domain(rows), ["domain", "lang", "source"], MIX_WEIGHTS, share=0.8, epochs=1)
+    return mixed.select(*unpacked(docs.columns))
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
