@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.store import Scratch
+from marquee.llm.store import Scratch, packed, unpacked
 
 
 def differencing(parts: list[list[int]], ids: list[str] | None = None) -> list[list[int]]:
@@ -113,22 +113,17 @@ def shard_by_bytes(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", tex
     scratch = Scratch(docs.sparkSession, "shards")
     text = F.col(text_col).cast("string")
     added = ("size", "text_crc32", "shard", "slot")
-    plain = docs.drop(*[c for c in docs.columns if c.lower() in added])
-    rows = plain.withColumns({
-        "size": (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long"),
-        "text_crc32": F.crc32(F.coalesce(text, F.lit(""))),
-        "_part": F.coalesce(F.sha2(text, 256), F.lit("null"))})
-    groups = scratch.save(rows.groupBy(F.col("_part").alias("part")).agg(F.sum("size").alias("size"), F.count("*").alias("rows")), "groups")
+    plain = [c for c in docs.columns if c.lower() not in added]
+    rows = packed(docs, id=F.col(id_col), size=(F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long"),
+                  text_crc32=F.crc32(F.coalesce(text, F.lit(""))), part=F.coalesce(F.sha2(text, 256), F.lit("null")))
+    groups = scratch.save(rows.groupBy("part").agg(F.sum("size").alias("size"), F.count("*").alias("rows")), "groups")
     placed = scratch.save(assign_groups(groups.select("part", "size"), shards, scratch), "placed")
     total = groups.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     buckets = max(1, -(-int(total) // slot_rows))
-    placed = placed.select(F.col("part").alias("_placed"), "shard")
-    placed_rows = rows.join(placed, F.col("_part") == F.col("_placed")).withColumn(
-        "_bucket", F.pmod(F.xxhash64(id_col), F.lit(buckets)))
+    placed_rows = rows.join(placed, "part").withColumn("bucket", F.pmod(F.xxhash64("id", "part"), F.lit(buckets)))
     # slots: rows before a bucket of the shard, then the place within it
-    before = (placed_rows.groupBy("shard", "_bucket").agg(F.count("*").alias("n"))
-              .withColumn("_before", F.sum("n").over(Window.partitionBy("shard").orderBy("_bucket")) - F.col("n")).drop("n"))
-    place = F.row_number().over(Window.partitionBy("shard", "_bucket").orderBy(id_col, "_part")) - 1
-    return (placed_rows.join(F.broadcast(before) if buckets * shards <= 20_000 else before, ["shard", "_bucket"])
-            .withColumn("slot", (F.col("_before") + place).cast("long"))
-            .select(*[F.col(c) for c in plain.columns], "size", "text_crc32", F.col("shard").cast("int").alias("shard"), "slot"))
+    before = (placed_rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
+              .withColumn("before", F.sum("n").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("n")).drop("n"))
+    place = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("id", "part")) - 1
+    return (placed_rows.join(before, ["shard", "bucket"]).withColumn("slot", (F.col("before") + place).cast("long"))
+            .select(*unpacked(plain), "size", "text_crc32", F.col("shard").cast("int").alias("shard"), "slot"))

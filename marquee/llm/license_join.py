@@ -1,19 +1,25 @@
 """License scans: exact set-similarity join of text blocks and templates.
 
-Blocks are the sentences of a text's lines.  A template T is found in a
-block B if at least ``percent`` percent of T's distinct words are in B.
-Words are put in one order, rare ones first by their count in the corpus.
-Such a block must hold one of the first m - need + 1 of T's m words (prefix
-filter), have at least ``need`` words of the templates (length filter), and
-from the first shared word on both sides must still have enough words left
-(positional filter).  What passes is counted exactly and must hold the words
-that tell the notice from its relatives.
-
-A notice that is wrapped over several lines is looked for in the sentences
-of a paragraph: around each word that tells a notice, a window that reaches
-a template's length to both sides across line ends.  It is a hit if it meets
-the same counts and ``percent`` percent of the template stands in it in the
-template's order, so that words strewn over neighbouring lines are none.
+Blocks are the sentences of a text's lines, and the windows of sentences
+that cross line ends: at every place as many consecutive words as hold the
+template's number of them at ``percent`` percent.  A template T is found in a block B if at least ``percent``
+percent of T's distinct words are in B, whatever their order.
+
+One join finds them all.  Words are put in one order, rare ones first by
+their count in the corpus.  Such a block must hold one of the first
+m - need + 1 of T's m words (prefix filter), have at least ``need`` distinct
+words of the templates (length filter), and from the first shared word on
+both sides must still have enough words left (positional filter).  What
+passes is counted exactly.  A sentence that crosses line ends passes the
+filters as a whole (its windows hold no other words); then each of its
+windows that ends at a template word is counted, and the best one stands
+for it.
+
+Every block at the threshold is labelled.  Where templates that are
+relatives meet in one block (one has ``percent`` percent of the other's
+words, so that a block with the one has the other too), those with the
+highest containment give their labels, of equal ones those whose telling
+words are all there.
 
 A base scan finds fixed phrases as consecutive words.
 
@@ -34,7 +40,7 @@ from marquee.llm.store import Scratch
 
 # Phrases of the base scan and wording of common license notices.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
-#: Wording of a notice: its label and the words without which it is another notice.
+#: Wording of a notice: its label and the words that tell it from its relatives.
 TEMPLATES = {
     "released under the mit license": ("mit", "mit"),
     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files": ("mit", "granted copy"),
@@ -72,26 +78,26 @@ def phrase_places(w: Column, phrase: str) -> Column:
     return F.filter(F.sequence(F.lit(0), F.size(w) - 1), here)
 
 
-def windows(text: Column, tells: list[str], universe: Column, reach: int, least: int) -> Column:
-    """Windows (word, at, words) around the telling words of sentences that
-    cross line ends; those with fewer than ``least`` template words are left out."""
-    tell = F.array(*[F.lit(w) for w in tells])
-    runs = F.filter(F.transform(F.filter(F.split(text, r"\n\s*\n|[.!?;]\s"), lambda b: F.contains(b, F.lit("\n"))), words),
-                    lambda w: F.arrays_overlap(w, tell))
+#: A line's sentences, and the sentences of paragraphs.
+LINE, PARAGRAPH = r"\n|[.!?;]\s", r"\n\s*\n|[.!?;]\s"
 
-    def around(w):
-        at = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.array_contains(tell, F.get(w, i)))
-        return F.transform(at, lambda i: F.struct(F.get(w, i).alias("word"), F.least(i, F.lit(reach)).alias("at"),
-                                                  F.slice(w, F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach)) + 1 + reach).alias("words")))
-    return F.filter(F.flatten(F.transform(runs, around)), lambda x: F.size(F.array_intersect(x["words"], universe)) >= least)
 
+def relatives(sets: list[list[str]], percent: int) -> list[tuple[int, int]]:
+    """Pairs (u, t): a block that holds all of u meets t's threshold."""
+    return [(u, t) for u in range(len(sets)) for t in range(len(sets))
+            if u != t and 100 * len(set(sets[u]) & set(sets[t])) >= percent * len(sets[t])]
 
-def in_order(found: Column, seq: Column) -> Column:
-    """Words of ``seq`` that stand in ``found`` in the order of ``seq``: the longest common subsequence."""
-    def step(row, w):
-        return F.aggregate(F.sequence(F.lit(1), F.size(seq)), F.array(F.lit(0)), lambda done, j: F.concat(done, F.array(F.greatest(
-            F.element_at(done, -1), F.element_at(row, j + 1), F.element_at(row, j) + (F.element_at(seq, j) == w).cast("int")))))
-    return F.element_at(F.aggregate(found, F.array_repeat(F.lit(0), F.size(seq) + 1), step), -1)
+
+def span(template: str, percent: int) -> int:
+    """Words of a template's window."""
+    return -(-100 * len(template.split()) // percent)
+
+
+def best_window(words: Column, template: Column, length: Column) -> Column:
+    """Most distinct words of ``template`` within ``length`` consecutive words."""
+    ends = F.filter(F.sequence(F.lit(1), F.size(words)), lambda k: F.array_contains(template, F.element_at(words, k)))
+    return F.coalesce(F.array_max(F.transform(ends, lambda k: F.size(F.array_intersect(
+        F.slice(words, F.greatest(k - length + 1, F.lit(1)), F.least(length, k)), template)))), F.lit(0))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases: dict[str, str] = PHRASES,
@@ -102,57 +108,59 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
     spark = docs.sparkSession
     scratch = Scratch(spark, "license")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    sets = {t: sorted(set(t.split())) for t in templates}
-    universe = F.array(*[F.lit(w) for w in sorted({w for s in sets.values() for w in s})])
+    names = list(templates)
+    sets = [sorted(set(t.split())) for t in names]
+    universe = F.array(*[F.lit(w) for w in sorted({w for x in sets for w in x})])
+    least = min(-(-(len(x) * percent) // 100) for x in sets)
 
-    # one pass: words, phrase places, and the blocks that hold words of a template
+    # one pass: words, phrase places, and the blocks that hold enough words of the templates
     one = F.col("w")
     found = [F.when(F.array_contains(one, F.lit(p.split()[-1])), phrase_places(one, p)).otherwise(F.array().cast("array<int>")) for p in phrases]
-    blocks = F.filter(F.transform(F.split(text, r"\n|[.!?;]\s"), lambda b: F.array_intersect(words(b), universe)), lambda b: F.size(b) > 1)
-    tells = sorted({must.split()[0] for _, must in templates.values()})
-    wrapped = windows(F.col("text"), tells, universe, max(len(t.split()) for t in templates), min(-(-(len(s) * percent) // 100) for s in sets.values()))
-    rows = (docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), words(text).alias("w"), blocks.alias("blocks"), text.alias("text"))
-            .select("row", "id", F.size(one).cast("long").alias("n_words"), F.array(*found).alias("found"), "blocks",
-                    F.when(F.arrays_overlap(one, F.array(*[F.lit(w) for w in tells])), wrapped).alias("wrapped")))
+    enough = lambda b: F.size(F.array_intersect(b, universe)) >= least
+    none = F.array().cast("array<string>")
+    lines = F.transform(F.filter(F.transform(F.split("text", LINE), lambda b: F.array_intersect(words(b), universe)), lambda b: F.size(b) >= least),
+                        lambda b: F.struct(b.alias("words"), none.alias("run")))
+    crossing = F.transform(F.filter(F.transform(F.filter(F.split("text", PARAGRAPH), lambda b: F.contains(b, F.lit("\n"))), words), enough),
+                           lambda w: F.struct(F.array_intersect(w, universe).alias("words"), w.alias("run")))
+    rows = (docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), words(text).alias("w"), text.alias("text"))
+            .select("row", "id", F.size(one).cast("long").alias("n_words"), F.array(*found).alias("found"),
+                    F.when(enough(one), F.concat(lines, crossing)).alias("blocks")))
     rows = scratch.save(rows, "rows")
 
     # global order of the templates' words, rare first: a bounded number of rows
-    block = rows.select("row", F.posexplode("blocks").alias("block", "words"))
+    block = rows.select("row", F.posexplode("blocks").alias("block", "b")).select("row", "block", "b.words", "b.run")
     often = {r.word: r.n for r in block.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
-    rank = {w: i for i, w in enumerate(sorted({w for s in sets.values() for w in s}, key=lambda w: (often.get(w, 0), w)))}
+    rank = {w: i for i, w in enumerate(sorted({w for x in sets for w in x}, key=lambda w: (often.get(w, 0), w)))}
     prefix, whole = [], []
-    for i, t in enumerate(sets):
-        s = sorted(sets[t], key=rank.get)
-        m = len(s)
+    for i, t in enumerate(names):
+        x = sorted(sets[i], key=rank.get)
+        m = len(x)
         need = -(-(m * percent) // 100)
-        prefix += [(s[p], i, p, m, need) for p in range(m - need + 1)]
-        must = templates[t][1].split()
-        whole.append((i, s, must, templates[t][0], must[0], t.split(), m, need))
+        prefix += [(x[p], i, p, m, need) for p in range(m - need + 1)]
+        label, tells = templates[t]
+        whole.append((i, x, tells.split(), label, span(t, percent)))
     # fixed templates: a few dozen rows
+    heads = F.array(*[F.lit(w) for w in sorted({w for w, *_ in prefix})])
     prefix = F.broadcast(spark.createDataFrame(prefix, "word string, t int, p int, m int, need int"))
-    whole = F.broadcast(spark.createDataFrame(whole, "t int, words_t array<string>, must array<string>, label string, tell string, seq array<string>, m_t int, need_t int"))
+    whole = F.broadcast(spark.createDataFrame(whole, "t int, template array<string>, tells array<string>, label string, length int"))
 
     order = F.create_map(*[x for w, i in rank.items() for x in (F.lit(w), F.lit(i))])
     sorted_words = F.transform(F.array_sort(F.transform("words", lambda w: F.struct(F.element_at(order, w).alias("r"), w.alias("w")))), lambda x: x["w"])
-    heads = sorted({w for w, *_ in prefix.select("word").collect()})
-    hot = F.arrays_overlap("words", F.array(*[F.lit(w) for w in heads]))
-    entry = block.where(hot).withColumn("words", sorted_words)
-    candidates = (entry.select("row", "block", "words", F.posexplode("words").alias("q", "word")).join(prefix, "word")
-                  .where(F.size("words") >= F.col("need"))                                            # length
-                  .where(1 + F.least(F.col("m") - F.col("p"), F.size("words") - F.col("q")) - 1 >= F.col("need"))  # position
-                  .select("row", "block", "words", "t", "m", "need").distinct())
-    hits = (candidates.join(whole, "t").withColumn("shared", F.size(F.array_intersect("words", "words_t")))
-            .where((F.col("shared") >= F.col("need")) & (F.size(F.array_except("must", "words")) == 0))
-            .select("row", "label", "shared", "m"))
-    # wrapped notices: each window against the templates that its word tells
-    low = F.greatest(F.col("at") - F.size("seq"), F.lit(0))
-    near = (rows.select("row", F.explode("wrapped").alias("x")).select("row", "x.word", "x.at", "x.words").join(whole, F.col("word") == F.col("tell"))
-            .withColumn("words", F.slice("words", low + 1, F.col("at") - low + 1 + F.size("seq")))
-            .withColumn("shared", F.size(F.array_intersect("words", "words_t")))
-            .where((F.col("shared") >= F.col("need_t")) & (F.size(F.array_except("must", "words")) == 0))
-            .where(100 * in_order(F.col("words"), F.col("seq")) >= percent * F.size("seq"))
-            .select("row", "label", "shared", F.col("m_t").alias("m")))
-    hits = (hits.unionByName(near).groupBy("row").agg(F.collect_set("label").alias("method"), F.max(F.col("shared") / F.col("m")).alias("best")))
+    entry = block.where(F.arrays_overlap("words", heads)).withColumn("words", sorted_words)
+    candidates = (entry.select("row", "block", "words", "run", F.posexplode("words").alias("q", "word")).join(prefix, "word")
+                  .where(F.size("words") >= F.col("need"))                                               # length
+                  .where(F.least(F.col("m") - F.col("p"), F.size("words") - F.col("q")) >= F.col("need"))     # position
+                  .groupBy("row", "block", "t").agg(F.any_value("words").alias("words"), F.any_value("run").alias("run"), F.any_value("m").alias("m"), F.any_value("need").alias("need")))
+    held = F.size(F.array_intersect("words", "template"))
+    shared = F.when(F.size("run") == 0, held).when(held >= F.col("need"), best_window(F.col("run"), F.col("template"), F.col("length"))).otherwise(0)
+    hits = candidates.join(whole, "t").withColumn("shared", shared).where(F.col("shared") >= F.col("need"))
+    # of relatives in one block the best
+    pairs = F.array(*[F.lit(u * len(names) + t) for u, t in relatives(sets, percent)]).cast("array<int>")
+    grade = F.struct((F.col("shared") / F.col("m")).alias("part"), (F.size(F.array_except("tells", "words")) == 0).cast("int").alias("told"))
+    per = hits.select("row", "block", F.struct("t", "label", grade.alias("grade")).alias("h")).groupBy("row", "block").agg(F.collect_list("h").alias("h"))
+    best = F.filter("h", lambda x: ~F.exists("h", lambda y: F.array_contains(pairs, y["t"] * len(names) + x["t"]) & (y["grade"] > x["grade"])))
+    hits = (per.select("row", F.explode(best).alias("h")).groupBy("row")
+            .agg(F.collect_set("h.label").alias("method"), F.max("h.grade.part").alias("best")))
 
     names = list(phrases.values())
     base = F.filter(F.array(*[F.when(F.size(F.col("found")[i]) > 0, F.lit(n)) for i, n in enumerate(names)]), lambda x: x.isNotNull())

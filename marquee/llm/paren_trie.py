@@ -415,6 +415,8 @@ def trie(rebuilt: DataFrame, shard_nodes: int = SHARD_NODES) -> DataFrame:
     """The nodes of the prefix trie of rows (conv_id, path, bytes)."""
     scratch = Scratch(rebuilt.sparkSession, "trie")
     paths = scratch.save(rebuilt, "paths")
+    # several paths to a shard, however long: two of them leave it, so every merge shrinks
+    shard_nodes = max(shard_nodes, 8 * (paths.agg(F.max(F.size("path")).alias("n")).first().n or 0))
     runs = paths.repartitionByRange("path", "conv_id").sortWithinPartitions("path", "conv_id").mapInArrow(_runs, f"{PATH}, first_id long, n long, ids string")
     runs = scratch.save(runs, "runs")
     work = runs.repartitionByRange("path").sortWithinPartitions("path", "first_id").select("path", "bytes", "first_id", "n", "ids")
@@ -425,11 +427,9 @@ def trie(rebuilt: DataFrame, shard_nodes: int = SHARD_NODES) -> DataFrame:
         if last:
             break
         spine = done.where("kind = 'spine'").select("path", "bytes", "members", "least", "children", "leaves", "saved", "digest")
-        size = spine.agg(F.sum(F.size("path")).alias("n"), F.count("*").alias("rows")).first()
+        size = spine.agg(F.sum(F.size("path")).alias("n")).first()
         level, read = level + 1, _spine_rows
-        # one shard holds the rest: it is bounded by the size of a shard; a
-        # merge that no longer shrinks is finished in one task, too
-        last = (size.n or 0) <= shard_nodes or size.rows <= 2
+        last = (size.n or 0) <= shard_nodes          # one shard holds the rest
         work = (spine.coalesce(1) if last else spine.repartitionByRange(max(1, -(-size.n // (2 * shard_nodes))), "path")).sortWithinPartitions("path")
     nodes = levels[0].where("kind = 'node'")
     for x in levels[1:]:

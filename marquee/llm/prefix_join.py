@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm import words as W
-from marquee.llm.store import Scratch, components
+from marquee.llm.store import Scratch, components, packed, unpacked
 
 SKETCH = 1 << 18        # slots of the shingle frequency estimate (fixed: at most 2 MB)
 
@@ -283,10 +283,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     Rows without words are in no component and stay, as do rows with a NULL
     id.  Of rows that repeat a kept id one stays."""
     r = jaccard_components(docs, id_col, text_col, **options).where("n_shingles > 0 and id is not null")
-    known = (r.groupBy(F.col("id").alias("_id")).agg(F.min("component_id").alias("_least"), F.count("*").alias("_rows"))
-             .where("_id <> _least or _rows > 1"))
-    marked = docs.join(known, docs[id_col].cast("long") == F.col("_id"), "left")
+    known = (r.groupBy("id").agg(F.min("component_id").alias("least"), F.count("*").alias("rows"))
+             .where("id <> least or rows > 1"))
     words = F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    alone = marked.where(F.col("_id").isNull() | ~words)
-    again = marked.where((F.col("_id") == F.col("_least")) & words).dropDuplicates([id_col])
-    return alone.unionByName(again).select(*docs.columns)
+    marked = packed(docs, key=F.col(id_col).cast("long"), worded=words).join(known, F.col("key") == F.col("id"), "left")
+    alone = marked.where(F.col("id").isNull() | ~F.col("worded"))
+    again = marked.where((F.col("id") == F.col("least")) & F.col("worded")).dropDuplicates(["key"])
+    return alone.unionByName(again).select(*unpacked(docs.columns))

@@ -215,14 +215,25 @@ def _places(phrase: str) -> str:
     return "list_filter(range(len(w)), lambda i: " + " and ".join(f"coalesce(w[i + {j + 1}] = '{x}', false)" for j, x in enumerate(q)) + ")"
 
 
+_T_SETS = [sorted(set(t.split())) for t in license_join.TEMPLATES]
+_RELATIVES = ", ".join(f"({u}, {t})" for u, t in license_join.relatives(_T_SETS, 80))
+
 ORACLES["op7_licenses"] = rf"""
 with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text, {_BENCH_WORDS} as w from documents),
-templates(t, must, label) as (values {', '.join(f"({_sql_list(sorted(set(t.split())))}, {_sql_list(m.split())}, '{label}')" for t, (label, m) in license_join.TEMPLATES.items())}),
-lines as (select r, unnest(string_split_regex(text, '
-|[.!?;]\s')) as text from d),
-blocks as (select r, {_BENCH_WORDS} as w from lines),
-hit as (select r, label, len(list_intersect(list_distinct(w), t)) / len(t) as part from blocks, templates
-        where len(list_intersect(list_distinct(w), t)) * 100 >= 80 * len(t) and len(list_intersect(list_distinct(w), must)) = len(must)),
+templates(n, t, tells, label, span) as (values {', '.join(f"({i}, {_sql_list(_T_SETS[i])}, {_sql_list(m.split())}, '{label}', {license_join.span(t, 80)})" for i, (t, (label, m)) in enumerate(license_join.TEMPLATES.items()))}),
+relatives(u, v) as (values {_RELATIVES}),
+lines as (select r, generate_subscripts(x, 1) as b, unnest(x) as text from (select r, string_split_regex(text, '\n|[.!?;]\s') as x from d)),
+runs as (select r, generate_subscripts(x, 1) as b, unnest(x) as text from (select r, string_split_regex(text, '\n\s*\n|[.!?;]\s') as x from d)),
+flat as (select r, 'line' || b as b, {_BENCH_WORDS} as w from lines),
+cross_ as (select r, 'run' || b as b, {_BENCH_WORDS} as w from runs where contains(text, chr(10))),
+whole as (select r, b, n, w, t, tells, label, span, len(list_intersect(list_distinct(w), t)) as shared from flat, templates
+          where len(list_intersect(list_distinct(w), t)) * 100 >= 80 * len(t)
+  union all select r, b, n, w, t, tells, label, span,
+    list_max(list_transform(range(1, len(w) + 1), lambda k: len(list_intersect(list_distinct(w[greatest(k - span + 1, 1):k]), t)))) as shared
+  from cross_, templates where len(list_intersect(list_distinct(w), t)) * 100 >= 80 * len(t)),
+graded as (select *, shared / len(t) as part, len(list_intersect(list_distinct(w), list_distinct(tells))) = len(list_distinct(tells)) as told from whole where shared * 100 >= 80 * len(t)),
+hit as (select * from graded g where not exists (select 1 from graded o join relatives on u = o.n and v = g.n
+        where o.r = g.r and o.b = g.b and (o.part > g.part or (o.part = g.part and o.told and not g.told)))),
 found as (select r, list(distinct label) as labels, max(part) as part from hit group by r),
 base as (select *, {', '.join(f"{_places(p)} as p{i}" for i, p in enumerate(license_join.PHRASES))} from d),
 named as (select *, {' || '.join(f"p{i}" for i in range(len(license_join.PHRASES)))} as places,

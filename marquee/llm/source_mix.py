@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.store import Scratch
+from marquee.llm.store import Scratch, packed, unpacked
 
 RANGE = 3        # hex digits of a key range: 4,096 ranges
 
@@ -78,10 +78,11 @@ def mix(docs: DataFrame, levels: list[str], weights: dict[tuple, float], share:
 
     The budget is ``share`` of all tokens of ``docs``."""
     scratch = Scratch(docs.sparkSession, "mix")
-    plain = docs.drop(*[c for c in docs.columns if c.lower() in ("n_tokens", "epoch")])
-    counted = plain.withColumn("n_tokens", F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long"))
-    path = [f"_l{i}" for i in range(len(levels))]
-    rows = scratch.save(counted.select(*[F.col(c).alias(p) for c, p in zip(levels, path)], F.col(id_col).cast("string").alias("_id"), "n_tokens"), "rows")
+    plain = [c for c in docs.columns if c.lower() not in ("n_tokens", "epoch")]
+    path = [f"l{i}" for i in range(len(levels))]
+    tokens = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    counted = packed(docs, **{p: F.col(c) for c, p in zip(levels, path)}, id=F.col(id_col).cast("string"), n_tokens=tokens)
+    rows = scratch.save(counted.select(*path, "id", "n_tokens"), "rows")
     leaves = scratch.save(rows.groupBy(*path).agg(F.sum("n_tokens").alias("avail")), "leaves")
     budget = share * float(leaves.agg(F.coalesce(F.sum("avail"), F.lit(0))).first()[0])
     plan = budgets(leaves, path, weights, budget, epochs)
@@ -92,7 +93,7 @@ def mix(docs: DataFrame, levels: list[str], weights: dict[tuple, float], share:
     same = lambda a, b, cols: [a[c].eqNullSafe(b[c]) for c in cols]
     partial = plan.where("rest > 0")
     keyed = rows.join(partial, same(rows, partial, path)).select(
-        *[rows[p] for p in path], key(F.col("whole"), F.col("_id")).alias("key"), "n_tokens", "rest")
+        *[rows[p] for p in path], key(F.col("whole"), F.col("id")).alias("key"), "n_tokens", "rest")
     keyed = scratch.save(keyed.withColumn("range", F.substring("key", 1, RANGE)), "keyed")
     ranges = (keyed.groupBy(*path, "range").agg(F.sum("n_tokens").alias("n"), F.first("rest").alias("rest"), F.max("key").alias("last"))
               .withColumn("through", F.sum("n").over(Window.partitionBy(*path).orderBy("range"))))
@@ -104,9 +105,9 @@ def mix(docs: DataFrame, levels: list[str], weights: dict[tuple, float], share:
     cut = ranges.where("through <= rest").select(*path, "last").unionByName(ends).groupBy(*path).agg(F.max("last").alias("cut"))
     plan = scratch.save(plan.join(cut, same(plan, cut, path), "left").select(*[plan[p] for p in path], "whole", "cut"), "cuts")
 
-    plan = plan.withColumnsRenamed({"whole": "_whole", "cut": "_cut"})
-    read = counted.join(plan, [counted[c].eqNullSafe(plan[p]) for c, p in zip(levels, path)])
-    read = read.withColumn("_partial", F.coalesce(key(F.col("_whole"), F.col(id_col).cast("string")) <= F.col("_cut"), F.lit(False)))
-    read = read.withColumn("_n", F.col("_whole") + F.col("_partial").cast("long")).where("_n > 0")
-    return (read.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
-            .select(*[F.col(c) for c in plain.columns], "n_tokens", "epoch"))
+    plan = plan.withColumnsRenamed({p: f"{p}_of" for p in path})
+    read = counted.join(plan, [F.col(p).eqNullSafe(F.col(f"{p}_of")) for p in path])
+    partial = F.coalesce(key(F.col("whole"), F.col("id")) <= F.col("cut"), F.lit(False))
+    read = read.withColumn("readings", F.col("whole") + partial.cast("long")).where("readings > 0")
+    return (read.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("readings") - 1)))
+            .select(*unpacked(plain), "n_tokens", "epoch"))

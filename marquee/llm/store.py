@@ -6,12 +6,23 @@ from __future__ import annotations
 import atexit
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.session import checkpoint_dir
 
 
+def packed(df: DataFrame, **extra: Column) -> DataFrame:
+    """``df`` as one struct column ``doc`` beside the columns of an operator:
+    whatever the input's columns are called, none can clash."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc"), *[v.alias(k) for k, v in extra.items()])
+
+
+def unpacked(columns: list[str]) -> list[Column]:
+    """The columns of a packed frame."""
+    return [F.col(f"doc.`{c}`").alias(c) for c in columns]
+
+
 class Scratch:
     """Parquet tables of one operator run; cuts lineage and is read as often
     as needed.  Tables that no result refers to are dropped at once, the

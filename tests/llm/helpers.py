@@ -60,7 +60,10 @@ def odd_docs(spark, extra=False):
     df = spark.createDataFrame(ODD_ROWS, DOC_SCHEMA)
     if extra:
         from pyspark.sql import functions as F
-        clash = ("id", "row", "size", "shard", "slot", "n_tokens", "epoch", "component_id", "score", "token", "word", "block", "key", "range", "labels", "part", "whole", "cut", "avail", "a", "b", "x", "n", "last", "rows")
+        # names that the operators use inside, in all their spellings
+        clash = ("_id", "_least", "_rows", "_part", "_bucket", "_before", "_placed", "_whole", "_cut", "_l0", "l0", "l1", "l0_of", "_n", "_partial",
+                 "doc", "known", "worded", "least", "bucket", "before", "readings", "epoch_", "rest", "keyed", "words", "order", "y", "norm", "t", "v",
+                 "path", "bytes", "base", "up", "held", "n_lines", "good_share", "item", "rank", "id", "row", "size", "shard", "slot", "n_tokens", "epoch", "component_id", "score", "token", "word", "block", "key", "range", "labels", "part", "whole", "cut", "avail", "a", "b", "x", "n", "last", "rows")
         df = df.withColumns({c: F.lit("clash") for c in clash})
     return df
 

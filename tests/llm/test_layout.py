@@ -8,6 +8,7 @@ import zlib
 
 import pytest
 from helpers import ODD_ROWS, empty_docs, odd_docs, spaced
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from marquee.llm import html_wrappers, kk_shards, queries, source_mix
@@ -197,3 +198,20 @@ def test_pipeline_stages(spark, sf_dir):
     assert set(rows[3]) == {i for i, r in rows[2].items() if not brute_hits(r.text, items)[1]}
     assert len({r.shard for r in rows[5].values()}) <= 8 and set(rows[5]) == set(rows[4])
     assert {r.doc_id for r in corpus_pipeline.run(spark, sf_dir).collect()} == set(rows[5])
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_on_odd_rows(spark, sf_dir, name):
+    """Columns called like the operators' own, NULLs, repeated rows and an
+    empty table: every stage keeps the columns, and no value changes."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    docs = odd_docs(spark, True)
+    docs = docs.unionByName(docs.where("doc_id in (5, 13, 16)")).unionByName(docs.where("doc_id = 9").withColumn("doc_id", F.lit(None).cast("long")))
+    out = stage(spark, docs, sf_dir)
+    assert set(docs.columns) <= set(out.columns) and (name == "sharding" or out.columns == docs.columns)
+    own = {c for c in docs.columns if name == "sharding" and c in ("size", "text_crc32", "shard", "slot")}
+    texts = {(r[0], r[1]) for r in ODD_ROWS} | {(None, dict((r[0], r[1]) for r in ODD_ROWS)[9])}
+    rows = out.collect()
+    assert rows and all((r.doc_id, r.text) in texts for r in rows)
+    assert all(r[c] == "clash" for r in rows for c in docs.columns if c not in own and c not in [x[0] for x in odd_docs(spark).dtypes])
+    assert stage(spark, docs.limit(0), sf_dir).count() == 0
