@@ -9,9 +9,11 @@ verbatim match is the longer common prefix with its two neighbours, and
 all places that share a whole window with it form one range of the array.
 
 A window is ``window`` consecutive item words; an item of fewer words,
-but not none, is one window.  The test suffixes go to the tasks in blocks
-of bounded size (``block_words``); each block is one pass over the
-documents, so a benchmark of any size is searched.
+but not none, is one window.  The items are turned into words by a Spark
+job and dealt into blocks of about ``block_words`` words.  One block at a
+time goes through the driver to the tasks, is searched in one pass over the
+documents whose finds are written, and is given up before the next one; so
+a benchmark of any size is searched with one block in memory.
 
 Cases: NULL and empty texts have no words and no hits; items without
 words have no window; repeated items are searched as given and counted by
@@ -28,13 +30,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.llm import words as W
-from marquee.llm.store import Scratch
+from marquee.llm.store import Scratch, packed, unpacked
 
 SHARD_WORDS = 1 << 20
 STOP = np.uint64(0)      # follows each text, so that no match runs from one into the next
-SCHEMA = "row long, id long, n_words long, spans binary, items binary, best binary"
+FOUND = "n_words long, spans binary, items array<string>, best binary"
 
 
 class SuffixArray:
@@ -117,7 +120,7 @@ class Suffixes:
     """One block of test suffixes: word hashes, and per suffix its item,
     start, window length and full length."""
 
-    def __init__(self, h: np.ndarray, first: np.ndarray, ids: np.ndarray, window: int):
+    def __init__(self, h: np.ndarray, first: np.ndarray, ids: list, window: int):
         n = np.diff(first)
         self.h, self.ids = h, ids
         item = np.repeat(np.arange(len(n)), n)
@@ -186,26 +189,38 @@ def _found(suffixes: Suffixes, column: pa.Array):
         yield start, stop, n, spans, items, best
 
 
-def _search(blocks, k: int):
+def _search(block):
     def run(batches):
-        suffixes = blocks[k].value
+        suffixes = block.value
         for b in batches:
             for start, stop, n, spans, items, best in _found(suffixes, b.column(2)):
                 out = {c: [None] * (stop - start) for c in ("spans", "items", "best")}
                 for t in spans:
                     out["spans"][t] = np.unique(np.concatenate(spans[t], axis=1), axis=1).astype(np.int64).tobytes()
-                    out["items"][t] = suffixes.ids[np.unique(np.concatenate(items[t]))].astype(np.int64).tobytes()
+                    out["items"][t] = sorted({suffixes.ids[i] for i in np.unique(np.concatenate(items[t])).tolist()} - {None})
                     out["best"][t] = np.int64(best[t]).tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(start, stop - start), b.column(1).slice(start, stop - start), pa.array(n.astype(np.int64))]
-                    + [pa.array(out[c], pa.binary()) for c in ("spans", "items", "best")],
+                    + [pa.array(out["spans"], pa.binary()), pa.array(out["items"], pa.list_(pa.string())), pa.array(out["best"], pa.binary())],
                     names=["row", "id", "n_words", "spans", "items", "best"])
     return run
 
 
-def _clean(blocks, k: int, column: int):
+def _flagged(block):
+    """Whether each text holds no window of the block."""
     def run(batches):
-        suffixes = blocks[k].value
+        suffixes = block.value
+        for b in batches:
+            clean = np.ones(b.num_rows, bool)
+            for start, _, _, spans, _, _ in _found(suffixes, b.column(1)):
+                clean[[start + int(t) for t in spans]] = False
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(~clean))], names=["row"])
+    return run
+
+
+def _clean(block, column: int):
+    def run(batches):
+        suffixes = block.value
         for b in batches:
             keep = np.ones(b.num_rows, bool)
             for start, _, _, spans, _, _ in _found(suffixes, b.column(column)):
@@ -218,7 +233,7 @@ def _merge(batches):
     """Per document: words covered by any window, item ids, longest match."""
     for b in batches:
         hit, items, best = [], [], []
-        for spans, ids, longest in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), b.column(5).to_pylist()):
+        for spans, ids, longest in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist()):
             total = end = 0
             if spans:
                 both = np.concatenate([np.frombuffer(x, np.int64).reshape(2, -1) for x in spans], axis=1)
@@ -226,35 +241,42 @@ def _merge(batches):
                     total += max(0, hi - max(lo, end))
                     end = max(end, hi)
             hit.append(total)
-            found = np.unique(np.concatenate([np.frombuffer(x, np.int64) for x in ids])) if ids else []
-            items.append([int(x) for x in found if x != np.iinfo(np.int64).min])
+            items.append(sorted({x for part in ids for x in part}))
             best.append(max((int(np.frombuffer(x, np.int64)[0]) for x in longest), default=0))
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), b.column(2), pa.array(hit, pa.int64()), pa.array(items, pa.list_(pa.int64())),
-             pa.array(best, pa.int64())], names=["row", "id", "n_words", "n_hit", "items", "longest"])
-
-
-def _blocks(items: DataFrame, id_col: str, text_col: str, block_words: int):
-    """Item texts in blocks of at most about ``block_words`` words each, one in memory at a time."""
-    ids, texts, size = [], [], 0
-    for r in items.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")).toLocalIterator():
-        ids.append(np.iinfo(np.int64).min if r.i is None else r.i)
-        texts.append(r.t or "")
-        size += len(texts[-1]) // 2
-        if size >= block_words:
-            yield ids, texts
-            ids, texts, size = [], [], 0
-    yield ids, texts
-
-
-def _suffixes(items: DataFrame, item_id: str, item_text: str, window: int, block_words: int) -> list:
-    blocks = []
-    for ids, texts in _blocks(items, item_id, item_text, block_words):
-        data, offsets = W.text_bytes(pa.array(texts, pa.string()))
-        s, e, first = W.spans(data, offsets, W.ALNUM)
-        block = Suffixes(W.word_hashes(data, s, e), first, np.array(ids, np.int64), window)
-        blocks.append(items.sparkSession.sparkContext.broadcast(block))
-    return blocks
+            [b.column(0), b.column(1), pa.array(hit, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(best, pa.int64())],
+            names=["id", "n_words", "n_hit", "items", "longest"])
+
+
+def _item_words(batches):
+    """Word hashes of every item text."""
+    for b in batches:
+        for start, stop in W.pieces(b.column(2)):
+            data, offsets = W.text_bytes(b.column(2).slice(start, stop - start))
+            s, e, first = W.spans(data, offsets, W.ALNUM)
+            h = W.word_hashes(data, s, e)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).slice(start, stop - start), b.column(1).slice(start, stop - start), pa.array(np.diff(first)),
+                 pa.array([h[i:j].tobytes() for i, j in zip(first[:-1], first[1:])], pa.binary())], names=["no", "id", "n", "words"])
+
+
+class Blocks:
+    """The items' words in a table, dealt into blocks of about ``block_words``."""
+
+    def __init__(self, items: DataFrame, id_col: str, text_col: str, window: int, block_words: int, scratch: Scratch):
+        self.window, self.context = window, items.sparkSession.sparkContext
+        rows = items.select(F.monotonically_increasing_id().alias("no"), F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
+        self.table = scratch.save(rows.mapInArrow(_item_words, "no long, id string, n long, words binary").where("n > 0"), "items")
+        total = self.table.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        self.count = max(1, -(-int(total) // block_words))
+
+    def broadcast(self, k: int):
+        """Block ``k`` for the tasks; the caller destroys it after use."""
+        rows = self.table.where(F.pmod(F.xxhash64("no"), F.lit(self.count)) == k).toArrow()
+        parts = [np.frombuffer(x, np.uint64) for x in rows.column("words").to_pylist()]
+        first = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int64)
+        h = np.concatenate(parts) if parts else np.empty(0, np.uint64)
+        return self.context.broadcast(Suffixes(h, first, rows.column("id").to_pylist(), self.window))
 
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
@@ -265,25 +287,42 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     ids of the items with occurring windows, sorted; ``longest``: words of
     the longest verbatim match found through them.
     """
-    spark = docs.sparkSession
-    blocks = _suffixes(items, item_id, item_text, window, block_words)
-    d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    if len(blocks) == 1:
-        found = d.select(F.lit(0).cast("long").alias("row"), "id", "text").mapInArrow(_search(blocks, 0), SCHEMA)
-        found = found.select("row", "id", "n_words", *[F.expr(f"if({c} is null, array(), array({c}))").alias(c) for c in ("spans", "items", "best")])
+    scratch = Scratch(docs.sparkSession, "decontam")
+    blocks = Blocks(items, item_id, item_text, window, block_words, scratch)
+    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    id_type = d.schema["id"].dataType.simpleString()
+    schema = f"row long, id {id_type}, {FOUND}"
+    if blocks.count == 1:
+        found = d.select(F.lit(0).cast("long").alias("row"), "id", "text").mapInArrow(_search(blocks.broadcast(0)), schema)
+        found = found.select("id", "n_words", *[F.expr(f"if({c} is null, array(), array({c}))").alias(c) for c in ("spans", "items", "best")])
     else:
         # a row number that every pass sees alike
-        scratch = Scratch(spark, "decontam")
         d = scratch.save(d.select(F.monotonically_increasing_id().alias("row"), "id", "text"), "rows")
-        found = reduce(DataFrame.unionByName, [d.mapInArrow(_search(blocks, i), SCHEMA) for i in range(len(blocks))])
-        found = found.groupBy("row", "id").agg(F.max("n_words").alias("n_words"), *[F.collect_list(c).alias(c) for c in ("spans", "items", "best")])
-    return found.mapInArrow(_merge, "row long, id long, n_words long, n_hit long, items array<long>, longest long").drop("row")
+        passes = []
+        for k in range(blocks.count):
+            block = blocks.broadcast(k)
+            passes.append(scratch.save(d.mapInArrow(_search(block), schema), f"found-{k}"))
+            block.destroy()
+        found = reduce(DataFrame.unionByName, passes)
+        found = found.groupBy("row", "id").agg(F.max("n_words").alias("n_words"), *[F.collect_list(c).alias(c) for c in ("spans", "items", "best")]).drop("row")
+    kind = items.schema[item_id].dataType
+    merged = found.mapInArrow(_merge, f"id {id_type}, n_words long, n_hit long, items array<string>, longest long")
+    return merged.withColumn("items", F.array_sort(F.col("items").cast(T.ArrayType(kind))))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
                   item_text: str = "text", window: int = 10, block_words: int = 4_000_000) -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no occurrence
-    of an item window; one filtering pass for each block of items."""
-    for k in range(len(blocks := _suffixes(items, item_id, item_text, window, block_words))):
-        docs = docs.mapInArrow(_clean(blocks, k, docs.columns.index(text_col)), docs.schema)
-    return docs
+    of an item window.  With several blocks each pass writes the numbers of
+    the rows it would drop, and all of them go at the end."""
+    scratch = Scratch(docs.sparkSession, "clean")
+    blocks = Blocks(items, item_id, item_text, window, block_words, scratch)
+    if blocks.count == 1:
+        return docs.mapInArrow(_clean(blocks.broadcast(0), docs.columns.index(text_col)), docs.schema)
+    rows = scratch.save(packed(docs, row=F.monotonically_increasing_id(), text=F.col(text_col).cast("string")), "rows")
+    passes = []
+    for k in range(blocks.count):
+        block = blocks.broadcast(k)
+        passes.append(scratch.save(rows.select("row", "text").mapInArrow(_flagged(block), "row long"), f"flagged-{k}"))
+        block.destroy()
+    return rows.join(reduce(DataFrame.unionByName, passes).distinct(), "row", "left_anti").select(*unpacked(docs.columns))

@@ -10,20 +10,30 @@ Three transducers over the words of a clause are composed into one:
 * *reading*: turns an insult or threat into a plain, targeted, negated or
   reported match and multiplies its weight.
 
-Clauses without an insult or threat match nothing.  A document's features
-are sums over its matched clauses; a logistic function, fitted on the same
-labelled rows, turns them into a score.  Weights of negated and reported
-readings are features of their own, so their discount is learned.
-
-Learning uses a sample of at most about ``fit_rows`` labelled rows with
-crc32(id) mod 5 <> 0 (all of them if there are fewer); scoring covers
-every whole text.
+The matched clause is what is scored.  Its reading is that of its heaviest
+match: the class of the match (strong or weak insult by its learned weight,
+threat) and the way it is meant (plain, targeted, negated, reported; a
+threat is also targeted by a target that follows it).  Clauses without an
+insult or threat match nothing.  A document's features are the numbers of
+its clauses by reading, the heaviest clause, and the mean weight of all its
+clauses, by the fixed ``VALUE`` of each reading.  A logistic function of
+them is fitted on the labelled rows around fixed weights: a reading that the
+labels never show keeps its fixed weight.
+
+Words and stems are learned on two thirds of the labelled rows and stay only
+if the other third bears them out.
+
+Learning uses labelled rows with crc32(id) mod 5 <> 0: the first
+``fit_rows`` of them by a hash of their ids (all if there are fewer);
+scoring covers every whole text.
 
 Cases: NULL and empty texts score like a text without matches, under 0.5;
 without labelled rows, or with one class only, insults come from the fixed
 list and the logistic function from fixed values; labels with NULL toxic
 are not used; a document labelled twice counts once for each label;
-repeated rows are scored alike; further columns are ignored.
+repeated rows are scored alike; of equally heavy matches the first gives the
+clause its reading; an empty table gives an empty result; further columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -46,9 +56,16 @@ INSULTS = "idiot moron stupid pathetic worthless disgusting loser scum trash clo
 
 #: Words for which a negation, report or target stays open.
 SCOPE = {"N": 2, "R": 4, "T": 3}
-FEATURES = ("plain", "targeted", "negated", "reported", "threat", "strongest", "density")
-#: Logistic function without labels: intercept, then FEATURES.
-DEFAULT = (-3.0, 0.8, 1.0, 0.1, 0.3, 0.5, 0.6, 0.5)
+#: What a clause of each reading counts, against a plain strong insult.
+VALUE = {
+    "strong plain": 1.0, "strong targeted": 1.3, "strong negated": 0.05, "strong reported": 0.15,
+    "weak plain": 0.4, "weak targeted": 0.6, "weak negated": 0.0, "weak reported": 0.05,
+    "threat plain": 0.3, "threat targeted": 1.3, "threat negated": 0.0, "threat reported": 0.1,
+}
+STRONG = 2.0          # weight of a strong insult
+FEATURES = (*VALUE, "top", "mean")
+#: Logistic function without labels, and the middle of the fitted ones: intercept, then FEATURES.
+DEFAULT = (-3.0, *[3 * v for v in VALUE.values()], 2.0, 1.0)
 
 TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[.!?;:\n|]")
 
@@ -144,76 +161,98 @@ class Lexicon:
         return got
 
 
-def readings(text: str, lexicon: Lexicon, machine: Transducer):
-    """(reading, weight) of every match, and the number of words."""
-    out, clause, words = [], [], 0
+def clauses(text: str, lexicon: Lexicon, machine: Transducer):
+    """Matches (reading, weight) of every matched clause, and the number of
+    all clauses."""
+    out, clause, count = [], [], 0
     open_ = False
 
     def read():
-        state = machine.start
-        for symbol, weight in clause:
-            state, end, w = machine.step(state, symbol)
-            if end:
-                out.append((end, w * (weight if symbol == "I" else 1.0)))
+        state, found = machine.start, []
+        for i, (symbol, weight) in enumerate(clause):
+            state, end, _ = machine.step(state, symbol)
+            if end == "threat":
+                aimed = symbol == "H" and any(s == "T" for s, _ in clause[max(0, i - SCOPE["T"]):i + 1 + SCOPE["T"]])
+                found.append((end, 2.0 if aimed else 0.5, "threat targeted" if aimed else "threat plain"))
+            elif end:
+                kind = "threat" if symbol == "H" else "strong" if weight >= STRONG else "weak"
+                found.append((end, weight, f"{kind} {end}"))
+        return found
 
     look = lexicon.look_up
     for token in TOKEN.findall(text.lower()):
         if token in ".!?;:\n|":
+            count += bool(clause)
             if open_:
-                read()
+                out.append(read())
             clause, open_ = [], False
             continue
-        words += 1
         got = look(token)
         clause.append(got)
         open_ |= got[0] in "IH"
+    count += bool(clause)
     if open_:
-        read()
-    return out, words
+        out.append(read())
+    return out, count
+
+
+def readings(text: str, lexicon: Lexicon, machine: Transducer):
+    """(way, weight) of every match, and the number of clauses."""
+    found, count = clauses(text, lexicon, machine)
+    return [(way, w) for c in found for way, w, _ in c], count
 
 
 def features(text: str | None, lexicon: Lexicon, machine: Transducer) -> list[float]:
-    found, words = readings(text or "", lexicon, machine)
-    sums = dict.fromkeys(FEATURES, 0.0)
-    for end, w in found:
-        sums[end] += w
-        if end != "negated":
-            sums["strongest"] = max(sums["strongest"], w)
-    total = sum(sums[k] for k in ("plain", "targeted", "reported", "threat"))
-    sums["density"] = 20 * total / max(20, words)
-    return [math.log1p(sums[k]) if k not in ("strongest", "density") else min(8.0, sums[k]) for k in FEATURES]
+    """Numbers of clauses by reading, the heaviest one and the mean of all."""
+    found, count = clauses(text or "", lexicon, machine)
+    n = dict.fromkeys(VALUE, 0)
+    top = total = 0.0
+    for c in found:
+        reading = max((r for _, _, r in c), key=VALUE.get)
+        n[reading] += 1
+        top = max(top, VALUE[reading])
+        total += VALUE[reading]
+    return [*(math.log1p(v) for v in n.values()), top, total / max(1, count)]
 
 
 def _terms(shortest: int, longest: int):
-    """Documents per term, toxic and clean, counted within each batch."""
+    """Documents per term by class (clean, toxic; kept back: clean, toxic),
+    counted within each batch."""
     def run(batches):
         for b in batches:
             count: dict[str, list[int]] = {}
-            for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for text, toxic, back in zip(*(c.to_pylist() for c in b.columns)):
                 mine = set()
                 for w in {x for x in TOKEN.findall((text or "").lower()) if x[0].isalpha()}:
                     mine.add(w + "$")
                     mine.update(w[:n] for n in range(shortest, min(longest, len(w)) + 1))
                 for t in mine:
-                    count.setdefault(t, [0, 0])[1 - toxic] += 1
+                    count.setdefault(t, [0, 0, 0, 0])[toxic + 2 * back] += 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(count), pa.string()), pa.array([c[0] for c in count.values()], pa.int64()),
-                 pa.array([c[1] for c in count.values()], pa.int64())], names=["term", "toxic", "clean"])
+                [pa.array(list(count), pa.string()), *[pa.array([c[i] for c in count.values()], pa.int64()) for i in range(4)]],
+                names=["term", "clean", "toxic", "clean_back", "toxic_back"])
     return run
 
 
-def learn_terms(sample: DataFrame, lexicon_size: int, min_docs: int, least: float) -> dict[str, float]:
-    """Terms by log-odds of their document shares; at most ``lexicon_size``."""
-    n = {bool(r.y): r.n for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    pos, neg = n.get(True, 0), n.get(False, 0)
-    if not pos or not neg:
-        return {w + "$": 2.0 for w in INSULTS.split()}
-    c = (sample.select("text", "y").mapInArrow(_terms(3, 9), "term string, toxic long, clean long")
-         .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
-    odds = F.log(((F.col("toxic") + 0.5) / (pos + 1)) / ((F.col("clean") + 0.5) / (neg + 1)))
-    best = (c.where(F.col("toxic") >= min_docs).withColumn("w", odds).where(F.col("w") >= least)
-            .orderBy(F.desc(F.col("w") * F.col("toxic")), "term").limit(lexicon_size).collect())
-    return _specific({r.term: (float(r.w), r.toxic) for r in best})
+def learn_terms(sample: DataFrame, min_docs: int, least: float, borne_out: float = 1.0) -> dict[str, float]:
+    """Terms by log-odds of their document shares: at least ``least`` where
+    they are learned, ``borne_out`` on the rows kept back, and ``least`` on
+    all rows with two standard errors taken off."""
+    n = {(bool(r.y), bool(r.back)): r.n for r in sample.groupBy("y", "back").agg(F.count("*").alias("n")).collect()}
+    pos, neg, pos_back, neg_back = (n.get(k, 0) for k in ((True, False), (False, False), (True, True), (False, True)))
+    if not pos + pos_back or not neg + neg_back:
+        return {w + "$": STRONG for w in INSULTS.split()}
+    c = (sample.select("text", "y", F.col("back").cast("int").alias("back")).mapInArrow(_terms(3, 9), "term string, clean long, toxic long, clean_back long, toxic_back long")
+         .groupBy("term").agg(*[F.sum(x).alias(x) for x in ("clean", "toxic", "clean_back", "toxic_back")]))
+    odds = lambda t, p, f, q: F.log(((t + 0.5) / (p + 1)) / ((f + 0.5) / (q + 1)))
+    toxic, clean, toxic_back, clean_back = (F.col(x) for x in ("toxic", "clean", "toxic_back", "clean_back"))
+    if pos and neg:
+        c = c.where((toxic >= min_docs) & (odds(toxic, pos, clean, neg) >= least))
+    if pos_back and neg_back:
+        c = c.where((toxic_back > 0) & (odds(toxic_back, pos_back, clean_back, neg_back) >= borne_out))
+    c = c.withColumn("w", odds(toxic + toxic_back, pos + pos_back, clean + clean_back, neg + neg_back))
+    c = c.where(F.col("w") - 2 * F.sqrt(1 / (toxic + toxic_back + 0.5) + 1 / (clean + clean_back + 0.5)) >= least)
+    return _specific({r.term: (float(r.w), r.n) for r in c.select("term", "w", (toxic + toxic_back).alias("n")).collect()})
 
 
 def _specific(found: dict[str, tuple[float, int]]) -> dict[str, float]:
@@ -228,17 +267,19 @@ def _specific(found: dict[str, tuple[float, int]]) -> dict[str, float]:
     return {t: w for t, w in kept.items() if not any(kept.get(t[:i], 0.0) >= w for i in range(3, len(t)))}
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> tuple[float, ...]:
-    """Penalised logistic regression by Newton steps."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 60) -> tuple[float, ...]:
+    """Logistic regression by Newton steps, drawn towards the fixed weights
+    (the intercept hardly): what the rows do not show stays as it is."""
     if len(y) == 0 or y.min() == y.max():
         return DEFAULT
     a = np.column_stack([np.ones(len(x)), x])
-    b = np.zeros(a.shape[1])
-    penalty = np.diag([1e-3] + [ridge] * x.shape[1])
+    middle = np.array(DEFAULT)
+    b = middle.copy()
+    penalty = np.diag([1e-2] + [ridge] * x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(a @ b, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + penalty, a.T @ (y - p) - penalty @ b)
-        b += step
+        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + penalty, a.T @ (y - p) - penalty @ (b - middle))
+        b += step * min(1.0, 3 / max(1e-9, np.abs(step).max()))
         if np.abs(step).max() < 1e-8:
             break
     return tuple(float(v) for v in b)
@@ -269,19 +310,18 @@ def _feature_rows(terms: dict[str, float]):
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        fit_rows: int = 20_000, lexicon_size: int = 4_000, min_docs: int = 4, least: float = 1.5) -> Model:
+        fit_rows: int = 20_000, min_docs: int = 3, least: float = 1.5) -> Model:
     """Learn the lexicon and the logistic function from labelled rows whose
-    crc32(id as text) mod 5 is not 0; of these, about ``fit_rows`` at most."""
+    crc32(id as text) mod 5 is not 0: the first ``fit_rows`` by a hash."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1) and id is not null")
     known = known.where(F.crc32(F.col("id").cast("string")) % 5 != 0).distinct()
-    n = known.count()
-    share = min(1.0, fit_rows / max(n, 1))
-    if share < 1:
-        known = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    # at most about fit_rows ids of 12 bytes: the bound makes the broadcast safe
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(known), "id").select("text", "y")
-    terms = learn_terms(sample, lexicon_size, min_docs, least)
-    rows = sample.mapInArrow(_feature_rows(terms), "x array<double>, y int").collect()
+    mark = F.xxhash64(F.col("id").cast("string"))
+    known = known.orderBy(mark, "id", "y").limit(fit_rows).withColumn("back", F.pmod(F.xxhash64(mark), F.lit(3)) == 0)
+    # at most fit_rows ids: the bound makes the broadcast safe
+    sample = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+              .join(F.broadcast(known), "id").select("text", "y", "back"))
+    terms = learn_terms(sample, min_docs, least)
+    rows = sample.select("text", "y").mapInArrow(_feature_rows(terms), "x array<double>, y int").collect()
     x = np.array([r.x for r in rows], float).reshape(-1, len(FEATURES))
     return Model(terms, fit_logistic(x, np.array([r.y for r in rows], float)))
 
@@ -292,7 +332,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         grade = model.scorer()
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(grade(b.column(1)))], names=["id", "score"])
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, score double")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, score double")
 
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:

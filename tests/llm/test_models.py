@@ -1,6 +1,7 @@
 """Language model, language identification and toxicity."""
 
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -167,6 +168,55 @@ def test_grammar_readings():
     assert toxic_grammar.features(None, lexicon, machine) == [0.0] * len(toxic_grammar.FEATURES)
 
 
+def test_clauses_are_scored_by_their_readings(spark):
+    """After learning, the same words count by how they are meant."""
+    docs, labels, _, _ = labelled(spark)
+    model = toxic_grammar.fit(docs, labels)
+    assert set(model.terms) == {"zorgbut$", "vexmir"} or {"zorgbut$"} <= set(model.terms) and all(t.startswith("vexm") or t == "zorgbut$" for t in model.terms)
+    grade = lambda *t: model.scorer()(pa.array(list(t)))
+    plain, targeted, negated, reported, threat = grade("zorgbut", "you zorgbut", "you are not a zorgbut", "he said zorgbut", "i will kill you")
+    assert min(plain, targeted, threat) >= 0.5 > max(negated, reported) and targeted > plain
+    # the same words in another order are read another way
+    meant, turned = grade("a zorgbut is not kaban lodol", "kaban lodol is not a zorgbut")
+    assert meant >= 0.5 > turned
+    # what labels never show keeps its fixed weight
+    w = dict(zip(("intercept", *toxic_grammar.FEATURES), model.weights))
+    fixed = dict(zip(("intercept", *toxic_grammar.FEATURES), toxic_grammar.DEFAULT))
+    assert all(math.isclose(w[r], fixed[r], abs_tol=1e-6) for r in w if "negated" in r or "reported" in r or "threat" in r)
+
+
+def brute_readings(text, insults):
+    """Readings of a text's clauses from the positions of its words alone."""
+    out = []
+    for part in re.split(r"[.!?;:\n|]", text.lower()):
+        w = re.findall(r"[^\W\d_]+(?:['’][^\W\d_]+)?", part)
+        kinds = ["I" if x in insults else next((k for k, s in (("H", toxic_grammar.THREATS), ("R", toxic_grammar.REPORTS), ("N", toxic_grammar.NEGATIONS), ("T", toxic_grammar.TARGETS)) if x in s.split()), "O") for x in w]
+        best = []
+        for i, k in enumerate(kinds):
+            if k not in "IH":
+                continue
+            near = {s: s in kinds[max(0, i - n):i] for s, n in toxic_grammar.SCOPE.items()}
+            way = "negated" if near["N"] else "reported" if near["R"] else "targeted" if near["T"] or (k == "H" and "T" in kinds[i:i + 1 + toxic_grammar.SCOPE["T"]]) else "plain"
+            kind = "threat" if k == "H" else "strong" if insults[w[i]] >= toxic_grammar.STRONG else "weak"
+            best.append(f"{kind} {way}")
+        if best:
+            out.append(max(best, key=toxic_grammar.VALUE.get))
+    return out
+
+
+def test_features_against_brute_force():
+    insults = {"idiot": 3.0, "meh": 1.6}
+    lexicon, machine = toxic_grammar.Lexicon({f"{k}$": v for k, v in insults.items()}), toxic_grammar.grammar()
+    rng = np.random.RandomState(9)
+    pool = ["idiot", "meh", "you", "not", "said", "kill", "day", "sun", "a", "they", "never", ".", ";", "\n"]
+    for _ in range(300):
+        text = " ".join(rng.choice(pool, rng.randint(0, 30)))
+        got = dict(zip(toxic_grammar.FEATURES, toxic_grammar.features(text, lexicon, machine)))
+        want = brute_readings(text, insults)
+        assert all(math.isclose(got[r], math.log1p(want.count(r))) for r in toxic_grammar.VALUE), text
+        assert got["top"] == max((toxic_grammar.VALUE[r] for r in want), default=0.0)
+
+
 def test_specific_terms():
     found = {"idi": (5.0, 100), "idiot$": (5.0, 98), "low": (4.0, 50), "lowei": (4.0, 50), "loweis": (4.0, 20)}
     assert toxic_grammar._specific(found) == {"idiot$": 5.0, "lowei": 4.0}

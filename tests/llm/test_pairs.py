@@ -1,5 +1,8 @@
 """N-gram Jaccard join and decontamination against brute force."""
 
+from collections import defaultdict
+import random
+
 import numpy as np
 import pytest
 from helpers import BASE, ODD_ROWS, alnum, empty_docs, jaccard_classes, odd_docs, shingle_set
@@ -115,3 +118,36 @@ def test_suffix_array_shards(monkeypatch):
 def test_keep_one_keeps_clean(spark):
     df = spark.createDataFrame([(1, BASE), (2, BASE), (3, "quite another text of some words")], "doc_id long, text string")
     assert sorted(r.doc_id for r in prefix_join.keep_one(df).collect()) == [1, 3]
+
+
+def test_decontamination_with_text_ids_and_many_blocks(spark):
+    """Ids of any type; every block count gives the same result."""
+    rng = random.Random(6)
+    word = lambda: f"w{rng.randrange(5_000)}"
+    items = [(f"q-{i}", " ".join(word() for _ in range(rng.randrange(1, 40)))) for i in range(60)] + [(None, "lone words here"), ("q-3", "again w1 w2")]
+    docs = []
+    for i in range(120):
+        lead, tail = (" ".join(word() for _ in range(15)) for _ in "ab")
+        docs.append((f"d{i}", f"{lead} {items[i % 62][1] if i % 3 == 0 else ''} {tail}"))
+    d = spark.createDataFrame(docs, "doc_id string, text string").repartition(4)
+    q = spark.createDataFrame(items, "item_id string, text string")
+    plain = None
+    for words in (10 ** 6, 200, 40):
+        got = sorted((r.id, r.n_words, r.n_hit, tuple(r["items"])) for r in suffix_decontam.matches(d, q, block_words=words).collect())
+        assert plain is None or got == plain
+        plain = got
+        clean = suffix_decontam.decontaminate(d, q, block_words=words)
+        assert {r.doc_id for r in clean.collect()} == {i for i, _, n, _ in got if not n} and clean.columns == d.columns
+    windows = defaultdict(set)
+    for i, t in items:
+        w = alnum(t)
+        for k in range(max(1, len(w) - 9)):
+            windows[tuple(w[k:k + 10])].add(i)
+    for i, text in docs:
+        w, hit, ids = alnum(text), set(), set()
+        for g, owners in windows.items():
+            for k in range(len(w) - len(g) + 1):
+                if tuple(w[k:k + len(g)]) == g:
+                    hit |= set(range(k, k + len(g)))
+                    ids |= owners - {None}
+        assert dict((r[0], r[1:]) for r in plain)[i] == (len(w), len(hit), tuple(sorted(ids)))
