@@ -13,17 +13,22 @@ Merging is associative in effect, so tasks infer wrappers from their own
 pages, these are merged in salted groups and then by host: all pages take
 part and a host with a third of all pages is no single group.
 
-The wrapper decides where the article is: the article elements outside of
-boilerplate, else the main element, else the smallest element that holds
-most of the text in slots outside links and boilerplate.  A page is then
-read along these paths; menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles and reader comments are left out wherever
-they stand.  Character references are decoded, white space inside a block
+The wrapper decides three things.  Where the article is: the article
+elements outside of boilerplate, else the main element, else the smallest
+element that holds most of the text in slots outside links and boilerplate.
+Which marks count: an element whose class, id or role only sounds like
+boilerplate (layout names such as share-enabled or search-result) is none if
+it holds the page's longest article or main element, or most of its text.
+What is template: inside the article, text that is the same on all pages
+that have its element, ``SEVERAL`` at least, goes, provided that most of the
+article is text in slots.  A page is then read along these paths; menus,
+headers, footers, sidebars, notices, adverts, forms, scripts, styles and
+reader comments are left out wherever they stand.  Character references are decoded, white space inside a block
 becomes one space, blocks are joined by a newline.
 
 Cases: NULL and empty html give the empty text; broken, unclosed and
-deeply nested markup is read as far as it goes (structure counts to depth
-40, text at any depth); a page that lacks its host's article is read by its
+deeply nested markup is read as far as it goes (elements below depth 40
+are parts of the one at that depth, side by side); a page that lacks its host's article is read by its
 own structure; pages with a NULL url form one host; repeated rows are rows;
 an empty table gives an empty result; further columns are ignored.
 """
@@ -55,7 +60,10 @@ HARD = frozenset("comment comments reply replies ad advert advertisement sponsor
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 TEXT = frozenset("p li ul ol dl dt dd h1 h2 h3 h4 h5 h6 blockquote pre table thead tbody tr td th figure figcaption details summary address".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: First words of a class that say what a layout has or lacks: ``with-sidebar``, ``no-comments``.
+LAYOUT = frozenset("with without has have no not hide hides show shows".split())
 DEPTH = 40
+SEVERAL = 3          # pages that make a text a template
 
 MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
@@ -63,22 +71,29 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(
 SPLIT = re.compile(r"[^a-zA-Z]+")
 
 
-def label_of(name: str, attributes: str) -> tuple[str, bool]:
-    """Structure label of an element and whether it is boilerplate."""
+def label_of(name: str, attributes: str) -> tuple[str, int]:
+    """Structure label of an element and whether it is boilerplate: 2 by its
+    kind, 1 if only a word says so, 0 if not."""
     words, hidden, shown = [], False, ""
     if attributes and not attributes.isspace():
         for m in ATTRIBUTE.finditer(attributes):
             key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if key in ("class", "id", "role"):
-                words += [w.lower() for w in SPLIT.split(value) if w]
+                for token in value.lower().split():
+                    parts = [w for w in SPLIT.split(token) if w]
+                    words += [] if parts and parts[0] in LAYOUT else parts
                 if key != "id" or not shown and name in ("div", "section"):
                     shown = ".".join(w.lower() for w in SPLIT.split(value)[:3] if w) or shown
             elif key == "hidden" or key == "aria-hidden" and value.lower() == "true":
                 hidden = True
             elif key == "style" and "display:none" in value.replace(" ", "").lower():
                 hidden = True
-    known = HARD if name in ("html", "body", "main", "article") else WORDS
-    return f"{name}.{shown}" if shown else name, hidden or name in DROP or name == "header" or any(w in known for w in words)
+    kind = 0
+    if hidden or name in DROP or name == "header" or any(w in HARD for w in words):
+        kind = 2
+    elif name not in ("html", "body", "main", "article") and any(w in WORDS for w in words):
+        kind = 1
+    return f"{name}.{shown}" if shown else name, kind
 
 
 def events(page: str):
@@ -103,7 +118,7 @@ def events(page: str):
             if not closing:
                 _, drop = label_of(name, attributes)
                 if drop and not attributes.rstrip().endswith("/"):
-                    yield "open", name + ".-", True, name
+                    yield "open", name + ".-", 2, name
             else:
                 yield "close", name, False, name
             continue
@@ -133,6 +148,11 @@ class Reader:
         self.stack.append((name, label, above or drop))
         self.names[name] = self.names.get(name, 0) + 1
 
+    def clear(self) -> None:
+        """The mark of the element just opened does not count."""
+        name, label, _ = self.stack[-1]
+        self.stack[-1] = (name, label, len(self.stack) > 1 and self.stack[-2][2])
+
     def pop(self) -> None:
         name, *_ = self.stack.pop()
         self.names[name] -= 1
@@ -180,40 +200,37 @@ class Reader:
 
 
 # --- wrappers ---------------------------------------------------------------------------------
-# node: {"n": pages, "s": slot chars, "f": fixed text hash or None, "x": boilerplate, "c": groups}
+# node: {"n": pages, "s": slot chars, "f": fixed text hash or None, "x": boilerplate, "w": by a word of its own, "c": groups}
 # group: {"o": optional, "r": repeated, "m": {label: node}}
 
 
 def structure(page: str) -> dict:
     """The wrapper of one page."""
-    root = {"n": 1, "s": 0, "f": 0, "x": 0, "c": []}
+    root = {"n": 1, "s": 0, "f": 0, "x": 0, "w": 0, "c": []}
     nodes, reader = [root], Reader()
 
-    def sync():
-        while len(nodes) > min(len(reader.stack), DEPTH) + 1:
+    def sync(size: int):
+        while len(nodes) > size:
             fold(nodes.pop())
 
     for kind, label, drop, text in events(page):
         if kind == "open":
             reader.open(text, label, drop)
             # the stack may have shrunk before it grew by one
-            while len(nodes) > min(len(reader.stack) - 1, DEPTH) + 1:
-                fold(nodes.pop())
-            if len(reader.stack) <= DEPTH:
-                node = {"n": 1, "s": 0, "f": 0, "x": int(bool(reader.stack[-1][2])), "c": []}
-                nodes[-1]["c"].append({"o": 0, "r": 0, "m": {label: node}})
-                nodes.append(node)
+            sync(len(reader.stack))
+            node = {"n": 1, "s": 0, "f": 0, "x": int(drop == 2), "w": int(drop == 1), "c": []}
+            nodes[min(len(nodes) - 1, DEPTH)]["c"].append({"o": 0, "r": 0, "m": {label: node}})
+            nodes.append(node)
         elif kind == "close":
             reader.close(text)
-            sync()
+            sync(len(reader.stack) + 1)
         elif kind == "text":
             words = text.split()
             if words:
                 node = nodes[-1]
                 node["s"] += len(text)
                 node["f"] = hash_of(" ".join(words)) ^ (node["f"] or 0)
-    while nodes:
-        fold(nodes.pop())
+    sync(0)
     return root
 
 
@@ -260,6 +277,7 @@ def merge_node(a: dict, b: dict, pages: bool = True) -> None:
     a["n"] = a["n"] + b["n"] if pages else max(a["n"], b["n"])
     a["s"] += b["s"]
     a["x"] &= b["x"]
+    a["w"] &= b["w"]
     mine, other = a["c"], b["c"]
     place = {x: i for i, g in enumerate(mine) for x in g["m"]}
     out, i = [], 0
@@ -284,36 +302,89 @@ def merge_node(a: dict, b: dict, pages: bool = True) -> None:
     fold(a)
 
 
+def rule_of(wrapper: dict) -> dict:
+    """What a wrapper says: ``paths`` (labels joined by >) of the elements
+    that hold the article (the empty path is the whole page), ``clear`` paths
+    whose word marks do not count, and ``fixed`` paths of template text."""
+    flat: list = []                # (node, path, parent's place, name, label), parents first
+    todo = [(wrapper, "", -1, "", "")]
+    while todo:
+        node, path, up, name, label = todo.pop()
+        flat.append((node, path, up, name, label))
+        here = len(flat) - 1
+        todo += [(c, f"{path}>{x}", here, x.split(".")[0], x) for g in node["c"] for x, c in g["m"].items()]
+    many = wrapper["n"] > 1
+    own = [0 if many and n["n"] > 1 and n["f"] is not None else n["s"] for n, *_ in flat]
+
+    def article(i: int) -> str:
+        name, label = flat[i][3:]
+        return "article" if name == "article" else "main" if name == "main" or "main" in label.split(".")[1:] else ""
+
+    # marks that do not count: by the text under each element without what is marked below
+    text = own.copy()
+    for i in range(len(flat) - 1, 0, -1):
+        node, _, up, *_ = flat[i]
+        if not node["x"] and not node["w"]:
+            text[up] += text[i]
+    hard = [False] * len(flat)
+    longest = [0] * len(flat)      # longest article in the element
+    for i, (node, _, up, *_) in enumerate(flat):
+        hard[i] = bool(node["x"]) or (up >= 0 and hard[up])
+    for i in range(len(flat) - 1, -1, -1):
+        if not hard[i]:
+            if article(i) and not flat[i][0]["w"]:
+                longest[i] = max(longest[i], text[i])
+            if i:
+                up = flat[i][2]
+                longest[up] = max(longest[up], longest[i])
+    whole = sum(own[i] for i in range(len(flat)) if not hard[i])
+    clear = {i for i, (node, *_) in enumerate(flat) if node["w"] and not hard[i] and (
+        2 * longest[i] >= longest[0] if longest[0] else 10 * text[i] >= 7 * whole > 0)}
+
+    drop, inside = [False] * len(flat), [""] * len(flat)
+    for i, (node, _, up, *_) in enumerate(flat):
+        drop[i] = bool(node["x"]) or bool(node["w"] and i not in clear) or (up >= 0 and drop[up])
+        if up >= 0:
+            inside[i] = inside[up] + article(up)
+    text = [0 if drop[i] else own[i] for i in range(len(flat))]
+    for i in range(len(flat) - 1, 0, -1):
+        text[flat[i][2]] += text[i]
+    found: dict[str, list[int]] = {"article": [], "main": []}
+    best, depth = 0, [0] * len(flat)
+    for i, (_, _, up, name, _) in enumerate(flat):
+        if up < 0 or drop[i]:
+            continue
+        depth[i] = depth[up] + 1
+        kind = article(i)
+        if kind and kind not in inside[i]:
+            found[kind].append(i)
+        if text[0] and name not in TEXT and 10 * text[i] >= 7 * text[0] and depth[i] >= depth[best]:
+            best = i
+    at = found["article"] or found["main"] or [best]
+
+    # template text: the same on all pages that have its element
+    within, slots, fixed = set(at), 0, []
+    for i, (node, path, up, *_) in enumerate(flat):
+        if i in within or up in within:
+            within.add(i)
+            if drop[i] or not node["s"]:
+                continue
+            if node["f"] is not None and node["n"] >= SEVERAL:
+                fixed.append((path, node["s"]))
+            else:
+                slots += node["s"]
+    keep = 2 * slots < slots + sum(n for _, n in fixed)
+    return {"paths": sorted(flat[i][1] for i in at), "clear": sorted(flat[i][1] for i in clear), "fixed": [] if keep else sorted(p for p, _ in fixed)}
+
+
 def article_paths(wrapper: dict) -> list[str]:
-    """Paths (labels joined by >) of the elements that hold the article; the
-    empty path is the whole page."""
-    found: dict[str, list[str]] = {"article": [], "main": []}
-    best: list = [0.0, ""]
+    return rule_of(wrapper)["paths"]
 
-    def text(node) -> int:
-        own = 0 if node["f"] is not None and node["n"] > 1 else node["s"]
-        return 0 if node["x"] else own + sum(text(c) for g in node["c"] for c in g["m"].values())
 
-    total = text(wrapper)
-    todo = [(wrapper, "", 0, "")]
-    while todo:
-        node, path, depth, inside = todo.pop()
-        for g in node["c"]:
-            for label, child in g["m"].items():
-                if child["x"]:
-                    continue
-                name, here = label.split(".")[0], f"{path}>{label}"
-                kind = "article" if name == "article" else "main" if name == "main" or "main" in label.split(".")[1:] else ""
-                if kind and kind not in inside:
-                    found[kind].append(here)
-                if total and name not in TEXT and text(child) >= 0.7 * total and depth >= best[0]:
-                    best = [depth, here]
-                todo.append((child, here, depth + 1, inside + kind))
-    return sorted(found["article"]) or sorted(found["main"]) or [best[1]]
-
-
-def main_text(page: str | None, paths: set[str]) -> str:
-    """Blocks of a page under any of ``paths``, without boilerplate."""
+def main_text(page: str | None, rule: dict) -> str:
+    """Blocks of a page under any of the rule's paths, without boilerplate
+    and template text."""
+    paths, clear, fixed = (frozenset(rule[k]) for k in ("paths", "clear", "fixed"))
     blocks, current, reader = [], [], Reader()
     path, inside, seen = [""], ["" in paths], "" in paths
 
@@ -325,7 +396,7 @@ def main_text(page: str | None, paths: set[str]) -> str:
 
     for kind, label, drop, text in events(page or ""):
         if kind == "text":
-            if inside[-1] and not reader.dropped():
+            if inside[-1] and path[-1] not in fixed and not reader.dropped():
                 current.append(text)
         elif kind == "break":
             current.append("\n" if label != "hr" else "")
@@ -334,10 +405,12 @@ def main_text(page: str | None, paths: set[str]) -> str:
         elif kind == "open":
             if text not in INLINE:
                 flush()
-            before = len(reader.stack)
+            # open elements may end before this one begins
             reader.open(text, label, drop)
             del path[len(reader.stack):], inside[len(reader.stack):]
-            here = f"{path[-1]}>{label}" if before < DEPTH else path[-1]
+            here = f"{path[min(len(path) - 1, DEPTH)]}>{label}"
+            if drop == 1 and here in clear:
+                reader.clear()
             path.append(here)
             inside.append(inside[-1] or here in paths)
             seen |= inside[-1]
@@ -352,8 +425,8 @@ def main_text(page: str | None, paths: set[str]) -> str:
             del path[len(reader.stack) + 1:], inside[len(reader.stack) + 1:]
     flush()
     if not seen and page:
-        own = set(article_paths(structure(page)))
-        if own and own != paths:
+        own = rule_of(structure(page))
+        if own["paths"] and own["paths"] != sorted(paths):
             return main_text(page, own)
     return "\n".join(blocks)
 
@@ -398,7 +471,7 @@ def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def _decide(pdf: pd.DataFrame) -> pd.DataFrame:
     wrapper = _merge_all(pdf["wrapper"])
-    return pd.DataFrame({"host": [pdf["host"].iloc[0]], "wrapper": [json.dumps(wrapper)], "paths": ["\n".join(article_paths(wrapper))]})
+    return pd.DataFrame({"host": [pdf["host"].iloc[0]], "wrapper": [json.dumps(wrapper)], "paths": [json.dumps(rule_of(wrapper))]})
 
 
 def host_of(url) -> F.Column:
@@ -423,12 +496,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     p = p.withColumn("salt", F.pmod(F.xxhash64("id", "html"), F.lit(salts)).cast("int"))
 
     def read(batches):
-        known: dict[str, set] = {}
+        known: dict[str, dict] = {}
         for b in batches:
             out = []
             for page, paths in zip(b.column(2), b.column(3).to_pylist()):
                 if paths not in known:
-                    known[paths] = set() if paths is None else set(paths.split("\n"))
+                    known[paths] = json.loads(paths) if paths else {"paths": [], "clear": [], "fixed": []}
                 out.append(main_text(page.as_py(), known[paths]))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.string())], names=["id", "url", "text"])
 

@@ -7,27 +7,31 @@ segmentations, found by a forward recursion in log space; a document's is
 the product over its words and one end symbol, since no piece crosses a
 word boundary.
 
-The vocabulary's scores rank its pieces; ranks give the first piece
-probabilities (Zipf), and one round of expected counts over all words of
-the training documents, by the forward-backward recursion, fits them to the
-corpus.  Pieces themselves are never changed.
+The vocabulary's own scores, normalised once, weigh the edges; ``score``
+comes from them alone.  Scores that are log-probabilities are taken as they
+are; those of a merge-ordered file (0, -1, -2, ...: places in a list) are
+places of Zipf's law.  ``fitted_score`` is the same recursion with weights
+fitted to the training documents by one round of expected counts over all
+their words (forward-backward).  Pieces themselves are never changed.
 
 Steps:
 
 1. one pass cuts the documents into blocks of words: each document as codes
    into the block's sorted list of distinct words, each distinct word with
    its count in training documents;
-2. words are brought together over all blocks, and counted (exactly);
+2. words are counted over all blocks (exactly): one row a word;
 3. expected counts of pieces over the distinct training words: one row a
    piece and task, so the model has the size of the vocabulary;
-4. every distinct word is scored once; scores go back to the blocks that
-   hold the word, where the documents are summed.
+4. every distinct word is scored once; scores are joined back to the blocks
+   that hold the word (a word of very many blocks is one row on the other
+   side, so a skewed part of the join is split), where the documents are
+   summed.
 
 A word is known by a 64-bit hash of its lower-cased bytes between steps.
 
 Cases: NULL and empty texts consist of the end alone; words of any length
-and any bytes have a positive probability; without training documents the
-scores are those of the ranks; NULL ids are training rows; repeated rows
+and any bytes have a positive probability; without training documents both
+scores are the vocabulary's; NULL ids are training rows; repeated rows
 count each; an empty table gives an empty result; further columns are
 ignored.
 """
@@ -35,12 +39,12 @@ ignored.
 from __future__ import annotations
 
 import zlib
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm import words as W
@@ -59,6 +63,13 @@ def read_vocabulary(path: str) -> list[tuple[str, float]]:
             if not (p.is_control(i) or p.is_unknown(i) or p.is_byte(i) or p.is_unused(i))]
 
 
+def own_weights(scores: np.ndarray) -> np.ndarray:
+    """Weights of pieces from the scores of their file, highest first."""
+    if len(scores) > 256 and (scores == np.rint(scores)).all():
+        return 1.0 / (scores[0] - scores + 10)             # places in a list
+    return np.exp(scores - scores.max(initial=0.0))
+
+
 @dataclass
 class Pieces:
     """Lattice edges: pieces by byte length, sorted by hash, and all bytes.
@@ -72,15 +83,16 @@ class Pieces:
     @staticmethod
     def of(vocabulary: list[tuple[str, float]]) -> Pieces:
         usable = sorted({(p.replace(MARK, " ").encode(), s) for p, s in vocabulary if p and MARK not in p[1:]}, key=lambda x: (-x[1], x[0]))
-        seen, lists = set(), {}
-        weight = [1e-6] * 256
-        for piece, _ in usable:
+        seen, lists, scores = set(), {}, []
+        for piece, s in usable:
             if piece in seen:
                 continue
             seen.add(piece)
-            lists.setdefault(len(piece), []).append((piece, len(weight)))
-            weight.append(1.0 / (len(weight) - 256 + 10))
-        weight.append(1.0 / 200)
+            lists.setdefault(len(piece), []).append((piece, 256 + len(scores)))
+            scores.append(s)
+        own = own_weights(np.array(scores, float))
+        # a byte of last resort weighs a thousandth of the lightest piece; the end as much as one piece in 200
+        weight = [own.min(initial=1.0) / 1_000] * 256 + own.tolist() + [own.sum() / 200 if len(own) else 1.0]
         tables = {}
         for n, items in lists.items():
             h = np.zeros(len(items), np.uint64)
@@ -176,7 +188,7 @@ def _blocks(mod: int, rest: int):
         for b in batches:
             ids = b.column(0)
             train = np.array([i is None or zlib.crc32(str(i).encode()) % mod != rest for i in ids.to_pylist()], bool)
-            for start, stop in W.pieces(b.column(1), 24 << 20):
+            for start, stop in W.pieces(b.column(1), 12 << 20):
                 hashes, firsts, texts, total = [], [np.zeros(1, np.int64)], [], 0
                 for s, e in W.pieces(b.column(1).slice(start, stop - start)):
                     data, offsets = W.text_bytes(b.column(1).slice(start + s, e - s))
@@ -233,28 +245,26 @@ def _expected(pieces: Pieces):
     return run
 
 
-def _word_scores(pieces: Pieces):
-    """Rows sorted by word in; each run of a word is scored once."""
+def _word_scores(own: Pieces, fitted: Pieces):
+    """Both log-probabilities of distinct words, each scored once."""
     def run(batches):
         for b in batches:
-            h = b.column(1).to_numpy()
-            new = np.ones(len(h), bool)
-            new[1:] = h[1:] != h[:-1]
-            one = np.flatnonzero(new)
-            logp = np.zeros(len(one))
-            for rows, matrix in _by_length(b.column(2).take(pa.array(one))):
-                logp[rows] = pieces.forward(matrix)[:, -1]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), pa.array(logp[np.cumsum(new) - 1])],
-                                             names=["block", "hash", "c", "logp"])
+            logp, fit = np.zeros(b.num_rows), np.zeros(b.num_rows)
+            for rows, matrix in _by_length(b.column(1)):
+                edges = own.edges(matrix)
+                logp[rows] = own.forward(matrix, edges)[:, -1]
+                fit[rows] = fitted.forward(matrix, edges)[:, -1]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(logp), pa.array(fit)], names=["hash", "c", "logp", "fit"])
+            W.trim()
     return run
 
 
-def _sum_block(total: int, distinct: int, ends: int, end_logp: float, mod: int, rest: int):
+def _sum_block(total: int, distinct: int, ends: int, end_logp: float, end_fit: float):
     """Scores of one block's documents from its words' counts and scores."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["id", "n_tokens", "n_known", "base_score", "score"]
+        names = ["id", "n_tokens", "n_known", "base_score", "score", "fitted_score"]
         order = np.argsort(right["hash"].to_numpy().view(np.uint64))
-        c, logp = right["c"].to_numpy()[order], right["logp"].to_numpy()[order]
+        c, logp, fit = (right[x].to_numpy()[order] for x in ("c", "logp", "fit"))
         base = np.log10((c + 1) / (total + distinct + 1))
         out = []
         for i in range(left.num_rows):
@@ -265,18 +275,18 @@ def _sum_block(total: int, distinct: int, ends: int, end_logp: float, mod: int,
             out.append(pa.table([
                 ids, pa.array(np.diff(first) + 1), pa.array(sums((c > 0).astype(float)).astype(np.int64) + (ends > 0)),
                 pa.array(sums(base) + np.log10((ends + 1) / (total + distinct + 1))),
-                pa.array((sums(logp) + end_logp) / np.log(10))], names=names))
+                pa.array((sums(logp) + end_logp) / np.log(10)), pa.array((sums(fit) + end_fit) / np.log(10))], names=names))
         return pa.concat_tables(out)
     return run
 
 
 def score(docs: DataFrame, vocabulary: list[tuple[str, float]], id_col: str = "doc_id", text_col: str = "text",
           mod: int = 7, rest: int = 2, prior: float = 10_000.0) -> DataFrame:
-    """Rows (id, n_tokens, n_known, train_tokens, base_score, score).
+    """Rows (id, n_tokens, n_known, train_tokens, base_score, score, fitted_score).
 
     Documents with crc32(id as text) mod ``mod`` = ``rest`` are held out of
-    all counts.  ``prior`` is the weight of the ranks against the expected
-    counts of the corpus, in pieces."""
+    all counts.  ``prior`` is the weight of the vocabulary's scores against
+    the expected counts of the corpus in the fitted model, in pieces."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "lattice")
     pieces = Pieces.of(vocabulary)
@@ -285,25 +295,23 @@ def score(docs: DataFrame, vocabulary: list[tuple[str, float]], id_col: str = "d
     held = F.coalesce(F.crc32(F.col("id").cast("string")) % mod == rest, F.lit(False))
     ends = d.where(~held).count()
 
-    by = Window.partitionBy("hash")
-    listed = (blocks.where("hash is not null").select("block", "hash", "word", F.sum("n").over(by).alias("c"),
-                                                      F.row_number().over(by.orderBy("block")).alias("rn")))
-    listed = scratch.save(listed.select("block", "hash", "word", "c", (F.col("rn") == 1).alias("first")), "words")
-    distinct = listed.where("first and c > 0")
-    counted = distinct.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    words = blocks.where("hash is not null")
+    distinct = scratch.save(words.groupBy("hash").agg(F.min("word").alias("word"), F.sum("n").alias("c")), "words")
+    counted = distinct.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, types = counted.n + ends, counted.v + (ends > 0)
 
-    found = (distinct.select("word", "c").mapInArrow(_expected(pieces), "piece long, n double")
+    found = (distinct.where("c > 0").select("word", "c").mapInArrow(_expected(pieces), "piece long, n double")
              .groupBy("piece").agg(F.sum("n").alias("n")).collect())                 # one row a piece
     uses = np.exp(pieces.logp) * prior
     for r in found:
         uses[r.piece] += r.n
     uses[-1] += ends
-    pieces.logp = np.log(uses / uses.sum())
+    fitted = replace(pieces, logp=np.log(uses / uses.sum()))
 
-    scored = listed.select("block", "hash", "word", "c").mapInArrow(_word_scores(pieces), "block string, hash long, c long, logp double")
+    scored = distinct.select("hash", "word", "c").mapInArrow(_word_scores(pieces, fitted), "hash long, c long, logp double, fit double")
+    scored = words.select(F.col("block").alias("of"), "hash").join(scored, "hash").select("of", "hash", "c", "logp", "fit")
     out = (blocks.where("codes is not null").select("block", "ids", "first", "codes", "raw").groupBy("block")
-           .cogroup(scored.groupBy("block"))
-           .applyInArrow(_sum_block(total, types, ends, float(pieces.logp[-1]), mod, rest),
-                         "id long, n_tokens long, n_known long, base_score double, score double"))
-    return out.select("id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+           .cogroup(scored.groupBy("of"))
+           .applyInArrow(_sum_block(total, types, ends, float(pieces.logp[-1]), float(fitted.logp[-1])),
+                         "id long, n_tokens long, n_known long, base_score double, score double, fitted_score double"))
+    return out.select("id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score", "fitted_score")

@@ -33,7 +33,7 @@ def op2_lattice_lm(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULAR
     """Marginal log-probability of every document."""
     r = lattice_lm.score(table(spark, sf_dir, "documents"), lattice_lm.read_vocabulary(vocabulary))
     return r.select(F.col("id").alias("doc_id"), F.coalesce(_held_out(7, 2), F.lit(False)).alias("held_out"),
-                    "n_tokens", "n_known", "train_tokens", "base_score", "score")
+                    "n_tokens", "n_known", "train_tokens", "base_score", "score", "fitted_score")
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -215,3 +215,50 @@ def test_stages_on_odd_rows(spark, sf_dir, name):
     assert rows and all((r.doc_id, r.text) in texts for r in rows)
     assert all(r[c] == "clash" for r in rows for c in docs.columns if c not in own and c not in [x[0] for x in odd_docs(spark).dtypes])
     assert stage(spark, docs.limit(0), sf_dir).count() == 0
+
+
+ARTICLE = "<article><h1>Title {i}</h1><p>First words of page {i}, and more of them {i}.</p><p>Second block {i}.</p></article>"
+PLAIN = "Title {i}\nFirst words of page {i}, and more of them {i}.\nSecond block {i}."
+
+
+def extracted(spark, pages):
+    rows = [(i, f"http://h.example/{i}", p) for i, p in enumerate(pages)]
+    return {r.id: r.text for r in html_wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_layout_names_do_not_drop_an_article(spark):
+    """Classes of elements around the article say what the layout has."""
+    for name in ("layout with-sidebar", "page has-header", "no-comments", "share-enabled", "search-result", "content subscribe-layout"):
+        page = f"<html><body><nav>Home</nav><div class='{name}'>" + ARTICLE + "</div><div class='related'><article><p>Teaser</p></article></div></body></html>"
+        one = extracted(spark, [page.replace("{i}", "0")])
+        assert one == {0: PLAIN.replace("{i}", "0")}, name
+    pages = ["<body><div class='share-bar'>Share this</div><main><div class='search-area'>" + ARTICLE.replace("{i}", str(i)) + "</div></main></body>" for i in range(4)]
+    assert extracted(spark, pages) == {i: PLAIN.replace("{i}", str(i)) for i in range(4)}
+    # without an article the element with most of the text is none either
+    body = "<body><div class='notice-board'><p>" + "words and words of {i} " * 20 + "</p></div><div class='promo'>Buy</div></body>"
+    assert extracted(spark, [body.replace("{i}", "x")]) == {0: ("words and words of x " * 20).strip()}
+
+
+def test_template_text_goes_and_slots_stay(spark, monkeypatch):
+    """What a host's pages share inside the article is template, whatever it
+    is called; with the word lists emptied the wrapper alone knows it."""
+    page = ("<body><article><h1>Title {i}</h1><p>First words of page {i}, and more of them {i}.</p><div class='alpha'>Follow us and tell your friends</div>"
+            "<p>Second block {i}.</p><div class='beta'><span>More</span> stories</div></article></body>")
+    pages = [page.replace("{i}", str(i)) for i in range(6)]
+    assert extracted(spark, pages) == {i: PLAIN.replace("{i}", str(i)) for i in range(6)}
+    # two pages are not enough to tell, and copies of one page are no template
+    assert "Follow us" in extracted(spark, pages[:2])[0]
+    assert "Second block 0." in extracted(spark, [pages[0]] * 5)[3]
+    rule = html_wrappers.rule_of
+    monkeypatch.setattr(html_wrappers, "WORDS", frozenset())
+    monkeypatch.setattr(html_wrappers, "HARD", frozenset())
+    whole = html_wrappers.structure(pages[0])
+    for p in pages[1:]:
+        html_wrappers.merge_node(whole, html_wrappers.structure(p))
+    assert [html_wrappers.main_text(p, rule(whole)) for p in pages] == [PLAIN.replace("{i}", str(i)) for i in range(6)]
+
+
+@pytest.mark.parametrize("depth", [5, 39, 40, 46, 300])
+def test_articles_at_any_depth(spark, depth):
+    page = "<body>" + "<div>" * depth + "<ul class='menu'><li>Menu</li></ul>" + ARTICLE + "<div class='footer'>Foot</div>" + "</div>" * depth + "</body>"
+    assert extracted(spark, [page.replace("{i}", str(i)) for i in range(2)]) == {i: PLAIN.replace("{i}", str(i)) for i in range(2)}

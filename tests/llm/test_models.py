@@ -27,6 +27,17 @@ def lattice_brute(word, pieces, logp):
     return math.log(alpha[-1])
 
 
+def lattice_brute_log(word, pieces, logp):
+    """The same in log space, for words whose probability is no double."""
+    b = b" " + word
+    alpha = [0.0] + [-math.inf] * len(b)
+    for j in range(1, len(b) + 1):
+        ways = [alpha[j - 1] + logp[b[j - 1]]] + [alpha[j - len(p)] + logp[i] for p, i in pieces.items() if j >= len(p) and b[j - len(p):j] == p]
+        top = max(ways)
+        alpha[j] = top + math.log(sum(math.exp(w - top) for w in ways))
+    return alpha[-1]
+
+
 def vocabulary_index(vocabulary):
     usable = sorted({(p.replace("▁", " ").encode(), s) for p, s in vocabulary if p and "▁" not in p[1:]}, key=lambda x: (-x[1], x[0]))
     return {p: 256 + i for i, (p, _) in enumerate(usable)}
@@ -65,9 +76,29 @@ def test_lattice_scores_and_base(spark, extra):
         base = sum(math.log10((count[w] + 1) / (total + types + 1)) for w in ws)
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(ws), sum(count[w] > 0 for w in ws), total)
         assert math.isclose(r.base_score, base, rel_tol=1e-9) and r.score < 0 and math.isfinite(r.score)
+    # the whole score of every text, by plain recursion over its words
+    pieces, index, seen = lattice_lm.Pieces.of(VOCABULARY), vocabulary_index(VOCABULARY), {}
+    for i, ws in tokens.items():
+        want = pieces.logp[-1]
+        for w in ws[:-1]:
+            if w not in seen:
+                seen[w] = lattice_brute_log(w.encode(), index, pieces.logp)
+            want += seen[w]
+        assert math.isclose(got[i].score, want / math.log(10), rel_tol=1e-9), i
+        assert math.isfinite(got[i].fitted_score) and got[i].fitted_score < 0
     assert got[1].score == got[2].score == got[3].score and got[4].score == got[5].score and got[7].score == got[8].score
 
 
+def test_weights_are_the_scores_of_the_file():
+    """Log-probabilities are taken as they are, merge orders as places."""
+    own = lattice_lm.Pieces.of(VOCABULARY)
+    index = vocabulary_index(VOCABULARY)
+    a, b = index[b"ne"], index[b" one"]
+    assert math.isclose(own.logp[a] - own.logp[b], 1.0)
+    merged = lattice_lm.Pieces.of([(f"{x}{y}", -float(i)) for i, (x, y) in enumerate((x, y) for x in "abcdefghijklmnopqrst" for y in "abcdefghijklmnopqrst")])
+    assert math.isclose(merged.logp[256] - merged.logp[256 + 90], math.log(10))
+
+
 def test_lattice_empty(spark):
     assert lattice_lm.score(empty_docs(spark), VOCABULARY).count() == 0
 
