@@ -283,7 +283,7 @@ def _search(docs: DataFrame, group: DataFrame, k: int, scratch: Scratch, name: s
     rows = counted.select("doc", "n", "t", "f").mapInArrow(_vectors(sc.broadcast(weight), int(total.docs), int(total.n)), T.StructType(
         [T.StructField("doc", doc_type), T.StructField("norm", T.DoubleType()),
          T.StructField("t", T.ArrayType(T.IntegerType())), T.StructField("v", T.ArrayType(T.LongType()))]))
-    vectors = scratch.save(rows.repartitionByRange(F.desc("norm")).sortWithinPartitions(F.desc("norm")), f"{name}-vectors")
+    vectors = scratch.save(rows.repartitionByRange(F.desc("norm"), F.xxhash64("doc")).sortWithinPartitions(F.desc("norm")), f"{name}-vectors")
     shared = sc.broadcast(items)
     schema = T.StructType([T.StructField("item", item_type), T.StructField("item_no", T.IntegerType()), T.StructField("doc", doc_type), T.StructField("score", T.LongType())])
     threshold = np.ones(len(ids), np.int64)
