@@ -19,7 +19,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from marquee.operators import linalg
+from marquee.operators import linalg, near
 from marquee.operators import timeseries as TS
 from marquee.plans.registry import query
 
@@ -574,69 +574,27 @@ def ml_select(t):
                     vector_to_array("rf_features").alias("rf_features"))
 
 
-def _distinct_docs(t):
-    """Distinct documents: exact copies removed first (keyed by SHA-256)
-    — the exact way for the hottest LSH buckets."""
-    docs = t.documents.where("text is not null").select("doc_id", "text")
-    return docs.groupBy(F.sha2("text", 256).alias("h")).agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"))
+_NEAR_WORDS = r"list_filter(string_split_regex(lower(text), '\s+'), lambda x: x <> '')"
 
 
-def _shingle_words(df):
-    """Word 3-shingles over the whole text (array<string>)."""
-    w = df.select("doc_id", F.split(F.lower("text"), r"\s+").alias("w"))
-    two = F.zip_with("w", F.slice("w", 2, 1 << 30), lambda a, b: F.concat(a, F.lit(" "), b))
-    three = F.zip_with(two, F.slice("w", 3, 1 << 30), lambda a, b: F.concat(a, F.lit(" "), b))
-    # fewer than three words: the whole text is one shingle
-    return w.select("doc_id", F.when(F.size("w") < 3, F.array(F.array_join("w", " "))).otherwise(F.filter(three, lambda x: x.isNotNull())).alias("sh"))
-
-
-def _shingles(t):
-    """Shingle sets as binary hashed term vectors (for the ML LSH API)."""
-    sh = _shingle_words(_distinct_docs(t))
-    tf = FT.HashingTF(inputCol="sh", outputCol="features", numFeatures=1 << 18, binary=True).transform(sh)
-    return tf.where(F.size("sh") > 0)
-
-
-N_HASHES, N_BANDS = 32, 8
-
-
-def minhash_signatures(t):
-    """MinHash signatures computed JVM-side: shingle hashes are exploded
-    and reduced with one codegen'd aggregate of seeded minima per
-    document (partial aggregation — a very long document is spread over
-    tasks before its final merge)."""
-    sh = _shingle_words(_distinct_docs(t))
-    h = sh.select("doc_id", F.explode("sh").alias("s")).select("doc_id", F.xxhash64("s").alias("h"))
-    mins = [F.min(F.xxhash64(F.col("h"), F.lit(j))).alias(f"m{j}") for j in range(N_HASHES)]
-    return h.groupBy("doc_id").agg(*mins).select("doc_id", F.array(*[f"m{j}" for j in range(N_HASHES)]).alias("sig"))
-
-
-@query("near_duplicates")
+@query("near_duplicates", oracle=rf"""
+WITH RECURSIVE w AS (SELECT doc_id, text, {_NEAR_WORDS} AS w FROM documents),
+reps AS (SELECT min(doc_id) AS rep, text, any_value(w) AS w, count(*) AS n_rows FROM w WHERE text IS NOT NULL GROUP BY text),
+s AS (SELECT rep, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]) END) AS g FROM reps),
+n AS (SELECT rep, count(*) AS n FROM s GROUP BY rep),
+link AS (SELECT a.rep AS x, b.rep AS y FROM s a JOIN s b USING (g) JOIN n p ON p.rep = a.rep JOIN n q ON q.rep = b.rep WHERE a.rep <> b.rep
+  GROUP BY a.rep, b.rep, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))),
+reach(rep, node) AS (SELECT x, x FROM link UNION SELECT reach.rep, link.y FROM reach JOIN link ON link.x = reach.node),
+least_ AS (SELECT rep, min(node) AS c FROM reach GROUP BY rep)
+SELECT w.doc_id, coalesce(least_.c, reps.rep, w.doc_id) AS component_id, coalesce(n_rows, 1) AS class_rows
+FROM w LEFT JOIN reps ON w.text = reps.text LEFT JOIN least_ USING (rep)
+""")
 def near_duplicates(t):
-    """Near-copy documents, one row a pair.  Exact copies are paired with
-    the smallest document of their text (distance 0); distinct texts by
-    MinHash signatures (32 seeded hashes) of whole-text word 3-shingles and
-    LSH banding (8 bands × 4): in each bucket a member is held against the
-    bucket's smallest document and its predecessor, so a hot bucket costs
-    two pairs a member.  Pairs stay when the signature estimate of Jaccard
-    similarity is ≥ 0.5."""
-    docs = t.documents.where("text is not null").select("doc_id", F.sha2("text", 256).alias("h"))
-    least = docs.groupBy("h").agg(F.min("doc_id").alias("a"))
-    copies = docs.join(least, "h").where("doc_id <> a").select("a", F.col("doc_id").alias("b"), F.lit(0.0).alias("jaccard_dist"))
-    sig = minhash_signatures(t)
-    rows = N_HASHES // N_BANDS
-    bands = sig.select("doc_id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(N_BANDS - 1)),
-                                                          lambda j: F.xxhash64(F.slice("sig", j * rows + 1, rows)))).alias("band", "key"))
-    bands = bands.select("doc_id", F.xxhash64("band", "key").alias("key"))
-    reps = bands.groupBy("key").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
-    member = bands.join(reps, "key")
-    chain = TS.shifted(TS.ranged(member, "key", ["doc_id"]), "key", ["doc_id"], {"before": ("doc_id", 1)})
-    links = (member.select("a", F.col("doc_id").alias("b")).unionByName(chain.select(F.col("before").alias("a"), F.col("doc_id").alias("b")))
-             .where("a < b").distinct())
-    left, right = sig.select(F.col("doc_id").alias("a"), F.col("sig").alias("p")), sig.select(F.col("doc_id").alias("b"), F.col("sig").alias("q"))
-    same = F.aggregate(F.zip_with("p", "q", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda acc, x: acc + x) / float(N_HASHES)
-    near = links.join(left, "a").join(right, "b").select("a", "b", (1 - same).alias("jaccard_dist")).where("jaccard_dist <= 0.5")
-    return near.unionByName(copies)
+    """Components of near copies among all documents: five-word shingles,
+    similarity of 0.8 or more, candidates by MinHash bands, links exact."""
+    r = near.near_components(t.documents, "doc_id", "text")
+    return r.select(F.col("id").alias("doc_id"), F.col("component").alias("component_id"), "class_rows")
 
 
 @query("ann_join")

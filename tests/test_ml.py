@@ -1,8 +1,11 @@
-"""Row counts of the estimators and recall of the near-copy search."""
+"""Row counts of the estimators and the near-copy search against brute force."""
+
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from marquee.operators import near
 from marquee.plans import registry
 
 
@@ -26,22 +29,49 @@ def test_tree_regressors_keep_one_row_a_line(spark, sf_dir):
     assert y.lo <= p.lo <= p.hi <= y.hi
 
 
-def test_near_duplicates_recall(spark, sf_dir):
-    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
-    got = {(r.a, r.b): r.jaccard_dist for r in _q(spark, sf_dir, "near_duplicates").collect()}
-
+def _near_components(texts, words=5):
+    """Components by brute force over all pairs."""
     def shingles(text):
-        w = text.lower().split()
-        return {tuple(w[i:i + 3]) for i in range(len(w) - 2)} if len(w) > 2 else {tuple(w)}
-    sets = {i: shingles(x) for i, x in docs.items() if x is not None}
-    first = {}
-    for i in sorted(docs):
-        first.setdefault(docs[i], i)
-    for i, x in docs.items():
-        if x is not None and first[x] != i:
-            assert got[(first[x], i)] == 0
-    ids = sorted(first.values())
-    near = [(a, b) for n, a in enumerate(ids) for b in ids[n + 1:] if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    # a star and a chain link every member of a bucket, not every pair: count documents with a partner
-    linked = {i for p in got for i in p}
-    assert len([1 for a, b in near if a in linked and b in linked]) >= 0.9 * len(near)
+        w = (text or "").lower().split()
+        return {tuple(w[i:i + words]) for i in range(len(w) - words + 1)} if len(w) >= words else {tuple(w)} if w else set()
+    sets, up = {i: shingles(x) for i, x in texts.items()}, {i: i for i in texts}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+    for a in texts:
+        for b in texts:
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = root(a), root(b)
+                up[max(x, y)] = min(x, y)
+    return {i: root(i) for i in texts}
+
+
+def test_near_duplicates_lose_no_link(spark):
+    """Every pair of a bucket counts, whichever documents lie between."""
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(400)}" for _ in range(60)]
+    other = [f"v{rng.randrange(400)}" for _ in range(60)]
+
+    def changed(words, n):
+        w = list(words)
+        for _ in range(n):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(10_000)}"
+        return " ".join(w)
+    texts = {}
+    for i in range(0, 80, 2):
+        texts[i], texts[i + 1] = changed(base, rng.randrange(3)), changed(other, rng.randrange(3))
+    texts |= {100 + i: " ".join(base[:30 + i]) for i in range(30)}           # a chain of ever longer texts
+    texts |= {200: None, 201: "", 202: "  ", 203: "One two", 204: "one  TWO", 205: "one two three"}
+    df = spark.createDataFrame(list(texts.items()) + [(None, " ".join(base))], "id long, text string").repartition(4)
+    got = {r.id: r.component for r in near.near_components(df, "id", "text").collect()}
+    assert got == _near_components(texts)
+    assert near.near_components(df.where("id < 0"), "id", "text").count() == 0
+
+
+def test_star_round_settles_a_group_of_copies(spark):
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(words) + f" tail{i}") for i in range(300)]
+    got = {r.component for r in near.near_components(spark.createDataFrame(rows, "id long, text string"), "id", "text").collect()}
+    assert got == {0}
