@@ -155,7 +155,7 @@ class Lexicon:
         if got is None:
             w = max([self.terms.get(word + "$", 0.0), *(self.terms.get(word[:n], 0.0) for n in self.lengths if n <= len(word))])
             got = ("I", w) if w > 0 else self.fixed.get(word, ("O", 0.0))
-            if len(self.seen) > 500_000:
+            if len(self.seen) > 100_000:
                 self.seen.clear()
             self.seen[word] = got
         return got
