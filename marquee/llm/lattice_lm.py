@@ -188,7 +188,7 @@ def _blocks(mod: int, rest: int):
         for b in batches:
             ids = b.column(0)
             train = np.array([i is None or zlib.crc32(str(i).encode()) % mod != rest for i in ids.to_pylist()], bool)
-            for start, stop in W.pieces(b.column(1), 12 << 20):
+            for start, stop in W.pieces(b.column(1), 16 << 20):
                 hashes, firsts, texts, total = [], [np.zeros(1, np.int64)], [], 0
                 for s, e in W.pieces(b.column(1).slice(start, stop - start)):
                     data, offsets = W.text_bytes(b.column(1).slice(start + s, e - s))
@@ -254,7 +254,7 @@ def _word_scores(own: Pieces, fitted: Pieces):
                 edges = own.edges(matrix)
                 logp[rows] = own.forward(matrix, edges)[:, -1]
                 fit[rows] = fitted.forward(matrix, edges)[:, -1]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(logp), pa.array(fit)], names=["hash", "c", "logp", "fit"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(logp), pa.array(fit.astype(np.float32))], names=["hash", "c", "logp", "fit"])
             W.trim()
     return run
 
@@ -308,7 +308,7 @@ def score(docs: DataFrame, vocabulary: list[tuple[str, float]], id_col: str = "d
     uses[-1] += ends
     fitted = replace(pieces, logp=np.log(uses / uses.sum()))
 
-    scored = distinct.select("hash", "word", "c").mapInArrow(_word_scores(pieces, fitted), "hash long, c long, logp double, fit double")
+    scored = distinct.select("hash", "word", "c").mapInArrow(_word_scores(pieces, fitted), "hash long, c long, logp double, fit float")
     scored = words.select(F.col("block").alias("of"), "hash").join(scored, "hash").select("of", "hash", "c", "logp", "fit")
     out = (blocks.where("codes is not null").select("block", "ids", "first", "codes", "raw").groupBy("block")
            .cogroup(scored.groupBy("of"))
