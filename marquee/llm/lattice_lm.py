@@ -14,6 +14,15 @@ places of Zipf's law.  ``fitted_score`` is the same recursion with weights
 fitted to the training documents by one round of expected counts over all
 their words (forward-backward).  Pieces themselves are never changed.
 
+``learned_score`` adds one edge a training word to the lattice, from the
+word's start to its end: an absolute discount d is taken from the count of
+every training word (and of the end), and what it frees goes to the
+segmentations into pieces, whose weights are fitted to the distinct training
+words, since a new word is more like a rare one than like a frequent one:
+P(w) = (max(c - d, 0) + d * V * P(pieces of w)) / N.  The pieces' part is a
+distribution over all words and the end, so the probabilities of all tokens
+sum to one.
+
 Steps:
 
 1. one pass cuts the documents into blocks of words: each document as codes
@@ -30,7 +39,7 @@ Steps:
 A word is known by a 64-bit hash of its lower-cased bytes between steps.
 
 Cases: NULL and empty texts consist of the end alone; words of any length
-and any bytes have a positive probability; without training documents both
+and any bytes have a positive probability; without training documents all
 scores are the vocabulary's; NULL ids are training rows; repeated rows
 count each; an empty table gives an empty result; further columns are
 ignored.
@@ -79,17 +88,24 @@ class Pieces:
     size: int
     tables: dict          # length -> (sorted hashes, piece indexes)
     logp: np.ndarray
+    starts: np.ndarray    # edges that begin with the blank of a word start
+
+    def end_share(self) -> float:
+        """Probability that the end, not a word, comes next."""
+        end = np.exp(self.logp[-1])
+        return float(end / (end + np.exp(self.logp[self.starts]).sum()))
 
     @staticmethod
     def of(vocabulary: list[tuple[str, float]]) -> Pieces:
         usable = sorted({(p.replace(MARK, " ").encode(), s) for p, s in vocabulary if p and MARK not in p[1:]}, key=lambda x: (-x[1], x[0]))
-        seen, lists, scores = set(), {}, []
+        seen, lists, scores, starts = set(), {}, [], [b == 32 for b in range(256)]
         for piece, s in usable:
             if piece in seen:
                 continue
             seen.add(piece)
             lists.setdefault(len(piece), []).append((piece, 256 + len(scores)))
             scores.append(s)
+            starts.append(piece[:1] == b" ")
         own = own_weights(np.array(scores, float))
         # a byte of last resort weighs a thousandth of the lightest piece; the end as much as one piece in 200
         weight = [own.min(initial=1.0) / 1_000] * 256 + own.tolist() + [own.sum() / 200 if len(own) else 1.0]
@@ -102,7 +118,7 @@ class Pieces:
             order = np.argsort(h)
             tables[n] = (h[order], np.array([i for _, i in items])[order])
         w = np.array(weight)
-        return Pieces(len(w), tables, np.log(w / w.sum()))
+        return Pieces(len(w), tables, np.log(w / w.sum()), np.array(starts + [False]))
 
     def edges(self, b: np.ndarray) -> dict[int, np.ndarray]:
         """For rows of equally long words: by edge length, the piece index
@@ -132,8 +148,9 @@ class Pieces:
             alpha[:, j] = a
         return alpha
 
-    def expected(self, b: np.ndarray, count: np.ndarray) -> np.ndarray:
-        """Expected uses of every piece in the rows, each taken ``count`` times."""
+    def expected(self, b: np.ndarray, *counts: np.ndarray) -> np.ndarray:
+        """Expected uses of every piece in the rows, each taken ``count`` times;
+        one row of uses for each of several ``counts``."""
         n, width = b.shape
         edges = self.edges(b)
         alpha = self.forward(b, edges)
@@ -147,12 +164,14 @@ class Pieces:
                     a = np.logaddexp(a, beta[:, j + k] + w[:, j])
             beta[:, j] = a
         total = alpha[:, width:]
-        out = np.bincount(b.ravel(), (np.exp(alpha[:, :width] + self.logp[b] + beta[:, 1:] - total) * count[:, None]).ravel(), self.size)
+        use = np.exp(alpha[:, :width] + self.logp[b] + beta[:, 1:] - total)
+        out = np.array([np.bincount(b.ravel(), (use * c[:, None]).ravel(), self.size) for c in counts])
         for k, e in edges.items():
-            use = np.exp(alpha[:, :width - k + 1] + weights[k] + beta[:, k:] - total) * count[:, None]
+            use = np.exp(alpha[:, :width - k + 1] + weights[k] + beta[:, k:] - total)
             on = e >= 0
-            out += np.bincount(e[on], use[on], self.size)
-        return out
+            for o, c in zip(out, counts):
+                o += np.bincount(e[on], (use * c[:, None])[on], self.size)
+        return out[0] if len(counts) == 1 else out
 
 
 def _roll(h: np.ndarray, byte: np.ndarray) -> np.ndarray:
@@ -212,59 +231,72 @@ def _blocks(mod: int, rest: int):
                 del h
                 mine = np.repeat(train[start:stop], np.diff(first))
                 n = np.bincount(code[mine], minlength=len(known))
-                block = f"{TaskContext.get().partitionId()}-{number}"
+                block = (TaskContext.get().partitionId() << 32) + number
                 number += 1
                 raw = code.tobytes()
                 packed = codec.compress(raw, asbytes=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block]), pa.array([ids.slice(start, stop - start).to_pylist()], pa.list_(pa.int64())),
+                    [pa.array([block], pa.int64()), pa.array([ids.slice(start, stop - start).to_pylist()], pa.list_(pa.int64())),
                      pa.array([first.tobytes()], pa.binary()), pa.array([packed], pa.binary()), pa.array([len(raw)], pa.int64()),
                      pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64())], names=_BLOCK_NAMES)
                 for i in range(0, len(known), 100_000):
                     m = len(known[i:i + 100_000])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([block] * m), pa.nulls(m, pa.list_(pa.int64())), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary()),
+                        [pa.array(np.full(m, block, np.int64)), pa.nulls(m, pa.list_(pa.int64())), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary()),
                          pa.nulls(m, pa.int64()), pa.array(known[i:i + m].view(np.int64)), pa.array(word[i:i + m], pa.binary()),
                          pa.array(n[i:i + m])], names=_BLOCK_NAMES)
     return run
 
 
 _BLOCK_NAMES = ["block", "ids", "first", "codes", "raw", "hash", "word", "n"]
-_BLOCK_SCHEMA = "block string, ids array<long>, first binary, codes binary, raw long, hash long, word binary, n long"
+_BLOCK_SCHEMA = "block long, ids array<long>, first binary, codes binary, raw long, hash long, word binary, n long"
 
 
 def _expected(pieces: Pieces):
     def run(batches):
-        total = np.zeros(pieces.size)
+        total = np.zeros((2, pieces.size))                 # by words, by distinct words
         for b in batches:
             count = b.column(1).to_numpy()
             for rows, matrix in _by_length(b.column(0)):
-                total += pieces.expected(matrix, count[rows])
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["piece", "n"])
+                total += pieces.expected(matrix, count[rows], np.ones(len(rows)))
+        used = np.flatnonzero(total[0])
+        yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(t[used]) for t in total)], names=["piece", "n", "once"])
     return run
 
 
-def _word_scores(own: Pieces, fitted: Pieces):
-    """Both log-probabilities of distinct words, each scored once."""
+def _learned(count, spelt, total: int, distinct: int, discount: float):
+    """Natural logarithm of a token's learned probability from its training
+    count and the logarithm of its pieces' probability."""
+    if not total:
+        return spelt
+    with np.errstate(divide="ignore"):
+        seen = np.log(np.maximum(np.asarray(count) - discount, 0) / total)
+    return np.logaddexp(seen, np.log(discount * distinct / total) + spelt)
+
+
+def _word_scores(own: Pieces, fitted: Pieces, spelling: Pieces, total: int, distinct: int, discount: float):
+    """The log-probabilities of distinct words, each scored once."""
     def run(batches):
         for b in batches:
-            logp, fit = np.zeros(b.num_rows), np.zeros(b.num_rows)
+            logp, fit, spelt = np.zeros(b.num_rows), np.zeros(b.num_rows), np.zeros(b.num_rows)
             for rows, matrix in _by_length(b.column(1)):
                 edges = own.edges(matrix)
                 logp[rows] = own.forward(matrix, edges)[:, -1]
                 fit[rows] = fitted.forward(matrix, edges)[:, -1]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(logp), pa.array(fit.astype(np.float32))], names=["hash", "c", "logp", "fit"])
+                spelt[rows] = spelling.forward(matrix, edges)[:, -1]
+            learned = _learned(b.column(2).to_numpy(), spelt, total, distinct, discount)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(logp), pa.array(fit.astype(np.float32)), pa.array(learned.astype(np.float32))],
+                                             names=["hash", "c", "logp", "fit", "learned"])
             W.trim()
     return run
 
 
-def _sum_block(total: int, distinct: int, ends: int, end_logp: float, end_fit: float):
+def _sum_block(total: int, distinct: int, ends: int, end_logp: float, end_fit: float, end_learned: float):
     """Scores of one block's documents from its words' counts and scores."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["id", "n_tokens", "n_known", "base_score", "score", "fitted_score"]
+        names = ["id", "n_tokens", "n_known", "base_score", "score", "fitted_score", "learned_score"]
         order = np.argsort(right["hash"].to_numpy().view(np.uint64))
-        c, logp, fit = (right[x].to_numpy()[order] for x in ("c", "logp", "fit"))
+        c, logp, fit, learned = (right[x].to_numpy()[order] for x in ("c", "logp", "fit", "learned"))
         base = np.log10((c + 1) / (total + distinct + 1))
         out = []
         for i in range(left.num_rows):
@@ -275,18 +307,19 @@ def _sum_block(total: int, distinct: int, ends: int, end_logp: float, end_fit: f
             out.append(pa.table([
                 ids, pa.array(np.diff(first) + 1), pa.array(sums((c > 0).astype(float)).astype(np.int64) + (ends > 0)),
                 pa.array(sums(base) + np.log10((ends + 1) / (total + distinct + 1))),
-                pa.array((sums(logp) + end_logp) / np.log(10)), pa.array((sums(fit) + end_fit) / np.log(10))], names=names))
+                pa.array((sums(logp) + end_logp) / np.log(10)), pa.array((sums(fit) + end_fit) / np.log(10)),
+                pa.array((sums(learned) + end_learned) / np.log(10))], names=names))
         return pa.concat_tables(out)
     return run
 
 
 def score(docs: DataFrame, vocabulary: list[tuple[str, float]], id_col: str = "doc_id", text_col: str = "text",
           mod: int = 7, rest: int = 2, prior: float = 10_000.0) -> DataFrame:
-    """Rows (id, n_tokens, n_known, train_tokens, base_score, score, fitted_score).
+    """Rows (id, n_tokens, n_known, train_tokens, base_score, score, fitted_score, learned_score).
 
     Documents with crc32(id as text) mod ``mod`` = ``rest`` are held out of
     all counts.  ``prior`` is the weight of the vocabulary's scores against
-    the expected counts of the corpus in the fitted model, in pieces."""
+    the expected counts of the corpus in the fitted models, in pieces."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "lattice")
     pieces = Pieces.of(vocabulary)
@@ -297,21 +330,28 @@ def score(docs: DataFrame, vocabulary: list[tuple[str, float]], id_col: str = "d
 
     words = blocks.where("hash is not null")
     distinct = scratch.save(words.groupBy("hash").agg(F.min("word").alias("word"), F.sum("n").alias("c")), "words")
-    counted = distinct.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    counted = distinct.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"),
+                                            F.count_if(F.col("c") == 1).alias("once"), F.count_if(F.col("c") == 2).alias("twice")).first()
     total, types = counted.n + ends, counted.v + (ends > 0)
 
-    found = (distinct.where("c > 0").select("word", "c").mapInArrow(_expected(pieces), "piece long, n double")
-             .groupBy("piece").agg(F.sum("n").alias("n")).collect())                 # one row a piece
-    uses = np.exp(pieces.logp) * prior
+    found = (distinct.where("c > 0").select("word", "c").mapInArrow(_expected(pieces), "piece long, n double, once double")
+             .groupBy("piece").agg(F.sum("n").alias("n"), F.sum("once").alias("once")).collect())   # one row a piece
+    uses, once = np.exp(pieces.logp) * prior, np.exp(pieces.logp) * prior
     for r in found:
         uses[r.piece] += r.n
+        once[r.piece] += r.once
     uses[-1] += ends
-    fitted = replace(pieces, logp=np.log(uses / uses.sum()))
-
-    scored = distinct.select("hash", "word", "c").mapInArrow(_word_scores(pieces, fitted), "hash long, c long, logp double, fit float")
-    scored = words.select(F.col("block").alias("of"), "hash").join(scored, "hash").select("of", "hash", "c", "logp", "fit")
+    once[-1] += ends > 0
+    fitted, spelling = (replace(pieces, logp=np.log(u / u.sum())) for u in (uses, once))
+    # the usual estimate from the words that occur once and twice, never 0 or 1
+    discount = (counted.once + 0.5) / (counted.once + 2 * counted.twice + 1)
+    end_learned = float(_learned(ends, np.log(spelling.end_share()), total, types, discount))
+
+    scored = distinct.select("hash", "word", "c").mapInArrow(_word_scores(pieces, fitted, spelling, total, types, discount),
+                                                             "hash long, c long, logp double, fit float, learned float")
+    scored = words.select(F.col("block").alias("of"), "hash").join(scored, "hash").select("of", "hash", "c", "logp", "fit", "learned")
     out = (blocks.where("codes is not null").select("block", "ids", "first", "codes", "raw").groupBy("block")
            .cogroup(scored.groupBy("of"))
-           .applyInArrow(_sum_block(total, types, ends, float(pieces.logp[-1]), float(fitted.logp[-1])),
-                         "id long, n_tokens long, n_known long, base_score double, score double, fitted_score double"))
-    return out.select("id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score", "fitted_score")
+           .applyInArrow(_sum_block(total, types, ends, float(pieces.logp[-1]), float(fitted.logp[-1]), end_learned),
+                         "id long, n_tokens long, n_known long, base_score double, score double, fitted_score double, learned_score double"))
+    return out.select("id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score", "fitted_score", "learned_score")

@@ -89,6 +89,36 @@ def test_lattice_scores_and_base(spark, extra):
     assert got[1].score == got[2].score == got[3].score and got[4].score == got[5].score and got[7].score == got[8].score
 
 
+def test_lattice_learns_words(spark):
+    """Held-out scores keep up with the counts of known words, and the
+    learned probabilities of all tokens are those of the formula."""
+    ids = range(1, 400)
+    rows = [(i, " ".join(f"w{(i * 7 + j * j) % 23}" for j in range(40)) + (" new" if i % 5 == 0 else "")) for i in ids]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: r for r in lattice_lm.score(docs, VOCABULARY).collect()}
+    held = [i for i in ids if held_out(i, 7, 2)]
+    known = [i for i in held if got[i].n_known == got[i].n_tokens]
+    assert known and all(math.isfinite(got[i].learned_score) for i in held)
+    assert sum(got[i].learned_score for i in known) > 1.01 * sum(got[i].base_score for i in known)
+    assert sum(got[i].score for i in known) < 2 * sum(got[i].base_score for i in known)
+    # without training rows the pieces alone decide
+    alone = lattice_lm.score(docs.where("crc32(cast(doc_id as string)) % 7 = 2"), VOCABULARY).collect()
+    assert len(alone) == len(held) and all(math.isfinite(r.learned_score) and r.learned_score < 0 for r in alone)
+
+
+def test_lattice_pieces_are_a_distribution():
+    """Words of all lengths and the end: their probabilities sum to one."""
+    p = lattice_lm.Pieces.of(VOCABULARY)
+    q_start, q_end = np.exp(p.logp[p.starts]).sum(), np.exp(p.logp[-1])
+    # a word starts with a blank edge (four of them) and goes on until the next blank or the end
+    words = q_start / (q_start + q_end)
+    assert math.isclose(words + p.end_share(), 1.0) and p.starts.sum() == 4
+    seen, total, types, d = np.array([3, 1, 0]), 5, 3, 0.6
+    spelt = np.log(np.array([0.2, 0.1, 0.3]))
+    want = np.log((np.maximum(seen - d, 0) + d * types * np.exp(spelt)) / total)
+    assert np.allclose(lattice_lm._learned(seen, spelt, total, types, d), want)
+
+
 def test_weights_are_the_scores_of_the_file():
     """Log-probabilities are taken as they are, merge orders as places."""
     own = lattice_lm.Pieces.of(VOCABULARY)
