@@ -106,11 +106,13 @@ def range_join(points: DataFrame, intervals: DataFrame, point: str, start: str,
 def salted_join(big: DataFrame, small: DataFrame, on: list[str] | str, buckets: int = 16,
                 how: str = "inner") -> DataFrame:
     """Equi join with the big side's rows spread over ``buckets`` salts
-    and the small side replicated once per salt."""
+    and the small side replicated once per salt.  Both sides are shuffled:
+    the planner knows nothing of the replicas and would broadcast them, all
+    through the driver."""
     keys = [on] if isinstance(on, str) else list(on)
     b = big.withColumn("_salt", salt(F.xxhash64(*big.columns), buckets))
     s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return b.join(s, on=[*keys, "_salt"], how=how).drop("_salt")
+    return b.join(s.hint("merge"), on=[*keys, "_salt"], how=how).drop("_salt")
 
 
 def merge_update(target: DataFrame, updates: DataFrame, on: list[str] | str,

@@ -223,6 +223,17 @@ def test_graph_pagerank_tolerance_and_components(spark):
     assert tc == 9 + 1
 
 
+def test_salted_join_is_never_broadcast(spark, capsys):
+    big = spark.range(1000).select((F.col("id") % 7).alias("k"), "id")
+    small = spark.range(7).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    j = J.salted_join(big, small, "k", buckets=4)
+    assert {(r.k, r.v) for r in j.collect()} == {(k, 10 * k) for k in range(7)} and j.count() == 1000
+    capsys.readouterr()
+    j.explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_ml_rows_only_sanity(spark, sf_dir):
     km = _q(spark, sf_dir, "ml_kmeans")
     assert km.select("prediction").distinct().count() <= 10
