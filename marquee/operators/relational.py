@@ -23,6 +23,13 @@ def salt(col: Column | str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
 
 
+def key_bucket(key: str, rows: int, most: int = 20_000) -> Column:
+    """Bucket of a key for functions on groups, which cost a call a group:
+    all rows of a key are in one bucket, which holds about ``most`` of
+    ``rows`` rows; NULL keys are a bucket of their own (NULL)."""
+    return F.when(F.col(key).isNotNull(), F.pmod(F.xxhash64(key), F.lit(max(1, -(-rows // most)))))
+
+
 def topk_per_group(df: DataFrame, key: str | list[str], order: list[Column], k: int,
                    salt_col: str | None = None, buckets: int = 16) -> DataFrame:
     """Top-k rows per key, skew-safe.

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from marquee.operators import graph as G
 from marquee.operators import joins as J
 from marquee.operators import timeseries as TS
-from marquee.operators.relational import dedup_keep_first, topk_per_group
+from marquee.operators.relational import dedup_keep_first, key_bucket, topk_per_group
 from marquee.plans import registry
 
 
@@ -234,6 +234,29 @@ def test_salted_join_is_never_broadcast(spark, capsys):
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+def order_tables(spark, folder, n=300):
+    """Orders (every tenth without lines, one twice, one NULL) and lines of
+    1 to 4 an order, one of an unknown and two of a NULL order."""
+    orders = [(k, k * 10.126) for k in range(n)] + [(5, 77.0), (None, 1.0)]
+    lines = [(k, j, j + k, float(j * 100 + k) if j != 3 else None) for k in range(n) if k % 10 for j in range(1, 2 + k % 4)]
+    lines += [(n + 7, 1, 1, 5.0), (None, 1, 1, 2.0), (None, 2, 1, 6.0)]
+    spark.createDataFrame(orders, "o_orderkey long, o_totalprice double").write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_extendedprice double").write.parquet(f"{folder}/lineitem.parquet")
+    return orders, lines
+
+
+def test_cogroup_calls_a_bucket_of_orders(spark, scratch, monkeypatch):
+    orders, lines = order_tables(spark, scratch)
+    monkeypatch.setattr("marquee.plans.joins.key_bucket", lambda key, rows: key_bucket(key, rows, 100))
+    out = _q(spark, scratch, "cogroup")
+    want = [(k, sum(x[0] == k for x in lines), round(sum(x[3] or 0.0 for x in lines if x[0] == k), 2), round(p, 2)) for k, p in orders]
+    order = lambda rows: sorted(map(tuple, rows), key=str)
+    assert order(out.collect()) == order(want)
+    buckets = spark.read.parquet(f"{scratch}/lineitem.parquet").select(key_bucket("l_orderkey", len(lines), 100).alias("b"), "l_orderkey").distinct()
+    n = buckets.groupBy("b").agg(F.count("l_orderkey").alias("n")).collect()
+    assert {r.n for r in n if r.b is None} == {0} and 5 <= len(n) <= 8
+
+
 def test_ml_rows_only_sanity(spark, sf_dir):
     km = _q(spark, sf_dir, "ml_kmeans")
     assert km.select("prediction").distinct().count() <= 10
