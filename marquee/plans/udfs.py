@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf, udf
 
 from marquee.functions.pyhelpers import minutes_py
-from marquee.operators.relational import salt
+from marquee.operators.relational import key_bucket, salt
 from marquee.plans.catalog import duration_sql
 from marquee.plans.registry import query
 
@@ -116,16 +116,16 @@ SELECT l_orderkey, l_linenumber, l_partkey, round(l_extendedprice / sum(l_extend
 FROM lineitem
 """)
 def grouped_map(t):
-    """applyInPandas: each line's share of its order value.  An order's
-    lines are bounded by the data model, so each group is small at any
-    scale."""
+    """applyInPandas: each line's share of its order value.  A call takes a
+    bucket of orders, whose number follows the counted lines."""
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
 
     def share(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = pdf.assign(share=(pdf["l_extendedprice"] / pdf["l_extendedprice"].sum()).round(6))
+        total = pdf.groupby("l_orderkey", dropna=False)["l_extendedprice"].transform("sum")
+        out = pdf.assign(share=(pdf["l_extendedprice"] / total).round(6))
         return out[["l_orderkey", "l_linenumber", "l_partkey", "share"]]
 
-    return li.groupBy("l_orderkey").applyInPandas(
+    return li.groupBy(key_bucket("l_orderkey", li.count()).alias("bucket")).applyInPandas(
         share, "l_orderkey long, l_linenumber int, l_partkey long, share double")
 
 

@@ -257,6 +257,15 @@ def test_cogroup_calls_a_bucket_of_orders(spark, scratch, monkeypatch):
     assert {r.n for r in n if r.b is None} == {0} and 5 <= len(n) <= 8
 
 
+def test_grouped_map_calls_a_bucket_of_orders(spark, scratch, monkeypatch):
+    _, lines = order_tables(spark, scratch)
+    monkeypatch.setattr("marquee.plans.udfs.key_bucket", lambda key, rows: key_bucket(key, rows, 100))
+    total = lambda k: sum(x[3] or 0.0 for x in lines if x[0] == k)
+    want = {(k, j): None if v is None else round(v / total(k), 6) for k, j, _, v in lines}
+    got = {(r.l_orderkey, r.l_linenumber): r.share for r in _q(spark, scratch, "grouped_map").collect()}
+    assert got == want
+
+
 def test_ml_rows_only_sanity(spark, sf_dir):
     km = _q(spark, sf_dir, "ml_kmeans")
     assert km.select("prediction").distinct().count() <= 10
