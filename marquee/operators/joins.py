@@ -8,6 +8,7 @@
 * ``range_join`` — point-in-interval without an equality key: intervals
   are exploded onto fixed-width bins, then an equi join on the bin plus
   the exact range filter.
+* ``range_count`` — how many points each interval holds, without the pairs.
 * ``salted_join`` — spreads a hot join key over ``buckets`` tasks.
 """
 
@@ -103,6 +104,24 @@ def range_join(points: DataFrame, intervals: DataFrame, point: str, start: str,
     return out.drop("_p", "_s", "_e", "_bin")
 
 
+def range_count(points: DataFrame, intervals: DataFrame, point: str, start: str, end: str, by: str, out: str = "n") -> DataFrame:
+    """Rows (``by``, ``out``): the points in the intervals ``[start, end)`` of
+    each ``by`` of ``intervals``, summed over its rows; what a range join and
+    a count return, without making the pairs, so that dense times cost no
+    more than sparse ones.  Points and both ends of the intervals lie in one
+    order, in which the points before each end are a running sum.  Ends that
+    are NULL belong to no interval."""
+    known = intervals.select(F.col(by).alias("by"), _time_num(intervals, start).alias("s"), _time_num(intervals, end).alias("e")).where("s < e")
+    ends = known.select("by", F.explode(F.array(F.struct(F.col("s").alias("t"), F.lit(-1).alias("sign")),
+                                                F.struct(F.col("e").alias("t"), F.lit(1).alias("sign")))).alias("x")).select("by", "x.t", "x.sign")
+    held = points.select(_time_num(points, point).alias("t")).where("t is not null").groupBy("t").agg(F.count(F.lit(1)).alias("w"))
+    # ends come before the points at their time: a start includes them, an end does not
+    u = (ends.withColumn("o", F.lit(0)).unionByName(held.withColumn("o", F.lit(1)), allowMissingColumns=True)
+         .withColumns({"one": F.lit(0), "w": F.coalesce("w", F.lit(0).cast("long"))}))
+    r = TS.running(TS.ranged(u, "one", ["t", "o"]), "one", ["t", "o"], {"before": ("sum", "w")}).where("o = 0")
+    return r.groupBy(F.col("by").alias(by)).agg(F.sum(F.col("sign") * F.col("before")).alias(out))
+
+
 def salted_join(big: DataFrame, small: DataFrame, on: list[str] | str, buckets: int = 16,
                 how: str = "inner") -> DataFrame:
     """Equi join with the big side's rows spread over ``buckets`` salts

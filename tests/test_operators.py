@@ -266,6 +266,23 @@ def test_grouped_map_calls_a_bucket_of_orders(spark, scratch, monkeypatch):
     assert got == want
 
 
+def test_range_count_is_the_counted_range_join(spark):
+    """Repeated, NULL and dense times, intervals with one name, and empty ones."""
+    pts = spark.createDataFrame([(i % 50,) for i in range(400)] + [(None,), (1000,)], "p long")
+    iv = [(i, i % 45, i % 45 + i % 9) for i in range(200)] + [(3, 0, 60), (None, 10, 12), (500, None, 5), (501, 5, None), (502, 2000, 2001)]
+    d = spark.createDataFrame(iv, "id long, s long, e long")
+    got = {r.id: r.n for r in J.range_count(pts, d, "p", "s", "e", by="id").collect()}
+    want = {}
+    for k, s, e in iv:
+        if s is not None and e is not None and s < e:
+            want[k] = want.get(k, 0) + sum(8 for p in range(50) if s <= p < e) + (s <= 1000 < e)
+    assert got == want
+    # pairs of this join would not fit: 60,000 times 60,000
+    many = spark.range(60_000).select(F.col("id"), F.lit(5).cast("long").alias("s"), F.lit(7).cast("long").alias("e"))
+    r = J.range_count(many, many, "s", "s", "e", by="id").agg(F.min("n"), F.max("n"), F.count("*")).first()
+    assert tuple(r) == (60_000, 60_000, 60_000)
+
+
 def test_ml_rows_only_sanity(spark, sf_dir):
     km = _q(spark, sf_dir, "ml_kmeans")
     assert km.select("prediction").distinct().count() <= 10
