@@ -32,6 +32,13 @@ def _cols(order: list) -> list[Column]:
     return [o if isinstance(o, Column) else F.col(o) for o in order]
 
 
+def parted(df: DataFrame, key: str, most: int = 1_000_000) -> DataFrame:
+    """``df`` hash-partitioned by ``key`` into parts of about ``most`` rows,
+    however many rows it has: sorts and windows on the key stay bounded."""
+    fewest = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(fewest, -(-df.count() // most)), key)
+
+
 def ranged(df: DataFrame, key: str, order: list) -> DataFrame:
     """``df`` range-partitioned by (key, order) and materialised, with the
     partition number in ``_b``: it never decreases along a key's order."""

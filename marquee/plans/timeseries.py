@@ -106,15 +106,19 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(rank() OVER w AS DOU
 FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_quantity)
 """)
 def rank_methods(t):
-    """pandas ``rank(method=min|max|average|first|dense)`` per order."""
+    """pandas ``rank(method=min|max|average|first|dense)`` per order.
+
+    The whole order of the lines is made first and serves all windows, so a
+    task holds one sort; parts follow the counted lines."""
+    li = TS.parted(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"), "l_orderkey")
     w = Window.partitionBy("l_orderkey").orderBy("l_quantity")
-    ties = F.count(F.lit(1)).over(Window.partitionBy("l_orderkey", "l_quantity"))
     lo = F.rank().over(w)
-    hi = lo + ties - 1
+    hi = F.count(F.lit(1)).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))    # with all its ties
     first = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_quantity", "l_linenumber", "l_partkey", "l_suppkey"))
-    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", lo.cast("double").alias("r_min"),
-                             hi.cast("double").alias("r_max"), ((lo + hi) / 2.0).alias("r_avg"),
-                             first.cast("double").alias("r_first"), F.dense_rank().over(w).cast("double").alias("r_dense"))
+    return (li.withColumn("first", first).withColumns({"lo": lo, "hi": hi, "dense": F.dense_rank().over(w)})
+            .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("lo").cast("double").alias("r_min"),
+                    F.col("hi").cast("double").alias("r_max"), ((F.col("lo") + F.col("hi")) / 2.0).alias("r_avg"),
+                    F.col("first").cast("double").alias("r_first"), F.col("dense").cast("double").alias("r_dense")))
 
 
 @query("group_nth", oracle="""

@@ -283,6 +283,15 @@ def test_range_count_is_the_counted_range_join(spark):
     assert tuple(r) == (60_000, 60_000, 60_000)
 
 
+def test_rank_methods_sorts_once(spark, sf_dir, capsys):
+    d = _q(spark, sf_dir, "rank_methods")
+    capsys.readouterr()
+    d.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Sort [") == 1 and plan.count("Exchange") == 1
+    assert TS.parted(spark.range(1000), "id", most=50).rdd.getNumPartitions() == 20
+
+
 def test_ml_rows_only_sanity(spark, sf_dir):
     km = _q(spark, sf_dir, "ml_kmeans")
     assert km.select("prediction").distinct().count() <= 10
