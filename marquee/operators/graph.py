@@ -11,6 +11,10 @@ pull a single aggregate value to the driver, never the data.
 from __future__ import annotations
 
 import itertools
+import math
+
+import numpy as np
+import pyarrow as pa
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -123,10 +127,54 @@ def canonical_edges(edges: DataFrame) -> DataFrame:
     return e.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
 
 
+#: Edges of one block of the triangle count, and wedges looked at together.
+TRIANGLE_EDGES = 2_000_000
+_WEDGES = 2_000_000
+
+
+def _block_triangles(colours: int):
+    """Triangles of one block whose three colours are the block's."""
+    def run(key, t):
+        ids, at = np.unique(np.concatenate([t["a"].to_numpy(), t["b"].to_numpy()]), return_inverse=True)
+        n, m = len(ids), t.num_rows
+        colour = np.zeros(n, np.int64)
+        colour[at] = np.concatenate([t["ca"].to_numpy(), t["cb"].to_numpy()])
+        code = np.sort(at[:m].astype(np.int64) * n + at[m:])           # edges by (low, high)
+        a, b = code // n, code % n
+        first = np.searchsorted(a, np.arange(n + 1))
+        out = np.diff(first)[b]                                        # wedges a -> b -> c of each edge
+        block = key[0].as_py()
+        count, ends = np.zeros(n, np.int64), np.cumsum(out)
+        i = 0
+        while i < m:
+            j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + _WEDGES, side="right")))
+            k = out[i:j]
+            edge = np.repeat(np.arange(i, j), k)
+            c = b[first[b[edge]] + np.arange(len(edge)) - np.repeat(np.cumsum(k) - k, k)]
+            p, q = a[edge], b[edge]
+            want = p * n + c
+            found = np.searchsorted(code, want)
+            closed = code[np.minimum(found, m - 1)] == want
+            p, q, c = p[closed], q[closed], c[closed]
+            three = np.sort(np.stack([colour[p], colour[q], colour[c]]), axis=0)
+            mine = (three[0] * colours + three[1]) * colours + three[2] == block
+            count += np.bincount(np.concatenate([p[mine], q[mine], c[mine]]), minlength=n)
+            i = j
+        hit = np.flatnonzero(count)
+        return pa.table([pa.array(ids[hit], pa.int64()), pa.array(count[hit], pa.int64())], names=["id", "triangles"])
+    return run
+
+
 def triangle_counts(edges: DataFrame) -> DataFrame:
     """Per-vertex triangle count.  Edges are oriented from the lower to
     the higher (degree, id) endpoint, which bounds the wedges each vertex
-    emits (no all-pairs expansion of hub neighbourhoods)."""
+    emits (no all-pairs expansion of hub neighbourhoods).
+
+    No wedge leaves its task: vertices are dealt over colours, a block is a
+    set of three colours with all edges between them, and counts the
+    triangles that have just these.  An edge goes to one block for each
+    colour; the colours follow the counted edges, so that blocks stay
+    bounded."""
     e = canonical_edges(edges)
     deg = (e.select(F.col("src").alias("v")).union(e.select(F.col("dst").alias("v")))
            .groupBy("v").agg(F.count(F.lit(1)).alias("d")))
@@ -134,17 +182,17 @@ def triangle_counts(edges: DataFrame) -> DataFrame:
           .join(deg.withColumnRenamed("v", "dst").withColumnRenamed("d", "dd"), "dst"))
     low_first = (F.col("ds") < F.col("dd")) | ((F.col("ds") == F.col("dd")) & (F.col("src") < F.col("dst")))
     o = ed.select(F.when(low_first, F.col("src")).otherwise(F.col("dst")).alias("a"),
-                  F.when(low_first, F.col("dst")).otherwise(F.col("src")).alias("b"),
-                  F.greatest("ds", "dd").alias("deg"))
+                  F.when(low_first, F.col("dst")).otherwise(F.col("src")).alias("b"))
     checkpoint_dir(edges.sparkSession)
-    o = o.checkpoint()                 # read three times below
-    wedges = o.alias("x").join(o.alias("y"), F.col("x.a") == F.col("y.a")).where(
-        (F.col("x.deg") < F.col("y.deg")) | ((F.col("x.deg") == F.col("y.deg")) & (F.col("x.b") < F.col("y.b"))))
-    # in this order the closing edge points from x.b to y.b, so each triangle is met once
-    closed = wedges.join(o.alias("z"), (F.col("z.a") == F.col("x.b")) & (F.col("z.b") == F.col("y.b")))
-    tri = closed.select(F.col("x.a").alias("p"), F.col("x.b").alias("q"), F.col("y.b").alias("r"))
-    per = (tri.select(F.explode(F.array("p", "q", "r")).alias("id"))
-           .groupBy("id").agg(F.count(F.lit(1)).alias("triangles")))
+    o = o.checkpoint()                 # counted, dealt and read for the vertices
+    colours = max(1, math.ceil(math.sqrt(6 * o.count() / TRIANGLE_EDGES)))
+    colour = lambda c: F.pmod(F.xxhash64(c), F.lit(colours))
+    three = F.array_sort(F.array("ca", "cb", "z"))
+    dealt = (o.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"), colour("a").alias("ca"), colour("b").alias("cb"))
+             .withColumn("z", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(colours - 1).cast("long"))))
+             .select(((three[0] * colours + three[1]) * colours + three[2]).alias("block"), "a", "b", "ca", "cb"))
+    per = (dealt.groupBy("block").applyInArrow(_block_triangles(colours), "id long, triangles long")
+           .groupBy("id").agg(F.sum("triangles").alias("triangles")))
     verts = vertices_of(o.select(F.col("a").alias("src"), F.col("b").alias("dst")))
     return verts.join(per, "id", "left").select("id", F.coalesce("triangles", F.lit(0)).cast("bigint").alias("triangles"))
 

@@ -292,6 +292,25 @@ def test_rank_methods_sorts_once(spark, sf_dir, capsys):
     assert TS.parted(spark.range(1000), "id", most=50).rdd.getNumPartitions() == 20
 
 
+@pytest.mark.parametrize("block", [2_000_000, 300])
+def test_triangles_of_many_blocks(spark, monkeypatch, block):
+    """As by brute force, over one block and over many, in both directions of
+    edges, with loops and repeated edges; no join makes wedges."""
+    monkeypatch.setattr(G, "TRIANGLE_EDGES", block)
+    monkeypatch.setattr(G, "_WEDGES", 500)
+    rng = np.random.RandomState(5)
+    pairs = [(int(x), int(y)) for x, y in rng.randint(0, 60, (900, 2))] + [(100, 101), (101, 102), (7, 7)]
+    adj = {}
+    for x, y in pairs:
+        if x != y:
+            adj.setdefault(x, set()).add(y)
+            adj.setdefault(y, set()).add(x)
+    want = {v: sum(len(adj[w] & adj[v]) for w in adj[v]) // 2 for v in adj}
+    r = G.triangle_counts(spark.createDataFrame(pairs, "src long, dst long"))
+    assert {x.id: x.triangles for x in r.collect()} == want
+    assert "FlatMapGroupsInArrow" in r._jdf.queryExecution().toString()
+
+
 def test_ml_rows_only_sanity(spark, sf_dir):
     km = _q(spark, sf_dir, "ml_kmeans")
     assert km.select("prediction").distinct().count() <= 10
