@@ -14,6 +14,22 @@ def _q(spark, sf_dir, name):
     return registry.queries()[name](spark, sf_dir)
 
 
+def test_ann_join_counts_every_link(spark, scratch, monkeypatch):
+    """Against brute force: copies, vectors without values, several blocks."""
+    from marquee.operators import neighbours
+    monkeypatch.setattr(neighbours, "BLOCK", 40)
+    rng = np.random.RandomState(3)
+    v = rng.normal(size=(300, 8)) * 1.5
+    v[200:220] = v[0]
+    rows = [(i, [float(x) for x in v[i]], 0) for i in range(300)] + [(900, None, 0)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{scratch}/embeddings.parquet")
+    v = v.astype(np.float32).astype(float)
+    near = np.sqrt(((v[:, None] - v[None]) ** 2).sum(axis=2)) < 3.0
+    got = {r.vec_id: r for r in _q(spark, scratch, "ann_join").collect()}
+    assert {i: got[i].n_links for i in range(300)} == {i: int(near[i].sum()) - 1 for i in range(300)}
+    assert len(got) == 301 and got[900].n_links == 0 and got[210].class_id == 0 and got[0].class_rows == 21
+
+
 @pytest.mark.parametrize("name", ["ml_logreg", "ml_svm", "ml_trees", "ml_bayes", "ml_fm", "ml_pipeline", "ml_select"])
 def test_every_document_is_scored(spark, sf_dir, name):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
