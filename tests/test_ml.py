@@ -30,6 +30,19 @@ def test_ann_join_counts_every_link(spark, scratch, monkeypatch):
     assert len(got) == 301 and got[900].n_links == 0 and got[210].class_id == 0 and got[0].class_rows == 21
 
 
+def test_select_takes_any_number_of_values(spark, scratch):
+    """More distinct lengths than the chi-square test takes as categories."""
+    n = 10_500
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("w "), F.col("id").cast("string")).alias("text"),
+                                 F.lit("en").alias("lang"), F.lit("s").alias("source"), F.col("id").alias("n_chars"))
+    docs.write.parquet(f"{scratch}/documents.parquet")
+    docs.select("doc_id", (F.col("doc_id") > n // 2).cast("int").alias("quality"), F.lit(0).alias("toxic")).write.parquet(f"{scratch}/labels.parquet")
+    rows = _q(spark, scratch, "ml_select").collect()
+    assert len(rows) == n
+    # the length decides the label, so it is chosen, with its own values
+    assert all(abs(r.chi[0] - np.log1p(r.doc_id)) < 1e-9 for r in rows)
+
+
 @pytest.mark.parametrize("name", ["ml_logreg", "ml_svm", "ml_trees", "ml_bayes", "ml_fm", "ml_pipeline", "ml_select"])
 def test_every_document_is_scored(spark, sf_dir, name):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
