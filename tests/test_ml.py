@@ -43,6 +43,14 @@ def test_select_takes_any_number_of_values(spark, scratch):
     assert all(abs(r.chi[0] - np.log1p(r.doc_id)) < 1e-9 for r in rows)
 
 
+def test_estimators_do_not_read_texts_again(spark, sf_dir):
+    """What estimators go over is kept rows, without texts or files."""
+    from marquee.plans import ml
+    from marquee.sources.tables import Tables
+    for d in ml._doc_features(Tables(spark, sf_dir)):
+        assert "text" not in d.columns and not d.inputFiles() and "FileScan" not in d._jdf.queryExecution().toString()
+
+
 @pytest.mark.parametrize("name", ["ml_logreg", "ml_svm", "ml_trees", "ml_bayes", "ml_fm", "ml_pipeline", "ml_select"])
 def test_every_document_is_scored(spark, sf_dir, name):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
