@@ -51,6 +51,17 @@ def test_estimators_do_not_read_texts_again(spark, sf_dir):
         assert "text" not in d.columns and not d.inputFiles() and "FileScan" not in d._jdf.queryExecution().toString()
 
 
+def test_word_vectors_are_trained_in_parts(spark, sf_dir, monkeypatch):
+    from marquee.plans import ml
+    seen, words = [], {}
+    fit = ml.FT.Word2Vec.fit
+    monkeypatch.setattr(ml.FT.Word2Vec, "fit", lambda self, d: seen.append(self.getNumPartitions()) or fit(self, d))
+    for part in (10 ** 9, 1_000):
+        monkeypatch.setattr(ml, "WORD2VEC_PART", part)
+        words[part] = {r.word for r in _q(spark, sf_dir, "ml_word2vec").select("word").collect()}
+    assert seen[0] == 1 and seen[1] > 1 and words[10 ** 9] == words[1_000]
+
+
 @pytest.mark.parametrize("name", ["ml_logreg", "ml_svm", "ml_trees", "ml_bayes", "ml_fm", "ml_pipeline", "ml_select"])
 def test_every_document_is_scored(spark, sf_dir, name):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
