@@ -124,3 +124,53 @@ def test_star_round_settles_a_group_of_copies(spark):
     rows = [(i, " ".join(words) + f" tail{i}") for i in range(300)]
     got = {r.component for r in near.near_components(spark.createDataFrame(rows, "id long, text string"), "id", "text").collect()}
     assert got == {0}
+
+
+def _exchanges(node) -> int:
+    """Shuffles of a plan, without those of tables that it finds kept."""
+    kids = node.children()
+    return (node.nodeName() == "Exchange") + sum(_exchanges(kids.apply(i)) for i in range(kids.size()))
+
+
+def test_near_rounds_do_not_shuffle_all_sets(spark, monkeypatch):
+    """The checks of a round move pairs and one set a pair, not every set."""
+    class Seen(Exception):
+        pass
+
+    plans, plain = [], type(spark.range(0)).checkpoint
+
+    def watch(df, *args):
+        if "near" in df.columns:
+            plans.append(df._jdf.queryExecution().executedPlan().initialPlan())
+            raise Seen
+        return plain(df, *args)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(type(spark.range(0)), "checkpoint", watch)
+    try:
+        with pytest.raises(Seen):
+            near.near_components(spark.createDataFrame([(i, f"{'a b c d e f g h ' * 5}{i}") for i in range(20)], "id long, text string"), "id", "text")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.catalog.clearCache()
+    # distinct pairs, pairs to the first set, these to the second
+    assert _exchanges(plans[0]) == 3
+
+
+def test_sketches_never_rule_out_a_link(spark):
+    rng = random.Random(3)
+    sets = []
+    for i in range(60):
+        if i % 4:
+            own = sets[-1][:]
+            for _ in range(rng.randrange(len(own) // 6 + 2)):
+                own[rng.randrange(len(own))] = rng.getrandbits(63) - 2 ** 62
+        else:
+            own = [rng.getrandbits(63) - 2 ** 62 for _ in range(rng.choice([1, 3, 10, 80, 600]))]
+        sets.append(own)
+    # a rep that stands for two texts is never ruled out
+    df = spark.createDataFrame([(i, i, s) for i, s in enumerate(sets)] + [(0, 100, [5])], "rep long, class long, sh array<long>")
+    sig = near.signatures(df, 1, 1).drop("keys")
+    may = {(r.a, r.b) for r in sig.alias("f").crossJoin(sig.alias("r")).where(near._may_link(80)).selectExpr("f.rep a", "r.rep b").collect()}
+    links = {(a, b) for a in range(60) for b in range(60) if 100 * len(set(sets[a]) & set(sets[b])) >= 80 * len(set(sets[a]) | set(sets[b]))}
+    assert links <= may and all((0, b) in may for b in range(60)) and len(may) < 1_000
