@@ -346,3 +346,13 @@ def test_components_of_a_path_and_self_loops(spark):
     got = {r.id: r.label for r in G.connected_components(edges).collect()}
     assert got == {**{i: 0 for i in range(n + 1)}, 1000: 1000, 1001: 1000, 1002: 1000, 5000: 5000}
     assert G.connected_components(edges.where("src < 0")).count() == 0
+
+
+def test_nullsafe_pairs_are_made_in_many_tasks(spark, tmp_path):
+    """Customers of one file and one key, null, meet all suppliers."""
+    d = str(tmp_path)
+    spark.range(0, 20_000).selectExpr("id AS c_custkey", "4 AS c_nationkey").coalesce(1).write.parquet(f"{d}/customer.parquet")
+    spark.range(0, 10).selectExpr("id AS s_suppkey", "IF(id < 5, 8, 1) AS s_nationkey").write.parquet(f"{d}/supplier.parquet")
+    r = _q(spark, d, "join_nullsafe")
+    made = [x["count"] for x in r.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(made) == 2_000 * 5 and len(made) >= 8 and max(made) < 0.3 * sum(made)
