@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -127,20 +128,62 @@ def canonical_edges(edges: DataFrame) -> DataFrame:
     return e.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
 
 
-#: Edges of one block of the triangle count, and wedges looked at together.
+#: Edges of one block of the triangle count, wedges looked at together, and edges packed together.
 TRIANGLE_EDGES = 2_000_000
 _WEDGES = 2_000_000
+_PACK = 1_000_000
+
+
+def _pack(a, b) -> bytes:
+    """Edges sorted by (a, b) in a few bytes each: steps of ``a`` and the
+    ends, byte by byte, so that the high bytes shrink to nothing."""
+    return zlib.compress(np.stack([np.diff(a, prepend=np.int64(0)), b]).view(np.uint8).reshape(2, -1, 8).transpose(0, 2, 1).tobytes(), 1)
+
+
+def _unpack(packed: bytes):
+    a, b = np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), np.uint8).reshape(2, 8, -1).transpose(0, 2, 1)).view(np.int64)[..., 0]
+    return np.cumsum(a), b
+
+
+def _packed_edges(batches):
+    """One row for the edges (a, b) of each pair of colours (ca, cb)."""
+    def rows(held):
+        a, b, ca, cb = (np.concatenate([t[c].to_numpy(zero_copy_only=False) for t in held]) for c in ("a", "b", "ca", "cb"))
+        order = np.lexsort((b, a, cb, ca))
+        a, b, ca, cb = a[order], b[order], ca[order], cb[order]
+        at = np.flatnonzero(np.diff(ca, prepend=-1) | np.diff(cb, prepend=-1))
+        packed = [_pack(a[i:j], b[i:j]) for i, j in zip(at, [*at[1:], len(a)])]
+        return pa.RecordBatch.from_arrays([pa.array(ca[at], pa.int64()), pa.array(cb[at], pa.int64()), pa.array(packed, pa.binary())], names=["ca", "cb", "edges"])
+    held = []
+    for t in batches:
+        held.append(t)
+        if sum(x.num_rows for x in held) >= _PACK:
+            yield rows(held)
+            held = []
+    if any(x.num_rows for x in held):
+        yield rows(held)
 
 
 def _block_triangles(colours: int):
     """Triangles of one block whose three colours are the block's."""
     def run(key, t):
-        ids, at = np.unique(np.concatenate([t["a"].to_numpy(), t["b"].to_numpy()]), return_inverse=True)
-        n, m = len(ids), t.num_rows
-        colour = np.zeros(n, np.int64)
-        colour[at] = np.concatenate([t["ca"].to_numpy(), t["cb"].to_numpy()])
-        code = np.sort(at[:m].astype(np.int64) * n + at[m:])           # edges by (low, high)
-        a, b = code // n, code % n
+        parts = [_unpack(x.as_py()) for x in t["edges"]]
+        ids = np.unique(np.concatenate([np.unique(x) for ab in parts for x in ab]))
+        n, colour = len(ids), np.zeros(len(ids), np.int64)
+        for k, (ca, cb) in enumerate(zip(t["ca"].to_pylist(), t["cb"].to_pylist())):
+            a, b = (np.searchsorted(ids, x).astype(np.int32) for x in parts[k])
+            colour[a], colour[b], parts[k] = ca, cb, (a, b)
+        a, b = (np.concatenate(x) for x in zip(*parts))
+        del parts
+        m = len(a)
+        # numbered by degree: every edge goes up
+        order = np.argsort(np.bincount(a, minlength=n) + np.bincount(b, minlength=n), kind="stable")
+        rank = np.empty(n, np.int64)
+        rank[order] = np.arange(n)
+        ids, colour, a, b = ids[order], colour[order], rank[a], rank[b]
+        code = np.minimum(a, b) * n + np.maximum(a, b)
+        code.sort()                                                    # edges by (low, high)
+        a, b = np.divmod(code, n)
         first = np.searchsorted(a, np.arange(n + 1))
         out = np.diff(first)[b]                                        # wedges a -> b -> c of each edge
         block = key[0].as_py()
@@ -160,41 +203,37 @@ def _block_triangles(colours: int):
             mine = (three[0] * colours + three[1]) * colours + three[2] == block
             count += np.bincount(np.concatenate([p[mine], q[mine], c[mine]]), minlength=n)
             i = j
-        hit = np.flatnonzero(count)
-        return pa.table([pa.array(ids[hit], pa.int64()), pa.array(count[hit], pa.int64())], names=["id", "triangles"])
+        return pa.table([pa.array(ids, pa.int64()), pa.array(count, pa.int64())], names=["id", "triangles"])
     return run
 
 
 def triangle_counts(edges: DataFrame) -> DataFrame:
-    """Per-vertex triangle count.  Edges are oriented from the lower to
-    the higher (degree, id) endpoint, which bounds the wedges each vertex
-    emits (no all-pairs expansion of hub neighbourhoods).
+    """Per-vertex triangle count.  Inside a block edges are oriented from the
+    lower to the higher (degree, id) endpoint, which bounds the wedges each
+    vertex emits (no all-pairs expansion of hub neighbourhoods).
 
     No wedge leaves its task: vertices are dealt over colours, a block is a
     set of three colours with all edges between them, and counts the
     triangles that have just these.  An edge goes to one block for each
-    colour; the colours follow the counted edges, so that blocks stay
-    bounded."""
+    colour, packed with others of its two colours; the colours follow the
+    counted edges, so that blocks stay bounded.  Every vertex is in a block,
+    so those without triangles come out too."""
     e = canonical_edges(edges)
-    deg = (e.select(F.col("src").alias("v")).union(e.select(F.col("dst").alias("v")))
-           .groupBy("v").agg(F.count(F.lit(1)).alias("d")))
-    ed = (e.join(deg.withColumnRenamed("v", "src").withColumnRenamed("d", "ds"), "src")
-          .join(deg.withColumnRenamed("v", "dst").withColumnRenamed("d", "dd"), "dst"))
-    low_first = (F.col("ds") < F.col("dd")) | ((F.col("ds") == F.col("dd")) & (F.col("src") < F.col("dst")))
-    o = ed.select(F.when(low_first, F.col("src")).otherwise(F.col("dst")).alias("a"),
-                  F.when(low_first, F.col("dst")).otherwise(F.col("src")).alias("b"))
+    kind = e.schema["src"].dataType
     checkpoint_dir(edges.sparkSession)
-    o = o.checkpoint()                 # counted, dealt and read for the vertices
-    colours = max(1, math.ceil(math.sqrt(6 * o.count() / TRIANGLE_EDGES)))
+    e = e.select(F.col("src").cast("long").alias("a"), F.col("dst").cast("long").alias("b")).checkpoint()      # counted and dealt
+    colours = max(1, math.ceil(math.sqrt(6 * e.count() / TRIANGLE_EDGES)))
     colour = lambda c: F.pmod(F.xxhash64(c), F.lit(colours))
     three = F.array_sort(F.array("ca", "cb", "z"))
-    dealt = (o.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"), colour("a").alias("ca"), colour("b").alias("cb"))
+    dealt = (e.select("a", "b", colour("a").alias("ca"), colour("b").alias("cb"))
+             .mapInArrow(_packed_edges, "ca long, cb long, edges binary")
              .withColumn("z", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(colours - 1).cast("long"))))
-             .select(((three[0] * colours + three[1]) * colours + three[2]).alias("block"), "a", "b", "ca", "cb"))
-    per = (dealt.groupBy("block").applyInArrow(_block_triangles(colours), "id long, triangles long")
-           .groupBy("id").agg(F.sum("triangles").alias("triangles")))
-    verts = vertices_of(o.select(F.col("a").alias("src"), F.col("b").alias("dst")))
-    return verts.join(per, "id", "left").select("id", F.coalesce("triangles", F.lit(0)).cast("bigint").alias("triangles"))
+             .select(((three[0] * colours + three[1]) * colours + three[2]).alias("block"), "ca", "cb", "edges"))
+    # few bytes, much work: not to be coalesced by size
+    parts = max(int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")), edges.sparkSession.sparkContext.defaultParallelism)
+    return (dealt.repartition(parts, "block").groupBy("block").applyInArrow(_block_triangles(colours), "id long, triangles long")
+            .groupBy("id").agg(F.sum("triangles").alias("triangles"))
+            .select(F.col("id").cast(kind).alias("id"), "triangles"))
 
 
 def shortest_paths(edges: DataFrame, source, weight: str = "w") -> DataFrame:

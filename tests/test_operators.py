@@ -311,6 +311,29 @@ def test_triangles_of_many_blocks(spark, monkeypatch, block):
     assert "FlatMapGroupsInArrow" in r._jdf.queryExecution().toString()
 
 
+def test_triangle_edges_travel_packed(spark, monkeypatch):
+    """Edges go to their blocks a few bytes each, whatever the ids, and no
+    degree is joined to them before."""
+    rng = np.random.RandomState(6)
+    a, b = rng.randint(0, 20_000, (2, 50_000)).astype(np.int64)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    packed = G._pack(a, b)
+    assert len(packed) < 5 * len(a)
+    far = np.array([-2 ** 63, -2 ** 63, -5, 0, 2 ** 63 - 1]), np.array([-1, 2 ** 63 - 1, 7, 2 ** 62, -2 ** 63])
+    for x, y in ((a, b), far):
+        p, q = G._unpack(G._pack(x, y))
+        assert (p == x).all() and (q == y).all()
+    monkeypatch.setattr(G, "TRIANGLE_EDGES", 3)
+    monkeypatch.setattr(G, "_PACK", 2)
+    ids = [-2 ** 62, 2 ** 62, 3, 4, 5]
+    pairs = [(ids[x], ids[y]) for x, y in ((0, 1), (1, 2), (2, 0), (1, 0), (2, 3), (3, 4), (0, 3), (4, 4))]
+    r = G.triangle_counts(spark.createDataFrame([*pairs, (None, 3), (9, 9)], "src long, dst long").coalesce(1))
+    assert {x.id: x.triangles for x in r.collect()} == dict(zip(ids, [2, 1, 2, 1, 0]))
+    plan = r._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "Join" not in plan
+
+
 def test_ml_rows_only_sanity(spark, sf_dir):
     km = _q(spark, sf_dir, "ml_kmeans")
     assert km.select("prediction").distinct().count() <= 10
