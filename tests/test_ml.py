@@ -1,5 +1,6 @@
 """Row counts of the estimators and the near-copy search against brute force."""
 
+import math
 import random
 
 import numpy as np
@@ -69,6 +70,31 @@ def test_every_document_is_scored(spark, sf_dir, name):
     assert ids == sorted(r.doc_id for r in docs.select("doc_id").collect())
 
 
+def test_clustered_graph_is_dealt_over_a_grid(spark, sf_dir, monkeypatch):
+    """A vertex has edges in a row and a column of the parts only, both
+    directions of an edge lie together, and no edge is lost; what fits one
+    part of lines is left as it is."""
+    from marquee.plans import ml
+    seen, assign = [], ml.K.PowerIterationClustering.assignClusters
+    monkeypatch.setattr(ml.K.PowerIterationClustering, "assignClusters", lambda self, d: seen.append(d) or assign(self, d))
+    ids = []
+    for lines in (10 ** 9, 400):
+        monkeypatch.setattr(ml, "PIC_LINES", lines)
+        ids.append({r.id for r in _q(spark, sf_dir, "ml_pic").collect()})
+    assert ids[0] == ids[1] and "RepartitionById" not in seen[0]._jdf.queryExecution().toString()
+    n = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    side = math.ceil(math.sqrt(n / 400))
+    assert side > 2 and seen[1].rdd.getNumPartitions() == side * side
+    rows = seen[1].withColumn("part", F.spark_partition_id()).collect()
+    assert sorted((r.src, r.dst, r.weight) for r in rows) == sorted((r.src, r.dst, r.weight) for r in seen[0].collect())
+    parts, pairs = {}, {}
+    for r in rows:
+        parts.setdefault(r.src, set()).add(r.part)
+        parts.setdefault(r.dst, set()).add(r.part)
+        pairs.setdefault(frozenset((r.src, r.dst)), set()).add(r.part)
+    assert max(map(len, parts.values())) <= 2 * side - 1 and max(map(len, pairs.values())) == 1
+
+
 def test_tree_regressors_keep_one_row_a_line(spark, sf_dir):
     r = _q(spark, sf_dir, "ml_tree_reg")
     assert r.count() == spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
