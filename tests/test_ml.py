@@ -104,6 +104,25 @@ def test_tree_regressors_keep_one_row_a_line(spark, sf_dir):
     assert y.lo <= p.lo <= p.hi <= y.hi
 
 
+def test_tree_regressors_are_fitted_one_after_the_other(spark, sf_dir, monkeypatch):
+    """Each keeps a copy of all rows while it is fitted: one copy at a time,
+    made of rows that are read once."""
+    from marquee.plans import ml
+    running, seen = [], []
+    for kind in (ml.R.DecisionTreeRegressor, ml.R.RandomForestRegressor, ml.R.GBTRegressor, ml.R.FMRegressor):
+        def fit(self, d, name=kind.__name__, fit=kind.fit):
+            running.append(name)
+            seen.append((list(running), d))
+            try:
+                return fit(self, d)
+            finally:
+                running.remove(name)
+        monkeypatch.setattr(kind, "fit", fit)
+    r = _q(spark, sf_dir, "ml_tree_reg")
+    assert [x for x, _ in seen] == [["DecisionTreeRegressor"], ["RandomForestRegressor"], ["GBTRegressor"], ["FMRegressor"]]
+    assert all(not d.inputFiles() for _, d in seen) and {"dt", "rf", "gbt", "fm"} < set(r.columns)
+
+
 def _near_components(texts, words=5):
     """Components by brute force over all pairs."""
     def shingles(text):
