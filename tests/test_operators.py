@@ -379,3 +379,22 @@ def test_nullsafe_pairs_are_made_in_many_tasks(spark, tmp_path):
     r = _q(spark, d, "join_nullsafe")
     made = [x["count"] for x in r.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(made) == 2_000 * 5 and len(made) >= 8 and max(made) < 0.3 * sum(made)
+
+
+def test_nullsafe_tiles_lose_no_pair(spark, tmp_path, monkeypatch):
+    """Over many tiles and buckets as over one: every pair once, repeated and
+    null numbers too; a task has rows of few suppliers."""
+    from marquee.plans import joins
+    monkeypatch.setattr(joins, "NULLSAFE_TILE", 20)
+    monkeypatch.setattr(joins, "NULLSAFE_BUCKET", 15)
+    d = str(tmp_path)
+    customers = [(10 * (i % 40), i % 9 if i % 7 else None) for i in range(60)] + [(None, 1), (3, 1)]
+    suppliers = [(i % 110 if i % 50 else None, i % 6 if i % 11 else None) for i in range(120)]
+    spark.createDataFrame(customers, "c_custkey long, c_nationkey int").write.parquet(f"{d}/customer.parquet")
+    spark.createDataFrame(suppliers, "s_suppkey long, s_nationkey int").write.parquet(f"{d}/supplier.parquet")
+    r = _q(spark, d, "join_nullsafe")
+    key = lambda n: None if n is None else n % 4 or None
+    want = [(c, s) for c, n in customers if c is not None and c % 10 == 0 for s, m in suppliers if key(n) == key(m)]
+    got = r.withColumn("task", F.spark_partition_id()).collect()
+    assert sorted(map(repr, ((x.c_custkey, x.s_suppkey) for x in got))) == sorted(map(repr, want))
+    assert min(len({x.s_suppkey for x in got if x.task == task}) for task in {x.task for x in got}) < 60
